@@ -121,3 +121,36 @@ def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str,
                        *[F.col(c).alias(f"{prefix}_{c}") for c in columns])
         out = out.join(d, out[fk] == d[f"_{prefix}_k"], "left").drop(f"_{prefix}_k")
     return out
+
+
+def as_of_lookup(fact: DataFrame, history: DataFrame, key: str, at: str,
+                 valid_from: str, valid_to: str, carry: Sequence[str]) -> DataFrame:
+    """Left point-in-time lookup that never forms fact x version pairs.
+
+    1. The distinct ``(key, at)`` lookup points are taken from the facts (a
+       partial aggregation: a hot key shrinks to its distinct instants).
+    2. Points and version starts are swept in one ordered stream per key; the
+       last version started at or before each point is carried forward and
+       kept when the point lies before that version's end.
+    3. The resolved points are equi-joined back to the facts on
+       ``(key, at)``, a join AQE can split when one key is hot.
+
+    Facts without a valid version get NULLs in ``carry`` (see
+    :func:`resolve_unknown`).
+    """
+    points = fact.select(F.col(key).alias("_k"), F.col(at).alias("_t")).distinct()
+    ver = history.select(F.col(key).alias("_k"), F.col(valid_from).alias("_t"),
+                         F.lit(0).alias("_kind"),
+                         F.struct(F.col(valid_to).alias("_to"), *[F.col(c) for c in carry])
+                         .alias("_v"))
+    pts = points.select("_k", "_t", F.lit(1).alias("_kind"),
+                        F.lit(None).cast(ver.schema["_v"].dataType).alias("_v"))
+    w = (Window.partitionBy("_k").orderBy("_t", "_kind")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = (ver.unionByName(pts)
+             .withColumn("_cur", F.last("_v", ignorenulls=True).over(w))
+             .where((F.col("_kind") == 1) & (F.col("_t") < F.col("_cur._to"))))
+    resolved = swept.select(F.col("_k"), F.col("_t"),
+                            *[F.col(f"_cur.{c}").alias(c) for c in carry])
+    cond = (fact[key] == resolved["_k"]) & (fact[at] == resolved["_t"])
+    return fact.join(resolved, cond, "left").drop("_k", "_t")

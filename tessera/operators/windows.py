@@ -69,30 +69,36 @@ def exclusive_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Col
 
 def running_total(df: DataFrame, order: Sequence[Column], value: Column | str,
                   name: str, num_ranges: int | None = None,
-                  total_name: str | None = None) -> DataFrame:
-    """Inclusive running sum over a global order, computed range by range.
-
-    ``order`` must be a total order (end with a unique key).  With
-    ``total_name`` the grand total is attached to every row as well (it comes
-    from the same per-range table, so no extra pass or join is needed).
+                  total_name: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sum in ``order`` (per ``keys`` if given), range by range.
+
+    ``order`` must be a total order within a key (end with a unique column).
+    The data is range-partitioned on ``keys + order``; each range computes its
+    local running sum, and the sum of earlier ranges of the same key is added
+    from a per-(range, key) table.  A key larger than one range is therefore
+    split over several tasks.  ``total_name`` attaches the per-key (or grand)
+    total from the same table.
     """
+    keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
-    ranged = (df.repartitionByRange(_num_ranges(df, num_ranges), *order)
+    ranged = (df.repartitionByRange(_num_ranges(df, num_ranges), *[F.col(k) for k in keys], *order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn("_v", val))
-    local_w = (Window.partitionBy(_PID).orderBy(*order)
+    local_w = (Window.partitionBy(_PID, *keys).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_local", F.sum("_v").over(local_w))
-    sums = ranged.groupBy(_PID).agg(F.sum("_v").alias("_range_sum"))
-    # One row per range: a window without partitionBy is fine at this size.
-    every = Window.orderBy(_PID)
+    sums = ranged.groupBy(_PID, *keys).agg(F.sum("_v").alias("_range_sum"))
+    # One row per (range, key); per key at most one row per range.
+    per_key = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
     offsets = sums.select(
-        _PID,
+        _PID, *keys,
         F.coalesce(F.sum("_range_sum").over(
-            every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+            per_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_range_sum").over(
-            every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_grand"))
-    out = (local.join(F.broadcast(offsets), _PID, "inner")
+            per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_grand"))
+    if not keys:
+        offsets = F.broadcast(offsets)  # one row per range
+    out = (local.join(offsets, [_PID, *keys], "inner")
            .withColumn(name, F.col("_local") + F.col("_offset")))
     if total_name:
         out = out.withColumn(total_name, F.col("_grand"))
@@ -100,9 +106,11 @@ def running_total(df: DataFrame, order: Sequence[Column], value: Column | str,
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_id",
-                      num_ranges: int | None = None, total_name: str | None = None) -> DataFrame:
-    """1-based sequential id in a total order (W08) without a global window."""
-    return running_total(df, order, F.lit(1).cast("long"), name, num_ranges, total_name)
+                      num_ranges: int | None = None, total_name: str | None = None,
+                      keys: Sequence[str] = ()) -> DataFrame:
+    """1-based sequential id in a total order (W08), per ``keys`` if given,
+    without a global window and without gathering a key in one task."""
+    return running_total(df, order, F.lit(1).cast("long"), name, num_ranges, total_name, keys)
 
 
 def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:

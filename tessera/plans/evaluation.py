@@ -75,10 +75,7 @@ SELECT m.model, n, tp, fp, fn, tn, ROUND((tp + tn) / n, 6) AS accuracy, ROUND(pr
        ROUND(2 * precision * recall / NULLIF(precision + recall, 0), 6) AS f1,
        ROUND(specificity, 6) AS specificity, ROUND((recall + specificity) / 2, 6) AS balanced_accuracy,
        ROUND(auc.auc, 6) AS auc
-FROM m JOIN auc ON m.model = auc.model""".replace(
-    """a AS (SELECT model, SUM(pos * (SUM(neg) OVER w - neg + 0.5 * neg)) AS x FROM s
-      WINDOW w AS (PARTITION BY model ORDER BY score ROWS UNBOUNDED PRECEDING) GROUP BY ALL),
-""", ""))
+FROM m JOIN auc ON m.model = auc.model""")
 def q_binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored_documents(Tables(spark, sf_dir))
     c = E.with_rates(E.confusion_counts(s, "truth", F.col("score") >= 0.5, ["model"]))

@@ -18,7 +18,8 @@ def tokens(c: ColumnOrName) -> Column:
 
 def strip_html(c: ColumnOrName) -> Column:
     """Visible text of an HTML page: script/style bodies and tags removed."""
-    no_code = F.regexp_replace(_col(c), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
+    no_script = F.regexp_replace(_col(c), r"(?is)<script[^>]*>.*?</script>", " ")
+    no_code = F.regexp_replace(no_script, r"(?is)<style[^>]*>.*?</style>", " ")
     no_tags = F.regexp_replace(no_code, r"<[^>]*>", " ")
     return clean_text(no_tags)
 

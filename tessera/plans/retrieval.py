@@ -1 +1,166 @@
-"""Registered queries (see registry)."""
+"""Text, sequence and retrieval queries: chunking, vocabulary, encoding,
+top-k cosine retrieval, HTML text extraction, ordered context, keyed lookups."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.cleaning import round_to
+from tessera.functions.text import html_title, strip_html, tokens
+from tessera.operators import text as T
+from tessera.operators.joins import broadcast_bounded
+from tessera.operators.windows import latest_per_key
+from tessera.plans.registry import register
+from tessera.tables import Tables
+
+# Chunk size in characters, sequence length, retrieval depth.
+CHUNK_CHARS = 500
+MAX_LEN = 32
+TOP_K = 3
+
+_TOK = r"regexp_extract_all(lower(text), '\p{L}+')"
+
+
+@register("chunks", "X27 S13", f"""
+WITH d AS (SELECT doc_id, source, text,
+                  unnest(range(0, CAST(ceil(length(text) / {CHUNK_CHARS}) AS BIGINT))) AS i
+           FROM documents)
+SELECT doc_id, source, i + 1 AS chunk_id, substring(text, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS}) AS chunk_text,
+       length(substring(text, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS})) AS chunk_chars
+FROM d""")
+def q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = T.char_chunks(Tables(spark, sf_dir).documents, "text", CHUNK_CHARS, ["doc_id", "source"])
+    return c.select("doc_id", "source", F.col("chunk_id").cast("long").alias("chunk_id"), "chunk_text",
+                    F.col("chunk_chars").cast("long").alias("chunk_chars"))
+
+
+@register("paragraph_chunks", "X27", """
+SELECT doc_id, paragraph_id, paragraph FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS paragraph,
+         generate_subscripts(string_split(text, chr(10)), 1) AS paragraph_id
+  FROM documents)
+WHERE trim(paragraph) <> ''""")
+def q_paragraph_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = T.paragraph_chunks(Tables(spark, sf_dir).documents, "text", ["doc_id"])
+    return p.select("doc_id", F.col("paragraph_id").cast("long").alias("paragraph_id"), "paragraph")
+
+
+def training_vocab(t: Tables) -> DataFrame:
+    """Vocabulary fitted on user turns only (the training side)."""
+    return T.vocabulary(t.conversations.where(F.col("role") == "user"), "text")
+
+
+_VOCAB_SQL = f"""tok AS (SELECT unnest({_TOK}) AS token FROM conversations WHERE role = 'user'),
+cnt AS (SELECT token, COUNT(*) AS count FROM tok GROUP BY 1),
+v AS (SELECT token, count, row_number() OVER (ORDER BY count DESC, token) + 1 AS token_id FROM cnt)"""
+
+
+@register("vocab", "X21 W08", f"WITH {_VOCAB_SQL} SELECT token, count, token_id FROM v")
+def q_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_vocab(Tables(spark, sf_dir))
+
+
+@register("encode_pad", "X22 X21", f"""
+WITH {_VOCAB_SQL},
+toks AS (SELECT conv_id, turn, unnest({_TOK}) AS token, generate_subscripts({_TOK}, 1) AS pos
+         FROM conversations),
+ids AS (SELECT toks.conv_id, toks.turn, toks.pos, COALESCE(v.token_id, 1) AS id
+        FROM toks LEFT JOIN v ON toks.token = v.token),
+seq AS (SELECT conv_id, turn, list(id ORDER BY pos) AS ids FROM ids GROUP BY 1, 2),
+full_seq AS (SELECT c.conv_id, c.turn, COALESCE(seq.ids, CAST([] AS BIGINT[])) AS ids
+             FROM conversations c LEFT JOIN seq ON c.conv_id = seq.conv_id AND c.turn = seq.turn)
+SELECT conv_id, turn, CAST(len(ids) AS BIGINT) AS n_tokens,
+       array_to_string(list_concat(
+         list_transform(range(greatest({MAX_LEN} - len(ids), 0)), lambda x: CAST(0 AS BIGINT)),
+         list_slice(ids, greatest(len(ids) - {MAX_LEN} + 1, 1), len(ids))), ',') AS padded
+FROM full_seq""")
+def q_encode_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    e = T.encode_pad(t.conversations, "text", ["conv_id", "turn"], training_vocab(t), MAX_LEN)
+    return e.select("conv_id", "turn", F.col("n_tokens").cast("long").alias("n_tokens"),
+                    F.array_join("padded", ",").alias("padded"))
+
+
+@register("length_stats", "X26", f"""
+SELECT role, COUNT(*) AS turns, ROUND(AVG(len({_TOK})), 4) AS mean_tokens,
+       CAST(MAX(len({_TOK})) AS BIGINT) AS max_tokens, ROUND(AVG(length(text)), 4) AS mean_chars
+FROM conversations GROUP BY role""")
+def q_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Tables(spark, sf_dir).conversations
+    n = F.size(tokens("text"))
+    return c.groupBy("role").agg(F.count(F.lit(1)).alias("turns"),
+                                 round_to(F.avg(n), 4).alias("mean_tokens"),
+                                 F.max(n).cast("long").alias("max_tokens"),
+                                 round_to(F.avg(F.length("text")), 4).alias("mean_chars"))
+
+
+@register("label_index", "X23", """
+SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS label_index FROM (SELECT DISTINCT lang FROM documents)""")
+def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.label_index(Tables(spark, sf_dir).documents, "lang")
+
+
+def label_centroids(t: Tables) -> list[tuple[int, list[float]]]:
+    """Mean embedding per label; bounded by labels x dimension."""
+    ex = t.embeddings.select("label", F.posexplode("embedding").alias("i", "v"))
+    cent = ex.groupBy("label", "i").agg(F.avg("v").alias("cv"))
+    rows = (cent.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "cv"))).alias("c"))
+            .orderBy("label").collect())
+    return [(int(r["label"]), [float(s["cv"]) for s in r["c"]]) for r in rows]
+
+
+@register("topk_cosine", "X29 X28", f"""
+WITH ex AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(v) AS cv FROM ex GROUP BY 1, 2),
+cl AS (SELECT label, list(cv ORDER BY i) AS centroid FROM c GROUP BY 1),
+s AS (SELECT cl.label AS query_id, e.vec_id,
+             list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), cl.centroid) AS score
+      FROM embeddings e CROSS JOIN cl)
+SELECT vec_id, query_id, ROUND(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= {TOP_K}""")
+def q_topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    top = T.top_k_cosine(t.embeddings, "embedding", "vec_id", label_centroids(t), TOP_K)
+    return top.select("vec_id", "query_id", round_to("score", 6).alias("score"), "rank")
+
+
+@register("page_text", "S13 P11", """
+SELECT page_id, url, NULLIF(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title,
+       trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+         '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'),
+         '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text
+FROM pages""")
+def q_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Tables(spark, sf_dir).pages
+    return p.select("page_id", "url", html_title("html").alias("title"), strip_html("html").alias("text"))
+
+
+@register("conversation_context", "X30 A08", """
+SELECT conv_id, COUNT(*) AS pieces, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS context
+FROM conversations GROUP BY conv_id""")
+def q_conversation_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Tables(spark, sf_dir).conversations
+    return T.ordered_context(c, ["conv_id"], "turn", F.concat_ws(": ", "role", "text"))
+
+
+@register("keyed_lookups", "X31 J01 W01", """
+WITH lo AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM orders
+            QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, lo.o_orderkey AS latest_orderkey,
+       lo.o_orderstatus AS latest_status
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+LEFT JOIN lo ON lo.o_custkey = e.user_id
+WHERE e.event_type = 'purchase'""")
+def q_keyed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    keys = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id")
+    cust = broadcast_bounded(t.customer.select("c_custkey", "c_name", "c_mktsegment"))
+    latest = latest_per_key(t.orders, ["o_custkey"],
+                            [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select(
+        "o_custkey", F.col("o_orderkey").alias("latest_orderkey"),
+        F.col("o_orderstatus").alias("latest_status"))
+    j = (keys.join(cust, keys.user_id == cust.c_custkey, "left")
+         .join(latest, keys.user_id == latest.o_custkey, "left"))
+    return j.select("event_id", "user_id", "c_name", "c_mktsegment", "latest_orderkey", "latest_status")

@@ -30,11 +30,13 @@ def timeline_merge(a: DataFrame, b: DataFrame, key: str,
 
     def events(df, start, end, own, side):
         # kind 0 = end, kind 1 = start: at equal time an end is applied first.
-        def ev(t, kind, on):
-            return df.select(F.col(key).alias("_k"), F.col(t).alias("_t"),
-                             F.lit(kind).alias("_kind"), F.lit(side).alias("_side"),
-                             F.struct(F.lit(on).alias("on"), own.alias("v")).alias(f"_{side}"))
-        return ev(start, 1, True).unionByName(ev(end, 0, False))
+        # Both events of a version come from one row (a generator, one pass).
+        both = F.array(
+            F.struct(F.col(start).alias("_t"), F.lit(1).alias("_kind"), F.lit(True).alias("on")),
+            F.struct(F.col(end).alias("_t"), F.lit(0).alias("_kind"), F.lit(False).alias("on")))
+        x = df.select(F.col(key).alias("_k"), own.alias("_own"), F.explode(both).alias("_e"))
+        return x.select("_k", "_e._t", "_e._kind", F.lit(side).alias("_side"),
+                        F.struct(F.col("_e.on").alias("on"), F.col("_own").alias("v")).alias(f"_{side}"))
 
     ea = events(a, a_from, a_to, a_struct, "a")
     eb = events(b, b_from, b_to, b_struct, "b")

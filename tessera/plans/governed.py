@@ -111,7 +111,7 @@ _FLAG_COLS = ("dq001_shipdate_not_null, dq002_orderdate_not_null, dq003_ship_aft
 
 def daily_fact(t: Tables) -> DataFrame:
     """A03-A05 over valid lines, then the J07 role-playing nation view."""
-    valid = Q.split_valid(flagged_lines(t), line_rules())
+    valid = Q.valid_rows(line_staging(t), line_rules())
     cust = broadcast_bounded(t.customer.select(F.col("c_custkey"), F.col("c_nationkey")),
                              LOOKUP_MAX_ROWS)
     supp = broadcast_bounded(t.supplier.select(F.col("s_suppkey"), F.col("s_nationkey")),
@@ -208,7 +208,7 @@ def q_dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dq_valid", "Q04 P03", _FLAGS_SQL + f"""
 SELECT {", ".join(_STG_COLS)} FROM results WHERE dq_status = 'PASS'""")
 def q_dq_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.split_valid(flagged_lines(Tables(spark, sf_dir)), line_rules())
+    return Q.valid_rows(line_staging(Tables(spark, sf_dir)), line_rules())
 
 
 @register("dq_quarantine", "Q04 P04", _FLAGS_SQL + f"""

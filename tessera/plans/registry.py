@@ -36,6 +36,6 @@ def register(name: str, operators: str, sql: str | None = None):
 
 def all_queries() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
-    from tessera.plans import (analysis, evaluation, governed, modeling,  # noqa: F401
-                               relational, retrieval, streams)
+    from tessera.plans import (analysis, briefs, evaluation, governed,  # noqa: F401
+                               modeling, relational, retrieval, streams)
     return dict(REGISTRY)

@@ -43,10 +43,12 @@ def q_prediction_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("inside"))
 
 
-@F.pandas_udf("double")
-def _normal_quantile(p: pd.Series) -> pd.Series:
-    inv = NormalDist().inv_cdf
-    return p.map(inv)
+def _normal_quantile_udf():
+    """Vectorised standard-normal quantile (built lazily: UDFs need a session)."""
+    @F.pandas_udf("double")
+    def normal_quantile(p: pd.Series) -> pd.Series:
+        return p.map(NormalDist().inv_cdf)
+    return normal_quantile
 
 
 @register("qq_points", "T12")
@@ -57,7 +59,7 @@ def q_qq_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "i", total_name="n")
     p = (F.col("i") - 0.5) / F.col("n")
     return r.select("i", round_to("std_residual", 6).alias("sample"),
-                    round_to(_normal_quantile(p), 6).alias("theoretical"))
+                    round_to(_normal_quantile_udf()(p), 6).alias("theoretical"))
 
 
 @register("random_forest_quality", "M30 M09")

@@ -482,11 +482,12 @@ WITH c AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1)
 SELECT COUNT(*) AS unique_customers, COUNT(*) FILTER (WHERE n > 1) AS repeat_customers,
        COUNT(*) FILTER (WHERE n = 1) AS one_time_customers,
        ROUND(COUNT(*) FILTER (WHERE n > 1) / COUNT(*), 6) AS repeat_share,
-       ROUND((SELECT AVG(o_totalprice) FROM orders), 4) AS avg_order_value
+       ROUND((SELECT ROUND(SUM(o_totalprice), 2) / COUNT(*) FROM orders), 4) AS avg_order_value
 FROM c""")
 def q_customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
-    aov = o.select(F.avg("o_totalprice")).scalar()
+    # money average from the cent-exact sum
+    aov = o.select(round_to(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).scalar()
     c = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     return c.agg(F.count(F.lit(1)).alias("unique_customers"),
                  F.count_if(F.col("n") > 1).alias("repeat_customers"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -118,13 +118,14 @@ def write_with_run_log(df: DataFrame, path: str, log_path: str, run_id: str, sou
                        partition_by: Sequence[str] = ()) -> dict:
     """Write ``df`` and append its row count to a run log.
 
-    The count is taken by ``observe`` during the write itself: no second
-    pass over the data.
+    The count is read back from the written parquet, which needs only the
+    file footers (no second pass over the data).  ``Observation`` is avoided
+    on purpose: once used it leaves a non-serializable manager on the session
+    that breaks later closure-based jobs such as Spark ML fits.
     """
-    obs = Observation(f"run_{run_id}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    create_or_replace(observed, path, partition_by)
-    metrics = obs.get
+    create_or_replace(df, path, partition_by)
+    rows = df.sparkSession.read.parquet(path).count()
+    metrics = {"rows": rows}
     log = df.sparkSession.createDataFrame(
         [(run_id, source, path, int(metrics["rows"]))],
         "run_id string, source string, target string, rows long").withColumn(

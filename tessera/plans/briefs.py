@@ -342,3 +342,83 @@ def q_typed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
                            {"l_orderkey": "order_key", "l_linenumber": "line_number", "l_quantity": "quantity",
                             "l_extendedprice": "extended_price", "l_shipdate": "ship_date"})
     return df.withColumn("ship_date", _d("ship_date"))
+
+
+# ------------------------------------------------------------ guards, cleaning
+
+_KEYS = [("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey"),
+         ("supplier", "s_suppkey")]
+
+
+@register("load_guard_report", "Q08 A11", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {k} IS NULL OR {k} <= 0) AS invalid_ids, "
+    f"COUNT({k}) - COUNT(DISTINCT {k}) AS duplicate_ids FROM {t}" for t, k in _KEYS))
+def q_load_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    out = None
+    for name, key in _KEYS:
+        df = getattr(t, name)
+        r = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                   F.count_if(F.col(key).isNull() | (F.col(key) <= 0)).alias("invalid_ids"),
+                   (F.count(key) - F.count_distinct(key)).alias("duplicate_ids"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("period_consistency", "Q09 A06", """
+SELECT strftime(o.o_orderdate, '%Y-%m') AS order_month, COUNT(*) AS lines,
+       COUNT(*) FILTER (WHERE strftime(l.l_shipdate, '%Y-%m') <> strftime(o.o_orderdate, '%Y-%m')) AS shipped_outside_month
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1""")
+def q_period_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    j = (t.lineitem.select("l_orderkey", "l_shipdate")
+         .join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")))
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    return j.groupBy(month.alias("order_month")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.date_format("l_shipdate", "yyyy-MM") != month).alias("shipped_outside_month"))
+
+
+@register("one_hot_check", "Q14", """
+WITH h AS (SELECT (l_returnflag = 'A')::INT + (l_returnflag = 'N')::INT + (l_returnflag = 'R')::INT AS active
+           FROM lineitem)
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE active <> 1) AS violations FROM h""")
+def q_one_hot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = Tables(spark, sf_dir).lineitem
+    ind = li.select(*[(F.col("l_returnflag") == v).cast("int").alias(f"flag_{v}") for v in "ANR"])
+    v = Q.one_hot_violations(ind, ["flag_A", "flag_N", "flag_R"])
+    return li.agg(F.count(F.lit(1)).alias("rows")).select("rows", v.select(F.count(F.lit(1))).scalar()
+                                                          .alias("violations"))
+
+
+@register("customer_profile", "P05 P10 P14 P15 P17 P18", """
+SELECT c_custkey AS c_custkey, COALESCE(NULLIF(trim(c_name), ''), 'Customer ' || CAST(c_custkey AS VARCHAR)) AS display_name,
+       lower(c_mktsegment) AS market_segment, c_acctbal AS account_balance
+FROM customer
+WHERE c_custkey IS NOT NULL AND c_acctbal BETWEEN -1000 AND 10000
+  AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""")
+def q_customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.cleaning import blank_to_null, clean_names, drop_if_present
+    c = Tables(spark, sf_dir).customer
+    # source-style names -> snake_case (P17); absent names are ignored
+    src = c.toDF("C Custkey", "C Name", "C-Nationkey", "C Acctbal", "C.Mktsegment")
+    d = drop_if_present(clean_names(src), "c_nationkey", "c_comment")
+    d = d.dropna(subset=["c_custkey"])  # listwise deletion on the key (P15)
+    d = d.where(F.col("c_acctbal").between(-1000, 10000)
+                & F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
+    name = F.coalesce(blank_to_null("c_name"), F.concat(F.lit("Customer "), F.col("c_custkey").cast("string")))
+    return d.select("c_custkey", name.alias("display_name"), F.lower("c_mktsegment").alias("market_segment"),
+                    F.col("c_acctbal").alias("account_balance"))
+
+
+@register("category_standardization", "G10 P11 A01", """
+SELECT upper(substr(lower(trim(p_type)), 1, 1)) || substr(lower(trim(p_type)), 2) AS category,
+       COUNT(*) AS parts, ROUND(AVG(p_retailprice), 4) AS avg_price
+FROM part GROUP BY 1""")
+def q_category_standardization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.cleaning import clean_text
+    p = Tables(spark, sf_dir).part
+    v = F.lower(clean_text("p_type"))
+    cat = F.concat(F.upper(F.substring(v, 1, 1)), F.substring(v, 2, 1 << 20))
+    return p.groupBy(cat.alias("category")).agg(F.count(F.lit(1)).alias("parts"),
+                                                round_to(F.avg("p_retailprice"), 4).alias("avg_price"))

@@ -164,3 +164,28 @@ def q_keyed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (keys.join(cust, keys.user_id == cust.c_custkey, "left")
          .join(latest, keys.user_id == latest.o_custkey, "left"))
     return j.select("event_id", "user_id", "c_name", "c_mktsegment", "latest_orderkey", "latest_status")
+
+
+@register("decode_tokens", "X24 X22", f"""
+WITH {_VOCAB_SQL},
+toks AS (SELECT conv_id, turn, unnest({_TOK}) AS token, generate_subscripts({_TOK}, 1) AS pos
+         FROM conversations),
+ids AS (SELECT toks.conv_id, toks.turn, toks.pos, COALESCE(v.token_id, 1) AS id
+        FROM toks LEFT JOIN v ON toks.token = v.token),
+kept AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY pos DESC) AS back FROM ids),
+dec AS (SELECT k.conv_id, k.turn, k.pos, COALESCE(v.token, '<unk>') AS word
+        FROM kept k LEFT JOIN v ON k.id = v.token_id WHERE k.back <= {MAX_LEN})
+SELECT conv_id, turn, string_agg(word, ' ' ORDER BY pos) AS decoded FROM dec GROUP BY 1, 2""")
+def q_decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode the kept (last ``MAX_LEN``) ids back to words; OOV -> ``<unk>``.
+
+    Ids are mapped back with a join on the vocabulary (not a driver-side map).
+    """
+    t = Tables(spark, sf_dir)
+    vocab = training_vocab(t)
+    enc = T.encode_pad(t.conversations, "text", ["conv_id", "turn"], vocab, MAX_LEN)
+    ids = enc.select("conv_id", "turn", F.posexplode("padded").alias("pos", "token_id")).where("token_id <> 0")
+    v = broadcast_bounded(vocab.select("token", "token_id"))
+    words = ids.join(v, "token_id", "left").withColumn("word", F.coalesce("token", F.lit("<unk>")))
+    out = words.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_w"))
+    return out.select("conv_id", "turn", F.array_join(F.transform("_w", lambda s: s["word"]), " ").alias("decoded"))

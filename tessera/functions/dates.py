@@ -31,9 +31,18 @@ def iso_weekday(c: ColumnOrName) -> Column:
     return ((F.dayofweek(_col(c)) + 5) % 7) + 1
 
 
+def wall_clock(c: ColumnOrName) -> Column:
+    """The wall-clock reading of a timestamp (NTZ or session-zone) as a UTC instant.
+
+    Differences of these values do not depend on the session time zone or
+    its daylight-saving shifts.
+    """
+    return F.from_utc_timestamp(_col(c).cast("timestamp"), F.current_timezone())
+
+
 def whole_minutes(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Truncated elapsed minutes between two timestamps."""
-    return F.timestamp_diff("MINUTE", _col(start), _col(end))
+    """Truncated elapsed minutes between two wall-clock timestamps."""
+    return F.timestamp_diff("MINUTE", wall_clock(start), wall_clock(end))
 
 
 def whole_days(start: ColumnOrName, end: ColumnOrName) -> Column:
@@ -42,8 +51,7 @@ def whole_days(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName, scale: int = 3) -> Column:
     """Fractional minutes rounded to ``scale`` decimals (silver duration)."""
-    seconds = (F.unix_micros(_col(end).cast("timestamp"))
-               - F.unix_micros(_col(start).cast("timestamp"))) / 1e6
+    seconds = (F.unix_micros(wall_clock(end)) - F.unix_micros(wall_clock(start))) / 1e6
     return F.round(seconds / 60.0, scale)
 
 

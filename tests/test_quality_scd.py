@@ -115,3 +115,15 @@ def test_date_dimension_weekday(spark):
     f = fiscal_calendar(calendar(spark, "2023-10-31", "2023-11-01")).orderBy("full_date").collect()
     assert [(r.fiscal_year, r.fiscal_month) for r in f] == [(2023, 12), (2024, 1)]
     assert d[0].full_date == dt.date(2024, 1, 6)
+
+
+def test_minutes_ignore_session_time_zone(spark):
+    from tessera.functions.dates import minutes_between, whole_minutes
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2024-03-09 12:00:00' a, timestamp_ntz'2024-03-10 12:00:30' b")
+        r = df.select(whole_minutes("a", "b").alias("m"), minutes_between("a", "b").alias("f")).first()
+        assert (r.m, r.f) == (1440, 1440.5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

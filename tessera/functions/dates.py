@@ -41,8 +41,9 @@ def wall_clock(c: ColumnOrName) -> Column:
 
 
 def whole_minutes(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Truncated elapsed minutes between two wall-clock timestamps."""
-    return F.timestamp_diff("MINUTE", wall_clock(start), wall_clock(end))
+    """Truncated (toward zero) elapsed minutes between two wall-clock timestamps."""
+    micros = F.unix_micros(wall_clock(end)) - F.unix_micros(wall_clock(start))
+    return (micros / F.lit(60_000_000)).cast("long")
 
 
 def whole_days(start: ColumnOrName, end: ColumnOrName) -> Column:

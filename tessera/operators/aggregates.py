@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def group_summary(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """n, mean, exact (interpolated) median, min, max, sample sd per group."""
+def group_summary(df: DataFrame, by: Sequence[str], value: str,
+                  extra: Sequence[Column] = ()) -> DataFrame:
+    """n, mean, exact (interpolated) median, min, max, sample sd per group.
+
+    ``extra`` aggregates are computed in the same pass.
+    """
     v = F.col(value)
     return df.groupBy(*by).agg(
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"),
-        F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("sd"))
+        F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("sd"), *extra)
 
 
 def group_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -96,9 +100,10 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier counts per group."""
     v = F.col(value)
-    q = df.groupBy(group).agg(
-        F.percentile(v, 0.25).alias("q1"), F.median(v).alias("median"),
-        F.percentile(v, 0.75).alias("q3"))
+    # one exact-percentile state per group for all three quartiles
+    q = (df.groupBy(group).agg(F.percentile(v, [0.25, 0.5, 0.75]).alias("_q"))
+         .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                 F.col("_q")[2].alias("q3")))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(group, value).join(q, group)
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")

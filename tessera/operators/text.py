@@ -120,3 +120,37 @@ def ordered_context(df: DataFrame, keys: Sequence[str], order: str, piece: Colum
                                                                      piece.alias("p")))).alias("_s"),
                               F.count(F.lit(1)).alias("pieces"))
     return g.select(*keys, "pieces", F.array_join(F.transform("_s", lambda s: s["p"]), sep).alias("context"))
+
+
+def stories(df: DataFrame, story_key: str, order: str, text: str, is_question: Column) -> DataFrame:
+    """Question rows with the story told before them.
+
+    The story is the ordered text of the earlier rows of the same story,
+    joined by spaces (an exclusive frame per story; a story is one
+    conversation or document, bounded by its own length).
+    """
+    w = (Window.partitionBy(story_key).orderBy(order)
+         .rowsBetween(Window.unboundedPreceding, -1))
+    ctx = df.withColumn("_prev", F.collect_list(text).over(w))
+    return (ctx.where(is_question)
+            .select(story_key, order, F.col(text).alias("question"),
+                    F.array_join("_prev", " ").alias("story"), F.size("_prev").alias("statements")))
+
+
+def hashed_text_classifier(train: DataFrame, text: str, label: str, num_features: int = 1 << 12,
+                           seed: int = 123):
+    """Fixed-vocabulary answer classifier (X25): hashed unigram + bigram
+    counts and multinomial logistic regression (the simpler alternative the
+    brief offers to a recurrent network)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, NGram, StringIndexer, VectorAssembler
+    prepared = train.withColumn("_tokens", tokens(text))
+    stages = [StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
+              NGram(n=2, inputCol="_tokens", outputCol="_bigrams"),
+              HashingTF(inputCol="_tokens", outputCol="_uni", numFeatures=num_features),
+              HashingTF(inputCol="_bigrams", outputCol="_bi", numFeatures=num_features),
+              VectorAssembler(inputCols=["_uni", "_bi"], outputCol="_features"),
+              LogisticRegression(featuresCol="_features", labelCol="_label", family="multinomial",
+                                 regParam=0.01, maxIter=50)]
+    return Pipeline(stages=stages).fit(prepared)

@@ -189,3 +189,35 @@ def q_decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = ids.join(v, "token_id", "left").withColumn("word", F.coalesce("token", F.lit("<unk>")))
     out = words.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_w"))
     return out.select("conv_id", "turn", F.array_join(F.transform("_w", lambda s: s["word"]), " ").alias("decoded"))
+
+
+@register("story_questions", "X20 W04 A08", """
+SELECT conv_id, turn, question, story, statements FROM (
+  SELECT conv_id, turn, role, text AS question,
+         COALESCE(string_agg(text, ' ') OVER w, '') AS story,
+         COUNT(*) OVER w AS statements
+  FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+WHERE role = 'user'""")
+def q_story_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Tables(spark, sf_dir).conversations
+    s = T.stories(c, "conv_id", "turn", "text", F.col("role") == "user")
+    return s.withColumn("statements", F.col("statements").cast("long"))
+
+
+@register("turn_role_classifier", "X25 M22")
+def q_turn_role_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark import StorageLevel
+    from pyspark.ml.functions import vector_to_array
+    from tessera.operators import evaluate as E
+    c = Tables(spark, sf_dir).conversations.withColumn("_key", F.concat_ws(":", "conv_id", "turn"))
+    split = E.stratified_split(c, "role", "_key", 0.8).persist(StorageLevel.MEMORY_AND_DISK)
+    model = T.hashed_text_classifier(split.where("split = 'train'"), "text", "role")
+    labels = model.stages[0].labels
+    scored = model.transform(split.where("split = 'test'").withColumn("_tokens", tokens("text")))
+    pred = scored.select(F.col("role").alias("truth"),
+                         F.element_at(F.array(*[F.lit(x) for x in labels]),
+                                      F.col("prediction").cast("int") + 1).alias("pred"),
+                         F.array_max(vector_to_array("probability")).alias("confidence"))
+    m = E.macro_metrics(pred, "truth", "pred")
+    return m.select("*", pred.select(F.avg("confidence")).scalar().alias("mean_confidence"))

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tessera.operators import text as T
+from tessera.plans.registry import all_queries
 from tessera.tables import TABLES, table_path
 from tests.oracle_check import frame_hash, to_records
 
@@ -57,7 +58,7 @@ def test_entry_runs(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver test data not present")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, oracle, name):
     sdf = entry.queries()[name](spark, SMALL).toPandas()
     sql = entry.oracle_sql().get(name)

@@ -127,7 +127,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, SLICE_BYTES // 4)
-        _POWERS[:] = [np.cumprod(np.concatenate(([1], np.full(size, b, np.uint64))).astype(np.uint64))
+        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))))
                       for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _POWERS[0][:n], _POWERS[1]
 
@@ -150,3 +150,25 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts])
+
+
+def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compute, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (only the columns ``carry``, if given) with columns computed from whole texts.
+
+    ``compute`` gets an Arrow string column and returns one Arrow or numpy array per field.
+    A carried column that has the name of a new field is replaced.  Empty tables stay empty.
+    """
+    new = [name for name, _ in fields]
+    kept = [c for c in (docs.columns if carry is None else carry) if c not in new]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_whole_text"))
+    schema = rows.select(*[F.col(f"`{c}`") for c in kept],
+                         *[F.lit(None).cast(kind).alias(name) for name, kind in fields]).schema
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+
+    def run(batches):
+        for batch in batches:
+            found = compute(batch.column(len(kept)))
+            found = [pa.array(x, kinds[kind]) for x, (_, kind) in zip(found, fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + found, names=kept + new)
+
+    return rows.mapInArrow(run, schema)

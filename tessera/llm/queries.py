@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, idfiles, packing
+from tessera.llm import bpe, idfiles, langid, packing, quality_gam, toxicity
 from tessera.llm.common import documents
+from tessera.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,11 +35,26 @@ def op1(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
 
 
+@_query("op2_language_id")
+def op2(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
 @_query("op3_length_buckets")
 def op3(spark, sf_dir):
     return packing.length_buckets(packing.token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path()))
 
 
+@_query("op5_toxicity")
+def op5(spark, sf_dir):
+    return toxicity.classify(documents(spark, sf_dir, "doc_id", "text"), load(spark, sf_dir, "labels"))
+
+
 @_query("op6_id_files")
 def op6(spark, sf_dir):
     return idfiles.round_trip(spark, documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(), end_id=2)
+
+
+@_query("op10_quality_gam")
+def op10(spark, sf_dir):
+    return quality_gam.classify(documents(spark, sf_dir, "doc_id", "text"), load(spark, sf_dir, "labels"))

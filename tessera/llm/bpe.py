@@ -22,15 +22,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import span_hashes, text_slices
+
 #: Bytes past a boundary that can still move it: the longest added token and contraction, doubled.
 MARGIN = 32
 #: Ids that must agree on each side of a window inside one long piece.
@@ -44,6 +47,62 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+# Classes of characters for the byte-level pre-tokeniser.
+_LETTER, _NUMBER, _SPACE, _OTHER = range(4)
+
+
+def _class_of(char: str) -> int:
+    kind = unicodedata.category(char)[0]
+    # White space up to U+024F.
+    return (_SPACE if char in " \t\n\v\f\r\x85\xa0" else _LETTER if kind == "L" else _NUMBER if kind == "N" else _OTHER)
+
+
+_CLASS = np.array([_class_of(chr(c)) for c in range(0x250)], np.uint8)
+_ASCII_CLASS = np.full(256, _OTHER, np.uint8)
+_ASCII_CLASS[:128] = _CLASS[:128]
+#: Bytes of characters from U+0250 on, whose class may depend on the Unicode version, and 0x1C to 0x1F.
+_ODD_BYTE = np.zeros(256, bool)
+_ODD_BYTE[0xC9 + 1:] = True
+_ODD_BYTE[0x1C:0x20] = True
+
+
+def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pre-tokens begin, for texts up to U+024F one after the other.
+
+    They are the matches of 's 't 're 've 'm 'll 'd, an optional space with letters, numbers or
+    others, and runs of white space without their last character if a word follows.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    kind = _ASCII_CLASS[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    wide = _CLASS[(data[lead].astype(np.int64) & 0x1F) << 6 | data[lead + 1] & 0x3F]
+    kind[lead], kind[lead + 1] = wide, wide
+    start = np.ones(n + 1, bool)
+    start[1:n] = kind[1:] != kind[:-1]
+    border = np.zeros(n + 1, bool)
+    border[offsets] = True
+    start |= border
+    # White space before a word: its last character stands alone, or joins the word if it is a space.
+    after = np.flatnonzero(start[1:n] & ~border[1:n] & (kind[:-1] == _SPACE) & (kind[1:] != _SPACE)) + 1
+    last = after - 1
+    last -= (data[last] & 0xC0) == 0x80
+    start[last] = True
+    start[after[data[after - 1] == 0x20]] = False
+    # Contractions: a lone apostrophe that begins a pre-token, and the letters behind it.
+    mark = np.flatnonzero((data[: n - 1] == 0x27) & start[: n - 1] & start[1:n] & ~border[1:n] & (kind[1:] == _LETTER))
+    if len(mark):
+        one = np.isin(data[mark + 1], np.frombuffer(b"stmd", np.uint8))
+        third = np.where(mark + 2 < n, data[np.minimum(mark + 2, n - 1)], 0)
+        third[border[np.minimum(mark + 2, n)]] = 0
+        two = ((third == 0x65) & np.isin(data[mark + 1], np.frombuffer(b"rv", np.uint8))) | ((third == 0x6C) & (data[mark + 1] == 0x6C))
+        for hit, size in ((one, 2), (two, 3)):
+            start[mark[hit] + 1] = False
+            start[mark[hit] + size] = True
+    return np.flatnonzero(start[:n])
+
+
 @dataclass
 class Part:
     """An encoded stretch of a text; ``heads`` marks ids that begin a pre-token."""
@@ -54,9 +113,9 @@ class Part:
 
 
 class TextEncoder:
-    """Encodes and decodes with one tokeniser file; keeps the ids of ``2 * store`` pre-tokens or so."""
+    """Encodes and decodes with one tokeniser file; keeps the ids of ``store`` pre-tokens or so."""
 
-    def __init__(self, path: str, store: int = 400_000):
+    def __init__(self, path: str, store: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -69,7 +128,7 @@ class TextEncoder:
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                      and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                      and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in added)
-                     and all(len(t["content"].encode()) < MARGIN // 2 for t in added))
+                     and all(2 <= len(t["content"].encode()) < MARGIN // 2 for t in added))
         chars = _byte_of_char()
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.bytes_of: list[bytes] = [b""] * (max(vocab.values()) + 1)
@@ -77,55 +136,92 @@ class TextEncoder:
             known = all(c in chars for c in token)
             self.bytes_of[i] = bytes(chars[c] for c in token) if known else token.encode()
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.added = [t["content"] for t in added]
-        self.store, self._new, self._old = store, {}, {}
-        # Fixed value: the byte-level pre-tokeniser's pattern.
-        self._pattern = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        # Blocks whose letters, numbers and spaces are the same in every Unicode version.
-        self._other = regex.compile("[^\x00-\u024F\u0400-\u045F\u2010-\u2027\u2030-\u203A\u3041-\u3093\u4E00-\u9FA5]")
+        self.added_heads = {tuple(t["content"].encode()[:2]) for t in added}
+        self.store = store
+        self._forget()
 
     def direct(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of whole texts as little-endian uint32, by the library alone."""
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def encode_many(self, texts: Sequence[str]) -> list[bytes]:
-        """As ``direct``, each distinct pre-token encoded by the library once while it is stored."""
+    def encode_many(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids (uint32) of each whole text; equal to ``direct``."""
+        raw = [t.encode() for t in texts]
+        offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw], dtype=np.int64)))
+        return self.encode_slice(np.frombuffer(b"".join(raw), np.uint8), offsets)
+
+    def encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """As ``encode_many`` for UTF-8 texts that lie one after the other."""
+        rows = len(offsets) - 1
         if not self.cuts:
-            return self.direct(texts)
-        if len(self._new) > self.store:
-            self._old, self._new = self._new, {}
-        out: list = [None] * len(texts)
-        new, old, missing, split, whole = self._new, self._old, {}, {}, []
-        for k, text in enumerate(texts):
-            if not text:
-                out[k] = b""
-            elif (not text.isascii() and self._other.search(text)) or any(a in text for a in self.added):
-                whole.append(k)
-            else:
-                tokens = self._pattern.findall(text)
-                found = list(map(new.get, tokens))
-                if None in found:
-                    for i, f in enumerate(found):
-                        if f is None:
-                            t = tokens[i]
-                            if (f := old.get(t)) is None:
-                                missing[t] = None
-                            else:
-                                found[i] = new[t] = f
-                    split[k] = (tokens, found)
-                else:
-                    out[k] = b"".join(found)
-        if missing:
-            new.update(zip(missing, self.direct(list(missing)), strict=True))
-        for k, (tokens, found) in split.items():
-            out[k] = b"".join([new[t] if f is None else f for t, f in zip(tokens, found, strict=True)])
-        if whole:
-            for k, ids in zip(whole, self.direct([texts[k] for k in whole]), strict=True):
-                out[k] = ids
+            plain = np.ones(rows, bool)
+        else:
+            # Other scripts, separators 0x1C to 0x1F and added tokens go to the library as whole texts.
+            odd = _ODD_BYTE[data]
+            for first, second in self.added_heads:
+                odd[:-1] |= (data[:-1] == first) & (data[1:] == second)
+            total = np.concatenate(([0], np.cumsum(odd)))
+            plain = total[offsets[1:]] > total[offsets[:-1]]
+        out: list = [None] * rows
+        whole = np.flatnonzero(plain)
+        if len(whole):
+            texts = [data[offsets[k]: offsets[k + 1]].tobytes().decode() for k in whole]
+            for k, ids in zip(whole, self.direct(texts), strict=True):
+                out[k] = np.frombuffer(ids, "<u4")
+        if len(whole) == rows:
+            return out
+        if len(whole):
+            keep = np.repeat(~plain, np.diff(offsets))
+            data, offsets = data[keep], np.concatenate(([0], np.cumsum(np.diff(offsets)[~plain])))
+        starts = pre_tokens(data, offsets)
+        ends = np.append(starts[1:], len(data))[: len(starts)]
+        ids, counts = self._lookup(data, starts, ends)
+        edges = np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(starts, offsets)]
+        for k, i in enumerate(np.flatnonzero(~plain)):
+            out[i] = ids[edges[k]: edges[k + 1]]
         return out
 
+    def _lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens in a row, and how many each has.
+
+        A pre-token is known by a 64-bit hash, its length and three of its bytes.
+        """
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        a, b = starts[first], ends[first]
+        proof = ((b - a).astype(np.uint64) << np.uint64(24) | data[a].astype(np.uint64) << np.uint64(16)
+                 | data[b - 1].astype(np.uint64) << np.uint64(8) | data[(a + b) // 2])
+        if len(self._keys) > self.store:
+            self._forget()
+        at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
+        known = (self._keys[at] == keys) & (self._proofs[at] == proof) if len(self._keys) else np.zeros(len(keys), bool)
+        begin, count = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        begin[known], count[known] = self._begin[at[known]], self._count[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            fresh = []
+            for k in range(0, len(new), 4096):
+                texts = [data[x:y].tobytes().decode() for x, y in zip(a[new[k: k + 4096]], b[new[k: k + 4096]], strict=True)]
+                fresh += [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            count[new] = [len(f) for f in fresh]
+            begin[new] = len(self._ids) + np.concatenate(([0], np.cumsum(count[new])))[:-1]
+            self._ids = np.concatenate((self._ids, np.fromiter(chain.from_iterable(fresh), np.uint32)))
+            # A hash met before with another proof keeps its first owner in the store.
+            insert = new[self._keys[at[new]] != keys[new]] if len(self._keys) else new
+            where = np.searchsorted(self._keys, keys[insert])
+            self._keys, self._proofs = np.insert(self._keys, where, keys[insert]), np.insert(self._proofs, where, proof[insert])
+            self._begin, self._count = np.insert(self._begin, where, begin[insert]), np.insert(self._count, where, count[insert])
+        counts = count[inverse]
+        before = np.cumsum(counts) - counts
+        index = np.repeat(begin[inverse] - before, counts) + np.arange(int(counts.sum()))
+        return self._ids[index], counts
+
+    def _forget(self) -> None:
+        self._keys, self._proofs = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self._begin, self._count, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def decode(self, ids: np.ndarray) -> str:
         """As the library's ``decode(ids, skip_special_tokens=False)``."""
         table = self.bytes_of
@@ -225,22 +321,15 @@ def encoder(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
-def groups(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts): some whole texts at a time, about ``limit`` characters; null is empty."""
-    first, size, group = 0, 0, []
-    for i, t in enumerate(texts):
-        group.append(t or "")
-        size += len(group[-1])
-        if size >= limit:
-            yield first, group
-            first, size, group = i + 1, 0, []
-    if group:
-        yield first, group
+def encoded_rows(e: TextEncoder, column: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each whole text of an Arrow column in turn (null: none)."""
+    for _, _, data, offsets in text_slices(column, 2 << 20):
+        yield from e.encode_slice(data, offsets)
 
 
-def _digests(e: TextEncoder, ids: bytes) -> tuple[int, str, str]:
-    row = np.frombuffer(ids, "<u4")
-    return len(row), hashlib.sha256(ids).hexdigest(), hashlib.sha256(e.decode(row).encode()).hexdigest()
+def _digests(e: TextEncoder, ids: np.ndarray) -> tuple[int, str, str]:
+    return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
+            hashlib.sha256(e.decode(ids).encode()).hexdigest())
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -256,7 +345,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     cannot clash.
     """
     return _encoded(docs, path, doc_id, text, long_chars, leaf_chars, "ids array<int>",
-                    lambda e, ids: (np.frombuffer(ids, "<u4").astype(np.int32).tolist(),))
+                    lambda e, ids: (ids.astype(np.int32).tolist(),))
 
 
 def encode_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -283,10 +372,8 @@ def _encoded(docs, path, doc_id, text, long_chars, leaf_chars, fields, result) -
     def short(batches):
         e = encoder(path)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            found = []
-            for _, group in groups(texts):
-                found += [result(e, x) for x in e.encode_many(group)]
+            ids = batch.column(0)
+            found = [result(e, x) for x in encoded_rows(e, batch.column(1))]
             if found:
                 columns = [pa.array(c, arrow.field(k + 1).type) for k, c in enumerate(zip(*found, strict=True))]
                 yield pa.RecordBatch.from_arrays([ids.cast(arrow.field(0).type), *columns], names=names)
@@ -309,7 +396,7 @@ def _encoded(docs, path, doc_id, text, long_chars, leaf_chars, fields, result) -
         for data, ids, heads in zip(*(group.sort_values("_leaf")[c] for c in ("_data", "_ids", "_heads")), strict=True):
             ids = np.frombuffer(ids, "<u4")
             parts.append(Part(data, ids, np.unpackbits(np.frombuffer(heads, np.uint8), count=len(ids)).astype(bool)))
-        found = result(e, e.concat_tree(parts).ids.astype("<u4").tobytes())
+        found = result(e, e.concat_tree(parts).ids)
         first = group["_id"].iloc[0]
         row = pd.DataFrame([(None if pd.isna(first) else first, *found)], columns=names).astype({"_id": object})
         return pd.concat([row] * int(group["_copies"].iloc[0]), ignore_index=True)

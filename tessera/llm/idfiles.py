@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.bpe import encoder, groups
+from tessera.llm.bpe import encoded_rows, encoder
 from tessera.llm.common import mix, shared_path, written
 
 #: Ids of one shard after which a task begins the next.
@@ -191,7 +191,8 @@ def write_id_files(docs: DataFrame, path: str, end_id: int, folder: str | None =
     def write(batches):
         e = encoder(path)
         width = 2 if max(len(e.lengths) - 1, end_id) < 1 << 16 else 4
-        kind, end = ("<u2" if width == 2 else "<u4"), np.array([end_id], "<u4").tobytes()
+        kind = "<u2" if width == 2 else "<u4"
+        end = np.array([end_id], kind).tobytes()
         task = TaskContext.get()
         part, tag = task.partitionId(), f"{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         store, root = fs.FileSystem.from_uri(uri)
@@ -216,19 +217,15 @@ def write_id_files(docs: DataFrame, path: str, end_id: int, folder: str | None =
 
         size = 0
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, group in groups(texts):
-                for k, found in enumerate(e.encode_many(group)):
-                    found += end
-                    key = keys[first + k]
-                    ids.append(key or 0)
-                    null.append(key is None)
-                    counts.append(len(found) // 4)
-                    payload.append(np.frombuffer(found, "<u4").astype(kind).tobytes())
-                    size += counts[-1]
-                    if size >= shard_ids:
-                        yield flush()
-                        size = 0
+            for key, found in zip(batch.column(0).to_pylist(), encoded_rows(e, batch.column(1)), strict=True):
+                ids.append(key or 0)
+                null.append(key is None)
+                counts.append(len(found) + 1)
+                payload.append(found.astype(kind).tobytes() + end)
+                size += counts[-1]
+                if size >= shard_ids:
+                    yield flush()
+                    size = 0
         if ids:
             yield flush()
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.bpe import encoder, groups
+from tessera.llm.bpe import encoded_rows, encoder
 from tessera.llm.common import written
 
 #: Sequences that one numbering task sorts, about.
@@ -62,7 +62,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     def count(batches):
         e = encoder(path)
         for batch in batches:
-            n = [len(x) // 4 for _, g in groups(batch.column(1).to_pylist()) for x in e.encode_many(g)]
+            n = [len(x) for x in encoded_rows(e, batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=[doc_id, "n_tokens"])
 
     return docs.select(doc_id, F.col(text).cast("string").alias("_t")).mapInArrow(count, f"{doc_id} {kind}, n_tokens long")

@@ -255,7 +255,8 @@ def read_id_files(manifest: DataFrame) -> DataFrame:
                      pa.array(n, pa.int64()), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.select("path", "width", "n_docs", "seed", "base").repartition("path")
+    # A task per shard: their rows are tiny, so the planner would put all of them into one task.
+    spread = manifest.select("path", "width", "n_docs", "seed", "base").repartition(max(1, manifest.count()))
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, idfiles, langid, packing, quality_gam, toxicity
+from tessera.llm import bpe, idfiles, langid, packing, quality_gam, simhash, substrings, toxicity
 from tessera.llm.common import documents
 from tessera.tables import load
 
@@ -55,6 +55,16 @@ def op6(spark, sf_dir):
     return idfiles.round_trip(spark, documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(), end_id=2)
 
 
+@_query("op8_sentence_spans")
+def op8(spark, sf_dir):
+    return substrings.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@_query("op9_simhash_pivots")
+def op9(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @_query("op10_quality_gam")
 def op10(spark, sf_dir):
     return quality_gam.classify(documents(spark, sf_dir, "doc_id", "text"), load(spark, sf_dir, "labels"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, idfiles, langid, packing, quality_gam, simhash, substrings, toxicity
+from tessera.llm import bpe, idfiles, langid, packing, pivot_search, quality_gam, robust, simhash, substrings, toxicity
 from tessera.llm.common import documents
 from tessera.tables import load
 
@@ -45,6 +45,21 @@ def op3(spark, sf_dir):
     return packing.length_buckets(packing.token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path()))
 
 
+OP4_SQL = """
+WITH usable AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@_query("op4_pivot_search", OP4_SQL)
+def op4(spark, sf_dir):
+    return pivot_search.top_k(load(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @_query("op5_toxicity")
 def op5(spark, sf_dir):
     return toxicity.classify(documents(spark, sf_dir, "doc_id", "text"), load(spark, sf_dir, "labels"))
@@ -55,6 +70,11 @@ def op6(spark, sf_dir):
     return idfiles.round_trip(spark, documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(), end_id=2)
 
 
+@_query("op7_robust_rules", robust.oracle_sql())
+def op7(spark, sf_dir):
+    return robust.verdicts(documents(spark, sf_dir, "doc_id", "text", "lang", "source")).drop("distance2")
+
+
 @_query("op8_sentence_spans")
 def op8(spark, sf_dir):
     return substrings.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))

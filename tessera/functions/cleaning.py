@@ -15,8 +15,8 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def clean_text(c: ColumnOrName) -> Column:
-    """Collapse every whitespace run to one space and trim."""
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    """Collapse every whitespace run to one space and trim; blank text is NULL."""
+    return F.nullif(F.trim(F.regexp_replace(_col(c), r"\s+", " ")), F.lit(""))
 
 
 def blank_to_null(c: ColumnOrName) -> Column:
@@ -50,12 +50,17 @@ def sign_label(c: ColumnOrName, positive: str = "Over-predicted",
 
 
 def snake_name(name: str) -> str:
-    """Lower case, non-word runs to '_', trimmed (P17 / register_inferred)."""
+    """Lower case with words (camel case too) joined by '_' (P17)."""
     s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip())
     s = re.sub(r"\W+", "_", s.lower())
     return re.sub(r"_+", "_", s).strip("_")
 
 
+def table_name(file_name: str) -> str:
+    """Table name of a file: what comes before its first dot, non-word runs as '_' (S09)."""
+    return "_".join(w for w in re.split(r"[\W_]+", file_name.lower().partition(".")[0]) if w)
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """Rename every column to snake_case."""
     return df.toDF(*[snake_name(c) for c in df.columns])

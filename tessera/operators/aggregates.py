@@ -1,9 +1,8 @@
 """Aggregations and profiles.
 
 Everything is a single (partial, map-side combined) aggregation or a
-pivot/unpivot around one; nothing gathers raw rows of a group in one place
-except the exact quantiles, whose state is bounded by the number of distinct
-values in the group.
+pivot/unpivot around one; exact quantiles look up ranks in running totals.
+Nothing gathers the rows of a group in one place.
 """
 
 from __future__ import annotations
@@ -13,17 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.windows import exact_quantiles, join_null_safe
+
 
 def group_summary(df: DataFrame, by: Sequence[str], value: str,
                   extra: Sequence[Column] = ()) -> DataFrame:
     """n, mean, exact (interpolated) median, min, max, sample sd per group.
 
-    ``extra`` aggregates are computed in the same pass.
+    ``extra`` aggregates are computed in one pass, the median by rank lookup.
     """
     v = F.col(value)
-    return df.groupBy(*by).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"),
+    rest = df.groupBy(*by).agg(
+        F.count(v).alias("n"), F.avg(v).alias("mean"),
         F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_samp(v).alias("sd"), *extra)
+    return join_null_safe(rest, exact_quantiles(df.select(*by, value), value, {"median": 0.5}, by), list(by))
 
 
 def group_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -66,21 +68,23 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def contingency(df: DataFrame, row: str, col: str) -> DataFrame:
     """Counts for every level pair, zero cells included.
 
-    ``pivot`` materialises every column level (their number is bounded by the
-    category's domain), then the table is unpivoted back to long form.
+    One partial aggregation gives the filled cells; the grid is the list of
+    row levels, each exploded over the array of column levels (the levels of
+    a category, not rows of data).  NULL is a level and keeps its type.
     """
-    levels = [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
-    wide = df.groupBy(row).pivot(col, levels).count().fillna(0)
-    names = [c for c in wide.columns if c != row]
-    long = wide.unpivot([row], [f"`{c}`" for c in names], col, "n")
-    return long.withColumn("n", F.col("n").cast("long"))
+    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    levels = cells.select(F.array_sort(F.collect_set(F.struct(F.col(col).alias("v"))))).scalar()
+    grid = (cells.select(row).distinct().withColumn("_level", F.explode(levels))
+            .select(row, F.col("_level.v").alias(col)))
+    out = join_null_safe(grid, cells, [row, col], "left")
+    return out.select(row, col, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def proportions(df: DataFrame, group: str, category: str) -> DataFrame:
     """Count of each category within a group and its share of the group."""
     counts = df.groupBy(group, category).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(group).agg(F.sum("n").alias("_total"))
-    return (counts.join(totals, group)
+    return (join_null_safe(counts, totals, [group])
             .withColumn("share", F.col("n") / F.col("_total")).drop("_total"))
 
 
@@ -100,19 +104,16 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier counts per group."""
     v = F.col(value)
-    # one exact-percentile state per group for all three quartiles
-    q = (df.groupBy(group).agg(F.percentile(v, [0.25, 0.5, 0.75]).alias("_q"))
-         .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")))
+    q = exact_quantiles(df.select(group, value), value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(group, value).join(q, group)
+    j = join_null_safe(df.select(group, value), q, [group])
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     w = j.groupBy(group).agg(
         F.min(F.when(v >= lo_fence, v)).alias("lower_whisker"),
         F.max(F.when(v <= hi_fence, v)).alias("upper_whisker"),
         F.count_if((v < lo_fence) | (v > hi_fence)).alias("outliers"))
-    return q.join(w, group)
+    return join_null_safe(q, w, [group])
 
 
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

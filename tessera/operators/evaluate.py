@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.windows import global_row_number, running_total
+from tessera.operators.windows import (exact_quantiles, global_row_number, join_null_safe, running_total,
+                                       running_totals)
+from tessera.session import materialise
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -64,8 +66,8 @@ def auc(scored: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -> Da
 def roc_points(scored: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """TPR/FPR when flagging ``score >= s`` for every distinct score."""
     sc = score_counts(scored, truth, score, by)
-    sc = running_total(sc, [F.col(score).desc()], "pos", "tp", total_name="_p", keys=list(by))
-    sc = running_total(sc, [F.col(score).desc()], "neg", "fp", total_name="_n", keys=list(by))
+    sc = running_totals(sc, [F.col(score).desc()], {"tp": "pos", "fp": "neg"}, totals={"tp": "_p", "fp": "_n"},
+                        keys=list(by))
     return sc.select(*by, F.col(score).alias("threshold"), _div(F.col("tp"), F.col("_p")).alias("tpr"),
                      _div(F.col("fp"), F.col("_n")).alias("fpr"))
 
@@ -133,13 +135,24 @@ def adjusted_rand_index(df: DataFrame, a: str, b: str) -> DataFrame:
         ((idx - expected) / ((sa + sb) / 2 - expected)).alias("ari"))
 
 
+def confusion_cells(pairs: DataFrame, truth: str, pred: str, *extra: Column) -> DataFrame:
+    """Rows per (truth, prediction), and further aggregates: the only pass over scored rows."""
+    return pairs.groupBy(truth, pred).agg(F.count(F.lit(1)).alias("n"), *extra)
+
+
 def class_metrics(pairs: DataFrame, truth: str, pred: str) -> DataFrame:
-    """Per-class one-vs-rest precision, recall, F1."""
-    t = pairs.groupBy(F.col(truth).alias("label")).agg(F.count(F.lit(1)).alias("support"))
-    p = pairs.groupBy(F.col(pred).alias("label")).agg(F.count(F.lit(1)).alias("predicted"))
-    tp = (pairs.where(F.col(truth) == F.col(pred)).groupBy(F.col(truth).alias("label"))
-          .agg(F.count(F.lit(1)).alias("tp")))
-    m = t.join(p, "label", "full").join(tp, "label", "left").fillna(0, ["support", "predicted", "tp"])
+    """Per-class one-vs-rest precision, recall, F1 (M22), from one confusion count."""
+    return _class_table(confusion_cells(pairs, truth, pred), truth, pred)
+
+
+def _class_table(cells: DataFrame, truth: str, pred: str) -> DataFrame:
+    none, n = F.lit(0).cast("long"), F.col("n")
+    sides = F.array(
+        F.struct(F.col(truth).alias("label"), n.alias("support"), none.alias("predicted"),
+                 F.when(F.col(truth) == F.col(pred), n).otherwise(none).alias("tp")),
+        F.struct(F.col(pred).alias("label"), none.alias("support"), n.alias("predicted"), none.alias("tp")))
+    m = (cells.select(F.explode(sides).alias("s")).groupBy("s.label")
+         .agg(*[F.sum(f"s.{c}").alias(c) for c in ("support", "predicted", "tp")]))
     precision = _div(F.col("tp"), F.col("predicted"))
     recall = _div(F.col("tp"), F.col("support"))
     return m.select("label", "support", "predicted", "tp", precision.alias("precision"),
@@ -147,13 +160,20 @@ def class_metrics(pairs: DataFrame, truth: str, pred: str) -> DataFrame:
                     _div(2 * precision * recall, precision + recall).alias("f1"))
 
 
-def macro_metrics(pairs: DataFrame, truth: str, pred: str) -> DataFrame:
-    """Accuracy and NULL-skipping macro averages over classes."""
-    cm = class_metrics(pairs, truth, pred)
-    acc = pairs.select(F.avg((F.col(truth) == F.col(pred)).cast("double"))).scalar()
-    return cm.agg(acc.alias("accuracy"), F.avg("precision").alias("macro_precision"),
-                  F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"),
-                  F.count(F.lit(1)).alias("classes"))
+def macro_metrics(pairs: DataFrame, truth: str, pred: str, mean_of: str | None = None) -> DataFrame:
+    """Accuracy and NULL-skipping macro averages over classes.
+
+    The scored rows are read once; ``mean_of`` adds the mean of one of their columns.
+    """
+    extra = [F.sum(mean_of).alias("_sum")] if mean_of else []
+    cells = materialise(confusion_cells(pairs, truth, pred, *extra), "confusion")
+    out = _class_table(cells, truth, pred).agg(
+        (F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg("precision").alias("macro_precision"),
+        F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"),
+        F.count(F.lit(1)).alias("classes"))
+    if mean_of:
+        out = out.withColumn(f"mean_{mean_of}", cells.select(F.sum("_sum") / F.sum("n")).scalar())
+    return out
 
 
 def confused_pairs(pairs: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -169,9 +189,10 @@ def regression_metrics(df: DataFrame, truth: str, pred: str, by: Sequence[str] =
             F.sqrt(F.avg(e * e)).alias("rmse"),
             F.avg(F.abs(_div(e, F.col(truth)))).alias("mape"),
             (F.corr(truth, pred) ** 2).alias("rsq"), F.avg(e).alias("bias"),
-            F.sqrt(F.avg((F.log(1 + F.col(pred)) - F.log(1 + F.col(truth))) ** 2)).alias("rmsle"),
-            F.median(F.abs(e)).alias("median_ae")]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+            F.sqrt(F.avg((F.log(1 + F.col(pred)) - F.log(1 + F.col(truth))) ** 2)).alias("rmsle")]
+    rest = df.groupBy(*by).agg(*aggs)
+    middle = exact_quantiles(df.select(*by, F.abs(e).alias("_ae")), "_ae", {"median_ae": 0.5}, by)
+    return join_null_safe(rest, middle, list(by))
 
 
 def improvement(new: Column, old: Column) -> Column:
@@ -196,7 +217,8 @@ def stratified_split(df: DataFrame, strata: str, key: str, train_share: float =
 
 def chronological_split(df: DataFrame, ts: str, train_share: float = 0.8) -> DataFrame:
     """Earliest ``train_share`` of rows by time go to training."""
-    cut = df.select(F.percentile(F.unix_micros(F.col(ts).cast("timestamp")), train_share)).scalar()
+    micros = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    cut = exact_quantiles(micros, "_t", {"cut": train_share}).scalar()
     return df.withColumn("split", F.when(F.unix_micros(F.col(ts).cast("timestamp")) <= cut, "train")
                          .otherwise("test"))
 

@@ -1,8 +1,7 @@
 """Join operators.
 
-Broadcasts are only requested for inputs whose row count was checked against
-an explicit bound; beyond the bound the join is left to the planner
-(sort-merge, with AQE skew splitting and runtime broadcast conversion).
+The choice of a broadcast is left to the planner and to AQE, which know sizes
+in bytes; only dimensions that are small by definition are broadcast directly.
 """
 
 from __future__ import annotations
@@ -15,27 +14,12 @@ from pyspark.sql.window import Window
 
 from tessera.functions.dates import UNKNOWN_MEMBER_KEY
 
-# Row bound under which a lookup side is broadcast explicitly.
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def broadcast_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` before
-    ``count``), so its cost is bounded regardless of the input size.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def left_chain(base: DataFrame, lookups: Sequence[tuple[DataFrame, Column | str | list]],
-               broadcast_max_rows: int | None = None) -> DataFrame:
+def left_chain(base: DataFrame, lookups: Sequence[tuple[DataFrame, Column | str | list]]) -> DataFrame:
     """Left equi-join chain that preserves every base row."""
     out = base
     for lookup, on in lookups:
-        side = broadcast_bounded(lookup, broadcast_max_rows) if broadcast_max_rows else lookup
-        out = out.join(side, on, "left")
+        out = out.join(lookup, on, "left")
     return out
 
 

@@ -63,17 +63,6 @@ def timeline_merge(a: DataFrame, b: DataFrame, key: str,
     return out.withColumn("is_current", F.col("valid_to") == open_end())
 
 
-def timeline_merge_join(a: DataFrame, b: DataFrame, key: str,
-                        a_from: str, a_to: str, b_from: str, b_to: str) -> DataFrame:
-    """The direct half-open overlap-join form of :func:`timeline_merge`."""
-    bb = b.withColumnRenamed(key, "_bk")
-    j = a.join(bb, (a[key] == bb["_bk"]) & (a[a_from] < bb[b_to]) & (bb[b_from] < a[a_to]))
-    return (j.drop("_bk")
-            .withColumn("valid_from", F.greatest(a_from, b_from))
-            .withColumn("valid_to", F.least(a_to, b_to))
-            .withColumn("is_current", F.col("valid_to") == open_end()))
-
-
 # ------------------------------------------------------------------ SCD apply
 
 def scd2_init(snapshot: DataFrame, key: str, attrs: Sequence[str], as_of) -> DataFrame:
@@ -107,20 +96,18 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, attrs: Sequenc
     j = c.join(s, F.col(f"c.{key}") == F.col(f"s.{key}"), "full_outer")
     in_c = F.col(f"c.{key}").isNotNull()
     in_s = F.col(f"s.{key}").isNotNull()
-    same = in_c & in_s & (F.col("c.row_hash") == F.col("s.row_hash"))
-    changed = in_c & in_s & (F.col("c.row_hash") != F.col("s.row_hash"))
-
-    keep_cur = j.where(same | (in_c & ~in_s & F.lit(not close_missing))).select(
-        *[F.col(f"c.{x}").alias(x) for x in cols])
-    close_cur = j.where(changed | (in_c & ~in_s & F.lit(close_missing))).select(
-        *[F.col(f"c.{x}").alias(x) for x in cols if x not in ("valid_to", "is_current")],
-        as_of_col.alias("valid_to"), F.lit(False).alias("is_current"))
-    open_new = j.where(changed | (in_s & ~in_c)).select(
-        F.col(f"s.{key}").alias(key), *[F.col(f"s.{a}").alias(a) for a in attrs],
-        F.col("s.row_hash").alias("row_hash"), as_of_col.alias("valid_from"),
-        open_end().alias("valid_to"), F.lit(True).alias("is_current"))
-    open_new = open_new.withColumn("version_key", surrogate_key(key, "valid_from"))
-    return closed.unionByName(keep_cur).unionByName(close_cur.select(*cols)).unionByName(open_new)
+    stays = F.when(in_s, F.col("c.row_hash") == F.col("s.row_hash")).otherwise(F.lit(not close_missing))
+    # Each key gives at most two rows: its present version, kept or closed, and a newly opened one.
+    present = F.struct(*[F.col(f"c.{x}").alias(x) for x in [key, *attrs, "row_hash", "valid_from"]],
+                       F.when(stays, F.col("c.valid_to")).otherwise(as_of_col).alias("valid_to"),
+                       stays.alias("is_current"))
+    opened = F.struct(*[F.col(f"s.{x}").alias(x) for x in [key, *attrs, "row_hash"]],
+                      as_of_col.alias("valid_from"), open_end().alias("valid_to"), F.lit(True).alias("is_current"))
+    versions = F.array_compact(F.array(F.when(in_c, present), F.when(in_s & ~(in_c & stays), opened)))
+    # A version's key follows from its business key and start, so it need not be carried along.
+    now = (j.select(F.explode(versions).alias("v")).select("v.*")
+           .withColumn("version_key", surrogate_key(key, "valid_from")))
+    return closed.unionByName(now.select(*cols))
 
 
 def scd1_apply(dim: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
@@ -151,5 +138,5 @@ def current_row_violations(history: DataFrame, key: str) -> DataFrame:
             .where(F.col("current_rows") != 1))
 
 
-__all__ = ["OPEN_END", "timeline_merge", "timeline_merge_join", "scd2_init", "scd2_apply",
+__all__ = ["OPEN_END", "timeline_merge", "scd2_init", "scd2_apply",
            "scd1_apply", "overlap_violations", "current_row_violations"]

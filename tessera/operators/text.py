@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.text import tokens
-from tessera.operators.joins import broadcast_bounded
 from tessera.operators.windows import global_row_number
 
 # Padding id, out-of-vocabulary id.
@@ -62,7 +61,7 @@ def encode_pad(df: DataFrame, text: str, keys: Sequence[str], vocab: DataFrame,
     """Token ids (OOV for unknown), pre-padded with zeros and truncated from the
     front to ``max_len`` (X22)."""
     rows = token_rows(df, text, keys)
-    v = broadcast_bounded(vocab.select("token", "token_id"))
+    v = vocab.select("token", "token_id")
     ids = (rows.join(v, "token", "left")
            .withColumn("token_id", F.coalesce("token_id", F.lit(OOV_ID).cast("long"))))
     seqs = ids.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
@@ -126,31 +125,29 @@ def stories(df: DataFrame, story_key: str, order: str, text: str, is_question: C
     """Question rows with the story told before them.
 
     The story is the ordered text of the earlier rows of the same story,
-    joined by spaces (an exclusive frame per story; a story is one
-    conversation or document, bounded by its own length).
+    joined by spaces.  Each story's rows are gathered once, as one sorted
+    array per story (bounded by the conversation or document itself); each
+    question then takes the part of it that lies before it.
     """
-    w = (Window.partitionBy(story_key).orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    ctx = df.withColumn("_prev", F.collect_list(text).over(w))
-    return (ctx.where(is_question)
-            .select(story_key, order, F.col(text).alias("question"),
-                    F.array_join("_prev", " ").alias("story"), F.size("_prev").alias("statements")))
-
-
-def hashed_text_classifier(train: DataFrame, text: str, label: str, num_features: int = 1 << 12,
-                           seed: int = 123):
-    """Fixed-vocabulary answer classifier (X25): hashed unigram + bigram
-    counts and multinomial logistic regression (the simpler alternative the
-    brief offers to a recurrent network)."""
+    rows = df.groupBy(story_key).agg(F.array_sort(F.collect_list(
+        F.struct(F.col(order).alias("o"), F.col(text).alias("t"), is_question.alias("q")))).alias("_s"))
+    asked = rows.select(story_key, "_s", F.posexplode("_s").alias("_i", "_r")).where("_r.q")
+    before = F.transform(F.slice("_s", F.lit(1), F.col("_i")), lambda r: r["t"])
+    return asked.select(story_key, F.col("_r.o").alias(order), F.col("_r.t").alias("question"),
+                        F.array_join(before, " ").alias("story"), F.col("_i").alias("statements"))
+
+
+def vocabulary_text_classifier(train: DataFrame, text: str, label: str, vocabulary_size: int = 2**31 - 1):
+    """Fixed-vocabulary answer classifier (X25): token counts over the training
+    split's vocabulary (every token has a place of its own) and multinomial
+    logistic regression, the simpler alternative the brief offers to a
+    recurrent network."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF, NGram, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import CountVectorizer, StringIndexer
     prepared = train.withColumn("_tokens", tokens(text))
     stages = [StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
-              NGram(n=2, inputCol="_tokens", outputCol="_bigrams"),
-              HashingTF(inputCol="_tokens", outputCol="_uni", numFeatures=num_features),
-              HashingTF(inputCol="_bigrams", outputCol="_bi", numFeatures=num_features),
-              VectorAssembler(inputCols=["_uni", "_bi"], outputCol="_features"),
+              CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocabulary_size),
               LogisticRegression(featuresCol="_features", labelCol="_label", family="multinomial",
                                  regParam=0.01, maxIter=50)]
     return Pipeline(stages=stages).fit(prepared)

@@ -1,10 +1,10 @@
 """Window operators (W01-W12) and distributed running totals.
 
 Global orderings (running totals, sequential ids, ntile) never use a window
-without ``partitionBy``: the data is range-partitioned on the sort key, each
-range computes its local running value, and a per-range offset (one row per
-range, broadcast) is added.  A hot key is split by the range partitioner as
-long as the order includes a unique tie-breaker.
+without ``partitionBy``: the data is range-partitioned on the sort key and
+written once with its range number, each range computes its local running
+value, and a per-range offset is added.  A hot key is split by the range
+partitioner as long as the order includes a unique tie-breaker.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.dates import open_end
+from tessera.session import materialise
 
 _PID = "_range_id"
 
@@ -50,14 +51,23 @@ def validity_from_starts(df: DataFrame, keys: Sequence[str], start: str,
     return df.withColumn(end_name, F.coalesce(F.lead(start).over(w), open_end()))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(other[f"_right_{k}"])
+    return left.join(other, cond, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_rows") -> DataFrame:
     """``count(*) over (partition by keys)`` (W03) via aggregate + join.
 
     The aggregate is partial (map-side), so a hot key never gathers in one
-    task the way a window partition would.
+    task the way a window partition would.  NULL keys form a group.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, list(keys), "inner")
+    return join_null_safe(df, counts, keys)
 
 
 def exclusive_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -67,42 +77,48 @@ def exclusive_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     return df.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
-def running_total(df: DataFrame, order: Sequence[Column], value: Column | str,
-                  name: str, num_ranges: int | None = None,
-                  total_name: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """Inclusive running sum in ``order`` (per ``keys`` if given), range by range.
+def running_totals(df: DataFrame, order: Sequence[Column], values: dict[str, Column | str],
+                   num_ranges: int | None = None, totals: dict[str, str] | None = None,
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of several values in one ``order`` (per ``keys`` if given).
 
     ``order`` must be a total order within a key (end with a unique column).
-    The data is range-partitioned on ``keys + order``; each range computes its
-    local running sum, and the sum of earlier ranges of the same key is added
-    from a per-(range, key) table.  A key larger than one range is therefore
-    split over several tasks.  ``total_name`` attaches the per-key (or grand)
-    total from the same table.
+    The rows are range-partitioned on ``keys + order`` and written with their
+    range number, so that it names the same rows wherever it is read.  Each
+    range computes its local running sums, and the sums of earlier ranges of
+    the same key are added from a per-(range, key) table.  A key larger than
+    one range is therefore split over several tasks.  NULL keys form a group.
+    ``totals`` maps a value's name to a column for its per-key (or grand) total.
     """
-    keys = list(keys)
-    val = F.col(value) if isinstance(value, str) else value
-    ranged = (df.repartitionByRange(_num_ranges(df, num_ranges), *[F.col(k) for k in keys], *order)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn("_v", val))
+    keys, totals = list(keys), totals or {}
+    given = {f"_v_{n}": F.col(v) if isinstance(v, str) else v for n, v in values.items()}
+    ranged = materialise(
+        df.withColumns(given)
+        .repartitionByRange(_num_ranges(df, num_ranges), *[F.col(k) for k in keys], *order)
+        .withColumn(_PID, F.spark_partition_id()), "ranges")
     local_w = (Window.partitionBy(_PID, *keys).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_local", F.sum("_v").over(local_w))
-    sums = ranged.groupBy(_PID, *keys).agg(F.sum("_v").alias("_range_sum"))
+    local = ranged.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(local_w) for n in values})
+    sums = ranged.groupBy(_PID, *keys).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values])
     # One row per (range, key); per key at most one row per range.
     per_key = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    whole = per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sums.select(
         _PID, *keys,
-        F.coalesce(F.sum("_range_sum").over(
-            per_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_range_sum").over(
-            per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_grand"))
-    if not keys:
-        offsets = F.broadcast(offsets)  # one row per range
-    out = (local.join(offsets, [_PID, *keys], "inner")
-           .withColumn(name, F.col("_local") + F.col("_offset")))
-    if total_name:
-        out = out.withColumn(total_name, F.col("_grand"))
-    return out.drop(_PID, "_v", "_local", "_offset", "_grand")
+        *[F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in values],
+        *[F.sum(f"_s_{n}").over(whole).alias(f"_g_{n}") for n in totals])
+    out = join_null_safe(local, offsets, [_PID, *keys])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in values],
+                      *[F.col(f"_g_{n}").alias(t) for n, t in totals.items()])
+
+
+def running_total(df: DataFrame, order: Sequence[Column], value: Column | str,
+                  name: str, num_ranges: int | None = None,
+                  total_name: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """One running sum (see :func:`running_totals`)."""
+    return running_totals(df, order, {name: value}, num_ranges, {name: total_name} if total_name else None, keys)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_id",
@@ -113,6 +129,32 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_i
     return running_total(df, order, F.lit(1).cast("long"), name, num_ranges, total_name, keys)
 
 
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
+                    num_ranges: int | None = None) -> DataFrame:
+    """Exact interpolated quantiles (``percentile`` semantics) per ``by`` (or of all rows).
+
+    Rows are first counted per distinct value (a partial aggregation), the
+    counts get running totals over ranges, and each quantile is the value at
+    its rank.  No state grows with a group, as that of an exact percentile does.
+    NULL values are ignored; a group without any has NULL quantiles.
+    """
+    by = list(by)
+    counts = df.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.col(value)).alias("_c"))
+    r = running_totals(counts, [F.col("_value")], {"_cum": "_c"}, num_ranges, {"_cum": "_n"}, by)
+    aggs = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.min(F.when(F.col("_cum") > place, F.col("_value"))).cast("double").alias(f"_{side}_{name}"))
+    g = r.groupBy(*by, "_n").agg(*aggs)
+    out = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        share = at - F.floor(at)
+        out.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * share).alias(name))
+    return g.select(*by, *out)
+
+
 def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:
     """``ntile(buckets)`` computed from a 1-based rank and the row count.
 
@@ -128,7 +170,7 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:
 def share_of_group(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """``value / sum(value) over (partition by keys)`` (A07/W07) via aggregate + join."""
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_group_total"))
-    return (df.join(totals, list(keys), "inner")
+    return (join_null_safe(df, totals, keys)
             .withColumn(name, F.col(value) / F.col("_group_total"))
             .drop("_group_total"))
 
@@ -137,14 +179,14 @@ def pareto(df: DataFrame, entity: str, value: str, num_ranges: int | None = None
     """Concentration curve (W10): entities by value desc with cumulative share.
 
     Output: entity, value, rank, cumulative value, cumulative share, rank share.
+    Rank and cumulative value come from one pass over the ranges.
     """
     per_entity = df.groupBy(entity).agg(F.sum(value).alias(value))
     order = [F.col(value).desc(), F.col(entity).asc()]
-    ranked = global_row_number(per_entity, order, "rank", num_ranges, total_name="_n")
-    ranked = running_total(ranked, order, value, "cumulative_value", num_ranges,
-                           total_name="_total")
+    ranked = running_totals(per_entity, order, {"rank": F.lit(1).cast("long"), "cumulative_value": value},
+                            num_ranges, {"rank": "_n", "cumulative_value": "_total"})
     return (ranked
-            .withColumn("cumulative_share", F.col("cumulative_value") / F.col("_total"))
+            .withColumn("cumulative_share", F.col("cumulative_value").cast("double") / F.col("_total").cast("double"))
             .withColumn("entity_share", F.col("rank") / F.col("_n"))
             .drop("_total", "_n"))
 
@@ -168,6 +210,5 @@ def running_selection(df: DataFrame, order: Sequence[Column], cost: str,
     No backfill: after an unaffordable row the running sum stays high, so later
     rows are dropped too.  Runs on already aggregated decision rows.
     """
-    ranked = global_row_number(df, order, "rank")
-    ranked = running_total(ranked, order, cost, "cumulative_cost")
+    ranked = running_totals(df, order, {"rank": F.lit(1).cast("long"), "cumulative_cost": cost})
     return ranked.where((F.col("cumulative_cost") <= budget) & (F.col("rank") <= max_rank))

@@ -13,10 +13,10 @@ from tessera.operators import allocate as X
 from tessera.operators import evaluate as E
 from tessera.operators import quality as Q
 from tessera.operators import stats as S
-from tessera.operators.joins import broadcast_bounded
-from tessera.operators.windows import global_row_number, ntile_from_rank, running_total
+from tessera.operators.windows import global_row_number, join_null_safe, ntile_from_rank, running_total
 from tessera.plans.evaluation import _SCORED_SQL, _SEG_SQL, customer_segments, scored_documents
 from tessera.plans.registry import register
+from tessera.session import materialise
 from tessera.sources.readers import read_parquet_cast
 from tessera.tables import Tables, table_path
 
@@ -132,22 +132,26 @@ def q_demand_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("product_performance", "G03 A02", """
-WITH p AS (SELECT l_partkey, SUM(l_extendedprice * (1 - l_discount)) AS revenue, SUM(l_quantity) AS units
+WITH p AS (SELECT l_partkey, SUM(l_quantity) AS units,
+                  ROUND(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))), 2) AS revenue
            FROM lineitem GROUP BY 1)
-SELECT l_partkey, ROUND(revenue, 2) AS revenue, units,
-       CAST(ntile(4) OVER (ORDER BY round(revenue, 2), l_partkey) AS INTEGER) AS revenue_quartile,
+SELECT l_partkey, CAST(revenue AS DOUBLE) AS revenue, units,
+       CAST(ntile(4) OVER (ORDER BY revenue, l_partkey) AS INTEGER) AS revenue_quartile,
        CAST(ntile(4) OVER (ORDER BY units, l_partkey) AS INTEGER) AS units_quartile
 FROM p""")
 def q_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = Tables(spark, sf_dir).lineitem
-    p = li.groupBy("l_partkey").agg(
-        round_to(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
-        F.sum("l_quantity").alias("units"))
+    price, discount = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(4,2)")
+    p = materialise(li.groupBy("l_partkey").agg(
+        F.sum(price * (1 - discount)).cast("decimal(28,2)").alias("revenue"),
+        F.sum("l_quantity").alias("units")), "products")
+    out = p
     for name, order in [("revenue_quartile", [F.col("revenue"), F.col("l_partkey")]),
                         ("units_quartile", [F.col("units"), F.col("l_partkey")])]:
-        p = global_row_number(p, order, "_r", total_name="_n")
-        p = p.withColumn(name, ntile_from_rank(F.col("_r"), F.col("_n"), 4)).drop("_r", "_n")
-    return p
+        r = global_row_number(p, order, "_r", total_name="_n")
+        out = join_null_safe(out, r.select("l_partkey", ntile_from_rank(F.col("_r"), F.col("_n"), 4).alias(name)),
+                             ["l_partkey"])
+    return out.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 @register("market_comparison", "G05 A24", """
@@ -158,7 +162,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 GROUP BY 1""")
 def q_market_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cust = broadcast_bounded(t.customer.select("c_custkey", "c_nationkey"))
+    cust = t.customer.select("c_custkey", "c_nationkey")
     nation = F.broadcast(t.nation.select("n_nationkey", F.col("n_name").alias("nation")))
     j = (t.orders.select("o_custkey", "o_totalprice")
          .join(cust, F.col("o_custkey") == F.col("c_custkey"))
@@ -183,7 +187,7 @@ SELECT nation, lines, returned, ROUND(returned_value, 2) AS returned_value,
 FROM g""")
 def q_return_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cust = broadcast_bounded(t.customer.select("c_custkey", "c_nationkey"))
+    cust = t.customer.select("c_custkey", "c_nationkey")
     nation = F.broadcast(t.nation.select("n_nationkey", F.col("n_name").alias("nation")))
     j = (t.lineitem.select("l_orderkey", "l_returnflag", "l_extendedprice")
          .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -419,6 +423,6 @@ def q_category_standardization(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.functions.cleaning import clean_text
     p = Tables(spark, sf_dir).part
     v = F.lower(clean_text("p_type"))
-    cat = F.concat(F.upper(F.substring(v, 1, 1)), F.substring(v, 2, 1 << 20))
+    cat = F.concat(F.upper(F.substring(v, 1, 1)), F.substr(v, F.lit(2)))
     return p.groupBy(cat.alias("category")).agg(F.count(F.lit(1)).alias("parts"),
                                                 round_to(F.avg("p_retailprice"), 4).alias("avg_price"))

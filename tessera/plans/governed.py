@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 from tessera.functions.cleaning import round_to
 from tessera.functions.dates import date_key, whole_minutes
 from tessera.operators import quality as Q
-from tessera.operators.joins import broadcast_bounded, role_playing
+from tessera.operators.joins import role_playing
 from tessera.plans.registry import register
 from tessera.tables import Tables
 
-# Lookup sides smaller than this are broadcast after a bounded row check.
-LOOKUP_MAX_ROWS = 5_000_000
-
 
 def line_staging(t: Tables) -> DataFrame:
     """One row per line item with order date, priority and customer."""
@@ -58,53 +55,39 @@ def flagged_lines(t: Tables) -> DataFrame:
     return Q.dq_flags(line_staging(t), line_rules())
 
 
-_FLAGS_SQL = """
-WITH stg AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
-         l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate,
-         o.o_custkey, o.o_orderdate, o.o_orderpriority
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-), checks AS (
-  SELECT *,
-    CASE WHEN l_shipdate IS NOT NULL THEN TRUE ELSE FALSE END AS dq001_shipdate_not_null,
-    CASE WHEN o_orderdate IS NOT NULL THEN TRUE ELSE FALSE END AS dq002_orderdate_not_null,
-    CASE WHEN l_shipdate IS NOT NULL AND o_orderdate IS NOT NULL AND l_shipdate >= o_orderdate
-         THEN TRUE ELSE FALSE END AS dq003_ship_after_order,
-    CASE WHEN l_quantity >= 0 THEN TRUE ELSE FALSE END AS dq004_quantity_non_negative,
-    CASE WHEN l_discount BETWEEN 0 AND 0.10 THEN TRUE ELSE FALSE END AS dq005_discount_in_range,
-    CASE WHEN l_extendedprice >= 0 THEN TRUE ELSE FALSE END AS dq006_price_non_negative,
-    CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN TRUE ELSE FALSE END AS dq007_returnflag_valid,
-    CASE WHEN l_tax BETWEEN 0 AND 0.08 THEN TRUE ELSE FALSE END AS dq008_tax_in_range
-  FROM stg
-), results AS (
-  SELECT *,
-    CASE WHEN dq001_shipdate_not_null AND dq002_orderdate_not_null AND dq003_ship_after_order
-          AND dq004_quantity_non_negative AND dq005_discount_in_range AND dq006_price_non_negative
-          AND dq007_returnflag_valid AND dq008_tax_in_range THEN 'PASS' ELSE 'FAIL' END AS dq_status,
-    CAST((CASE WHEN NOT dq001_shipdate_not_null THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq002_orderdate_not_null THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq003_ship_after_order THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq004_quantity_non_negative THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq005_discount_in_range THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq006_price_non_negative THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq007_returnflag_valid THEN 1 ELSE 0 END)
-       + (CASE WHEN NOT dq008_tax_in_range THEN 1 ELSE 0 END) AS INTEGER) AS dq_failed_rule_count,
-    concat_ws(',',
-      CASE WHEN NOT dq001_shipdate_not_null THEN 'DQ001' END,
-      CASE WHEN NOT dq002_orderdate_not_null THEN 'DQ002' END,
-      CASE WHEN NOT dq003_ship_after_order THEN 'DQ003' END,
-      CASE WHEN NOT dq004_quantity_non_negative THEN 'DQ004' END,
-      CASE WHEN NOT dq005_discount_in_range THEN 'DQ005' END,
-      CASE WHEN NOT dq006_price_non_negative THEN 'DQ006' END,
-      CASE WHEN NOT dq007_returnflag_valid THEN 'DQ007' END,
-      CASE WHEN NOT dq008_tax_in_range THEN 'DQ008' END) AS dq_failed_rules
-  FROM checks
-)
+# The rules once more for the oracle, as data: predicates over the staged line, each put
+# beside every line as a row (line, rule, held) and then folded back per line.
+_SQL_RULES = [
+    ("DQ001", "shipdate_not_null", "completeness", "l_shipdate IS NOT NULL"),
+    ("DQ002", "orderdate_not_null", "completeness", "o_orderdate IS NOT NULL"),
+    ("DQ003", "ship_after_order", "consistency", "l_shipdate >= o_orderdate"),
+    ("DQ004", "quantity_non_negative", "reasonability", "l_quantity >= 0"),
+    ("DQ005", "discount_in_range", "reasonability", "l_discount BETWEEN 0 AND 0.10"),
+    ("DQ006", "price_non_negative", "reasonability", "l_extendedprice >= 0"),
+    ("DQ007", "returnflag_valid", "validity", "l_returnflag IN ('A', 'N', 'R')"),
+    ("DQ008", "tax_in_range", "validity", "l_tax BETWEEN 0 AND 0.08"),
+]
+_STG_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+             "l_shipdate", "o_custkey", "o_orderdate", "o_orderpriority"]
+_FLAGS = [f"{rid.lower()}_{name}" for rid, name, _, _ in _SQL_RULES]
+_FLAGS_SQL = f"""
+WITH line AS (
+  SELECT row_number() OVER () AS rid, {", ".join(_STG_COLS)}
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+), held AS (
+  SELECT rid, unnest([{", ".join(f"'{r}'" for r, *_ in _SQL_RULES)}]) AS rule,
+         unnest([{", ".join(f"coalesce({test}, FALSE)" for *_, test in _SQL_RULES)}]) AS ok
+  FROM line
+), folded AS (
+  SELECT rid, {", ".join(f"bool_and(ok) FILTER (WHERE rule = '{r}') AS {f}" for (r, *_), f in zip(_SQL_RULES, _FLAGS, strict=True))},
+         CASE WHEN bool_and(ok) THEN 'PASS' ELSE 'FAIL' END AS dq_status,
+         CAST(count(*) FILTER (WHERE NOT ok) AS INTEGER) AS dq_failed_rule_count,
+         coalesce(string_agg(rule, ',' ORDER BY rule) FILTER (WHERE NOT ok), '') AS dq_failed_rules
+  FROM held GROUP BY rid
+), results AS (SELECT * EXCLUDE (rid) FROM line JOIN folded USING (rid))
 """
-
-_FLAG_COLS = ("dq001_shipdate_not_null, dq002_orderdate_not_null, dq003_ship_after_order, "
-              "dq004_quantity_non_negative, dq005_discount_in_range, dq006_price_non_negative, "
-              "dq007_returnflag_valid, dq008_tax_in_range")
+_FLAG_COLS = ", ".join(_FLAGS)
 
 
 # ------------------------------------------------------------------ daily fact
@@ -112,10 +95,8 @@ _FLAG_COLS = ("dq001_shipdate_not_null, dq002_orderdate_not_null, dq003_ship_aft
 def daily_fact(t: Tables) -> DataFrame:
     """A03-A05 over valid lines, then the J07 role-playing nation view."""
     valid = Q.valid_rows(line_staging(t), line_rules())
-    cust = broadcast_bounded(t.customer.select(F.col("c_custkey"), F.col("c_nationkey")),
-                             LOOKUP_MAX_ROWS)
-    supp = broadcast_bounded(t.supplier.select(F.col("s_suppkey"), F.col("s_nationkey")),
-                             LOOKUP_MAX_ROWS)
+    cust = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"))
+    supp = t.supplier.select(F.col("s_suppkey"), F.col("s_nationkey"))
     lines = (valid.join(cust, valid.o_custkey == cust.c_custkey, "inner")
              .join(supp, valid.l_suppkey == supp.s_suppkey, "inner"))
     gross = F.col("l_extendedprice")
@@ -191,11 +172,6 @@ def q_daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------- rule flags / split
 
-_STG_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-             "l_shipdate", "o_custkey", "o_orderdate", "o_orderpriority"]
-
-
 @register("dq_flags", "Q01 Q02 Q03", _FLAGS_SQL + f"""
 SELECT {", ".join(_STG_COLS)}, {_FLAG_COLS}, dq_status, dq_failed_rule_count,
        dq_failed_rules
@@ -220,29 +196,18 @@ def q_dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.withColumn("dq_failed_rules", F.array_join("dq_failed_rules", ","))
 
 
-_SCORE_RULES = [("DQ001", "dq001_shipdate_not_null", "completeness"),
-                ("DQ002", "dq002_orderdate_not_null", "completeness"),
-                ("DQ003", "dq003_ship_after_order", "consistency"),
-                ("DQ004", "dq004_quantity_non_negative", "reasonability"),
-                ("DQ005", "dq005_discount_in_range", "reasonability"),
-                ("DQ006", "dq006_price_non_negative", "reasonability"),
-                ("DQ007", "dq007_returnflag_valid", "validity"),
-                ("DQ008", "dq008_tax_in_range", "validity")]
-
-
 @register("dq_scorecard", "Q10 Q11", _FLAGS_SQL + """
 , totals AS (SELECT COUNT(*) AS evaluated,
                     COUNT(*) FILTER (WHERE dq_status = 'PASS') AS valid FROM results)
-, per_rule AS (
-""" + "\n  UNION ALL\n".join(
-    f"  SELECT '{rid}' AS rule_id, '{dim}' AS dimension, COUNT(*) FILTER (WHERE NOT {flag}) AS failed FROM results"
-    for rid, flag, dim in _SCORE_RULES) + """
-)
+, catalogue AS (SELECT unnest([""" + ", ".join(f"'{r}'" for r, *_ in _SQL_RULES) + """]) AS rule_id,
+                       unnest([""" + ", ".join(f"'{d}'" for _, _, d, _ in _SQL_RULES) + """]) AS dimension)
+, per_rule AS (SELECT rule_id, dimension, (SELECT COUNT(*) FROM held WHERE rule = rule_id AND NOT ok) AS failed
+               FROM catalogue)
 SELECT p.rule_id, p.dimension, t.evaluated, t.valid, t.evaluated - t.valid AS quarantined,
        p.failed, ROUND(p.failed / t.evaluated, 6) AS fail_rate,
        ROUND(1 - p.failed / t.evaluated, 6) AS pass_rate,
        CAST(RANK() OVER (ORDER BY p.failed DESC) AS INTEGER) AS failure_rank
-FROM per_rule p CROSS JOIN totals t""")
+FROM per_rule p, totals t""")
 def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql.window import Window
     card = Q.scorecard(flagged_lines(Tables(spark, sf_dir)), line_rules())
@@ -258,23 +223,28 @@ def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 
 
+def event_rules() -> list[Q.Rule]:
+    """Row rules of the events table, the same for the batch and the stream."""
+    c = F.col
+    return [
+        Q.Rule("MISSING_TIMESTAMP", "ts", c("ts").isNotNull(), "completeness", "events", "ts"),
+        Q.Rule("MISSING_USER", "user", c("user_id").isNotNull(), "completeness", "events", "user_id"),
+        Q.Rule("NONPOSITIVE_EVENT_ID", "event_id", c("event_id") > 0, "validity", "events", "event_id"),
+        Q.Rule("UNKNOWN_EVENT_TYPE", "event_type", c("event_type").isin(*_EVENT_TYPES), "validity",
+               "events", "event_type", severity="warning"),
+        Q.Rule("ZERO_VALUE", "value", c("value") != 0, "reasonability", "events", "value", severity="warning"),
+        Q.Rule("HIGH_VALUE", "value", c("value") <= 100, "reasonability", "events", "value", severity="warning"),
+        Q.Rule("PROPS_NOT_JSON", "props", F.get_json_object("props", "$.k").isNotNull(), "validity",
+               "events", "props", severity="warning"),
+        Q.Rule("WEEKEND_EVENT", "ts", ~F.dayofweek("ts").isin(1, 7), "reasonability", "events", "ts",
+               severity="warning"),
+        *Q.numeric_rules(["value"]),
+    ]
+
+
 def event_quality(t: Tables) -> DataFrame:
     """Silver-style errors/warnings on the events stream (Q05-Q07)."""
-    e = t.events
-    errors = [
-        ("MISSING_TIMESTAMP", F.col("ts").isNull()),
-        ("MISSING_USER", F.col("user_id").isNull()),
-        ("NONPOSITIVE_EVENT_ID", F.col("event_id") < 0),
-    ]
-    warnings = [
-        ("UNKNOWN_EVENT_TYPE", ~F.col("event_type").isin(*_EVENT_TYPES)),
-        ("ZERO_VALUE", F.col("value") == 0),
-        ("HIGH_VALUE", F.col("value") > 100),
-        ("PROPS_NOT_JSON", F.get_json_object("props", "$.k").isNull()),
-        ("WEEKEND_EVENT", F.dayofweek("ts").isin(1, 7)),
-    ]
-    gen_err, gen_warn = Q.numeric_rules(["value"])
-    return Q.quality_arrays(e, errors + gen_err, warnings + gen_warn)
+    return Q.quality_arrays(t.events, event_rules())
 
 
 @register("quality_arrays", "Q05 Q06 Q07", """
@@ -282,7 +252,7 @@ SELECT event_id, user_id, event_type,
   concat_ws(',',
     CASE WHEN ts IS NULL THEN 'MISSING_TIMESTAMP' END,
     CASE WHEN user_id IS NULL THEN 'MISSING_USER' END,
-    CASE WHEN event_id < 0 THEN 'NONPOSITIVE_EVENT_ID' END,
+    CASE WHEN event_id <= 0 THEN 'NONPOSITIVE_EVENT_ID' END,
     CASE WHEN isnan(value) OR abs(value) = 'inf'::DOUBLE THEN 'NONFINITE_VALUE' END)
     AS quality_errors,
   concat_ws(',',
@@ -302,7 +272,7 @@ def q_quality_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("load_stats", "A20 Q07", """
 WITH q AS (
-  SELECT (ts IS NULL OR user_id IS NULL OR event_id < 0 OR isnan(value)
+  SELECT (ts IS NULL OR user_id IS NULL OR event_id <= 0 OR isnan(value)
           OR abs(value) = 'inf'::DOUBLE) AS has_error,
          (event_type NOT IN ('click', 'view', 'purchase', 'signup', 'error') OR value = 0
           OR value > 100 OR json_extract(props, '$.k') IS NULL OR dayofweek(ts) IN (0, 6)

@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.functions.cleaning import blank_to_null, clean_text, round_to, safe_cast
 from tessera.functions.dates import fiscal_parts, open_end
 from tessera.functions.hashing import change_hash
 from tessera.functions.xml import xml_join, xml_value
 from tessera.operators import dims, scd
-from tessera.operators.joins import as_of_lookup, broadcast_bounded, orphans, top1_lateral
-from tessera.operators.windows import (global_row_number, latest_per_key, ntile_from_rank, pareto,
+from tessera.operators.joins import as_of_lookup, orphans, top1_lateral
+from tessera.operators.windows import (global_row_number, join_null_safe, latest_per_key, ntile_from_rank, pareto,
                                        period_change, validity_from_starts, group_size)
 from tessera.plans.registry import register
+from tessera.session import materialise
 from tessera.tables import Tables
 
 
@@ -112,25 +114,32 @@ ship_history AS (
          COALESCE(lead(day) OVER (PARTITION BY o_custkey ORDER BY day), DATE '9999-12-31') AS ship_to
   FROM (SELECT o.o_custkey, l.l_shipdate::DATE AS day, COUNT(*) AS ship_lines
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)),
-merged AS (
-  SELECT s.o_custkey, s.status, s.status_from, s.status_to, h.ship_lines, h.ship_from, h.ship_to,
-         greatest(s.status_from, h.ship_from) AS valid_from,
-         least(s.status_to, h.ship_to) AS valid_to
-  FROM status_history s JOIN ship_history h
-    ON s.o_custkey = h.o_custkey AND s.status_from < h.ship_to AND h.ship_from < s.status_to),
-counted AS (SELECT *, COUNT(*) OVER (PARTITION BY o_custkey) AS n_segments FROM merged)
-SELECT o_custkey, status, strftime(status_from, '%Y-%m-%d') AS status_from,
+edges AS (
+  SELECT o_custkey, unnest([status_from, status_to]) AS d FROM status_history
+  UNION SELECT o_custkey, unnest([ship_from, ship_to]) FROM ship_history),
+slices AS (SELECT o_custkey, d AS valid_from, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS valid_to FROM edges),
+known AS (
+  SELECT e.o_custkey, s.status, s.status_from, s.status_to, h.ship_lines, h.ship_from, h.ship_to,
+         e.valid_from, e.valid_to
+  FROM slices e
+  JOIN status_history s ON s.o_custkey = e.o_custkey AND e.valid_from BETWEEN s.status_from AND s.status_to - 1
+  JOIN ship_history h ON h.o_custkey = e.o_custkey AND e.valid_from BETWEEN h.ship_from AND h.ship_to - 1
+  WHERE e.valid_to IS NOT NULL),
+sizes AS (SELECT o_custkey, COUNT(*) AS n_segments FROM known GROUP BY o_custkey HAVING COUNT(*) > 1)
+SELECT k.o_custkey, status, strftime(status_from, '%Y-%m-%d') AS status_from,
        strftime(status_to, '%Y-%m-%d') AS status_to, ship_lines,
        strftime(ship_from, '%Y-%m-%d') AS ship_from, strftime(ship_to, '%Y-%m-%d') AS ship_to,
        strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to,
        valid_to = DATE '9999-12-31' AS is_current, n_segments
-FROM counted WHERE n_segments > 1""")
+FROM known k JOIN sizes z ON k.o_custkey = z.o_custkey""")
 def q_timeline_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     m = scd.timeline_merge(status_history(t), shipment_history(t), "o_custkey",
                            "status_from", "status_to", "ship_from", "ship_to",
                            ["status"], ["ship_lines"])
-    m = group_size(m, ["o_custkey"], "n_segments").where(F.col("n_segments") > 1)
+    # The sweep has dealt rows out by customer already: count there.
+    m = (m.withColumn("n_segments", F.count(F.lit(1)).over(Window.partitionBy("o_custkey")))
+         .where(F.col("n_segments") > 1))
     return m.select("o_custkey", "status", _d("status_from").alias("status_from"),
                     _d("status_to").alias("status_to"), "ship_lines",
                     _d("ship_from").alias("ship_from"), _d("ship_to").alias("ship_to"),
@@ -165,7 +174,7 @@ def customer_dimension(t: Tables) -> DataFrame:
 @register("customer_dim_hash", "D03 D04 J01 P08 P10 P11 P13", """
 WITH c AS (
   SELECT c.c_custkey AS customer_key,
-         trim(regexp_replace(c.c_name, '\\s+', ' ', 'g')) AS customer_name,
+         NULLIF(trim(regexp_replace(c.c_name, '\\s+', ' ', 'g')), '') AS customer_name,
          lower(NULLIF(trim(c.c_mktsegment), '')) AS market_segment,
          n.n_name AS nation_name, r.r_name AS region_name,
          CAST(c.c_acctbal AS DECIMAL(18,2)) AS account_balance,
@@ -328,18 +337,18 @@ def q_fiscal_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- W10
 
 @register("pareto", "W10 A07 W08", """
-WITH r AS (SELECT o_custkey, SUM(o_totalprice) AS revenue FROM orders GROUP BY o_custkey),
+WITH r AS (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue FROM orders GROUP BY o_custkey),
 c AS (SELECT *, row_number() OVER w AS rank, SUM(revenue) OVER w AS cum,
              SUM(revenue) OVER () AS total, COUNT(*) OVER () AS n
       FROM r WINDOW w AS (ORDER BY revenue DESC, o_custkey ASC ROWS UNBOUNDED PRECEDING))
-SELECT o_custkey, ROUND(revenue, 2) AS revenue, rank, ROUND(cum, 2) AS cumulative_value,
-       ROUND(cum / total, 6) AS cumulative_share, ROUND(rank / n, 6) AS entity_share
+SELECT o_custkey, CAST(revenue AS DOUBLE) AS revenue, rank, CAST(cum AS DOUBLE) AS cumulative_value,
+       ROUND(CAST(cum AS DOUBLE) / CAST(total AS DOUBLE), 6) AS cumulative_share, ROUND(rank / n, 6) AS entity_share
 FROM c""")
 def q_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = pareto(Tables(spark, sf_dir).orders.select("o_custkey", F.col("o_totalprice").alias("revenue")),
+    p = pareto(Tables(spark, sf_dir).orders.select("o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("revenue")),
                "o_custkey", "revenue")
-    return p.select("o_custkey", round_to("revenue", 2).alias("revenue"), "rank",
-                    round_to("cumulative_value", 2).alias("cumulative_value"),
+    return p.select("o_custkey", F.col("revenue").cast("double").alias("revenue"), "rank",
+                    F.col("cumulative_value").cast("double").alias("cumulative_value"),
                     round_to("cumulative_share", 6).alias("cumulative_share"),
                     round_to("entity_share", 6).alias("entity_share"))
 
@@ -350,9 +359,9 @@ def q_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH c AS (
   SELECT o_custkey, date_diff('day', max(o_orderdate)::DATE,
                               (SELECT max(o_orderdate) FROM orders)::DATE) AS recency_days,
-         COUNT(*) AS frequency, SUM(o_totalprice) AS monetary
+         COUNT(*) AS frequency, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS monetary
   FROM orders GROUP BY o_custkey)
-SELECT o_custkey, recency_days, frequency, ROUND(monetary, 2) AS monetary,
+SELECT o_custkey, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary,
        CAST(ntile(4) OVER (ORDER BY recency_days DESC, o_custkey) AS INTEGER) AS r_score,
        CAST(ntile(4) OVER (ORDER BY frequency ASC, o_custkey) AS INTEGER) AS f_score,
        CAST(ntile(4) OVER (ORDER BY monetary ASC, o_custkey) AS INTEGER) AS m_score
@@ -362,13 +371,18 @@ def q_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = o.select(F.max(F.to_date("o_orderdate"))).scalar()
     c = o.groupBy("o_custkey").agg(
         F.datediff(last, F.max(F.to_date("o_orderdate"))).alias("recency_days"),
-        F.count(F.lit(1)).alias("frequency"), F.sum("o_totalprice").alias("monetary"))
+        F.count(F.lit(1)).alias("frequency"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("monetary"))
+    c = materialise(c, "rfm")
+    out = c
     for score, order in [("r_score", [F.col("recency_days").desc(), F.col("o_custkey")]),
                          ("f_score", [F.col("frequency").asc(), F.col("o_custkey")]),
                          ("m_score", [F.col("monetary").asc(), F.col("o_custkey")])]:
-        c = global_row_number(c, order, "_rank", total_name="_n")
-        c = c.withColumn(score, ntile_from_rank(F.col("_rank"), F.col("_n"), 4)).drop("_rank", "_n")
-    return c.select("o_custkey", "recency_days", "frequency", round_to("monetary", 2).alias("monetary"),
+        # Each ranking starts from the customer table, so the plan does not grow with the scores.
+        r = global_row_number(c, order, "_rank", total_name="_n")
+        out = join_null_safe(out, r.select("o_custkey", ntile_from_rank(F.col("_rank"), F.col("_n"), 4).alias(score)),
+                             ["o_custkey"])
+    c = out
+    return c.select("o_custkey", "recency_days", "frequency", F.col("monetary").cast("double").alias("monetary"),
                     "r_score", "f_score", "m_score")
 
 
@@ -531,8 +545,8 @@ def q_role_playing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
     o = t.orders.select("o_orderkey", "o_custkey")
-    cust = broadcast_bounded(t.customer.select("c_custkey", "c_nationkey"))
-    supp = broadcast_bounded(t.supplier.select("s_suppkey", "s_nationkey"))
+    cust = t.customer.select("c_custkey", "c_nationkey")
+    supp = t.supplier.select("s_suppkey", "s_nationkey")
     f = (li.join(o, li.l_orderkey == o.o_orderkey).join(cust, F.col("o_custkey") == F.col("c_custkey"))
          .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
     geo = F.broadcast(t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")

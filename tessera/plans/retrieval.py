@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from tessera.functions.cleaning import round_to
 from tessera.functions.text import html_title, strip_html, tokens
 from tessera.operators import text as T
-from tessera.operators.joins import broadcast_bounded
 from tessera.operators.windows import latest_per_key
 from tessera.plans.registry import register
+from tessera.session import materialise
 from tessera.tables import Tables
 
 # Chunk size in characters, sequence length, retrieval depth.
@@ -156,7 +156,7 @@ WHERE e.event_type = 'purchase'""")
 def q_keyed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     keys = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id")
-    cust = broadcast_bounded(t.customer.select("c_custkey", "c_name", "c_mktsegment"))
+    cust = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     latest = latest_per_key(t.orders, ["o_custkey"],
                             [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select(
         "o_custkey", F.col("o_orderkey").alias("latest_orderkey"),
@@ -185,7 +185,7 @@ def q_decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = training_vocab(t)
     enc = T.encode_pad(t.conversations, "text", ["conv_id", "turn"], vocab, MAX_LEN)
     ids = enc.select("conv_id", "turn", F.posexplode("padded").alias("pos", "token_id")).where("token_id <> 0")
-    v = broadcast_bounded(vocab.select("token", "token_id"))
+    v = vocab.select("token", "token_id")
     words = ids.join(v, "token_id", "left").withColumn("word", F.coalesce("token", F.lit("<unk>")))
     out = words.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_w"))
     return out.select("conv_id", "turn", F.array_join(F.transform("_w", lambda s: s["word"]), " ").alias("decoded"))
@@ -207,17 +207,15 @@ def q_story_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("turn_role_classifier", "X25 M22")
 def q_turn_role_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark import StorageLevel
     from pyspark.ml.functions import vector_to_array
     from tessera.operators import evaluate as E
     c = Tables(spark, sf_dir).conversations.withColumn("_key", F.concat_ws(":", "conv_id", "turn"))
-    split = E.stratified_split(c, "role", "_key", 0.8).persist(StorageLevel.MEMORY_AND_DISK)
-    model = T.hashed_text_classifier(split.where("split = 'train'"), "text", "role")
+    split = materialise(E.stratified_split(c, "role", "_key", 0.8), "turns")
+    model = T.vocabulary_text_classifier(split.where("split = 'train'"), "text", "role")
     labels = model.stages[0].labels
     scored = model.transform(split.where("split = 'test'").withColumn("_tokens", tokens("text")))
     pred = scored.select(F.col("role").alias("truth"),
                          F.element_at(F.array(*[F.lit(x) for x in labels]),
                                       F.col("prediction").cast("int") + 1).alias("pred"),
                          F.array_max(vector_to_array("probability")).alias("confidence"))
-    m = E.macro_metrics(pred, "truth", "pred")
-    return m.select("*", pred.select(F.avg("confidence")).scalar().alias("mean_confidence"))
+    return E.macro_metrics(pred, "truth", "pred", mean_of="confidence")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.cleaning import round_to
 from tessera import streaming as S
+from tessera.plans.governed import event_rules
 from tessera.plans.registry import register
 
 _ERR = """concat_ws(',',
     CASE WHEN ts IS NULL THEN 'MISSING_TIMESTAMP' END,
     CASE WHEN user_id IS NULL THEN 'MISSING_USER' END,
-    CASE WHEN event_id < 0 THEN 'NONPOSITIVE_EVENT_ID' END,
+    CASE WHEN event_id <= 0 THEN 'NONPOSITIVE_EVENT_ID' END,
     CASE WHEN isnan(value) OR abs(value) = 'inf'::DOUBLE THEN 'NONFINITE_VALUE' END)"""
 _WARN = """concat_ws(',',
     CASE WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup', 'error') THEN 'UNKNOWN_EVENT_TYPE' END,
@@ -29,7 +30,8 @@ SELECT event_id, user_id, event_type, {_ERR} AS quality_errors, {_WARN} AS quali
        {_ERR} = '' AS is_valid
 FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1""")
 def q_stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.run_available_now(S.silver_events(S.read_table_stream(spark, sf_dir, "events")), "silver_events")
+    out = S.run_available_now(S.silver_events(S.read_table_stream(spark, sf_dir, "events"), event_rules()),
+                              "silver_events", sf_dir)
     s = spark.read.parquet(out)
     return s.select("event_id", "user_id", "event_type",
                     F.array_join("quality_errors", ",").alias("quality_errors"),
@@ -37,16 +39,15 @@ def q_stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("stream_hourly_counts", "A01 streaming window watermark", """
-WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events),
-b AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type, COUNT(*) AS events,
+WITH b AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type, COUNT(*) AS events,
              SUM(value) AS total_value FROM events GROUP BY 1, 2)
 SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(ws + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
        event_type, events, ROUND(total_value, 4) AS total_value
-FROM b, m WHERE ws + INTERVAL 1 HOUR <= wm""")
+FROM b""")
 def q_stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.run_available_now(S.hourly_counts(S.read_table_stream(spark, sf_dir, "events")), "hourly_counts")
-    h = spark.read.parquet(out)
+    h = S.run_latest_now(S.hourly_counts(S.read_table_stream(spark, sf_dir, "events")), "hourly_counts", sf_dir,
+                         ["w", "event_type"])
     fmt = "yyyy-MM-dd HH:mm:ss"
     return h.select(F.date_format("w.start", fmt).alias("window_start"),
                     F.date_format("w.end", fmt).alias("window_end"), "event_type", "events",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock, ANSI semantics (try_cast is
 # used explicitly where a NULL on failure is wanted), AQE with skew handling,
@@ -44,14 +45,14 @@ def build_session(master: str | None = None, app: str = "tessera",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage and is read as-is.
-    Only when it is unset (local runs and tests) a private scratch folder is
-    created and registered.
+    On a cluster this setting must point at shared storage and is read as-is;
+    without it an error is raised, since executors could not see each other's
+    files.  Only a local master gets a private scratch folder (tests, trials).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() or ""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -61,3 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into a new shared folder and read it back.
+
+    Values that may differ between two evaluations of a plan (range numbers,
+    row numbers) are fixed by it, and lost executors do not change them.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

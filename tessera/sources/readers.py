@@ -6,15 +6,15 @@ format forces per-file processing (records counted across lines, S04).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tessera.functions.cleaning import snake_name
+from tessera.functions.cleaning import table_name
 from tessera.functions.text import strip_html
 
 
@@ -86,12 +86,11 @@ def read_by_field_count(spark: SparkSession, path: str, columns: Sequence[str],
 def read_csv_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header CSV checked against a declared schema, failing fast.
 
-    CSV column pruning is disabled for the session so that every column of
-    every row is parsed (and can fail) even when few are selected.
+    Column pruning is off for this read alone, so that every column of every
+    row is parsed (and can fail) even when few are selected.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     return (spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
-            .option("mode", "FAILFAST").csv(path))
+            .option("columnPruning", "false").option("mode", "FAILFAST").csv(path))
 
 
 def read_parquet_cast(spark: SparkSession, path: str, types: dict[str, str],
@@ -129,18 +128,19 @@ def read_snapshot(spark: SparkSession, base: str, batch_id: str | None = None,
     return df.where(F.col("batch_id") == F.lit(batch_id))
 
 
-def register_inferred(spark: SparkSession, folder: str, pattern: str = ".csv") -> list[str]:
-    """Every CSV in ``folder`` becomes a temp view named after its cleaned file name.
+def register_inferred(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
+    """Every CSV in ``folder`` becomes a temp view named after its file.
 
-    Only the file names are listed on the driver; each file is read lazily.
+    Names come from Spark's own file listing, so the folder may be in any store.
     """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+             .select("path").orderBy("path").collect())
     names = []
-    for f in sorted(os.listdir(folder)):
-        if f.lower().endswith(pattern):
-            name = snake_name(os.path.splitext(f)[0])
-            (spark.read.option("header", "true").option("inferSchema", "true")
-             .csv(os.path.join(folder, f)).createOrReplaceTempView(name))
-            names.append(name)
+    for (path,) in files:
+        name = table_name(unquote(path.rsplit("/", 1)[-1]))
+        (spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+         .createOrReplaceTempView(name))
+        names.append(name)
     return names
 
 
@@ -152,14 +152,29 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
 def check_parquet_files(spark: SparkSession, glob: str) -> DataFrame:
     """Per file: size >= 8 bytes and ``PAR1`` at both ends.
 
-    Uses the binaryFile source; each file is read by one task.
+    Only paths and sizes come from the listing; each task then opens its files
+    and reads four bytes at either end.
     """
-    b = spark.read.format("binaryFile").load(glob)
-    head = F.substring("content", 1, 4)
-    tail = F.substring("content", -4, 4)
-    magic = F.lit(bytearray(b"PAR1"))
-    return b.select("path", "length",
-                    ((F.col("length") >= 8) & (head == magic) & (tail == magic)).alias("is_valid"))
+    files = spark.read.format("binaryFile").load(glob).select("path", "length")
+    n = max(1, min(files.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def ends(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            good = []
+            for path, length in zip(batch["path"], batch["length"], strict=True):
+                uri = path if "://" in path else path.replace("file:", "file://", 1)
+                store, name = fs.FileSystem.from_uri(unquote(uri))
+                ok = length >= 8
+                if ok:
+                    with store.open_input_file(name) as f:
+                        ok = f.read_at(4, 0) == b"PAR1" == f.read_at(4, length - 4)
+                good.append(ok)
+            yield pd.DataFrame({"path": batch["path"], "length": batch["length"], "is_valid": good})
+
+    return files.repartition(n).mapInPandas(ends, "path string, length long, is_valid boolean")
 
 
 def read_corpus(spark: SparkSession, folder: str, kind: str = "text") -> DataFrame:

@@ -1,4 +1,4 @@
 """Structured Streaming variants (availableNow micro-batches, watermarks, dedup)."""
 
 from tessera.streaming.quality_stream import (  # noqa: F401
-    event_rules, hourly_counts, read_table_stream, run_available_now, silver_events)
+    hourly_counts, read_table_stream, run_available_now, run_latest_now, silver_events)

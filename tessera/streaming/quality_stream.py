@@ -9,8 +9,9 @@ driver resumes exactly-once from the committed offsets and state.
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,53 +31,62 @@ def read_table_stream(spark: SparkSession, folder: str, table: str,
     return reader.parquet(folder)
 
 
-def event_rules():
-    """Row rules shared with the batch ``quality_arrays`` query."""
-    errors = [("MISSING_TIMESTAMP", F.col("ts").isNull()),
-              ("MISSING_USER", F.col("user_id").isNull()),
-              ("NONPOSITIVE_EVENT_ID", F.col("event_id") < 0)]
-    warnings = [("UNKNOWN_EVENT_TYPE", ~F.col("event_type").isin("click", "view", "purchase", "signup", "error")),
-                ("ZERO_VALUE", F.col("value") == 0),
-                ("HIGH_VALUE", F.col("value") > 100),
-                ("PROPS_NOT_JSON", F.get_json_object("props", "$.k").isNull()),
-                ("WEEKEND_EVENT", F.dayofweek("ts").isin(1, 7))]
-    gen_err, gen_warn = Q.numeric_rules(["value"])
-    return errors + gen_err, warnings + gen_warn
-
-
-def silver_events(stream: DataFrame, dedup_delay: str = "1 hour") -> DataFrame:
-    """Deduplicate redelivered events within the watermark, then flag them."""
-    errors, warnings = event_rules()
+def silver_events(stream: DataFrame, rules: Sequence[Q.Rule], dedup_delay: str = "1 hour") -> DataFrame:
+    """Deduplicate redelivered events within the watermark, then flag them by the batch rules."""
     deduped = (stream.withColumn("_ts", F.col("ts").cast("timestamp"))
                .withWatermark("_ts", dedup_delay)
                .dropDuplicatesWithinWatermark(["event_id"]))
-    return Q.quality_arrays(deduped, errors, warnings).drop("_ts")
+    return Q.quality_arrays(deduped, rules).drop("_ts")
 
 
 def hourly_counts(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Event counts and value per hour window and type; windows are emitted
-    once the watermark passes their end (append mode)."""
+    """Event counts and value per hour window and type (run in update mode: open windows count too)."""
     s = stream.withColumn("_ts", F.col("ts").cast("timestamp")).withWatermark("_ts", delay)
     return (s.groupBy(F.window("_ts", "1 hour").alias("w"), "event_type")
             .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("total_value")))
 
 
-def run_available_now(df: DataFrame, name: str, partition_by: tuple = ()) -> str:
-    """Run a streaming DataFrame over all currently available input, then stop.
+def _stream_folder(spark: SparkSession, name: str, source: str) -> str:
+    """One folder per stream and source: a later run goes on from its checkpoint."""
+    tag = hashlib.sha1(source.encode()).hexdigest()[:12]
+    return scratch_path(spark, os.path.join("streams", f"{name}-{tag}"))
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
 
-    Output and checkpoint go to a fresh folder under the shared checkpoint
-    directory; returns the output path.
+
+def run_available_now(df: DataFrame, name: str, source: str, partition_by: tuple = ()) -> str:
+    """Append all currently available input to the stream's table, then stop; returns its path.
+
+    The checkpoint stays with the stream, so a second run only adds what is new.
     """
-    spark = df.sparkSession
-    run = f"{name}-{uuid.uuid4().hex[:12]}"
-    out = scratch_path(spark, os.path.join("streams", run, "data"))
-    ckpt = scratch_path(spark, os.path.join("streams", run, "checkpoint"))
-    w = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+    folder = _stream_folder(df.sparkSession, name, source)
+    w = (df.writeStream.format("parquet").option("path", f"{folder}/data")
+         .option("checkpointLocation", f"{folder}/checkpoint")
          .outputMode("append").trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return out
+    _finish(w.start())
+    return f"{folder}/data"
+
+
+def run_latest_now(df: DataFrame, name: str, source: str, keys: Sequence[str]) -> DataFrame:
+    """Run an aggregation in update mode; returns each key's latest row, open windows included.
+
+    Every micro-batch writes the rows it changed under its own number (a repeated
+    batch overwrites itself); the last number of a key holds its present state.
+    """
+    spark = df.sparkSession
+    folder = _stream_folder(spark, name, source)
+
+    def save(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/data/batch={batch}")
+
+    _finish(df.writeStream.foreachBatch(save).option("checkpointLocation", f"{folder}/checkpoint")
+            .outputMode("update").trigger(availableNow=True).start())
+    rest = [c for c in df.columns if c not in keys]
+    return (spark.read.parquet(f"{folder}/data").groupBy(*keys)
+            .agg(F.max_by(F.struct(*rest), "batch").alias("_last")).select(*keys, "_last.*"))

@@ -39,23 +39,26 @@ def test_flags_never_null_and_split_is_partition(spark):
     assert card == {"DQ001": 1, "DQ002": 2, "DQ003": 2}
 
 
-def test_flag_array_null_is_no_match(spark):
+def test_broken_rules_null_is_no_match(spark):
     df = spark.createDataFrame([(None,), (-2.0,)], "v double")
-    out = df.select(Q.flag_array([("NEG", F.col("v") < 0), ("MISSING", F.col("v").isNull())]).alias("f"))
-    assert sorted(tuple(r.f) for r in out.collect()) == [("MISSING",), ("NEG",)]
+    rules = [Q.Rule("NEG", "v", F.col("v") >= 0), Q.Rule("MISSING", "v", F.col("v").isNotNull()),
+             Q.Rule("SMALL", "v", F.col("v") > 10, severity="warning")]
+    out = df.select(Q.broken_rules(rules, "error").alias("e"), Q.broken_rules(rules, "warning").alias("w")).collect()
+    assert [(r.e, r.w) for r in out] == [(["MISSING"], []), (["NEG"], ["SMALL"])]
 
 
 def test_numeric_rules_nonfinite(spark):
     df = spark.createDataFrame([(float("inf"),), (-1.0,), (1.0,)], "x double")
-    e, w = Q.numeric_rules(["x"])
-    q = Q.quality_arrays(df, e, w).orderBy("x").collect()
+    q = Q.quality_arrays(df, Q.numeric_rules(["x"])).orderBy("x").collect()
     assert [list(r.quality_errors) for r in q] == [[], [], ["NONFINITE_X"]]
     assert [list(r.quality_warnings) for r in q] == [["NEGATIVE_X"], [], []]
+    assert [r.is_valid for r in q] == [True, True, False]
 
 
 def test_cleaning_helpers(spark):
     df = spark.createDataFrame([("  a \t b\n c ", " ", "TRUE", "12x", "N/A")],
                                "t string, b string, f string, n string, keep string")
+    assert df.select(clean_text("b")).first()[0] is None
     r = df.select(clean_text("t").alias("t"), blank_to_null("b").alias("b"), decode_flag("f").alias("f"),
                   safe_cast("n", "int").alias("n"), blank_to_null("keep").alias("keep"),
                   display_name(F.lit("Ann"), F.lit(" "), F.lit("Lee")).alias("name")).first()

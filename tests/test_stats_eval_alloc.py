@@ -22,6 +22,13 @@ def test_distribution_known_values():
     assert D.norm_cdf(1.959963985) == pytest.approx(0.975, abs=1e-9)
     # studentized range: qtukey(0.95, 3, 10) = 3.877
     assert D.ptukey(3.877, 3, 10) == pytest.approx(0.95, abs=2e-3)
+    # Fixed values from tables, also for very small and very large degrees of freedom.
+    assert D.ptukey(3.314, 3, 1e6) == pytest.approx(0.95, abs=2e-3)
+    assert D.t_ppf(0.9999, 1) == pytest.approx(3183.0988, rel=1e-6)
+    assert D.t_ppf(0.025, 10) == pytest.approx(-2.228139, abs=1e-5)
+    assert D.t_ppf(0.975, 1e7) == pytest.approx(1.959964, abs=1e-5)
+    assert D.chi2_sf(1e6, 1e6) == pytest.approx(0.49981, abs=1e-4)
+    assert D.f_sf(1.0, 1e5, 1e5) == pytest.approx(0.5, abs=1e-6)
 
 
 def _groups(spark):

@@ -23,6 +23,16 @@ def left_chain(base: DataFrame, lookups: Sequence[tuple[DataFrame, Column | str
     return out
 
 
+def coalesced_key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_key: str,
+                       how: str = "left") -> DataFrame:
+    """Equi-join on the first non-NULL of several key columns.
+
+    The key is one column before the join, so it is planned as a plain equi-join.
+    """
+    keyed = left.withColumn("_key", F.coalesce(*left_keys))
+    return keyed.join(right, F.col("_key") == right[right_key], how).drop("_key")
+
+
 def interval_overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                           left_from: str, left_to: str, right_from: str, right_to: str,
                           how: str = "inner") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators.quality import LoadGuardError, enforce_key_guard
+from tessera.session import materialise
 from tessera.sources.readers import with_file_lineage
 
 
@@ -52,12 +53,24 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     no-op in effect.  An empty input is refused rather than silently
     leaving stale data.
     """
-    if refuse_empty and df.isEmpty():
-        raise LoadGuardError("empty source; refusing to replace partitions")
+    if refuse_empty:
+        # Fixed once, so that the check does not compute the input a second time.
+        df = materialise(df, "load")
+        if df.isEmpty():
+            raise LoadGuardError("empty source; refusing to replace partitions")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
+def replace_by_source_file(df: DataFrame, path: str, source: str = "source_file") -> None:
+    """Replace the rows that came from the same source files before.
+
+    The table is partitioned by source file, so a reloaded file replaces its own
+    partition in one committed overwrite and no other rows are read.
+    """
+    replace_partitions(df, path, [source])
+
+
 def validated_overwrite(df: DataFrame, path: str, key: str) -> None:
     """Load guards (empty, invalid ids, duplicates) then one overwrite."""
     enforce_key_guard(df, key)
@@ -81,10 +94,12 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def ensure_layers(spark: SparkSession, layers: Sequence[str] = ("bronze", "silver", "gold")) -> None:
-    """Namespaces for the medallion layers."""
+def ensure_layers(spark: SparkSession, layers: Sequence[str] = ("bronze", "silver", "gold"),
+                  base: str | None = None) -> None:
+    """Namespaces for the medallion layers (K10), below ``base`` if given."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        place = f" LOCATION '{base}/{layer}'" if base else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{place}")
 
 
 def check_submission(df: DataFrame, template: DataFrame, id_col: str,

@@ -120,6 +120,41 @@ def norm_ppf(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
+# Wichura's rational approximation (AS241) of the normal quantile, highest power first:
+# near the middle in 0.180625 - q^2 times q, else in sqrt(-log(tail)) - 1.6, beyond 5 in sqrt(-log(tail)) - 5.
+_AS241 = {
+    "middle": (("2.5090809287301226727e+3", "3.3430575583588128105e+4", "6.7265770927008700853e+4", "4.5921953931549871457e+4",
+                "1.3731693765509461125e+4", "1.9715909503065514427e+3", "1.3314166789178437745e+2", "3.3871328727963666080e+0"),
+               ("5.2264952788528545610e+3", "2.8729085735721942674e+4", "3.9307895800092710610e+4", "2.1213794301586595867e+4",
+                "5.3941960214247511077e+3", "6.8718700749205790830e+2", "4.2313330701600911252e+1", "1.0e+0")),
+    "tail": (("7.74545014278341407640e-4", "2.27238449892691845833e-2", "2.41780725177450611770e-1", "1.27045825245236838258e+0",
+              "3.64784832476320460504e+0", "5.76949722146069140550e+0", "4.63033784615654529590e+0", "1.42343711074968357734e+0"),
+             ("1.05075007164441684324e-9", "5.47593808499534494600e-4", "1.51986665636164571966e-2", "1.48103976427480074590e-1",
+              "6.89767334985100004550e-1", "1.67638483018380384940e+0", "2.05319162663775882187e+0", "1.0e+0")),
+    "far": (("2.01033439929228813265e-7", "2.71155556874348757815e-5", "1.24266094738807843860e-3", "2.65321895265761230930e-2",
+             "2.96560571828504891230e-1", "1.78482653991729133580e+0", "5.46378491116411436990e+0", "6.65790464350110377720e+0"),
+            ("2.04426310338993978564e-15", "1.42151175831644588870e-7", "1.84631831751005468180e-5", "7.86869131145613259100e-4",
+             "1.48753612908506148525e-2", "1.36929880922735805310e-1", "5.99832206555887937690e-1", "1.0e+0")),
+}
+
+
+def normal_quantile_sql(p: str) -> str:
+    """SQL text of the standard normal quantile of a column expression (Spark and DuckDB alike)."""
+    def ratio(part: str, r: str) -> str:
+        sides = []
+        for powers in _AS241[part]:
+            text = powers[0]
+            for c in powers[1:]:
+                text = f"({text} * {r} + {c})"
+            sides.append(text)
+        return f"({sides[0]} / {sides[1]})"
+
+    q, root = f"(({p}) - 5e-1)", f"sqrt(-ln(least(({p}), 1e0 - ({p}))))"
+    return (f"CASE WHEN abs({q}) <= 4.25e-1 THEN {ratio('middle', f'(1.80625e-1 - {q} * {q})')} * {q} "
+            f"WHEN {root} <= 5e0 THEN sign({q}) * {ratio('tail', f'({root} - 1.6e0)')} "
+            f"ELSE sign({q}) * {ratio('far', f'({root} - 5e0)')} END")
+
+
 def ptukey(q: float, k: int, df: float, n_s: int = 400, n_z: int = 400) -> float:
     """CDF of the studentized range for ``k`` means and ``df`` error df.
 
@@ -147,3 +182,14 @@ def ptukey(q: float, k: int, df: float, n_s: int = 400, n_z: int = 400) -> float
     dens = np.exp(log_f)
     dens /= np.sum(dens)
     return float(min(1.0, np.sum(dens * np.array([range_cdf(q * x) for x in s]))))
+
+
+def qtukey(p: float, k: int, df: float) -> float:
+    """Quantile of the studentized range: widened bracket, then halved."""
+    lo, hi = 0.0, 4.0
+    while ptukey(hi, k, df) < p:
+        lo, hi = hi, hi * 2
+    while hi - lo > 1e-7:
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if ptukey(mid, k, df) < p else (lo, mid)
+    return (lo + hi) / 2

@@ -148,10 +148,10 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
     is solved on the driver.  Returns coefficient table rows and fit summary.
     """
     cols = ["_one", *xs]
-    d = df.select(F.lit(1.0).alias("_one"), *[F.col(c).cast("double") for c in xs],
+    d = df.select(F.lit(1.0).alias("_one"), *[F.col(f"`{c}`").cast("double").alias(c) for c in xs],
                   F.col(y).cast("double").alias("_y")).dropna()
-    aggs = [F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for i, a in enumerate(cols) for b in cols[i:]]
-    aggs += [F.sum(F.col(a) * F.col("_y")).alias(f"{a}*y") for a in cols]
+    aggs = [F.sum(F.col(f"`{a}`") * F.col(f"`{b}`")).alias(f"{a}*{b}") for i, a in enumerate(cols) for b in cols[i:]]
+    aggs += [F.sum(F.col(f"`{a}`") * F.col("_y")).alias(f"{a}*y") for a in cols]
     aggs += [F.sum(F.col("_y") ** 2).alias("yy"), F.count(F.lit(1)).alias("n"),
              F.sum("_y").alias("sy")]
     r = d.agg(*aggs).first().asDict()
@@ -174,13 +174,34 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
     for name, b, s in zip(["(Intercept)", *xs], beta, se):
         t = b / s
         coefs.append({"term": name, "estimate": float(b), "std_error": float(s), "t": float(t),
-                      "p_value": D.t_sf2(t, dfr), "conf_low": float(b - tcrit * s),
+                      "p_value": float(D.t_sf2(t, dfr)), "conf_low": float(b - tcrit * s),
                       "conf_high": float(b + tcrit * s)})
     r2 = 1 - sse / sst
     return {"coefficients": coefs, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / dfr,
             "sigma": float(np.sqrt(sigma2)), "n": n, "df": dfr, "xtx_inv": inv, "beta": beta}
 
 
+def linear_model(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict:
+    """Linear model with categorical terms (T06): treatment contrasts against the first level.
+
+    The levels of a category are listed once (a category's domain, not rows of
+    data) and become 0/1 regressors called ``column=level``.
+    """
+    xs = list(numeric)
+    for c in categorical:
+        levels = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
+        for level in levels[1:]:
+            df = df.withColumn(f"{c}={level}", F.when(F.col(c).isNotNull(), (F.col(c) == level).cast("double")))
+            xs.append(f"{c}={level}")
+    return ols(df, y, xs)
+
+
+def coefficient_table(spark, fit: dict) -> DataFrame:
+    """term, estimate, std_error, t, p_value, 95% limits (T07): one row per regressor."""
+    return spark.createDataFrame(fit["coefficients"], "term string, estimate double, std_error double, t double, "
+                                                      "p_value double, conf_low double, conf_high double")
+
+
 def prediction_interval(df: DataFrame, fit: dict, xs: Sequence[str], level: float = 0.95) -> DataFrame:
     """y-hat +- t * sigma * sqrt(1 + h) with h = x' (X'X)^-1 x.
 
@@ -209,10 +230,14 @@ def with_p_values(result: DataFrame, kind: str) -> DataFrame:
             r["p_value"] = D.t_sf2(r["t"], r["df"])
         elif kind == "welch":
             r["p_value"] = D.t_sf2(r["t"], r["df"])
+            half = D.t_ppf(0.975, r["df"]) * r["mean_diff"] / r["t"] if r["t"] else 0.0
+            r["conf_low"], r["conf_high"] = r["mean_diff"] - half, r["mean_diff"] + half
         elif kind == "anova":
             r["p_value"] = D.f_sf(r["f"], r["df_between"], r["df_within"])
         elif kind == "chi_square":
             r["p_value"] = D.chi2_sf(r["statistic"], r["df"])
         elif kind == "tukey":
             r["p_adj"] = 1 - D.ptukey(r["q"], r["k"], r["df_within"])
+            half = D.qtukey(0.95, r["k"], r["df_within"]) * r["se"]
+            r["conf_low"], r["conf_high"] = r["diff"] - half, r["diff"] + half
     return result.sparkSession.createDataFrame(rows) if rows else result

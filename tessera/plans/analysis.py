@@ -21,6 +21,20 @@ def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
                        for c in df.columns])
 
 
+def t_p_value_sql(t: str, v: str) -> str:
+    """DuckDB text of a two-sided t p-value: Simpson's rule over the density (nothing is left beyond 40)."""
+    x, w = f"least(abs({t}), 40)", "CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return (f"(SELECT greatest(0, 1 - 2 * exp(lgamma(({v} + 1) / 2) - lgamma({v} / 2)) / sqrt({v} * pi()) * {x} / 12000 "
+            f"* sum({w} * power(1 + power({x} * i / 4000, 2) / {v}, -({v} + 1) / 2))) FROM generate_series(0, 4000) g(i))")
+
+
+def t_quantile_sql(v: str) -> str:
+    """DuckDB text of the 97.5% t quantile by its expansion for large degrees of freedom."""
+    z = "1.959963984540054"
+    return (f"({z} + (pow({z}, 3) + {z}) / (4 * {v}) + (5 * pow({z}, 5) + 16 * pow({z}, 3) + 3 * {z}) / (96 * pow({v}, 2)) "
+            f"+ (3 * pow({z}, 7) + 19 * pow({z}, 5) + 17 * pow({z}, 3) - 15 * {z}) / (384 * pow({v}, 3)))")
+
+
 @register("group_summary", "A02 J01", """
 SELECT p.p_type, COUNT(l.l_extendedprice) AS n,
        ROUND(ROUND(SUM(l.l_extendedprice), 2) / COUNT(l.l_extendedprice), 4) AS mean,
@@ -148,12 +162,13 @@ def q_table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pearson", "T01 A12", """
 WITH s AS (SELECT COUNT(*) AS n, corr(l_quantity, l_extendedprice) AS r FROM lineitem)
 SELECT n, ROUND(r, 6) AS r, n - 2 AS df, ROUND(r * sqrt((n - 2) / (1 - r * r)), 4) AS t,
+       ROUND(""" + t_p_value_sql("r * sqrt((n - 2) / (1 - r * r))", "(n - 2)") + """, 6) AS p_value,
        ROUND(tanh(atanh(r) - 1.959963984540054 / sqrt(n - 3)), 6) AS ci_low,
        ROUND(tanh(atanh(r) + 1.959963984540054 / sqrt(n - 3)), 6) AS ci_high
 FROM s""")
 def q_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = S.pearson(Tables(spark, sf_dir).lineitem, "l_quantity", "l_extendedprice")
-    return _r(p, {"r": 6, "t": 4, "ci_low": 6, "ci_high": 6})
+    return _r(S.with_p_values(p, "pearson"), {"r": 6, "t": 4, "p_value": 6, "ci_low": 6, "ci_high": 6})
 
 
 @register("welch", "T02", """
@@ -164,16 +179,19 @@ WITH s AS (
          COUNT(*) FILTER (WHERE l_returnflag = 'R') AS n2,
          AVG(l_quantity) FILTER (WHERE l_returnflag = 'R') AS mean2,
          var_samp(l_quantity) FILTER (WHERE l_returnflag = 'R') AS var2
-  FROM lineitem)
+  FROM lineitem),
+d AS (SELECT *, mean1 - mean2 AS diff, sqrt(var1 / n1 + var2 / n2) AS se,
+              power(var1 / n1 + var2 / n2, 2) / (power(var1 / n1, 2) / (n1 - 1) + power(var2 / n2, 2) / (n2 - 1)) AS v FROM s)
 SELECT n1, ROUND(mean1, 6) AS mean1, ROUND(var1, 6) AS var1, n2, ROUND(mean2, 6) AS mean2,
-       ROUND(var2, 6) AS var2, ROUND(mean1 - mean2, 6) AS mean_diff,
-       ROUND((mean1 - mean2) / sqrt(var1 / n1 + var2 / n2), 6) AS t,
-       ROUND(power(var1 / n1 + var2 / n2, 2)
-             / (power(var1 / n1, 2) / (n1 - 1) + power(var2 / n2, 2) / (n2 - 1)), 4) AS df
-FROM s""")
+       ROUND(var2, 6) AS var2, ROUND(diff, 6) AS mean_diff, ROUND(diff / se, 6) AS t, ROUND(v, 4) AS df,
+       ROUND(""" + t_p_value_sql("diff / se", "v") + """, 6) AS p_value,
+       ROUND(diff - """ + t_quantile_sql("v") + """ * se, 6) AS conf_low,
+       ROUND(diff + """ + t_quantile_sql("v") + """ * se, 6) AS conf_high
+FROM d""")
 def q_welch(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = S.welch(Tables(spark, sf_dir).lineitem, "l_returnflag", "l_quantity", "A", "R")
-    return _r(w, {"mean1": 6, "var1": 6, "mean2": 6, "var2": 6, "mean_diff": 6, "t": 6, "df": 4})
+    return _r(S.with_p_values(w, "welch"), {"mean1": 6, "var1": 6, "mean2": 6, "var2": 6, "mean_diff": 6, "t": 6, "df": 4,
+                                            "p_value": 6, "conf_low": 6, "conf_high": 6})
 
 
 _GROUP_SQL = """g AS (SELECT l_returnflag, COUNT(*) AS n, AVG(l_quantity) AS mean,
@@ -186,11 +204,13 @@ grand AS (SELECT SUM(n * mean) / SUM(n) AS gm FROM g),
 s AS (SELECT COUNT(*) AS k, CAST(SUM(n) AS BIGINT) AS n, SUM(n * power(mean - gm, 2)) AS ssb,
              SUM(COALESCE((n - 1) * var, 0)) AS ssw FROM g, grand)
 SELECT k, n, ROUND(ssb, 4) AS ssb, ROUND(ssw, 4) AS ssw, k - 1 AS df_between, n - k AS df_within,
-       ROUND((ssb / (k - 1)) / (ssw / (n - k)), 6) AS f
+       ROUND((ssb / (k - 1)) / (ssw / (n - k)), 6) AS f,
+       -- closed form of the F tail for k - 1 = 2 (three return flags)
+       ROUND(power(1 + ssb / ssw, -(n - k) / 2.0), 6) AS p_value
 FROM s""")
 def q_anova(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = S.anova(Tables(spark, sf_dir).lineitem, "l_returnflag", "l_quantity")
-    return _r(a, {"ssb": 4, "ssw": 4, "f": 6})
+    return _r(S.with_p_values(a, "anova"), {"ssb": 4, "ssw": 4, "f": 6, "p_value": 6})
 
 
 @register("tukey", "T04", f"""
@@ -213,14 +233,17 @@ r AS (SELECT o_orderpriority, SUM(n) AS rt FROM c GROUP BY 1),
 k AS (SELECT o_orderstatus, SUM(n) AS ct FROM c GROUP BY 1),
 tot AS (SELECT SUM(n) AS total FROM c),
 e AS (SELECT c.n, r.rt * k.ct / tot.total AS expected
-      FROM c JOIN r USING (o_orderpriority) JOIN k USING (o_orderstatus) CROSS JOIN tot)
-SELECT ROUND(SUM(power(n - expected, 2) / expected), 6) AS statistic,
-       CAST(((SELECT COUNT(*) FROM r) - 1) * ((SELECT COUNT(*) FROM k) - 1) AS BIGINT) AS df,
-       ROUND(MIN(expected), 6) AS min_expected
-FROM e""")
+      FROM c JOIN r USING (o_orderpriority) JOIN k USING (o_orderstatus) CROSS JOIN tot),
+x AS (SELECT SUM(power(n - expected, 2) / expected) AS stat, MIN(expected) AS low,
+             CAST(((SELECT COUNT(*) FROM r) - 1) * ((SELECT COUNT(*) FROM k) - 1) AS BIGINT) AS v FROM e)
+SELECT ROUND(stat, 6) AS statistic, v AS df, ROUND(low, 6) AS min_expected,
+       -- closed form of the chi-square tail for an even number of degrees of freedom
+       ROUND((SELECT exp(-stat / 2) * sum(power(stat / 2, i) / gamma(i + 1)) FROM range(v // 2) g(i)), 6) AS p_value
+FROM x""")
 def q_chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = S.chi_square(Tables(spark, sf_dir).orders, "o_orderpriority", "o_orderstatus")
-    return _r(c.withColumn("df", F.col("df").cast("long")), {"statistic": 6, "min_expected": 6})
+    return _r(S.with_p_values(c.withColumn("df", F.col("df").cast("long")), "chi_square"),
+              {"statistic": 6, "min_expected": 6, "p_value": 6})
 
 
 @register("ols_price", "T06 T07", """
@@ -260,3 +283,63 @@ def q_ols_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Top 10 by Cook's distance is the report itself (TakeOrderedAndProject).
     top = d.orderBy(F.col("cooks_d").desc(), "l_orderkey", "l_linenumber").limit(10)
     return _r(top, {"fitted": 4, "residual": 4, "leverage": 9, "std_residual": 6, "cooks_d": 9})
+
+
+# One slope within groups and one intercept per group, from sums around the group means.
+_ANCOVA_SQL = """
+WITH g AS (SELECT l_returnflag AS level, COUNT(*) AS n, AVG(l_quantity) AS mx, AVG(l_extendedprice) AS my,
+                  regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_sxy(l_extendedprice, l_quantity) AS sxy,
+                  regr_syy(l_extendedprice, l_quantity) AS syy FROM lineitem GROUP BY 1),
+w AS (SELECT SUM(sxx) AS sxx, SUM(sxy) / SUM(sxx) AS b, SUM(syy) - SUM(sxy) * SUM(sxy) / SUM(sxx) AS sse,
+             CAST(SUM(n) - COUNT(*) - 1 AS BIGINT) AS v, CAST(SUM(n) AS BIGINT) AS n FROM g),
+base AS (SELECT * FROM g ORDER BY level LIMIT 1),
+terms AS (
+  SELECT 'l_quantity' AS term, b AS estimate, sqrt(sse / v / sxx) AS se, v FROM w
+  UNION ALL SELECT '(Intercept)', base.my - b * base.mx, sqrt(sse / v * (1 / base.n + base.mx * base.mx / w.sxx)), v FROM w, base
+  UNION ALL SELECT 'l_returnflag=' || g.level, (g.my - b * g.mx) - (base.my - b * base.mx),
+                   sqrt(sse / v * (1 / g.n + 1 / base.n + power(g.mx - base.mx, 2) / w.sxx)), v
+  FROM w, base, g WHERE g.level > base.level)
+"""
+
+
+@register("linear_model_terms", "T06 T07", _ANCOVA_SQL + """
+SELECT term, ROUND(estimate, 4) AS estimate, ROUND(se, 4) AS std_error, ROUND(estimate / se, 4) AS t,
+       ROUND(""" + t_p_value_sql("estimate / se", "v") + """, 6) AS p_value,
+       ROUND(estimate - """ + t_quantile_sql("v") + """ * se, 4) AS conf_low,
+       ROUND(estimate + """ + t_quantile_sql("v") + """ * se, 4) AS conf_high
+FROM terms""")
+def q_linear_model_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price by quantity and return flag: coefficient table with tests and limits."""
+    fit = S.linear_model(Tables(spark, sf_dir).lineitem, "l_extendedprice", ["l_quantity"], ["l_returnflag"])
+    return _r(S.coefficient_table(spark, fit), {"estimate": 4, "std_error": 4, "t": 4, "p_value": 6, "conf_low": 4, "conf_high": 4})
+
+
+@register("linear_model_fit", "T09", _ANCOVA_SQL + """
+, total AS (SELECT regr_syy(l_extendedprice, l_quantity) AS sst FROM lineitem)
+SELECT w.n, v AS df, ROUND(1 - sse / sst, 6) AS r2, ROUND(1 - sse / sst * (w.n - 1) / v, 6) AS adj_r2,
+       ROUND(sqrt(sse / v), 4) AS sigma
+FROM w, total""")
+def q_linear_model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = S.linear_model(Tables(spark, sf_dir).lineitem, "l_extendedprice", ["l_quantity"], ["l_returnflag"])
+    row = spark.createDataFrame([(int(fit["n"]), int(fit["df"]), float(fit["r2"]), float(fit["adj_r2"]), fit["sigma"])],
+                                "n long, df long, r2 double, adj_r2 double, sigma double")
+    return _r(row, {"r2": 6, "adj_r2": 6, "sigma": 4})
+
+
+@register("tukey_tests", "T04")
+def q_tukey_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tukey pairs with adjusted p-values and simultaneous limits (no studentized range in SQL)."""
+    p = S.with_p_values(S.tukey_pairs(Tables(spark, sf_dir).lineitem, "l_returnflag", "l_quantity"), "tukey")
+    return _r(p, {"diff": 6, "se": 6, "q": 6, "p_adj": 4, "conf_low": 4, "conf_high": 4})
+
+
+@register("covariance", "A12", """
+SELECT ROUND(covar_samp(l_quantity, l_extendedprice), 4) AS cov_quantity_price,
+       ROUND(covar_samp(l_quantity, l_discount), 6) AS cov_quantity_discount,
+       ROUND(covar_pop(l_discount, l_tax), 9) AS cov_discount_tax FROM lineitem""")
+def q_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Tables(spark, sf_dir).lineitem.agg(
+        F.covar_samp("l_quantity", "l_extendedprice").alias("cov_quantity_price"),
+        F.covar_samp("l_quantity", "l_discount").alias("cov_quantity_discount"),
+        F.covar_pop("l_discount", "l_tax").alias("cov_discount_tax"))
+    return _r(c, {"cov_quantity_price": 4, "cov_quantity_discount": 6, "cov_discount_tax": 9})

@@ -122,7 +122,7 @@ def adjusted_rand_index(df: DataFrame, a: str, b: str) -> DataFrame:
     """ARI from the contingency table's pair counts."""
     def c2(x):
         return x * (x - 1) / 2
-    cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    cells = materialise(df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")), "cells")  # the only pass over rows
     rows = cells.groupBy(a).agg(F.sum("n").alias("s"))
     cols = cells.groupBy(b).agg(F.sum("n").alias("s"))
     idx = cells.select(F.sum(c2(F.col("n")))).scalar()

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
+                                       MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import (OneHotEncoder, PCA, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VarianceThresholdSelector, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import distributions as D
+from tessera.session import materialise
 
 
 def preprocessing(numeric: Sequence[str], categorical: Sequence[str],
@@ -60,6 +62,11 @@ def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
+def _exp(x: float) -> float:
+    """exp, infinite where a double cannot hold it (separable predictors)."""
+    return math.exp(x) if x < 709 else math.inf
+
+
 def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int = 15) -> list[dict]:
     """Binomial GLM coefficients as odds ratios with Wald 95% CIs, largest |log OR| first."""
     va = VectorAssembler(inputCols=list(features), outputCol="features")
@@ -71,8 +78,8 @@ def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int
     se = list(s.coefficientStandardErrors)
     se = [se[-1], *se[:-1]] if glm.getFitIntercept() else se  # intercept SE comes last
     z = D.norm_ppf(0.975)
-    rows = [{"term": n, "log_odds": float(b), "odds_ratio": math.exp(b), "std_error": float(e),
-             "conf_low": math.exp(b - z * e), "conf_high": math.exp(b + z * e),
+    rows = [{"term": n, "log_odds": float(b), "odds_ratio": _exp(b), "std_error": float(e),
+             "conf_low": _exp(b - z * e), "conf_high": _exp(b + z * e),
              "p_value": 2 * (1 - D.norm_cdf(abs(b / e))) if e > 0 else float("nan")}
             for n, b, e in zip(names, coefs, se)]
     terms = [r for r in rows if r["term"] != "(Intercept)"]
@@ -86,13 +93,20 @@ def tuned_tree(train: DataFrame, label: str, features: Sequence[str], folds: int
     Spark has no cost-complexity pruning; depth / minimum gain are the
     pruning parameters searched instead.
     """
-    va = VectorAssembler(inputCols=list(features), outputCol="features")
+    # Features are assembled and written once, not in each of the folds x depths fits.
+    ready = assembled(train, label, features)
     dt = DecisionTreeClassifier(featuresCol="features", labelCol=label, impurity="entropy", seed=seed)
     grid = ParamGridBuilder().addGrid(dt.maxDepth, list(depths)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=Pipeline(stages=[va, dt]), estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=folds, seed=seed, parallelism=4)
-    return cv.fit(train)
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev,
+                        numFolds=folds, seed=seed, parallelism=8)
+    return cv.fit(ready)
+
+
+def assembled(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
+    """Label and one feature vector per row, written once for the passes of an iterative fit."""
+    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    return materialise(va.transform(df).select(label, "features"), "features")
 
 
 def normalized_importance(importances, names: Sequence[str]) -> list[tuple[str, float]]:
@@ -105,9 +119,14 @@ def normalized_importance(importances, names: Sequence[str]) -> list[tuple[str,
 
 def random_forest(train: DataFrame, label: str, features: Sequence[str], trees: int = 50, seed: int = 123):
     """Random forest candidate model."""
-    va = VectorAssembler(inputCols=list(features), outputCol="features")
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, seed=seed)
-    return Pipeline(stages=[va, rf]).fit(train)
+    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, seed=seed).fit(
+        assembled(train, label, features))
+
+
+def boosted_trees(train: DataFrame, label: str, features: Sequence[str], rounds: int = 20, seed: int = 123):
+    """Gradient-boosted trees for a 0/1 label."""
+    return GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed).fit(
+        assembled(train, label, features))
 
 
 def standardize(train: DataFrame, test: DataFrame, vec: str = "features"):
@@ -116,18 +135,37 @@ def standardize(train: DataFrame, test: DataFrame, vec: str = "features"):
     return sc.transform(train), sc.transform(test)
 
 
+def minmax(train: DataFrame, test: DataFrame, vec: str = "features"):
+    """Scale to [0, 1] by the training minimum and maximum, applied to both."""
+    sc = MinMaxScaler(inputCol=vec, outputCol="scaled").fit(train)
+    return sc.transform(train), sc.transform(test)
+
+
 def as_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.transform(array_col, lambda x: x.cast("double"))))
 
 
-def kmeans_best_of(df: DataFrame, k: int, seeds: Sequence[int], features: str = "features"):
-    """K-means with several starts, keeping the lowest within-cluster cost."""
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, featuresCol=features, predictionCol="cluster").fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+def kmeans_best_of(df: DataFrame, k: int, seeds: Sequence[int], features: str = "features", parallelism: int = 8):
+    """K-means with several starts, keeping the lowest within-cluster cost.
+
+    The starts are independent Spark jobs, some at a time; ties go to the earlier seed.
+    """
+    with ThreadPool(min(parallelism, len(seeds))) as pool:
+        fits = pool.map(lambda s: KMeans(k=k, seed=s, featuresCol=features, predictionCol="cluster").fit(df), seeds)
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
+def silhouette_search(df: DataFrame, array_col: str, subsets: dict[str, Sequence[int]], ks: Sequence[int],
+                      starts: int = 5, seed: int = 123) -> list[tuple[str, int, float, float]]:
+    """(subset, k, silhouette, cost) for every feature subset and number of clusters (M19), best first."""
+    out = []
+    for name, places in subsets.items():
+        part = F.array(*[F.get(F.col(array_col), F.lit(i)).cast("double") for i in places])
+        ready = materialise(df.select(array_to_vector(part).alias("features")), "subset")
+        for k in ks:
+            m = kmeans_best_of(ready, k, range(seed, seed + starts))
+            out.append((name, k, silhouette(m.transform(ready)), float(m.summary.trainingCost)))
+    return sorted(out, key=lambda r: (-r[2], r[0], r[1]))
 
 
 def silhouette(scored: DataFrame, features: str = "features", prediction: str = "cluster") -> float:
@@ -136,20 +174,29 @@ def silhouette(scored: DataFrame, features: str = "features", prediction: str =
                                distanceMeasure="squaredEuclidean").evaluate(scored)
 
 
-def pca_summary(df: DataFrame, k: int, features: str = "features", keep: float = 0.90):
-    """Scaled PCA: explained variance, cumulative share, and components kept."""
-    scaled = StandardScaler(inputCol=features, outputCol="_z", withMean=True, withStd=True).fit(df).transform(df)
-    model = PCA(k=k, inputCol="_z", outputCol="pcs").fit(scaled)
-    ev = list(model.explainedVariance.toArray())
+def fit_pca(scaled: DataFrame, k: int, features: str = "scaled", keep: float = 0.90):
+    """PCA of standardised rows: model, (component, explained, cumulative), components kept."""
+    model = PCA(k=k, inputCol=features, outputCol="pcs").fit(scaled)
     cum, out = 0.0, []
-    for i, v in enumerate(ev, 1):
+    for i, v in enumerate(model.explainedVariance.toArray(), 1):
         cum += v
         out.append((i, float(v), float(cum)))
     kept = next((i for i, _, c in out if c >= keep), len(out))
     return model, out, kept
 
 
-def mlp_classifier(train: DataFrame, label: str, n_in: int, n_classes: int, hidden: int = 32,
+def candidates(train: DataFrame, label: str, features: str, seed: int = 123) -> dict:
+    """Fitted classifiers to compare on one split."""
+    kinds = {
+        "multinomial": LogisticRegression(family="multinomial", maxIter=100),
+        "decision_tree": DecisionTreeClassifier(impurity="entropy", maxDepth=8, seed=seed),
+        "random_forest": RandomForestClassifier(numTrees=50, maxDepth=8, seed=seed),
+        "naive_bayes": NaiveBayes(modelType="gaussian"),
+    }
+    return {name: e.setFeaturesCol(features).setLabelCol(label).fit(train) for name, e in kinds.items()}
+
+
+def mlp_classifier(train: DataFrame, label: str, n_in: int, n_classes: int, hidden: int = 128,
                    seed: int = 123, features: str = "features"):
     """Dense network classifier on flat vectors (M31); sigmoid hidden units."""
     return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label,

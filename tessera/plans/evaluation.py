@@ -83,6 +83,26 @@ def q_binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(c.join(a, "model"), 6)
 
 
+@register("audit_metrics", "M33", f"""
+WITH {_SCORED_SQL},
+c AS (SELECT lang, COUNT(*) AS n, COUNT(*) FILTER (WHERE truth = 1 AND score >= 0.5) AS tp,
+             COUNT(*) FILTER (WHERE truth <> 1 AND score >= 0.5) AS fp,
+             COUNT(*) FILTER (WHERE truth = 1 AND score < 0.5) AS fn,
+             COUNT(*) FILTER (WHERE truth <> 1 AND score < 0.5) AS tn
+      FROM scored JOIN documents USING (doc_id) WHERE model = 'length' GROUP BY lang),
+m AS (SELECT *, tp / NULLIF(tp + fp, 0) AS precision, tp / NULLIF(tp + fn, 0) AS recall,
+             tn / NULLIF(tn + fp, 0) AS specificity FROM c)
+SELECT lang, n, tp, fp, fn, tn, ROUND((tp + tn) / n, 6) AS accuracy, ROUND(precision, 6) AS precision,
+       ROUND(recall, 6) AS recall, ROUND(2 * precision * recall / NULLIF(precision + recall, 0), 6) AS f1,
+       ROUND(specificity, 6) AS specificity, ROUND((recall + specificity) / 2, 6) AS balanced_accuracy
+FROM m""")
+def q_audit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary metrics within each audit group (language)."""
+    t = Tables(spark, sf_dir)
+    s = scored_documents(t).where(F.col("model") == "length").join(t.documents.select("doc_id", "lang"), "doc_id")
+    return _r(E.with_rates(E.confusion_counts(s, "truth", F.col("score") >= 0.5, ["lang"])), 6)
+
+
 @register("threshold_sweep", "M14 U02", f"""
 WITH {_SCORED_SQL},
 th AS (SELECT unnest([{", ".join(f"{t}::DOUBLE" for t in THRESHOLDS)}]) AS threshold)
@@ -181,23 +201,22 @@ def q_ari(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_centroid(t: Tables) -> DataFrame:
     """Predict each embedding's label by the nearest label centroid (M18/M20 style).
 
-    Centroids (labels x dimension values, bounded by the label domain) are
-    computed on Spark and enter the plan as literals, like a fitted model.
+    The centroids are a scalar subquery of one row (labels x dimension values),
+    so the model never leaves the cluster.
     """
     e = t.embeddings
     ex = e.select("label", F.posexplode("embedding").alias("i", "v"))
     cent = ex.groupBy("label", "i").agg(F.avg("v").alias("cv"))
-    rows = (cent.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "cv"))).alias("c"))
-            .orderBy("label").collect())
+    per_label = cent.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "cv"))),
+                                                      lambda x: x["cv"]).alias("c"))
+    model = per_label.select(F.collect_list(F.struct("label", "c"))).scalar()
     emb = F.transform("embedding", lambda x: x.cast("double"))
-    cands = []
-    for r in rows:
-        c = F.array(*[F.lit(float(s["cv"])) for s in r["c"]])
-        dist = F.aggregate(F.zip_with(emb, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                           lambda acc, x: acc + x)
-        cands.append(F.struct(dist.alias("d"), F.lit(int(r["label"])).alias("label")))
-    return e.select("vec_id", F.col("label").alias("truth"),
-                    F.array_min(F.array(*cands))["label"].alias("pred"))
+
+    def distance(c):
+        return F.aggregate(F.zip_with(emb, c["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    cands = F.transform("_model", lambda c: F.struct(distance(c).alias("d"), c["label"].alias("label")))
+    return (e.withColumn("_model", model)
+            .select("vec_id", F.col("label").alias("truth"), F.array_min(cands)["label"].alias("pred")))
 
 
 _CENTROID_SQL = """ex AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),

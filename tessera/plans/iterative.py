@@ -22,7 +22,7 @@ from tessera.operators import stats as S
 from tessera.operators.windows import global_row_number
 from tessera.plans.analysis import t_quantile_sql
 from tessera.plans.evaluation import customer_segments, scenario_options
-from tessera.plans.modeling import SEED, document_features
+from tessera.plans.modeling import PREDICTORS, SEED, document_features
 from tessera.plans.relational import SNAPSHOT_1, SNAPSHOT_2, _SCD_ATTRS, _snapshot_sql, customer_snapshot
 from tessera.plans.registry import register
 from tessera.session import materialise, scratch_path
@@ -82,9 +82,8 @@ def q_qq_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("random_forest_quality", "M30 M09")
 def q_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = document_features(Tables(spark, sf_dir))
-    names = ["log_chars", "n_lines"]
-    m = M.random_forest(feats, "quality", names, trees=30, seed=SEED)
-    return spark.createDataFrame(M.normalized_importance(m.stages[-1].featureImportances, names),
+    m = M.random_forest(feats, "quality", PREDICTORS, seed=SEED)
+    return spark.createDataFrame(M.normalized_importance(m.featureImportances, PREDICTORS),
                                  "feature string, importance double")
 
 

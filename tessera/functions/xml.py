@@ -44,4 +44,5 @@ def xml_join(doc: ColumnOrName, tag: str, sep: str = " | ",
 
 def parse_xml(doc: ColumnOrName, schema: str, ignore_namespace: bool = True) -> Column:
     """Full parse with ``from_xml`` (PERMISSIVE: malformed -> NULL fields)."""
-    return F.from_xml(_col(doc), schema, {"ignoreNamespace": str(ignore_namespace).lower()})
+    return F.from_xml(_col(doc), schema, {"ignoreNamespace": str(ignore_namespace).lower(),
+                                            "ignoreSurroundingSpaces": "false"})

@@ -245,7 +245,7 @@ def q_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(E.class_metrics(nearest_centroid(Tables(spark, sf_dir)), "truth", "pred"), 6)
 
 
-@register("macro_metrics", "M22 M24", f"""
+@register("macro_metrics", "M22", f"""
 WITH {_CENTROID_SQL},
 t AS (SELECT truth AS label, COUNT(*) AS support FROM pairs GROUP BY 1),
 p AS (SELECT pred AS label, COUNT(*) AS predicted FROM pairs GROUP BY 1),

@@ -196,7 +196,7 @@ def q_dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.withColumn("dq_failed_rules", F.array_join("dq_failed_rules", ","))
 
 
-@register("dq_scorecard", "Q10 Q11", _FLAGS_SQL + """
+@register("dq_scorecard", "Q10", _FLAGS_SQL + """
 , totals AS (SELECT COUNT(*) AS evaluated,
                     COUNT(*) FILTER (WHERE dq_status = 'PASS') AS valid FROM results)
 , catalogue AS (SELECT unnest([""" + ", ".join(f"'{r}'" for r, *_ in _SQL_RULES) + """]) AS rule_id,

@@ -144,7 +144,7 @@ def q_sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.withColumn("_h", h).orderBy("_h", "o_orderkey").limit(SAMPLE_ROWS).drop("_h")
 
 
-@register("partition_load", "K04 K06 K12 D15 S07", """
+@register("partition_load", "K06 K12", """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS event_day, event_type, value FROM events""")
 def q_partition_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write events by day, reload one day's slice twice (idempotent), read back."""

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tessera import sinks, sources
 from tessera.functions.cleaning import decode_flag
+from tessera.functions.hashing import surrogate_key
 from tessera.operators import quality as Q
 from tessera.operators import scd
 from tessera.operators.joins import coalesced_key_join
@@ -159,6 +160,20 @@ def q_file_check(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("files_are_valid", F.lit(valid == 1)))
 
 
+@register("corpus_files", "S13", """
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+         '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'),
+         '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text
+FROM pages""")
+def q_corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as an HTML file of its own, read as a corpus."""
+    folder = _new(spark, "corpus")
+    p = Tables(spark, sf_dir).pages.select("page_id", "html")
+    p.repartition("page_id").write.partitionBy("page_id").text(folder)
+    corpus = sources.read_corpus(spark, folder, "html", carry=["page_id"])
+    return corpus.select(F.col("page_id").cast("long").alias("page_id"), "text")
+
+
 # ------------------------------------------------------- K02 K03 K05 K08 K10
 
 @register("layered_load", "K01 K02 K03 K05 K08 K10", """
@@ -257,6 +272,18 @@ def q_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd1_apply(customer_snapshot(t, SNAPSHOT_1), customer_snapshot(t, SNAPSHOT_2), "o_custkey", _SCD_ATTRS)
 
 
+@register("surrogate_keys", "D12", """
+SELECT o_orderstatus, COUNT(*) AS rows, COUNT(*) AS distinct_keys, TRUE AS repeatable FROM orders GROUP BY o_orderstatus""")
+def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys from business columns: one per order, and the same again from a second computation."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", surrogate_key("o_orderkey", "o_orderdate").alias("sk"))
+    again = Tables(spark, sf_dir).orders.select(F.col("o_orderkey").alias("k"), surrogate_key("o_orderkey", "o_orderdate").alias("sk2"))
+    per_key = (o.join(again, F.col("o_orderkey") == F.col("k")).groupBy("o_orderstatus", "sk")
+               .agg(F.count(F.lit(1)).alias("n"), F.min((F.col("sk") == F.col("sk2")).cast("int")).alias("same")))
+    return per_key.groupBy("o_orderstatus").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                                                (F.min("same") == 1).alias("repeatable"))
+
+
 # ------------------------------------------------------------------ Q11 Q10
 
 @register("rule_catalogue", "Q11", """

@@ -171,7 +171,7 @@ def customer_dimension(t: Tables) -> DataFrame:
                     change_hash(attrs).alias("row_hash"))
 
 
-@register("customer_dim_hash", "D03 D04 J01 P08 P10 P11 P13", """
+@register("customer_dim_hash", "D04 J01 P08 P10 P11", """
 WITH c AS (
   SELECT c.c_custkey AS customer_key,
          NULLIF(trim(regexp_replace(c.c_name, '\\s+', ' ', 'g')), '') AS customer_name,
@@ -223,7 +223,7 @@ _HASH_SQL = ("md5(to_json(struct_pack(last_status := last_status::VARCHAR, "
              "last_priority := last_priority::VARCHAR)))")
 
 
-@register("scd2_apply", "D10 D11 D12 K01", f"""
+@register("scd2_apply", "D10", f"""
 WITH {_snapshot_sql('s1', SNAPSHOT_1)}, {_snapshot_sql('s2', SNAPSHOT_2)},
 hist AS (SELECT o_custkey, last_status, last_priority, {_HASH_SQL} AS row_hash,
                 DATE '{SNAPSHOT_1}' AS valid_from, DATE '9999-12-31' AS valid_to, TRUE AS is_current

@@ -22,7 +22,7 @@ TOP_K = 3
 _TOK = r"regexp_extract_all(lower(text), '\p{L}+')"
 
 
-@register("chunks", "X27 S13", f"""
+@register("chunks", "X27", f"""
 WITH d AS (SELECT doc_id, source, text,
                   unnest(range(0, CAST(ceil(length(text) / {CHUNK_CHARS}) AS BIGINT))) AS i
            FROM documents)
@@ -126,7 +126,7 @@ def q_topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("vec_id", "query_id", round_to("score", 6).alias("score"), "rank")
 
 
-@register("page_text", "S13 P11", """
+@register("page_text", "P11", """
 SELECT page_id, url, NULLIF(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title,
        trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
          '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'),

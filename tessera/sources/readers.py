@@ -177,14 +177,14 @@ def check_parquet_files(spark: SparkSession, glob: str) -> DataFrame:
     return files.repartition(n).mapInPandas(ends, "path string, length long, is_valid boolean")
 
 
-def read_corpus(spark: SparkSession, folder: str, kind: str = "text") -> DataFrame:
+def read_corpus(spark: SparkSession, folder: str, kind: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """Documents with their source name (S13): text/markdown/HTML as whole
-    files, JSON as multi-line records."""
+    files, JSON as multi-line records.  ``carry`` keeps partition columns of the folder."""
     if kind == "json":
         df = spark.read.option("multiLine", "true").json(folder)
         return df.withColumn("source", F.col("_metadata.file_name"))
-    df = spark.read.option("wholetext", "true").text(folder)
-    df = df.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+    df = spark.read.text(folder, wholetext=True)  # an option() of that name is overridden by text()
+    df = df.select(*carry, F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
     if kind == "html":
         df = df.withColumn("text", strip_html("text"))
     return df

@@ -79,7 +79,7 @@ def test_register_inferred_and_corpus(spark, tmp):
     assert spark.table("product_cost_history").first().a == 1
     d = os.path.join(tmp, "corpus")
     os.makedirs(d)
-    _write(d, "p.html", b"<html><script>x()</script><p>Hello  <b>world</b></p></html>")
+    _write(d, "p.html", b"<html><script>x()\n</script>\n<p>Hello\n  <b>world</b></p></html>\n")
     r = sources.read_corpus(spark, d, "html").first()
     assert (r.source, r.text) == ("p.html", "Hello world")
 

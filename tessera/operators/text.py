@@ -32,6 +32,16 @@ def char_chunks(df: DataFrame, text: str, size: int, keys: Sequence[str]) -> Dat
                     ).withColumn("chunk_chars", F.length("chunk_text"))
 
 
+def word_chunks(df: DataFrame, text: str, size: int, keys: Sequence[str]) -> DataFrame:
+    """Chunks of ``size`` words, the whole text covered (X27); texts without words give none."""
+    x = df.select(*keys, F.regexp_extract_all(F.col(text), F.lit(r"[^\s]+"), F.lit(0)).alias("_w"))
+    n = F.size("_w")
+    starts = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / size).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    return x.select(*keys, "_w", F.explode(starts).alias("_i")).select(
+        *keys, (F.col("_i") + 1).alias("chunk_id"),
+        F.array_join(F.slice("_w", F.col("_i") * size + 1, F.lit(size)), " ").alias("chunk_text"))
+
+
 def paragraph_chunks(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """Non-blank lines as chunks with their 1-based line position."""
     x = df.select(*keys, F.posexplode(F.split(F.col(text), "\n")).alias("_p", "paragraph"))
@@ -80,6 +90,26 @@ def decode(padded: Column, vocab_map: Column) -> Column:
                                     lambda i: F.coalesce(vocab_map[i], F.lit("<unk>"))), " ")
 
 
+# Ids 0 to 3 are reserved (padding, start, unknown, unused), words follow after an offset of 3.
+RESERVED_IDS, ID_OFFSET = 4, 3
+
+
+def reserve_ids(ranks: Column) -> Column:
+    """Ranks from 1 as ids behind the reserved ones."""
+    return F.transform(ranks, lambda r: r + ID_OFFSET)
+
+
+def unreserve_ids(ids: Column) -> Column:
+    """Ids as ranks again; reserved ids are dropped."""
+    return F.transform(F.filter(ids, lambda i: i >= RESERVED_IDS), lambda i: i - ID_OFFSET)
+
+
+def post_pad(ids: Column, max_len: int) -> Column:
+    """Cut behind ``max_len`` and filled with the padding id at the end."""
+    kept = F.slice(ids, 1, max_len)
+    return F.concat(kept, F.array_repeat(F.lit(PAD_ID), F.greatest(F.lit(max_len) - F.size(kept), F.lit(0))))
+
+
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """Sorted distinct labels -> 0..k-1."""
     d = df.select(label).distinct()

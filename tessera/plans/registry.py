@@ -37,5 +37,5 @@ def register(name: str, operators: str, sql: str | None = None):
 def all_queries() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
     from tessera.plans import (analysis, briefs, customer360, evaluation, governed,  # noqa: F401
-                               iterative, loads, modeling, relational, retrieval, streams)
+                               iterative, loads, modeling, questions, relational, retrieval, streams)
     return dict(REGISTRY)

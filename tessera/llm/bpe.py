@@ -115,7 +115,7 @@ class Part:
 class TextEncoder:
     """Encodes and decodes with one tokeniser file; keeps the ids of ``store`` pre-tokens or so."""
 
-    def __init__(self, path: str, store: int = 1_500_000):
+    def __init__(self, path: str, store: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -212,7 +212,8 @@ class TextEncoder:
             insert = new[self._keys[at[new]] != keys[new]] if len(self._keys) else new
             where = np.searchsorted(self._keys, keys[insert])
             self._keys, self._proofs = np.insert(self._keys, where, keys[insert]), np.insert(self._proofs, where, proof[insert])
-            self._begin, self._count = np.insert(self._begin, where, begin[insert]), np.insert(self._count, where, count[insert])
+            self._begin = np.insert(self._begin, where, begin[insert].astype(np.uint32))
+            self._count = np.insert(self._count, where, count[insert].astype(np.uint32))
         counts = count[inverse]
         before = np.cumsum(counts) - counts
         index = np.repeat(begin[inverse] - before, counts) + np.arange(int(counts.sum()))
@@ -220,7 +221,7 @@ class TextEncoder:
 
     def _forget(self) -> None:
         self._keys, self._proofs = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self._begin, self._count, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self._begin, self._count, self._ids = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library's ``decode(ids, skip_special_tokens=False)``."""
@@ -323,7 +324,7 @@ def encoder(path: str) -> TextEncoder:
 
 def encoded_rows(e: TextEncoder, column: pa.Array) -> Iterator[np.ndarray]:
     """Ids of each whole text of an Arrow column in turn (null: none)."""
-    for _, _, data, offsets in text_slices(column, 2 << 20):
+    for _, _, data, offsets in text_slices(column):
         yield from e.encode_slice(data, offsets)
 
 

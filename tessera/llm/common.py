@@ -16,7 +16,7 @@ from tessera.session import checkpoint_dir
 from tessera.tables import load
 
 #: Bytes of text that a task turns into numpy arrays at a time (one longer text goes alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -126,7 +126,7 @@ _POWERS: list[np.ndarray] = []
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, SLICE_BYTES // 4)
+        size = max(n, SLICE_BYTES)
         _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))))
                       for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _POWERS[0][:n], _POWERS[1]

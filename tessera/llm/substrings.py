@@ -1,10 +1,11 @@
 """Substring deduplication (operator 8): sliding spans of sentences.
 
-A text is cut into sentences: after a word that ends with . ! or ?, at a line break, and after
-every ``MAX_WORDS`` words of a longer sentence.  Every run of ``RUN`` consecutive sentences (or
-more, until it has ``MIN_WORDS`` words) is hashed to 128 bits, from each start and towards each
-end.  Equal runs meet in one shuffle; sentences that lie in any run but the first of its
-kind, in the order of (document, position), are removed.
+A text is cut into sentences: after a word that ends with . ! or ?, at a line break, and, so that
+long sentences and text without stops are cut alike wherever they stand, after each word whose
+hash is a multiple of ``CUT`` and after ``MAX_WORDS`` words at most.  Every run of ``RUN``
+consecutive sentences (or more, until it has ``MIN_WORDS`` words) is hashed to 128 bits, from each
+start and towards each end.  Equal runs meet in one shuffle; sentences that lie in any run but
+the first of its kind, in the order of (document, position), are removed.
 
 Of equal runs in one batch of documents only the first is sent; the others cannot be first
 anywhere and are marked on the spot, so a very frequent run sends one row per batch.
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import _powers, mix, span_hashes, text_slices, word_spans
 
-#: Sentences in a run, words it has at least, words of the longest sentence.
-RUN, MIN_WORDS, MAX_WORDS = 3, 12, 16
+#: Sentences in a run, words it has at least (shorter repeats, such as common lines, are left alone),
+#: words of the longest sentence, and the share of words (one in CUT) that end one.
+RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 25, 24, 8
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -28,24 +30,25 @@ _CLOSERS[[ord(c) for c in "\"')]"]] = True
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray):
-    """Words as (starts, ends, rows), and the number of the first word of each sentence."""
+    """Words as (starts, ends, rows, hashes), and the number of the first word of each sentence."""
     starts, ends, rows = word_spans(data, offsets)
+    code = span_hashes(data, starts, ends)
     if not len(starts):
-        return starts, ends, rows, np.zeros(0, np.int64)
+        return starts, ends, rows, code, np.zeros(0, np.int64)
     last = data[ends - 1]
     before = data[np.maximum(ends - 2, starts)]
-    stop = _ENDS[last] | (_CLOSERS[last] & _ENDS[before])
+    stop = _ENDS[last] | (_CLOSERS[last] & _ENDS[before]) | (code % np.uint64(CUT) == 0)
     lines = np.concatenate(([0], np.cumsum(data == 10)))
     first = np.ones(len(starts), bool)
     first[1:] = stop[:-1] | (rows[1:] != rows[:-1]) | (lines[starts[1:]] != lines[starts[:-1]])
     heads = np.flatnonzero(first)
     place = np.arange(len(starts)) - np.repeat(heads, np.diff(np.append(heads, len(starts))))
-    return starts, ends, rows, np.flatnonzero(place % MAX_WORDS == 0)
+    return starts, ends, rows, code, np.flatnonzero(place % MAX_WORDS == 0)
 
 
 def runs(data: np.ndarray, offsets: np.ndarray):
     """All runs: (row, first sentence, end sentence, hash, other hash), sentences counted from 0 per row."""
-    starts, ends, rows, heads = sentences(data, offsets)
+    starts, ends, rows, code, heads = sentences(data, offsets)
     n = len(heads)
     none = np.zeros(0, np.int64)
     if not n:
@@ -63,7 +66,6 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     b = np.concatenate((to[forth_ok], at[back_ok] + 1))
     both = np.unique(a * np.int64(n + 1) + b)
     a, b = both // (n + 1), both % (n + 1)
-    code = span_hashes(data, starts, ends)
     powers, inverse = _powers(len(code) + 1)
     found = []
     for values in (code, mix(code + np.uint64(0x632BE59BD9B4E019))):
@@ -148,7 +150,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def _without(text: str, spans) -> tuple[str, int]:
     data = np.frombuffer(text.encode(), np.uint8)
-    starts, _, _, heads = sentences(data, np.array([0, len(data)]))
+    starts, _, _, _, heads = sentences(data, np.array([0, len(data)]))
     begins = np.append(starts[heads], len(data))
     change = np.zeros(len(heads) + 1, np.int64)
     np.add.at(change, [s["first"] for s in spans], 1)

@@ -1,6 +1,9 @@
 import re
 
+import numpy as np
+
 from tessera.llm import substrings
+from tessera.llm.common import span_hashes
 from tests.llm.conftest import ODD_TEXTS, docs_frame, prose
 
 
@@ -16,7 +19,8 @@ def brute_sentences(text):
         out[-1][1].append(m[0])
         count, line = count + 1, row
         w = m[0]
-        new = w[-1:] in (b".", b"!", b"?") or (w[-1:] in (b'"', b"'", b")", b"]") and w[-2:-1] in (b".", b"!", b"?"))
+        cut = int(span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) % substrings.CUT == 0
+        new = cut or w[-1:] in (b".", b"!", b"?") or (w[-1:] in (b'"', b"'", b")", b"]") and w[-2:-1] in (b".", b"!", b"?"))
     return raw, out
 
 
@@ -83,6 +87,22 @@ def test_passage_stays_once_and_clean_text_is_untouched(spark, rng):
     assert got[54] == dict(rows)[54] and got[1] == dict(rows)[1]
 
 
+def test_passages_inside_long_sentences_are_found(spark, rng):
+    """A passage of 60 words without any stop, after other words of the same sentence."""
+    words = prose(rng, 60).replace(".", "").lower()
+    rows = [(i, prose(rng, 20).replace(".", "") + " " + words + " " + prose(rng, 20).replace(".", "")) for i in range(6)]
+    got = {r.doc_id: r.text for r in substrings.remove_repeats(docs_frame(spark, rows)).collect()}
+    middle = " ".join(words.split()[24:36])
+    assert middle in got[0] and all(middle not in got[i] for i in range(1, 6))
+
+
+def test_short_common_lines_are_left_alone(spark, rng):
+    line = prose(rng, 18)
+    rows = [(i, prose(rng, 40) + "\n" + line + "\n" + prose(rng, 40)) for i in range(8)]
+    got = {r.doc_id: r.text for r in substrings.remove_repeats(docs_frame(spark, rows)).collect()}
+    assert got == dict(rows)
+
+
 def test_equal_rows_get_equal_texts(spark, rng):
     text = prose(rng, 60)
     got = [r.text for r in substrings.remove_repeats(docs_frame(spark, [(1, text), (1, text), (2, text)])).collect()]

@@ -45,11 +45,16 @@ def bounded_sample(rows: DataFrame, key: str, label: str, per_class: int) -> lis
     """At most ``per_class`` keys of each label, the first by hash of the key.
 
     The choice depends on the keys alone, not on partitioning.  Keys or labels that
-    are null take no part.  The per-label limit is applied before the shuffle too.
+    are null take no part.  Keys are thinned out by hash before a label's keys meet, to some
+    times the number wanted, so a label with most of the rows makes no large task.
     """
-    distinct = rows.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, label).distinct()
+    distinct = written(rows.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, label).distinct(), "sample-keys")
+    counts = distinct.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_c"))
+    # The hash as a number from 0 to 1: the smallest hashes are those below the share.
+    place = F.xxhash64(key) / F.lit(2.0 ** 64) + 0.5
+    near = distinct.join(counts, F.col(label) == F.col("_l")).where(place <= F.lit(8.0 * per_class + 64) / F.col("_c"))
     w = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
-    chosen = distinct.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_class)
+    chosen = near.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_class)
     return sorted((r[0], r[1]) for r in chosen.select(key, label).collect())
 
 

@@ -76,6 +76,11 @@ def is_finite(c: ColumnOrName) -> Column:
     return ~(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
 
 
+def money_sum(c: ColumnOrName) -> Column:
+    """Sum of an amount in cents-exact decimals, handed out as DOUBLE: no order of rows changes it."""
+    return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
+
+
 def round_to(c: ColumnOrName, digits: int) -> Column:
     """Round half away from zero on the binary value ``x * 10^digits``.
 

@@ -117,19 +117,18 @@ def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Rows, nulls, distinct values, min and max (as text) per column (Q12)."""
-    cols = list(cols or df.columns)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_rows")]
-    for c in cols:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-                 F.count_distinct(F.col(c)).alias(f"{c}__distinct"),
-                 F.min(c).cast("string").alias(f"{c}__min"),
-                 F.max(c).cast("string").alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    per_col = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("nulls"),
-                        F.col(f"{c}__distinct").alias("distinct_values"),
-                        F.col(f"{c}__min").alias("min_value"),
-                        F.col(f"{c}__max").alias("max_value")) for c in cols]
-    return wide.select(F.col("_rows").alias("rows"), F.explode(F.array(*per_col)).alias("s")) \
-               .select("s.column_name", "rows", "s.nulls", "s.distinct_values",
-                       "s.min_value", "s.max_value")
+    """Rows, nulls, distinct values, min and max (as text) per column (Q12).
+
+    Each column is counted per value first (a partial aggregation over that
+    column's scan alone), so rows are not expanded and no set of values is
+    held in one task.
+    """
+    out = None
+    for c in list(cols or df.columns):
+        v, n = F.col("_v"), F.col("_n")
+        per = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        row = per.agg(F.sum(n).alias("rows"), F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("nulls"),
+                      F.count(v).alias("distinct_values"), F.min(v).cast("string").alias("min_value"),
+                      F.max(v).cast("string").alias("max_value")).select(F.lit(c).alias("column_name"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -15,14 +15,6 @@ from pyspark.sql.window import Window
 from tessera.functions.dates import UNKNOWN_MEMBER_KEY
 
 
-def left_chain(base: DataFrame, lookups: Sequence[tuple[DataFrame, Column | str | list]]) -> DataFrame:
-    """Left equi-join chain that preserves every base row."""
-    out = base
-    for lookup, on in lookups:
-        out = out.join(lookup, on, "left")
-    return out
-
-
 def coalesced_key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_key: str,
                        how: str = "left") -> DataFrame:
     """Equi-join on the first non-NULL of several key columns.
@@ -33,20 +25,6 @@ def coalesced_key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[st
     return keyed.join(right, F.col("_key") == right[right_key], how).drop("_key")
 
 
-def interval_overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                          left_from: str, left_to: str, right_from: str, right_to: str,
-                          how: str = "inner") -> DataFrame:
-    """Equi key AND half-open overlap ``l.from < r.to AND r.from < l.to``.
-
-    Planned as a sort-merge join on the keys with a range residual.  Use
-    :func:`tessera.operators.scd.timeline_merge` when one side may hold a
-    hot key with many versions: it never forms version pairs.
-    """
-    cond = [left[k] == right[k] for k in keys]
-    cond += [left[left_from] < right[right_to], right[right_from] < left[left_to]]
-    return left.join(right, cond, how)
-
-
 def top1_lateral(outer: DataFrame, inner: DataFrame, outer_key: str, inner_key: str,
                  order: Sequence[Column], select: Sequence[str]) -> DataFrame:
     """``LEFT JOIN LATERAL (... ORDER BY ... LIMIT 1)``.

@@ -70,13 +70,6 @@ def group_size(df: DataFrame, keys: Sequence[str], name: str = "group_rows") ->
     return join_null_safe(df, counts, keys)
 
 
-def exclusive_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                         value: str, name: str) -> DataFrame:
-    """``sum(value) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING``, 0 first."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
-
-
 def running_totals(df: DataFrame, order: Sequence[Column], values: dict[str, Column | str],
                    num_ranges: int | None = None, totals: dict[str, str] | None = None,
                    keys: Sequence[str] = ()) -> DataFrame:

@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.cleaning import blank_to_null, clean_text, round_to, safe_cast
-from tessera.functions.dates import fiscal_parts, open_end
+from tessera.functions.cleaning import blank_to_null, clean_text, money_sum, round_to, safe_cast
+from tessera.functions.dates import date_key, fiscal_parts, open_end
 from tessera.functions.hashing import change_hash
 from tessera.functions.xml import xml_join, xml_value
 from tessera.operators import dims, scd
-from tessera.operators.joins import as_of_lookup, orphans, top1_lateral
+from tessera.operators.joins import as_of_lookup, orphans, resolve_unknown, top1_lateral
 from tessera.operators.windows import (global_row_number, join_null_safe, latest_per_key, ntile_from_rank, pareto,
                                        period_change, validity_from_starts, group_size)
 from tessera.plans.registry import register
@@ -262,6 +262,7 @@ WITH {_STATUS_HISTORY_SQL}
 SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, strftime(l.l_shipdate::DATE, '%Y-%m-%d') AS ship_day,
        COALESCE(h.status, 'UNKNOWN') AS status_at_ship,
        COALESCE(strftime(h.status_from, '%Y-%m-%d'), 'none') AS status_since,
+       COALESCE(CAST(strftime(h.status_from, '%Y%m%d') AS BIGINT), -1) AS status_date_key,
        h.status_from IS NULL AS unknown_member
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN status_history h ON h.o_custkey = o.o_custkey
@@ -273,8 +274,9 @@ def q_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
     resolved = as_of_lookup(facts, status_history(t), "o_custkey", "ship_day",
                             "status_from", "status_to", ["status", "status_from"])
+    resolved = resolve_unknown(resolved.withColumn("status_date_key", date_key("status_from").cast("long")), "status_date_key")
     return resolved.select(
-        "l_orderkey", "l_linenumber", "o_custkey", _d("ship_day").alias("ship_day"),
+        "l_orderkey", "l_linenumber", "o_custkey", _d("ship_day").alias("ship_day"), "status_date_key",
         F.coalesce("status", F.lit("UNKNOWN")).alias("status_at_ship"),
         F.coalesce(_d("status_from"), F.lit("none")).alias("status_since"),
         F.col("status_from").isNull().alias("unknown_member"))
@@ -324,14 +326,14 @@ def q_fiscal_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("fiscal_sales", "A26 D06", """
 SELECT CAST(year(o_orderdate + INTERVAL 2 MONTH) AS INTEGER) AS fiscal_year,
        CAST(month(o_orderdate + INTERVAL 2 MONTH) AS INTEGER) AS fiscal_month,
-       COUNT(*) AS orders, ROUND(SUM(o_totalprice), 2) AS revenue
+       COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM orders GROUP BY 1, 2""")
 def q_fiscal_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
     p = fiscal_parts("o_orderdate")
     return (o.groupBy(p["fiscal_year"].alias("fiscal_year"), p["fiscal_month"].alias("fiscal_month"))
             .agg(F.count(F.lit(1)).alias("orders"),
-                 round_to(F.sum("o_totalprice"), 2).alias("revenue")))
+                 money_sum("o_totalprice").alias("revenue")))
 
 
 # ------------------------------------------------------------------- W10
@@ -474,7 +476,7 @@ def q_delivery_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("monthly_trend", "W11 G01", """
-WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS year_month, SUM(o_totalprice) AS revenue,
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS year_month, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
                   COUNT(*) AS orders FROM orders GROUP BY 1)
 SELECT year_month, orders, ROUND(revenue, 2) AS revenue,
        ROUND(lag(revenue) OVER (ORDER BY year_month), 2) AS previous_value,
@@ -483,7 +485,7 @@ FROM m""")
 def q_monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
     m = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("year_month")).agg(
-        F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+        money_sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("orders"))
     # Aggregated to one row per month: the ordered window runs on that.
     m = period_change(m, "year_month", "revenue")
     return m.select("year_month", "orders", round_to("revenue", 2).alias("revenue"),
@@ -496,12 +498,11 @@ WITH c AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1)
 SELECT COUNT(*) AS unique_customers, COUNT(*) FILTER (WHERE n > 1) AS repeat_customers,
        COUNT(*) FILTER (WHERE n = 1) AS one_time_customers,
        ROUND(COUNT(*) FILTER (WHERE n > 1) / COUNT(*), 6) AS repeat_share,
-       ROUND((SELECT ROUND(SUM(o_totalprice), 2) / COUNT(*) FROM orders), 4) AS avg_order_value
+       ROUND((SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) FROM orders), 4) AS avg_order_value
 FROM c""")
 def q_customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
-    # money average from the cent-exact sum
-    aov = o.select(round_to(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).scalar()
+    aov = o.select(money_sum("o_totalprice") / F.count(F.lit(1))).scalar()
     c = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     return c.agg(F.count(F.lit(1)).alias("unique_customers"),
                  F.count_if(F.col("n") > 1).alias("repeat_customers"),

@@ -151,11 +151,10 @@ WITH lo AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM orders
 SELECT e.event_id, e.user_id, c.c_name, c.c_mktsegment, lo.o_orderkey AS latest_orderkey,
        lo.o_orderstatus AS latest_status
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
-LEFT JOIN lo ON lo.o_custkey = e.user_id
-WHERE e.event_type = 'purchase'""")
+LEFT JOIN lo ON lo.o_custkey = e.user_id""")
 def q_keyed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    keys = t.events.where(F.col("event_type") == "purchase").select("event_id", "user_id")
+    keys = t.events.select("event_id", "user_id")
     cust = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     latest = latest_per_key(t.orders, ["o_custkey"],
                             [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select(

@@ -304,6 +304,42 @@ def q_heuristic_roi_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round_to("expected_roi", 6).alias("expected_roi"))
 
 
+#: Programs of one intervention at most, and the replacement times to compare (months).
+PER_INTERVENTION, MONTHS = 2, (3, 6, 9, 12)
+
+
+@register("heuristic_capped_portfolio", "X09", f"""
+WITH {_SEG_SQL},
+ranked AS (SELECT *, ROUND((avoided - program_cost) / program_cost, 9) AS roi FROM opt),
+best AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY segment ORDER BY roi DESC, intervention) = 1),
+few AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY intervention ORDER BY roi DESC, segment) <= {PER_INTERVENTION}),
+r AS (SELECT *, SUM(program_cost) OVER w AS cumulative_cost, row_number() OVER w AS rank
+      FROM few WINDOW w AS (ORDER BY roi DESC, segment ROWS UNBOUNDED PRECEDING))
+SELECT segment, intervention, CAST(program_cost AS BIGINT) AS program_cost, CAST(cumulative_cost AS BIGINT) AS cumulative_cost, rank
+FROM r WHERE cumulative_cost <= {X.ANNUAL_BUDGET} AND rank <= {X.MAXIMUM_PROGRAMS}""")
+def q_heuristic_capped_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best return first, with a few programs of each intervention at most."""
+    from tessera.operators.windows import latest_per_key, running_selection
+    o = X.decision_options(customer_segments(Tables(spark, sf_dir))).withColumn("roi", round_to("expected_roi", 9))
+    best = latest_per_key(o, ["segment"], [F.col("roi").desc(), F.col("intervention")])
+    few = latest_per_key(best, ["intervention"], [F.col("roi").desc(), F.col("segment")], PER_INTERVENTION)
+    h = running_selection(few, [F.col("roi").desc(), F.col("segment").asc()], "program_cost", X.ANNUAL_BUDGET, X.MAXIMUM_PROGRAMS)
+    return h.select("segment", "intervention", "program_cost", F.col("cumulative_cost").cast("long").alias("cumulative_cost"), "rank")
+
+
+@register("replacement_months", "X09 X01", f"""
+WITH {_SEG_SQL}
+SELECT m.months, COUNT(*) AS segments, ROUND(SUM(total_exposure * m.months / {X.REPLACEMENT_MONTHS}), 2) AS total_exposure,
+       COUNT(*) FILTER (WHERE total_exposure * m.months / {X.REPLACEMENT_MONTHS} > 100000) AS large_segments
+FROM seg, (SELECT unnest([{", ".join(map(str, MONTHS))}]) AS months) m GROUP BY m.months""")
+def q_replacement_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exposure under other replacement times: the months are a parameter list applied to segments."""
+    seg = customer_segments(Tables(spark, sf_dir)).withColumn("months", F.explode(F.array(*[F.lit(m) for m in MONTHS])))
+    e = F.col("total_exposure") * F.col("months") / X.REPLACEMENT_MONTHS
+    return seg.groupBy("months").agg(F.count(F.lit(1)).alias("segments"), round_to(F.sum(e), 2).alias("total_exposure"),
+                                     F.count_if(e > 100000).alias("large_segments"))
+
+
 @register("drift_psi", "Q15", """
 WITH d AS (SELECT d.lang, l.doc_id IS NOT NULL AS labelled FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 e AS (SELECT lang, COUNT(*) AS e_n FROM d WHERE labelled GROUP BY 1),

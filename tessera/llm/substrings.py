@@ -3,9 +3,10 @@
 A text is cut into sentences: after a word that ends with . ! or ?, at a line break, and, so that
 long sentences and text without stops are cut alike wherever they stand, after each word whose
 hash is a multiple of ``CUT`` and after ``MAX_WORDS`` words at most.  Every run of ``RUN``
-consecutive sentences (or more, until it has ``MIN_WORDS`` words) is hashed to 128 bits, from each
-start and towards each end.  Equal runs meet in one shuffle; sentences that lie in any run but
-the first of its kind, in the order of (document, position), are removed.
+consecutive sentences (or more, until it has ``MIN_WORDS`` words) is hashed to 96 bits, from each
+sentence on, and back from the last sentence of each line.  Equal runs meet in one shuffle;
+sentences that lie in any run but the first of its kind, in the order of (document, position),
+are removed.
 
 Of equal runs in one batch of documents only the first is sent; the others cannot be first
 anywhere and are marked on the spot, so a very frequent run sends one row per batch.
@@ -22,7 +23,7 @@ from tessera.llm.common import _powers, mix, span_hashes, text_slices, word_span
 
 #: Sentences in a run, words it has at least (shorter repeats, such as common lines, are left alone),
 #: words of the longest sentence, and the share of words (one in CUT) that end one.
-RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 25, 24, 8
+RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 20, 24, 16
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -30,25 +31,29 @@ _CLOSERS[[ord(c) for c in "\"')]"]] = True
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray):
-    """Words as (starts, ends, rows, hashes), and the number of the first word of each sentence."""
+    """Words as (starts, ends, rows, hashes), the number of the first word of each sentence, and
+    whether a sentence is the last of its line."""
     starts, ends, rows = word_spans(data, offsets)
     code = span_hashes(data, starts, ends)
     if not len(starts):
-        return starts, ends, rows, code, np.zeros(0, np.int64)
+        return starts, ends, rows, code, np.zeros(0, np.int64), np.zeros(0, bool)
     last = data[ends - 1]
     before = data[np.maximum(ends - 2, starts)]
     stop = _ENDS[last] | (_CLOSERS[last] & _ENDS[before]) | (code % np.uint64(CUT) == 0)
     lines = np.concatenate(([0], np.cumsum(data == 10)))
-    first = np.ones(len(starts), bool)
-    first[1:] = stop[:-1] | (rows[1:] != rows[:-1]) | (lines[starts[1:]] != lines[starts[:-1]])
+    line = np.ones(len(starts), bool)
+    line[1:] = (rows[1:] != rows[:-1]) | (lines[starts[1:]] != lines[starts[:-1]])
+    first = line.copy()
+    first[1:] |= stop[:-1]
     heads = np.flatnonzero(first)
     place = np.arange(len(starts)) - np.repeat(heads, np.diff(np.append(heads, len(starts))))
-    return starts, ends, rows, code, np.flatnonzero(place % MAX_WORDS == 0)
+    heads = np.flatnonzero(place % MAX_WORDS == 0)
+    return starts, ends, rows, code, heads, np.append(line[heads[1:]], True)
 
 
 def runs(data: np.ndarray, offsets: np.ndarray):
     """All runs: (row, first sentence, end sentence, hash, other hash), sentences counted from 0 per row."""
-    starts, ends, rows, code, heads = sentences(data, offsets)
+    starts, ends, rows, code, heads, last = sentences(data, offsets)
     n = len(heads)
     none = np.zeros(0, np.int64)
     if not n:
@@ -58,10 +63,10 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     begin = np.searchsorted(row, row, "left")
     close = np.searchsorted(row, row, "right")
     at = np.arange(n)
-    # From each sentence on: RUN sentences, then more until there are MIN_WORDS words; and backwards.
+    # From each sentence on: RUN sentences, then more until there are MIN_WORDS words; and back from lines' ends.
     to = np.maximum(at + RUN, np.searchsorted(words, words[at] + MIN_WORDS, "left"))
     back = np.minimum(at + 1 - RUN, np.searchsorted(words, words[at + 1] - MIN_WORDS, "right") - 1)
-    forth_ok, back_ok = to <= close, back >= begin
+    forth_ok, back_ok = to <= close, last & (back >= begin)
     a = np.concatenate((at[forth_ok], back[back_ok]))
     b = np.concatenate((to[forth_ok], at[back_ok] + 1))
     both = np.unique(a * np.int64(n + 1) + b)
@@ -75,13 +80,16 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     return row[a], a - begin[a], b - begin[a], *found
 
 
-_FIELDS = ["h", "g", "sent", "id", "t", "first", "end"]
+#: A shuffled row: hash; 32 more bits of hash over 32 bits of the text's hash; id; place, negative if
+#: the stretch is marked already.  A run has at most ``MIN_WORDS`` sentences, so 6 bits hold its length.
+_FIELDS = ["h", "q", "id", "place"]
+_LENGTH_BITS = 6
 
 
 def _runs_of(batches):
-    """Rows to shuffle: runs (sent true), and stretches already known to be no first ones."""
+    """Rows to shuffle: runs, and stretches already known to be no first ones."""
     for batch in batches:
-        ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(0xFFFFFFFF)
         parts = []
         for low, _, data, offsets in text_slices(batch.column(2)):
             row, a, b, h, g = runs(data, offsets)
@@ -89,9 +97,11 @@ def _runs_of(batches):
         row, a, b, h, g = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([],) * 5
         if not len(row):
             continue
-        null = np.array([not v for v in ids.is_valid().to_pylist()])
+        null = ~ids.is_valid().to_numpy(zero_copy_only=False)
         value = np.where(null, 0, ids.fill_null(0).to_numpy(zero_copy_only=False))
-        own = np.stack([null[row].astype(np.int64), value[row].astype(np.int64), marks[row], a])
+        q = (g >> np.uint64(32) << np.uint64(32)) | marks[row]
+        g = q >> np.uint64(32)
+        own = np.stack([null[row].astype(np.int64), value[row].astype(np.int64), marks[row].astype(np.int64), a])
         order = np.lexsort((*own[::-1], g, h))
         own, head = own[:, order], np.ones(len(order), bool)
         head[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
@@ -99,29 +109,31 @@ def _runs_of(batches):
         lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
         later = (own != own[:, lead]).any(axis=0)
         order = order[head | later]
-        row, a, b, h, g, sent = row[order], a[order], b[order], h[order], g[order], head[head | later]
+        row, a, b, h, q, sent = row[order], a[order], b[order], h[order], q[order], head[head | later]
+        place = a << _LENGTH_BITS | (b - a)
         # A marked stretch needs no partner: it is dealt out by its document.
         key = np.where(sent, h, mix(value[row].astype(np.uint64) + a.astype(np.uint64)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(g.view(np.int64)), pa.array(sent), ids.take(pa.array(row)),
-             pa.array(marks[row]), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=_FIELDS)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(q.view(np.int64)), ids.take(pa.array(row)),
+                                          pa.array(np.where(sent, place, ~place))], names=_FIELDS)
 
 
 def _later_runs(batches):
-    """Stretches of sorted rows that are not the first of their hash, and the marked ones."""
+    """(id, t, place) of sorted rows that are not the first of their hash, and the marked ones.
+
+    Rows come sorted by hash, and within one hash by document and place; the first place of a
+    hash that goes on from the last batch is held.
+    """
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, g, sent = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        sent = sent.astype(bool)
-        ids = batch.column(3)
+        h, q, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        g, t, sent, ids = q.view(np.uint64) >> np.uint64(32), (q & 0xFFFFFFFF), place >= 0, batch.column(2)
         own = np.stack([(~ids.is_valid().to_numpy(zero_copy_only=False)).astype(np.int64), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                        *(batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (4, 5))])
+                        t, place >> _LENGTH_BITS])
         head = np.ones(len(h), bool)
         head[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | ~sent[1:] | ~sent[:-1]
         if held is not None and sent[0] and held[0] == (h[0], g[0]):
-            # The run of the last batch goes on: its first place is the one to compare with.
             goes_on = int(np.flatnonzero(head[1:])[0]) + 1 if head[1:].any() else len(h)
             first = held[1]
         else:
@@ -130,31 +142,38 @@ def _later_runs(batches):
         later = ~sent | (own != own[:, lead]).any(axis=0)
         later[:goes_on] = (own[:, :goes_on] != first[:, None]).any(axis=0)
         held = ((h[-1], g[-1]), first if goes_on == len(h) else own[:, lead[-1]]) if sent[-1] else None
-        picked = pa.array(np.flatnonzero(later))
-        yield pa.RecordBatch.from_arrays([batch.column(i).take(picked) for i in range(3, 7)], names=_FIELDS[3:])
+        picked = np.flatnonzero(later)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(picked)), pa.array(t[picked]), pa.array(np.where(sent, place, ~place)[picked])],
+                                         names=["id", "t", "place"])
+
+
+def _mark(text: str):
+    """32 bits of the text's hash, which tell rows of one id apart."""
+    return F.xxhash64(F.col(f"`{text}`").cast("string")).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, t, spans): sentence stretches to remove from each document that has any.
+    """(id, t, places): sentence stretches to remove from each document that has any.
 
-    ``t`` is xxhash64 of the text.  The list is bounded by the document's sentences.
+    A place is ``first sentence << 6 | sentences``.  The list is bounded by the document's sentences.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("t"), F.col(text).cast("string"))
-    found = rows.mapInArrow(_runs_of, f"h long, g long, sent boolean, id {kind}, t long, first int, end int")
-    # Marked rows sort before runs, so runs of one hash stay together.
-    sorted_runs = found.repartition("h", "g").sortWithinPartitions("h", "sent", "g", F.col("id").asc_nulls_last(), "t", "first")
-    later = sorted_runs.mapInArrow(_later_runs, f"id {kind}, t long, first int, end int")
-    return later.groupBy("id", "t").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    rows = docs.select(F.col(doc_id).alias("id"), _mark(text).alias("t"), F.col(text).cast("string"))
+    found = rows.mapInArrow(_runs_of, f"h long, q long, id {kind}, place long")
+    # Within a hash: the rest of the hash, then the order of documents and places; marked rows come first.
+    order = ["h", F.expr("place >= 0"), F.shiftrightunsigned("q", 32), F.col("id").asc_nulls_last(), "q", "place"]
+    later = found.repartition("h").sortWithinPartitions(*order).mapInArrow(_later_runs, f"id {kind}, t long, place long")
+    return later.groupBy("id", "t").agg(F.collect_set("place").alias("places"))
 
 
-def _without(text: str, spans) -> tuple[str, int]:
+def _without(text: str, places: list[int]) -> tuple[str, int]:
     data = np.frombuffer(text.encode(), np.uint8)
-    starts, _, _, _, heads = sentences(data, np.array([0, len(data)]))
+    starts, _, _, _, heads, _ = sentences(data, np.array([0, len(data)]))
     begins = np.append(starts[heads], len(data))
     change = np.zeros(len(heads) + 1, np.int64)
-    np.add.at(change, [s["first"] for s in spans], 1)
-    np.add.at(change, [s["end"] for s in spans], -1)
+    first, size = np.array(places) >> _LENGTH_BITS, np.array(places) & (1 << _LENGTH_BITS) - 1
+    np.add.at(change, first, 1)
+    np.add.at(change, first + size, -1)
     gone = np.cumsum(change)[:-1] > 0
     keep = np.concatenate(([data[: begins[0]].tobytes()], [data[x:y].tobytes() for x, y in zip(begins[:-1][~gone], begins[1:][~gone], strict=True)])) \
         if (~gone).any() else [data[: begins[0]].tobytes()]
@@ -169,28 +188,31 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts without a word stay as they are; empty tables stay empty.  All other columns are
     kept; one called ``removed`` is replaced.  What a cut leaves keeps its white space.
     """
-    kept = [c for c in docs.columns if c != removed]
-    spans = repeated(docs.select(doc_id, text), doc_id, text)
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_t", F.xxhash64(F.col(f"`{text}`").cast("string")))
-    joined = rows.join(spans.select(F.col("id").alias("_id"), F.col("t").alias("_t2"), F.col("spans").alias("_spans")),
-                       rows[doc_id].eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_t2")), "left").drop("_id", "_t", "_t2")
-    place = kept.index(text)
-    schema = joined.drop("_spans").withColumn(text, F.col(f"`{text}`").cast("string")).withColumn(removed, F.lit(0).cast("long")).schema
+    names = [c for c in docs.columns if c != removed]
+    kept = [f"c{i}" for i in range(len(names))]  # columns go by their place, so no name can clash
+    rows = docs.select(*[F.col(f"`{c}`") for c in names]).toDF(*kept)
+    place = names.index(text)
+    own, whole = kept[names.index(doc_id)], kept[place]
+    found = repeated(rows.select(own, whole), own, whole)
+    rows = rows.withColumn("_t", _mark(whole))
+    joined = rows.join(found.select(F.col("id").alias("_id"), F.col("t").alias("_t2"), F.col("places").alias("_places")),
+                       rows[own].eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_t2")), "left").drop("_id", "_t", "_t2")
+    schema = joined.drop("_places").withColumn(whole, F.col(whole).cast("string")).withColumn("n", F.lit(0).cast("long")).schema
 
     def cut(batches):
         for batch in batches:
-            spans = batch.column(len(kept))
+            places = batch.column(len(kept))
             texts, counts = batch.column(place), np.zeros(batch.num_rows, np.int64)
-            hit = np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False))
+            hit = np.flatnonzero(places.is_valid().to_numpy(zero_copy_only=False))
             if len(hit):
                 new = texts.take(pa.array(hit)).to_pylist()
-                for k, (i, s) in enumerate(zip(hit, spans.take(pa.array(hit)).to_pylist(), strict=True)):
+                for k, (i, s) in enumerate(zip(hit, places.take(pa.array(hit)).to_pylist(), strict=True)):
                     new[k], counts[i] = _without(new[k], s)
                 mask = np.zeros(batch.num_rows, bool)
                 mask[hit] = True
                 import pyarrow.compute as pc
                 texts = pc.replace_with_mask(texts, pa.array(mask), pa.array(new, texts.type))
             cols = [texts if i == place else batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts)], names=[*kept, removed])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts)], names=[*kept, "n"])
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema).toDF(*names, removed)

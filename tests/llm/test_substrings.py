@@ -41,7 +41,8 @@ def brute(rows):
             k = i + 1
             while k > 0 and (i + 1 - k < substrings.RUN or sum(len(s[1]) for s in sents[k:i + 1]) < substrings.MIN_WORDS):
                 k -= 1
-            if i + 1 - k >= substrings.RUN and sum(len(s[1]) for s in sents[k:i + 1]) >= substrings.MIN_WORDS:
+            ends_line = i + 1 == n or raw[: sents[i + 1][0]].count(b"\n") > raw[: sents[i][0]].count(b"\n")
+            if ends_line and i + 1 - k >= substrings.RUN and sum(len(s[1]) for s in sents[k:i + 1]) >= substrings.MIN_WORDS:
                 spans.add((k, i + 1))
         gone = set()
         for a, b in sorted(spans):
@@ -71,7 +72,8 @@ def make_rows(rng):
 
 def test_matches_brute_force(spark, rng):
     rows = make_rows(rng)
-    docs = docs_frame(spark, rows).repartition(3).withColumnRenamed("source", "n_removed")
+    docs = docs_frame(spark, rows).repartition(3).withColumnsRenamed({"source": "n_removed", "lang": "_t", "n_chars": "c0"})
+    assert substrings.remove_repeats(docs).columns == ["doc_id", "text", "_t", "c0", "n_removed"]
     got = {r.doc_id: (r.text, r.n_removed) for r in substrings.remove_repeats(docs).collect()}
     want = brute(rows)
     assert got.keys() == want.keys()

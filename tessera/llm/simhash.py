@@ -221,8 +221,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: a row of its smallest id, all columns as they were."""
-    table = fingerprint_table(docs, text, shingle)
-    found = components(table, doc_id, max_bits)
+    """``docs`` with one row of each component: a row of its smallest id, all columns as they were.
+
+    Texts without a word are one component.  Components whose ids are all null keep one row.
+    Columns go by their place inside, so no name can clash.  An empty table stays empty.
+    """
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    own = places[docs.columns.index(doc_id)]
+    table = fingerprint_table(docs.toDF(*places), places[docs.columns.index(text)], shingle)
+    found = components(table, own, max_bits)
     kept = table.join(found.select("_fp", "_winner"), "_fp").where(F.col("_row") == F.col("_winner"))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*places).toDF(*docs.columns)

@@ -115,8 +115,9 @@ def test_spanning_edges_join_what_brute_force_joins(rng):
 
 def test_keep_one_keeps_a_row_of_the_smallest_id(spark, rng):
     rows = make_rows(rng)
-    docs = docs_frame(spark, rows)
+    docs = docs_frame(spark, rows).withColumnsRenamed({"lang": "_fp", "source": "_row", "n_chars": "c1"})
     kept = simhash.keep_one(docs)
+    assert {(r["_fp"], r["_row"]) for r in kept.collect()} == {("en", "src0")}
     assert kept.columns == docs.columns
     found = brute_components(rows)
     groups = {c for _, _, c in found if c is not None}

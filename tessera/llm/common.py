@@ -52,7 +52,8 @@ def bounded_sample(rows: DataFrame, key: str, label: str, per_class: int) -> lis
     counts = distinct.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_c"))
     # The hash as a number from 0 to 1: the smallest hashes are those below the share.
     place = F.xxhash64(key) / F.lit(2.0 ** 64) + 0.5
-    near = distinct.join(counts, F.col(label) == F.col("_l")).where(place <= F.lit(8.0 * per_class + 64) / F.col("_c"))
+    # One row per label (the classes of a model), broadcast so that no label is shuffled whole.
+    near = distinct.join(F.broadcast(counts), F.col(label) == F.col("_l")).where(place <= F.lit(8.0 * per_class + 64) / F.col("_c"))
     w = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
     chosen = near.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= per_class)
     return sorted((r[0], r[1]) for r in chosen.select(key, label).collect())

@@ -69,9 +69,9 @@ def _exp(x: float) -> float:
 
 def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int = 15) -> list[dict]:
     """Binomial GLM coefficients as odds ratios with Wald 95% CIs, largest |log OR| first."""
-    va = VectorAssembler(inputCols=list(features), outputCol="features")
+    # Written once: each of the fit's passes would compute the features anew.
     glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label,
-                                      featuresCol="features").fit(va.transform(train))
+                                      featuresCol="features").fit(assembled(train, label, features))
     s = glm.summary
     names = ["(Intercept)", *features] if glm.getFitIntercept() else list(features)
     coefs = [glm.intercept, *glm.coefficients] if glm.getFitIntercept() else list(glm.coefficients)

@@ -8,6 +8,14 @@ sentence on, and back from the last sentence of each line.  Equal runs meet in o
 sentences that lie in any run but the first of its kind, in the order of (document, position),
 are removed.
 
+Such a run may miss a passage that starts inside a long sentence.  So sentences are also cut, by
+content only, into pieces of ``SPACING`` words at most: after the word with the smallest hash of
+each window of ``SPACING`` words without another cut.  Runs of pieces with ``LEAST`` words or more
+go into the same shuffle, from each piece on and back from each piece.  Between the first and the last
+window inside a repeat all cuts are the same in every text, so each repeat of over 50 words
+holds a stretch of at least ``LONG`` words found in this way, wherever it stands.  What the runs of
+sentences leave of a stretch of ``LONG`` words is removed too; a part of it under ``EDGE`` words stays.
+
 Of equal runs in one batch of documents only the first is sent; the others cannot be first
 anywhere and are marked on the spot, so a very frequent run sends one row per batch.
 """
@@ -24,6 +32,13 @@ from tessera.llm.common import _powers, mix, span_hashes, text_slices, word_span
 #: Sentences in a run, words it has at least (shorter repeats, such as common lines, are left alone),
 #: words of the longest sentence, and the share of words (one in CUT) that end one.
 RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 20, 24, 16
+#: Words of a window that holds a cut between pieces; words of a repeat of 51 that lie between the cuts of
+#: its outermost windows; words of a run of pieces; and the smallest part that is cut from a sentence, so
+#: that ``MAX_WORDS`` words at most stay at an end of a repeat.
+SPACING = 10
+LONG = 51 + 1 - 2 * SPACING
+LEAST = LONG + 1 - SPACING
+EDGE = MAX_WORDS + 1 - SPACING
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -31,12 +46,12 @@ _CLOSERS[[ord(c) for c in "\"')]"]] = True
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray):
-    """Words as (starts, ends, rows, hashes), the number of the first word of each sentence, and
-    whether a sentence is the last of its line."""
+    """Words as (starts, ends, rows, hashes), the number of the first word of each sentence, whether a
+    sentence is the last of its line, and whether a word is the first after a cut by content."""
     starts, ends, rows = word_spans(data, offsets)
     code = span_hashes(data, starts, ends)
     if not len(starts):
-        return starts, ends, rows, code, np.zeros(0, np.int64), np.zeros(0, bool)
+        return starts, ends, rows, code, np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool)
     last = data[ends - 1]
     before = data[np.maximum(ends - 2, starts)]
     stop = _ENDS[last] | (_CLOSERS[last] & _ENDS[before]) | (code % np.uint64(CUT) == 0)
@@ -48,42 +63,79 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     heads = np.flatnonzero(first)
     place = np.arange(len(starts)) - np.repeat(heads, np.diff(np.append(heads, len(starts))))
     heads = np.flatnonzero(place % MAX_WORDS == 0)
-    return starts, ends, rows, code, heads, np.append(line[heads[1:]], True)
+    return starts, ends, rows, code, heads, np.append(line[heads[1:]], True), first
+
+
+def pieces(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The number of the first word of each piece."""
+    n = len(code)
+    cut = np.zeros(n + 1, bool)
+    if n >= SPACING:
+        size = n + 1 - SPACING
+        least, place = code[:size].copy(), np.arange(size)
+        for k in range(1, SPACING):  # of equal words the last
+            smaller = code[k: k + size] <= least
+            least[smaller], place[smaller] = code[k: k + size][smaller], np.flatnonzero(smaller) + k
+        part = np.cumsum(first)
+        cut[place[part[:size] == part[SPACING - 1:]] + 1] = True
+    # Inside a long run of one word, where every window has only equal words, by the distance from its ends.
+    new = first.copy()
+    new[1:] |= code[1:] != code[:-1]
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, n))
+    place, size = np.arange(n) - np.repeat(heads, sizes), np.repeat(sizes, sizes)
+    cut[1:] = np.where(size >= SPACING, (place % SPACING == 0) | ((size - 1 - place) % SPACING == 0), cut[1:])
+    return np.flatnonzero(first | cut[:n])
+
+
+def _stretches(heads: np.ndarray, rows: np.ndarray, run: int, least: int):
+    """Runs of ``run`` parts or more, until they have ``least`` words, from each part on and back from each:
+    first words, end words, whether the run goes back, and its last part."""
+    words, row, at = np.append(heads, len(rows)), rows[heads], np.arange(len(heads))
+    to = np.maximum(at + run, np.searchsorted(words, words[at] + least, "left"))
+    back = np.minimum(at + 1 - run, np.searchsorted(words, words[at + 1] - least, "right") - 1)
+    forth_ok, back_ok = to <= np.searchsorted(row, row, "right"), back >= np.searchsorted(row, row, "left")
+    return (words[np.concatenate((at[forth_ok], back[back_ok]))], words[np.concatenate((to[forth_ok], at[back_ok] + 1))],
+            np.repeat([False, True], [forth_ok.sum(), back_ok.sum()]), np.concatenate((to[forth_ok] - 1, at[back_ok])))
 
 
 def runs(data: np.ndarray, offsets: np.ndarray):
-    """All runs: (row, first sentence, end sentence, hash, other hash), sentences counted from 0 per row."""
-    starts, ends, rows, code, heads, last = sentences(data, offsets)
-    n = len(heads)
+    """All runs: (row, first word, words, whether only pieces, hash, other hash), words counted from 0 per row."""
+    starts, ends, rows, code, heads, last, first = sentences(data, offsets)
     none = np.zeros(0, np.int64)
-    if not n:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    words = np.append(heads, len(starts))
-    row = rows[heads]
-    begin = np.searchsorted(row, row, "left")
-    close = np.searchsorted(row, row, "right")
-    at = np.arange(n)
-    # From each sentence on: RUN sentences, then more until there are MIN_WORDS words; and back from lines' ends.
-    to = np.maximum(at + RUN, np.searchsorted(words, words[at] + MIN_WORDS, "left"))
-    back = np.minimum(at + 1 - RUN, np.searchsorted(words, words[at + 1] - MIN_WORDS, "right") - 1)
-    forth_ok, back_ok = to <= close, last & (back >= begin)
-    a = np.concatenate((at[forth_ok], back[back_ok]))
-    b = np.concatenate((to[forth_ok], at[back_ok] + 1))
-    both = np.unique(a * np.int64(n + 1) + b)
-    a, b = both // (n + 1), both % (n + 1)
+    if not len(heads):
+        return none, none, none, none.astype(bool), none.astype(np.uint64), none.astype(np.uint64)
+    # Sentences: from each on, and back from lines' ends.  Pieces: both ways everywhere.
+    a, b, back, end = _stretches(heads, rows, RUN, MIN_WORDS)
+    whole = ~back | last[end]
+    n = np.int64(len(code) + 1)
+    known = np.unique(a[whole] * n + b[whole])
+    a, b, _, _ = _stretches(pieces(code, first), rows, 1, LEAST)
+    only = np.setdiff1d(a * n + b, known)
+    both, only = np.concatenate((known, only)), np.repeat([False, True], [len(known), len(only)])
+    a, b = both // n, both % n
     powers, inverse = _powers(len(code) + 1)
     found = []
     for values in (code, mix(code + np.uint64(0x632BE59BD9B4E019))):
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum(values * powers[: len(code)], out=total[1:])
-        found.append(mix((total[words[b]] - total[words[a]]) * inverse[words[a]] + (words[b] - words[a]).astype(np.uint64)))
-    return row[a], a - begin[a], b - begin[a], *found
+        found.append(mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64)))
+    return rows[a], a - np.searchsorted(rows, rows[a], "left"), b - a, only, *found
 
 
 #: A shuffled row: hash; 32 more bits of hash over 32 bits of the text's hash; id; place, negative if
-#: the stretch is marked already.  A run has at most ``MIN_WORDS`` sentences, so 6 bits hold its length.
+#: the stretch is marked already.  A place is the first word, a bit for runs of pieces, and the words: at
+#: most ``RUN * MAX_WORDS``, so 7 bits hold them.
 _FIELDS = ["h", "q", "id", "place"]
-_LENGTH_BITS = 6
+_PIECES, _LENGTH_BITS = 1 << 7, 8
+
+
+def _beyond(place: np.ndarray, own: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Places, those of pieces without words that lie in the first run of the hash too (in one text of few words)."""
+    size = place & _PIECES - 1
+    shared = (place & _PIECES > 0) & (own[:3] == first[:3]).all(axis=0) & (own[3] > first[3])
+    less = np.where(shared, np.maximum(first[3] + size - own[3], 0), 0)
+    return place + (less << _LENGTH_BITS) - less
 
 
 def _runs_of(batches):
@@ -92,9 +144,9 @@ def _runs_of(batches):
         ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(0xFFFFFFFF)
         parts = []
         for low, _, data, offsets in text_slices(batch.column(2)):
-            row, a, b, h, g = runs(data, offsets)
-            parts.append((row + low, a, b, h, g))
-        row, a, b, h, g = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([],) * 5
+            row, a, size, only, h, g = runs(data, offsets)
+            parts.append((row + low, a, a << _LENGTH_BITS | only * _PIECES | size, h, g))
+        row, a, place, h, g = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([],) * 5
         if not len(row):
             continue
         null = ~ids.is_valid().to_numpy(zero_copy_only=False)
@@ -108,9 +160,9 @@ def _runs_of(batches):
         # The same place of an equal row is not a later one: it is neither sent nor marked.
         lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
         later = (own != own[:, lead]).any(axis=0)
+        place = _beyond(place[order], own, own[:, lead])[head | later]
         order = order[head | later]
-        row, a, b, h, q, sent = row[order], a[order], b[order], h[order], q[order], head[head | later]
-        place = a << _LENGTH_BITS | (b - a)
+        row, a, h, q, sent = row[order], a[order], h[order], q[order], head[head | later]
         # A marked stretch needs no partner: it is dealt out by its document.
         key = np.where(sent, h, mix(value[row].astype(np.uint64) + a.astype(np.uint64)))
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(q.view(np.int64)), ids.take(pa.array(row)),
@@ -139,11 +191,12 @@ def _later_runs(batches):
         else:
             goes_on, first = 0, own[:, 0]
         lead = np.maximum.accumulate(np.where(head, np.arange(len(h)), 0))
-        later = ~sent | (own != own[:, lead]).any(axis=0)
-        later[:goes_on] = (own[:, :goes_on] != first[:, None]).any(axis=0)
+        firsts = own[:, lead]
+        firsts[:, :goes_on] = first[:, None]
+        later = ~sent | (own != firsts).any(axis=0)
         held = ((h[-1], g[-1]), first if goes_on == len(h) else own[:, lead[-1]]) if sent[-1] else None
         picked = np.flatnonzero(later)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(picked)), pa.array(t[picked]), pa.array(np.where(sent, place, ~place)[picked])],
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(picked)), pa.array(t[picked]), pa.array(np.where(sent, _beyond(place, own, firsts), ~place)[picked])],
                                          names=["id", "t", "place"])
 
 
@@ -153,9 +206,9 @@ def _mark(text: str):
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, t, places): sentence stretches to remove from each document that has any.
+    """(id, t, places): stretches of words found again, of each document that has any.
 
-    A place is ``first sentence << 6 | sentences``.  The list is bounded by the document's sentences.
+    A place is ``first word << 8 | only pieces << 7 | words``.  The list is bounded by the document's words.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("id"), _mark(text).alias("t"), F.col(text).cast("string"))
@@ -166,22 +219,37 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return later.groupBy("id", "t").agg(F.collect_set("place").alias("places"))
 
 
+def _parts(marked: np.ndarray, least: int) -> np.ndarray:
+    """The marked words that stand in unbroken rows of ``least`` or more."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.astype(np.int8), [0]))))
+    sizes = edges[1::2] - edges[::2]
+    out = np.zeros(len(marked), bool)
+    out[marked] = np.repeat(sizes >= least, sizes)
+    return out
+
+
 def _without(text: str, places: list[int]) -> tuple[str, int]:
     data = np.frombuffer(text.encode(), np.uint8)
-    starts, _, _, _, heads, _ = sentences(data, np.array([0, len(data)]))
-    begins = np.append(starts[heads], len(data))
-    change = np.zeros(len(heads) + 1, np.int64)
-    first, size = np.array(places) >> _LENGTH_BITS, np.array(places) & (1 << _LENGTH_BITS) - 1
-    np.add.at(change, first, 1)
-    np.add.at(change, first + size, -1)
-    gone = np.cumsum(change)[:-1] > 0
-    keep = np.concatenate(([data[: begins[0]].tobytes()], [data[x:y].tobytes() for x, y in zip(begins[:-1][~gone], begins[1:][~gone], strict=True)])) \
-        if (~gone).any() else [data[: begins[0]].tobytes()]
-    return b"".join(keep).decode(), int(gone.sum())
+    starts, _, _, _, heads, _, _ = sentences(data, np.array([0, len(data)]))
+    places = np.array(places)
+    first, size, only = places >> _LENGTH_BITS, places & _PIECES - 1, places & _PIECES > 0
+
+    def covered(picked):
+        change = np.zeros(len(starts) + 1, np.int64)
+        np.add.at(change, first[picked], 1)
+        np.add.at(change, (first + size)[picked], -1)
+        return np.cumsum(change)[:-1] > 0
+    whole = covered(~only)
+    gone = whole | _parts(_parts(covered(only | ~only), LONG) & ~whole, EDGE)
+    begins = np.append(starts, len(data))
+    change = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).astype(np.int8)))
+    keep = [data[: begins[0]].tobytes(), *[data[begins[x]: begins[y]].tobytes() for x, y in zip(change[::2], change[1::2], strict=True)]]
+    return b"".join(keep).decode(), int(np.logical_or.reduceat(gone, heads).sum())
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str = "n_removed") -> DataFrame:
-    """``docs`` with repeated sentence spans cut out of ``text``, and the number of sentences cut.
+    """``docs`` with repeated sentence spans cut out of ``text``, and the number of sentences cut,
+    wholly or in part.
 
     The first span in the order of (id, text hash, position) stays; null ids come last.  Rows that
     are equal in id and text are one document and get the same text.  Null texts stay null;

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from tessera.llm import substrings
 from tessera.llm.common import span_hashes
@@ -98,6 +99,35 @@ def test_passages_inside_long_sentences_are_found(spark, rng):
     assert middle in got[0] and all(middle not in got[i] for i in range(1, 6))
 
 
+@pytest.mark.parametrize("low, high", [(None, None), (12, 24), (25, 40)])
+def test_every_passage_of_over_50_words_is_found(spark, low, high):
+    """Passages that start inside a sentence, in two texts; no stops, or sentences of ``low`` to ``high`` words."""
+    rng = np.random.default_rng(5)
+
+    def words(n):
+        return ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(n)]
+
+    def stopped(text):
+        if low:
+            for i in np.cumsum(rng.integers(low, high + 1, len(text))):
+                if i < len(text):
+                    text[i] += "."
+        return text
+    rows, passages = [], []
+    for i in range(400):
+        passage = stopped(words(51 + i % 30))
+        passages.append(passage)
+        rows += [(i + k, " ".join(stopped(words(int(rng.integers(15, 60)))) + passage + stopped(words(int(rng.integers(15, 60)))))) for k in (0, 1000)]
+    got = {r.doc_id: (r.text.split(), r.n_removed) for r in substrings.remove_repeats(docs_frame(spark, rows)).collect()}
+    for i, passage in enumerate(passages):
+        assert got[i] == (rows[2 * i][1].split(), 0)
+        left, n_removed = got[1000 + i]
+        before = rows[2 * i + 1][1].split()
+        assert n_removed > 0 and set(before) - set(left) <= set(passage)
+        stay = [w in set(left) for w in passage]
+        assert stay.index(False) <= substrings.MAX_WORDS and stay[::-1].index(False) <= substrings.MAX_WORDS
+
+
 def test_short_common_lines_are_left_alone(spark, rng):
     line = prose(rng, 18)
     rows = [(i, prose(rng, 40) + "\n" + line + "\n" + prose(rng, 40)) for i in range(8)]

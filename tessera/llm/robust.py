@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 
 DIMENSIONS = 5
-#: Words of a repeated window; share of rows that a concentration step keeps; such steps.
-WINDOW, CORE, STEPS = 5, 0.75, 3
+#: Words of a repeated window; share of rows that a concentration step keeps (half of them, so that the
+#: estimate stands nearly as many outliers; the last step restores efficiency); such steps.
+WINDOW, CORE, STEPS = 5, 0.5, 3
 #: Groups with fewer rows than this reject nothing.
 MIN_ROWS = 40
 #: Least standard deviation of each statistic, in 1/1024: smaller differences are no reason to reject.

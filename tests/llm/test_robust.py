@@ -42,6 +42,16 @@ def test_outliers_go_and_prose_stays(spark, rng):
     assert not got[500].kept and got[501].base_failed and not got[400].kept
 
 
+def test_a_third_of_outliers_goes(spark, rng):
+    """A group in which a third of the rows have one and a half symbols a word."""
+    rows = [(i, prose(rng, int(rng.integers(30, 200))), "en", "s1") for i in range(200)]
+    rows += [(1000 + i, " ".join(w + "*" * (1 + k % 2) for k, w in enumerate(prose(rng, int(rng.integers(30, 200))).split(" "))), "en", "s1")
+             for i in range(100)]
+    got = {r.doc_id: r.kept for r in robust.verdicts(docs_frame(spark, rows)).collect()}
+    assert not any(got[1000 + i] for i in range(100))
+    assert all(got[i] for i in range(200))
+
+
 def test_distance_is_the_numpy_mcd(spark, rng):
     rows = [r for r in make_rows(rng) if r[0] is not None and (r[0] < 120 or 200 <= r[0] < 300) and r[0] != 1]
     got = {r.doc_id: r.distance2 for r in robust.verdicts(docs_frame(spark, rows)).collect()}

@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, name):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_stages_against_brute_force(spark):

@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 from tessera.operators.windows import global_row_number, join_null_safe
 
-#: Nodes of a run, levels between persisted ones, stored nodes of an aligned subtree.
+#: Nodes of a run, and levels between persisted ones (an aligned subtree has ``ARITY ** LEVELS`` stored nodes).
 ARITY, LEVELS = 3, 5
-SUBTREE = ARITY ** LEVELS
 
 
 def node_hash(parts: list[str]) -> str:
@@ -32,10 +31,10 @@ def node_hash(parts: list[str]) -> str:
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 
 
-def _folded(nodes: list[str], alone: bool) -> list[list[str]]:
+def _folded(nodes: list[str], alone: bool, every: int) -> list[list[str]]:
     """The levels of a subtree from its stored nodes up; ``alone``: it is the whole tree, and ends at one node."""
     levels = [nodes]
-    while len(levels) <= LEVELS and not (alone and len(levels[-1]) == 1):
+    while len(levels) <= every and not (alone and len(levels[-1]) == 1):
         below = levels[-1]
         levels.append([node_hash(below[i: i + ARITY]) for i in range(0, len(below), ARITY)])
     return levels
@@ -65,20 +64,16 @@ def proof_hash(steps: list[str]) -> str:
     return node_hash([step[1:] for step in steps])
 
 
-def _above(n: Column) -> Column:
-    return F.ceil(n / SUBTREE).cast("long")
-
-
-def stored_levels(nodes: DataFrame) -> list[DataFrame]:
+def stored_levels(nodes: DataFrame, every: int = LEVELS) -> list[DataFrame]:
     """The persisted levels (tree, pos, n, digest), from the leaves up; ``n`` counts the tree's nodes of the level.
 
-    ``nodes`` is the lowest level, written.  The list is as long as the largest tree is high, over ``LEVELS``.
+    ``nodes`` is the lowest level, written.  The list is as long as the largest tree is high, over ``every``.
     """
-    levels = [nodes.select("tree", "pos", "n", "digest")]
+    levels, size = [nodes.select("tree", "pos", "n", "digest")], ARITY ** every
 
     def tops(batches):
         for batch in batches:
-            found = [_folded([x["digest"] for x in members], n <= SUBTREE)[-1][0]
+            found = [_folded([x["digest"] for x in members], n <= size, every)[-1][0]
                      for members, n in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), pa.array(found, pa.string())],
                                              names=["tree", "pos", "n", "digest"])
@@ -87,9 +82,9 @@ def stored_levels(nodes: DataFrame) -> list[DataFrame]:
         if open_.isEmpty():
             return levels
         kind = dict(open_.dtypes)["tree"]
-        groups = (open_.groupBy("tree", F.floor(F.col("pos") / SUBTREE).alias("pos"), "n")
+        groups = (open_.groupBy("tree", F.floor(F.col("pos") / size).alias("pos"), "n")
                   .agg(F.array_sort(F.collect_list(F.struct(F.col("pos").alias("at"), "digest"))).alias("members"))
-                  .withColumn("up", _above(F.col("n"))))
+                  .withColumn("up", F.ceil(F.col("n") / size).cast("long")))
         levels.append(written(groups.mapInArrow(tops, f"tree {kind}, pos long, n long, digest string"), "merkle-level"))
 
 
@@ -101,17 +96,17 @@ def roots(levels: list[DataFrame]) -> DataFrame:
     return out.select("tree", F.col("digest").alias("root"))
 
 
-def _subtrees(nodes: DataFrame, ways: DataFrame) -> DataFrame:
+def _subtrees(nodes: DataFrame, ways: DataFrame, size: int) -> DataFrame:
     """Stored nodes and, before them, the way of their subtree's top, subtree by subtree."""
     own = [c for c in nodes.columns if c not in ("tree", "pos", "n", "digest")]
     kinds = dict(nodes.dtypes)
-    rows = nodes.select("tree", F.floor(F.col("pos") / SUBTREE).alias("up"), "pos", "n", "digest", *own, F.lit(None).cast("array<string>").alias("way"))
+    rows = nodes.select("tree", F.floor(F.col("pos") / size).alias("up"), "pos", "n", "digest", *own, F.lit(None).cast("array<string>").alias("way"))
     heads = ways.select("tree", F.col("pos").alias("up"), F.lit(-1).cast("long").alias("pos"), F.lit(0).cast("long").alias("n"),
                         F.lit("").alias("digest"), *[F.lit(None).cast(kinds[c]).alias(c) for c in own], "way")
     return heads.unionByName(rows).repartition("tree", "up").sortWithinPartitions(F.col("tree").asc_nulls_first(), "up", "pos")
 
 
-def regenerate(nodes: DataFrame, ways: DataFrame, emit, schema: str) -> DataFrame:
+def regenerate(nodes: DataFrame, ways: DataFrame, emit, schema: str, every: int = LEVELS) -> DataFrame:
     """Fold every subtree of a level again and emit one row per node.
 
     ``ways`` has (tree, pos, way) of each subtree's top.  ``emit(row, way)`` gets a node's row, as a
@@ -119,13 +114,13 @@ def regenerate(nodes: DataFrame, ways: DataFrame, emit, schema: str) -> DataFram
     """
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
-    types = [kinds.get(c.split()[1]) for c in schema.split(", ")]
+    types, size = [kinds.get(c.split()[1]) for c in schema.split(", ")], ARITY ** every
 
     def run(batches):
         at, way, held = None, [], []
 
         def out():
-            levels = _folded([r["digest"] for r in held], held[0]["n"] <= SUBTREE) if held else []
+            levels = _folded([r["digest"] for r in held], held[0]["n"] <= size, every)
             found = [emit(r, _way(levels, i) + way) for i, r in enumerate(held)]
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(types)], names=names)
         for batch in batches:
@@ -140,16 +135,16 @@ def regenerate(nodes: DataFrame, ways: DataFrame, emit, schema: str) -> DataFram
                     held.append(row)
         if held:
             yield out()
-    return _subtrees(nodes, ways).mapInArrow(run, schema)
+    return _subtrees(nodes, ways, size).mapInArrow(run, schema)
 
 
-def tops_of(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def tops_of(levels: list[DataFrame], above: DataFrame, every: int = LEVELS) -> DataFrame:
     """(tree, pos, way) of the tops of the lowest level's subtrees, where ``above`` has (tree, way) of each tree's root.
 
     Goes down level by level; each is written, so only one level's interior nodes ever exist, and only in tasks.
     """
     def finished(level: DataFrame, lowest: bool) -> DataFrame:
-        last = level.where((F.col("n") <= SUBTREE) & (F.col("pos") == 0) & (F.lit(lowest) | (F.col("n") > 1)))
+        last = level.where((F.col("n") <= ARITY ** every) & (F.col("pos") == 0) & (F.lit(lowest) | (F.col("n") > 1)))
         return join_null_safe(last.select("tree", "pos"), above, ["tree"])
     kind, ways = dict(levels[0].dtypes)["tree"], None
     for k in reversed(range(len(levels))):
@@ -158,8 +153,8 @@ def tops_of(levels: list[DataFrame], above: DataFrame) -> DataFrame:
         here = done if ways is None else done.unionByName(ways)
         if k == 0:
             return here
-        ways = written(regenerate(level.where(F.col("n") > 1), here, lambda r, way: (r["tree"], r["pos"], way), f"tree {kind}, pos long, way array<string>"),
-                       "merkle-ways")
+        ways = written(regenerate(level.where(F.col("n") > 1), here, lambda r, way: (r["tree"], r["pos"], way), f"tree {kind}, pos long, way array<string>",
+                                  every), "merkle-ways")
 
 
 def leaf_rows(docs: DataFrame, tampered: Column, doc_id: str = "doc_id", source: str = "source", lang: str = "lang", n_chars: str = "n_chars",
@@ -177,11 +172,12 @@ def leaf_rows(docs: DataFrame, tampered: Column, doc_id: str = "doc_id", source:
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None, doc_id: str = "doc_id", source: str = "source", lang: str = "lang",
-             n_chars: str = "n_chars", text: str = "text", proofs: bool = False) -> DataFrame:
+             n_chars: str = "n_chars", text: str = "text", proofs: bool = False, every: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every row; with ``proofs`` also ``proof``.
 
     ``proof`` lists the steps from the leaf to the root (place in the run, then the siblings' digests).  Rows for
-    which ``tampered`` holds are folded from the leaf that they have without line feeds in the text.
+    which ``tampered`` holds are folded from the leaf that they have without line feeds in the text.  ``every`` is
+    the number of levels between persisted ones; it changes no result.
 
     Null values have a mark of their own in the leaf; rows of a null source are a group, the first one.  Null ids come
     first in their group; repeated ids are leaves of their own, in the order of their digests.  Empty and very long texts are
@@ -191,26 +187,26 @@ def manifest(docs: DataFrame, tampered: Column | None = None, doc_id: str = "doc
     order = [F.col("doc_id").asc_nulls_first(), F.col("digest").asc()]
     leaves = global_row_number(rows, order, "pos", total_name="n", keys=["tree"]).withColumn("pos", F.col("pos") - 1)
     leaves = written(leaves, "merkle-leaves")
-    levels = stored_levels(leaves)
+    levels = stored_levels(leaves, every)
     subroots = written(roots(levels), "merkle-subroots")
     # The groups are the leaves of one more tree, in the order of their names.
     named = global_row_number(subroots, [F.col("tree").asc_nulls_first()], "pos", total_name="n")
     named = written(named.select(F.lit(0).cast("long").alias("tree"), (F.col("pos") - 1).alias("pos"), "n", F.col("root").alias("digest"),
                                  F.col("tree").alias("name")), "merkle-groups")
-    top = stored_levels(named)
+    top = stored_levels(named, every)
     root = roots(top).first()
     root = root["root"] if root else None
     start = top[0].select("tree").distinct().withColumn("way", F.array().cast("array<string>"))
-    above = written(regenerate(named, tops_of(top, start), lambda r, way: (r["name"], r["digest"], way), "tree string, subroot string, way array<string>"),
-                    "merkle-above")
+    above = written(regenerate(named, tops_of(top, start, every), lambda r, way: (r["name"], r["digest"], way),
+                               "tree string, subroot string, way array<string>", every), "merkle-above")
 
     def proven(row, way):
         folded = fold(row["bent"] or row["digest"], way)
         found = (row["doc_id"], row["tree"], row["digest"], root, proof_hash(way), folded, folded == root)
         return (*found, way) if proofs else found
     schema = "doc_id long, tree string, leaf string, root string, proof_sha256 string, folded_root string, verified boolean"
-    ways = tops_of(levels, above.select("tree", "way"))
-    out = regenerate(leaves, ways, proven, schema + (", proof array<string>" if proofs else ""))
+    ways = tops_of(levels, above.select("tree", "way"), every)
+    out = regenerate(leaves, ways, proven, schema + (", proof array<string>" if proofs else ""), every)
     # One row per group; as many as there are sources, so the planner decides how to join.
     out = join_null_safe(out, above.select("tree", "subroot"), ["tree"])
     return out.select(F.col("doc_id").alias(doc_id), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", *(["proof"] if proofs else []))

@@ -75,12 +75,10 @@ def make_rows(sizes):
 
 
 @pytest.mark.parametrize("levels", [1, 2, 5])
-def test_matches_brute_force(spark, monkeypatch, levels):
+def test_matches_brute_force(spark, levels):
     """Hot and single groups, every size around full runs and full subtrees."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
-    monkeypatch.setattr(merkle, "SUBTREE", 3 ** levels)
     rows = make_rows({"b": 300, None: 28, "é": 1, "a": 2, "Z": 3, "": 4, "c": 9, "d": 10, "e": 27, "f": 1, "g": 82})
-    found = manifest(spark, rows).collect()
+    found = manifest(spark, rows, every=levels).collect()
     assert {r.doc_id: tuple(r)[1:] for r in found} == brute(rows, is_even) and len(found) == len(rows)
 
 

@@ -139,7 +139,7 @@ class _Archive:
         self.file.write(data)
 
     def begin(self, head: bytes):
-        self.member = zlib.compressobj(1, zlib.DEFLATED, 31)
+        self.member = zlib.compressobj(4, zlib.DEFLATED, 31)
         self.put(self.member.compress(head))
 
     def add(self, data):
@@ -312,6 +312,6 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", payload: str = "html"
     Null payloads are empty.  Repeated rows are records of their own: the first of equal ones is the response.  Null
     ids are kept and never come before an id.  Other columns, of any name, are left out.  An empty table gives an empty one.
     """
-    chunks = written(carry_digests(chunk_rows(pages, page_id, payload, uri)), "warc-chunks")
+    chunks = written(carry_digests(chunk_rows(pages, page_id, payload, uri)), "warc-chunks", "zstd")
     read = read_archives(write_archives(chunks), payloads=False)
     return read.select(F.col("id").alias(page_id), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import span_hashes, text_slices
+from tessera.llm.common import LONG_SPAN, byte_windows, equal_spans, span_hashes, text_slices
 
 #: Bytes past a boundary that can still move it: the longest added token and contraction, doubled.
 MARGIN = 32
@@ -185,42 +185,68 @@ class TextEncoder:
     def _lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pre-tokens in a row, and how many each has.
 
-        A pre-token is known by a 64-bit hash, its length and three of its bytes.
+        Pre-tokens meet by a 64-bit hash; the bytes of each are then compared with those of its
+        representative, here and in the store.  What differs, and what is too long to be worth a comparison,
+        is encoded by itself, so a collision of hashes changes no id.
         """
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        size, windows = ends - starts, byte_windows(data)
         keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        a, b = starts[first], ends[first]
-        proof = ((b - a).astype(np.uint64) << np.uint64(24) | data[a].astype(np.uint64) << np.uint64(16)
-                 | data[b - 1].astype(np.uint64) << np.uint64(8) | data[(a + b) // 2])
+        ahead = first[inverse]
+        alike = np.flatnonzero((size <= LONG_SPAN) & (size == size[ahead]))
+        proven = np.zeros(len(starts), bool)
+        proven[alike] = equal_spans(windows, starts[alike], windows, starts[ahead[alike]], size[alike])
+        short = size[first] <= LONG_SPAN
+        keys, place, first = keys[short], np.cumsum(short) - 1, first[short]
+        a, n = starts[first], size[first]
         if len(self._keys) > self.store:
             self._forget()
         at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
-        known = (self._keys[at] == keys) & (self._proofs[at] == proof) if len(self._keys) else np.zeros(len(keys), bool)
+        known = np.zeros(len(keys), bool)
+        if len(self._keys):
+            met = np.flatnonzero((self._keys[at] == keys) & (self._size[at] == n))
+            known[met] = equal_spans(windows, a[met], byte_windows(self._bytes), self._from[at[met]], n[met])
         begin, count = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         begin[known], count[known] = self._begin[at[known]], self._count[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            fresh = []
-            for k in range(0, len(new), 4096):
-                texts = [data[x:y].tobytes().decode() for x, y in zip(a[new[k: k + 4096]], b[new[k: k + 4096]], strict=True)]
-                fresh += [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            fresh = self._encoded([data[x: x + m].tobytes() for x, m in zip(a[new], n[new], strict=True)])
             count[new] = [len(f) for f in fresh]
             begin[new] = len(self._ids) + np.concatenate(([0], np.cumsum(count[new])))[:-1]
             self._ids = np.concatenate((self._ids, np.fromiter(chain.from_iterable(fresh), np.uint32)))
-            # A hash met before with another proof keeps its first owner in the store.
+            # A hash met before with other bytes keeps its first owner in the store.
             insert = new[self._keys[at[new]] != keys[new]] if len(self._keys) else new
             where = np.searchsorted(self._keys, keys[insert])
-            self._keys, self._proofs = np.insert(self._keys, where, keys[insert]), np.insert(self._proofs, where, proof[insert])
-            self._begin = np.insert(self._begin, where, begin[insert].astype(np.uint32))
-            self._count = np.insert(self._count, where, count[insert].astype(np.uint32))
-        counts = count[inverse]
-        before = np.cumsum(counts) - counts
-        index = np.repeat(begin[inverse] - before, counts) + np.arange(int(counts.sum()))
-        return self._ids[index], counts
+            take = np.repeat(a[insert] - (np.cumsum(n[insert]) - n[insert]), n[insert]) + np.arange(int(n[insert].sum()))
+            origin = len(self._bytes) + np.cumsum(n[insert]) - n[insert]
+            self._bytes = np.concatenate((self._bytes, data[take]))
+            for name, values in (("_keys", keys[insert]), ("_from", origin), ("_size", n[insert]), ("_begin", begin[insert]), ("_count", count[insert])):
+                kept = getattr(self, name)
+                setattr(self, name, np.insert(kept, where, values.astype(kept.dtype)))
+        pool, counts, begins = self._ids, np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        counts[proven], begins[proven] = count[place[inverse[proven]]], begin[place[inverse[proven]]]
+        apart = np.flatnonzero(~proven)
+        if len(apart):
+            texts = [data[starts[k]: ends[k]].tobytes() for k in apart]
+            once = dict.fromkeys(texts)
+            held = dict(zip(once, self._encoded(list(once)), strict=True))
+            counts[apart] = [len(held[t]) for t in texts]
+            begins[apart] = len(pool) + np.cumsum(counts[apart]) - counts[apart]
+            pool = np.concatenate((pool, np.fromiter(chain.from_iterable(held[t] for t in texts), np.uint32)))
+        index = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        return pool[index], counts
+
+    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of single pre-tokens, by the library."""
+        out = []
+        for k in range(0, len(pieces), 4096):
+            out += [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in pieces[k: k + 4096]], add_special_tokens=False)]
+        return out
 
     def _forget(self) -> None:
-        self._keys, self._proofs = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self._keys, self._bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+        self._from, self._size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._begin, self._count, self._ids = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:

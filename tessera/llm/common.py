@@ -29,13 +29,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` into the shared folder and read it again."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a key filter: 64 in each of its words, whose number is fixed (4 MB), whatever the keys.
+FILTER_WORDS = 1 << 18
+
+
+def split_by_keys(rows: DataFrame, key, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have one of the ``keys`` (a written table of one long), and those that surely have none.
+
+    A filter of fixed size is broadcast, so no row is shuffled.  It is exact in what it lets go: with many
+    keys it lets fewer rows go, and no result changes.  ``key`` is the hash of a row, never null.
+    """
+    def bits(column):
+        at = F.pmod(column, F.lit(64 * FILTER_WORDS))
+        return F.shiftright(at, 6).cast("int"), at.bitwiseAND(F.lit(63)).cast("int")
+    word, bit = bits(F.col(keys.columns[0]))
+    words = (keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word")
+             .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")))
+    word, bit = bits(key)
+    met = rows.withColumn("_word", word).withColumn("_bit", bit).join(F.broadcast(words), "_word", "left")
+    hit = F.coalesce(F.expr("shiftrightunsigned(_bits, _bit)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    flagged = met.withColumn("_maybe", hit).drop("_word", "_bit", "_bits")
+    return flagged.where("_maybe").drop("_maybe"), flagged.where(~F.col("_maybe")).drop("_maybe")
+
+
 def fold(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
@@ -148,14 +171,48 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Spans over this many bytes are hashed one by one.
+LONG_SPAN = 64
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def byte_windows(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on (zeros beyond the end), as little-endian numbers, without a copy of each."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one running sum over all bytes."""
+    """64-bit hash of each byte span: eight bytes at a time, mixed after each; XXH64 of spans over ``LONG_SPAN`` bytes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    powers, inverse = _powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    windows, size = byte_windows(data), ends - starts
+    out = mix(size.astype(np.uint64) * np.uint64(_BASE))
+    live = np.arange(len(starts))
+    for at in range(0, LONG_SPAN, 8):
+        live = live[size[live] > at]
+        if not len(live):
+            break
+        word = windows[starts[live] + at] & _TAIL[np.minimum(size[live] - at, 8)]
+        out[live] = mix((out[live] ^ word) * np.uint64(_BASE) + np.uint64(at + 1))
+    long = np.flatnonzero(size > LONG_SPAN)
+    if len(long):
+        from xxhash import xxh64_intdigest
+
+        out[long] = np.array([xxh64_intdigest(data[a:b].tobytes()) for a, b in zip(starts[long], ends[long], strict=True)], np.uint64)
+    return out
+
+
+def equal_spans(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of ``size`` bytes (``LONG_SPAN`` at most) from places in two ``byte_windows`` are equal, byte by byte."""
+    same, live = np.ones(len(size), bool), np.arange(len(size))
+    for at in range(0, LONG_SPAN, 8):
+        live = live[size[live] > at]
+        if not len(live):
+            break
+        differ = ((a[at_a[live] + at] ^ b[at_b[live] + at]) & _TAIL[np.minimum(size[live] - at, 8)]) != 0
+        same[live[differ]] = False
+    return same
 
 
 def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compute, carry: list[str] | None = None) -> DataFrame:
@@ -166,15 +223,16 @@ def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compu
     """
     new = [name for name, _ in fields]
     kept = [c for c in (docs.columns if carry is None else carry) if c not in new]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_whole_text"))
-    schema = rows.select(*[F.col(f"`{c}`") for c in kept],
-                         *[F.lit(None).cast(kind).alias(name) for name, kind in fields]).schema
+    # Inside, columns go by their place, so no name can clash.
+    places, made = [f"c{i}" for i in range(len(kept))], [f"n{i}" for i in range(len(new))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
+    schema = rows.select(*places, *[F.lit(None).cast(kind).alias(p) for p, (_, kind) in zip(made, fields, strict=True)]).schema
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
 
     def run(batches):
         for batch in batches:
             found = compute(batch.column(len(kept)))
             found = [pa.array(x, kinds[kind]) for x, (_, kind) in zip(found, fields, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + found, names=kept + new)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + found, names=places + made)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*kept, *new)

@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 from tessera.llm import bpe
 from tessera.llm.queries import tokenizer_path
-from tests.llm.conftest import ODD_TEXTS, docs_frame
+from tests.llm.conftest import ODD_TEXTS, docs_frame, prose
 
 PATH = tokenizer_path()
 PIECES = ["a", "b", "the", " ", "  ", "\n", " \n", "'s", "'", "re", "ll", "ve", "'re", "1", "23", "é", "É", "²", "¿", "\xa0", "\x85", "中文",
@@ -83,3 +83,28 @@ def test_encode_then_decode(spark):
 
 def test_empty_table(spark):
     assert bpe.encode_digests(docs_frame(spark, []), PATH).count() == 0
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("letters", ["ab", "12"])
+def test_words_whose_polynomial_hashes_collide(letters):
+    """A long word in Thue-Morse order and its complement, in one batch and in two."""
+    e = bpe.TextEncoder(tokenizer_path())
+    for n in (16, 64, 1024, 2048, 4096):
+        pair = [thue_morse(n, letters), thue_morse(n, letters[::-1])]
+        want = [np.frombuffer(x, "<u4").tolist() for x in e.direct(pair)]
+        assert want[0] != want[1]
+        assert [x.tolist() for x in e.encode_many(pair)] == want
+        assert [e.encode_many([t])[0].tolist() for t in pair + pair] == want * 2
+
+
+def test_ids_do_not_rest_on_hashes(monkeypatch, rng):
+    """With three hash values in all, every text still gets the library's ids."""
+    monkeypatch.setattr(bpe, "span_hashes", lambda data, a, b: ((b - a) % 3).astype(np.uint64))
+    e = bpe.TextEncoder(tokenizer_path(), store=50)
+    for _ in range(3):
+        texts = [prose(rng, 200, "abcde") for _ in range(5)] + ["x" * 100, "y" * 100, ""]
+        assert [x.tobytes() for x in e.encode_many(texts)] == e.direct(texts)

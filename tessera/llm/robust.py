@@ -2,10 +2,16 @@
 
 A text's counts become five transformed statistics, kept as whole numbers (1/1024 of a natural
 logarithm) so that their sums are exact in any order.  For each language and source the
-minimum covariance determinant is estimated: from medians and median deviations, concentration
-steps go over to the mean and covariance of the ``CORE`` share of rows with the smallest
-Mahalanobis distance, and a last step uses all rows that are not outlying.  Rows beyond
-``CUTOFF`` are rejected.  Each step reads the statistics once and writes one row per group.
+minimum covariance determinant is estimated from two starts: the median deviations, and the
+covariance of the rows' directions from the median (spatial signs), which far rows do not
+stretch.  From each, concentration steps go over to the mean and covariance of the ``CORE``
+share of rows with the smallest Mahalanobis distance; the start that ends with the smaller
+determinant is kept, and a last step uses all rows that are not outlying.  Rows beyond ``CUTOFF``
+are rejected.
+
+The same is estimated for each language and for all rows.  A row of a group with fewer than ``MIN_ROWS`` rows
+is judged by its language's estimate, or by that of all rows if the language has fewer too.
+Each step reads the statistics once and writes one row per group and start.
 """
 
 from __future__ import annotations
@@ -21,8 +27,10 @@ DIMENSIONS = 5
 #: Words of a repeated window; share of rows that a concentration step keeps (half of them, so that the
 #: estimate stands nearly as many outliers; the last step restores efficiency); such steps.
 WINDOW, CORE, STEPS = 5, 0.5, 3
-#: Groups with fewer rows than this reject nothing.
+#: Groups with fewer rows than this are judged by the estimate of their language, then of all rows.
 MIN_ROWS = 40
+#: Directions from the median are kept as whole numbers, in this part of 1.
+SIGN = 1024
 #: Least standard deviation of each statistic, in 1/1024: smaller differences are no reason to reject.
 FLOORS = (80, 512, 160, 160, 125)
 #: Statistics: length of words, number of words, rates of symbols, repeated lines and repeated words;
@@ -143,7 +151,8 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", groups
 
     Base rule: under 10 words, or over a fifth of the words in repeated windows.  Estimates use the
     rows that pass it, and only those can be kept.  Null groups are groups; groups under
-    ``MIN_ROWS`` rows reject nothing (``distance2`` null).  Null texts have no word and fail.
+    ``MIN_ROWS`` rows are judged by their language, then by all rows.  ``distance2`` is null where the base
+    rule fails, and only there.  Null texts have no word and fail.
     Repeated rows and null ids stay.  An empty table gives an empty one.  Only the named columns
     are read.
     """
@@ -153,32 +162,63 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", groups
     rows = written(_with(counts.withColumn("base_failed", F.expr(FAILED)), WHOLE), "quality-rows")
     passed = rows.where(~F.col("base_failed")).select(*g, *[f"z{i}" for i in _D])
 
-    def beside(left, state):
-        small = state.select(F.col("_g1").alias("_k1"), F.col("_g2").alias("_k2"), *[c for c in state.columns if c not in g])
-        return left.join(small, F.col("_g1").eqNullSafe(F.col("_k1")) & F.col("_g2").eqNullSafe(F.col("_k2")), "left").drop("_k1", "_k2")
+    # Each row once per level: its language and source, its language, all rows.
+    level = ["_v", *g]
+    passed = (passed.withColumn("_v", F.explode(F.array(*[F.lit(v) for v in LEVELS])))
+              .withColumn("_g2", F.when(F.col("_v") == 0, F.col("_g2"))).withColumn("_g1", F.when(F.col("_v") < 2, F.col("_g1"))))
 
-    def estimate(kept, factor):
-        sums = kept.groupBy(*g).agg(*[F.expr(text).alias(name) for name, text in SUMS])
-        return written(_with(sums, moments(factor) + CHOLESKY).select(*g, *_STATE), "quality-state")
+    def beside(left, state, keys):
+        small = state.withColumnsRenamed({k: f"_k{k}" for k in keys})
+        meet = F.lit(True)
+        for k in keys:
+            meet = meet & F.col(k).eqNullSafe(F.col(f"_k{k}"))
+        return left.join(small, meet, "left").drop(*[f"_k{k}" for k in keys])
 
-    middle = written(passed.groupBy(*g).agg(*[F.expr(f"percentile(z{i}, 0.5)").alias(f"m{i}") for i in _D]), "quality-state")
-    spread = beside(passed, middle).groupBy(*g).agg(
+    def estimate(kept, factor, keys):
+        sums = kept.groupBy(*keys).agg(*[F.expr(text).alias(name) for name, text in SUMS])
+        return written(_with(sums, moments(factor) + CHOLESKY).select(*keys, *_STATE), "quality-state")
+
+    middle = written(passed.groupBy(*level).agg(*[F.expr(f"percentile(z{i}, 0.5)").alias(f"m{i}") for i in _D]), "quality-state")
+    spread = written(beside(passed, middle, level).groupBy(*level).agg(
         F.count(F.lit(1)).alias("n"), *[F.max(f"m{i}").alias(f"m{i}") for i in _D],
-        *[F.expr(f"percentile(abs(z{i} - m{i}), 0.5)").alias(f"a{i}") for i in _D])
-    state = written(_with(spread, START + CHOLESKY).select(*g, *_STATE), "quality-state")
+        *[F.expr(f"percentile(abs(z{i} - m{i}), 0.5)").alias(f"a{i}") for i in _D]), "quality-state")
+    signs = _with(beside(passed, spread, level), SIGNS).groupBy(*level).agg(
+        *[F.max(c).alias(c) for c in ("n", *[f"m{i}" for i in _D], *[f"a{i}" for i in _D])], *[F.expr(text).alias(name) for name, text in SIGN_SUMS])
+    state = written(_with(spread, START + CHOLESKY).select(*level, F.lit(0).alias("_b"), *_STATE)
+                    .unionByName(_with(signs, SIGN_START + CHOLESKY).select(*level, F.lit(1).alias("_b"), *_STATE)), "quality-state")
+    both = [*level, "_b"]
     for _ in range(STEPS):
-        scored = _with(beside(passed, state), [*DISTANCE, ("bin", BIN)])
-        cut = written(scored.groupBy(*g).agg(F.expr(f"floor(percentile(bin, {CORE}))").alias("cut")), "quality-cut")
-        state = estimate(beside(scored, cut).where("bin <= cut"), consistency(CORE))
-    state = estimate(_with(beside(passed, state), DISTANCE).where(f"d2 <= {INNER!r}"), consistency(0.975))
-    judged = _with(beside(rows, state), DISTANCE)
-    distance = F.when(~F.col("base_failed") & (F.col("n") >= MIN_ROWS), F.col("d2"))
+        scored = _with(beside(passed, state, level), [*DISTANCE, ("bin", BIN)])
+        cut = written(scored.groupBy(*both).agg(F.expr(f"floor(percentile(bin, {CORE}))").alias("cut")), "quality-cut")
+        state = estimate(beside(scored.drop("n"), cut, both).where("bin <= cut"), consistency(CORE), both)
+    least = state.groupBy(*level).agg(F.min_by(F.struct(*_STATE), F.struct(F.expr(DETERMINANT), F.col("_b"))).alias("s")).select(*level, "s.*")
+    state = estimate(_with(beside(passed, least, level), DISTANCE).where(f"d2 <= {INNER!r}"), consistency(0.975), level)
+    sized = written(beside(state, spread.select(*level, F.col("n").alias("size")), level), "quality-state")
+    # The estimate that judges each group: its own, its language's or that of all rows.
+    params = F.struct(*_STATE)
+    own = sized.where("_v = 0").select(*g, F.when(F.col("size") >= MIN_ROWS, params).alias("p0"))
+    wide = sized.where((F.col("_v") == 1) & (F.col("size") >= MIN_ROWS)).select("_g1", params.alias("p1"))
+    every = sized.where("_v = 2").select(F.lit(0).alias("_one"), params.alias("p2"))
+    judges = beside(beside(own, wide, ["_g1"]).withColumn("_one", F.lit(0)), every, ["_one"])
+    judges = judges.select(*g, F.coalesce("p0", "p1", "p2").alias("p")).select(*g, "p.*")
+    judged = _with(beside(rows, judges, g), DISTANCE)
+    distance = F.when(~F.col("base_failed"), F.col("d2"))
     return judged.select(F.col("doc_id").alias(doc_id), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))).alias("kept"), distance.alias("distance2"))
 
 
 #: First scatter: median deviations on the diagonal.
 START = [(f"c{i}{j}", f"(14826e-4 * a{i}) * (14826e-4 * a{i}) + {FLOORS[i - 1] ** 2}e0" if i == j else "0e0") for i, j in _PAIRS]
+#: Second scatter: the covariance of the directions from the median, each scaled by its median deviation.
+_SCALE = [f"sqrt((14826e-4 * a{i}) * (14826e-4 * a{i}) + {FLOORS[i - 1] ** 2}e0)" for i in _D]
+SIGNS = [(f"u{i}", f"(z{i} - m{i}) / {_SCALE[i - 1]}") for i in _D]
+SIGNS += [("r", "greatest(sqrt(" + " + ".join(f"u{i} * u{i}" for i in _D) + "), 1e-9)")]
+SIGNS += [(f"k{i}", f"CAST(floor({SIGN}e0 * u{i} / r + 5e-1) AS BIGINT)") for i in _D]
+SIGN_SUMS = [(f"p{i}{j}", f"sum(k{i} * k{j})") for i, j in _PAIRS]
+SIGN_START = [(f"c{i}{j}", f"{DIMENSIONS}e0 * (CAST(p{i}{j} AS DOUBLE) / n / {SIGN ** 2}e0) * ({_SCALE[i - 1]} * {_SCALE[j - 1]})"
+               + (f" + {FLOORS[i - 1] ** 2}e0" if i == j else "")) for i, j in _PAIRS]
+DETERMINANT = " * ".join(f"l{i}{i}" for i in _D)
+LEVELS = (0, 1, 2)
 _STATE = ["n", *[f"m{i}" for i in _D], *[name for name, _ in CHOLESKY]]
 
 
@@ -197,7 +237,7 @@ def oracle_sql() -> str:
         return source
 
     state = ", ".join(_STATE)
-    with_state = "SELECT p.*, {cols} FROM passed p JOIN {s} t ON p.lang IS NOT DISTINCT FROM t.lang AND p.source IS NOT DISTINCT FROM t.source"
+    with_state = "SELECT p.*, {cols} FROM passed p JOIN {s} t ON p.v = t.v AND p.lang IS NOT DISTINCT FROM t.lang AND p.source IS NOT DISTINCT FROM t.source"
     cols = ", ".join(f"t.{c}" for c in _STATE)
     parts = [f"""words AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)""",
@@ -213,21 +253,33 @@ def oracle_sql() -> str:
     - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS BIGINT) AS n_dup_lines,
   coalesce(n_repeat_words, 0) AS n_repeat_words FROM words LEFT JOIN repeats USING (rid))""",
              f"rows_ AS (SELECT *, ({FAILED}) AS base_failed, {_list(WHOLE)} FROM counts)",
-             f"passed AS (SELECT lang, source, {', '.join(f'z{i}' for i in _D)} FROM rows_ WHERE NOT base_failed)",
-             f"middle AS (SELECT lang, source, {', '.join(f'median(z{i}) AS m{i}' for i in _D)} FROM passed GROUP BY lang, source)"]
+             f"""passed AS (SELECT v, CASE WHEN v < 2 THEN lang END AS lang, CASE WHEN v = 0 THEN source END AS source, {', '.join(f'z{i}' for i in _D)}
+  FROM rows_, (SELECT unnest([{', '.join(map(str, LEVELS))}]) AS v) WHERE NOT base_failed)""",
+             f"middle AS (SELECT v, lang, source, {', '.join(f'median(z{i}) AS m{i}' for i in _D)} FROM passed GROUP BY v, lang, source)"]
     off = with_state.format(cols=", ".join(f"t.m{i}" for i in _D), s="middle")
-    spread = (f"(SELECT lang, source, count(*) AS n, {', '.join(f'max(m{i}) AS m{i}' for i in _D)}, "
-              f"{', '.join(f'median(abs(z{i} - m{i})) AS a{i}' for i in _D)} FROM ({off}) GROUP BY lang, source)")
-    parts.append(f"state0 AS (SELECT lang, source, {state} FROM {nest(spread, START + CHOLESKY)})")
-    sums = "SELECT lang, source, " + _list(SUMS) + " FROM ({rows}) GROUP BY lang, source"
+    parts.append(f"spread AS (SELECT v, lang, source, count(*) AS n, {', '.join(f'max(m{i}) AS m{i}' for i in _D)}, "
+                 f"{', '.join(f'median(abs(z{i} - m{i})) AS a{i}' for i in _D)} FROM ({off}) GROUP BY v, lang, source)")
+    known = ["n", *[f"m{i}" for i in _D], *[f"a{i}" for i in _D]]
+    signed = nest("(" + with_state.format(cols=", ".join(f"t.{c}" for c in known), s="spread") + ")", SIGNS)
+    parts.append(f"signs AS (SELECT v, lang, source, {', '.join(f'max({c}) AS {c}' for c in known)}, {_list(SIGN_SUMS)} FROM {signed} GROUP BY v, lang, source)")
+    parts.append(f"state0 AS (SELECT v, lang, source, 0 AS b, {state} FROM {nest('spread', START + CHOLESKY)} "
+                 f"UNION ALL SELECT v, lang, source, 1, {state} FROM {nest('signs', SIGN_START + CHOLESKY)})")
+    sums = "SELECT {keys}, " + _list(SUMS) + " FROM ({rows}) GROUP BY {keys}"
+    both = "v, lang, source, b"
     for k in range(STEPS):
-        parts.append(f"scored{k} AS (SELECT * FROM {nest('(' + with_state.format(cols=cols, s=f'state{k}') + ')', [*DISTANCE, ('bin', BIN)])})")
-        parts.append(f"cut{k} AS (SELECT lang, source, floor(quantile_cont(bin, {CORE})) AS cut FROM scored{k} GROUP BY lang, source)")
-        inner = (f"SELECT s.* FROM scored{k} s JOIN cut{k} c ON s.lang IS NOT DISTINCT FROM c.lang AND s.source IS NOT DISTINCT FROM c.source "
-                 "WHERE s.bin <= c.cut")
-        parts.append(f"state{k + 1} AS (SELECT lang, source, {state} FROM {nest('(' + sums.format(rows=inner) + ')', moments(consistency(CORE)) + CHOLESKY)})")
-    last = f"SELECT * FROM {nest('(' + with_state.format(cols=cols, s=f'state{STEPS}') + ')', DISTANCE)} WHERE d2 <= {INNER!r}"
-    parts.append(f"final_ AS (SELECT lang, source, {state} FROM {nest('(' + sums.format(rows=last) + ')', moments(consistency(0.975)) + CHOLESKY)})")
-    judged = nest(f"(SELECT r.*, {cols} FROM rows_ r LEFT JOIN final_ t ON r.lang IS NOT DISTINCT FROM t.lang AND r.source IS NOT DISTINCT FROM t.source)", DISTANCE)
+        parts.append(f"scored{k} AS (SELECT * FROM {nest('(' + with_state.format(cols='t.b, ' + cols, s=f'state{k}') + ')', [*DISTANCE, ('bin', BIN)])})")
+        parts.append(f"cut{k} AS (SELECT {both}, floor(quantile_cont(bin, {CORE})) AS cut FROM scored{k} GROUP BY {both})")
+        inner = (f"SELECT s.* EXCLUDE (n) FROM scored{k} s JOIN cut{k} c ON s.v = c.v AND s.b = c.b AND s.lang IS NOT DISTINCT FROM c.lang "
+                 "AND s.source IS NOT DISTINCT FROM c.source WHERE s.bin <= c.cut")
+        parts.append(f"state{k + 1} AS (SELECT {both}, {state} FROM {nest('(' + sums.format(rows=inner, keys=both) + ')', moments(consistency(CORE)) + CHOLESKY)})")
+    parts.append(f"least_ AS (SELECT * FROM state{STEPS} QUALIFY row_number() OVER (PARTITION BY v, lang, source ORDER BY {DETERMINANT}, b) = 1)")
+    last = f"SELECT * EXCLUDE (n) FROM {nest('(' + with_state.format(cols=cols, s='least_') + ')', DISTANCE)} WHERE d2 <= {INNER!r}"
+    grouped = nest("(" + sums.format(rows=last, keys="v, lang, source") + ")", moments(consistency(0.975)) + CHOLESKY)
+    parts.append(f"final_ AS (SELECT f.*, s.n AS size FROM (SELECT v, lang, source, {state} FROM {grouped}) f "
+                 "JOIN spread s ON f.v = s.v AND f.lang IS NOT DISTINCT FROM s.lang AND f.source IS NOT DISTINCT FROM s.source)")
+    pick = ", ".join(f"CASE WHEN o.size >= {MIN_ROWS} THEN o.{c} WHEN w.size >= {MIN_ROWS} THEN w.{c} ELSE e.{c} END AS {c}" for c in _STATE)
+    parts.append(f"judges AS (SELECT o.lang, o.source, {pick} FROM final_ o LEFT JOIN final_ w ON w.v = 1 AND w.lang IS NOT DISTINCT FROM o.lang "
+                 "LEFT JOIN final_ e ON e.v = 2 WHERE o.v = 0)")
+    judged = nest(f"(SELECT r.*, {cols} FROM rows_ r LEFT JOIN judges t ON r.lang IS NOT DISTINCT FROM t.lang AND r.source IS NOT DISTINCT FROM t.source)", DISTANCE)
     return (f"WITH {', '.join(parts)} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, "
-            f"NOT base_failed AND coalesce(CASE WHEN n >= {MIN_ROWS} THEN d2 END <= {CUTOFF!r}, true) AS kept FROM {judged}")
+            f"NOT base_failed AND coalesce(d2 <= {CUTOFF!r}, true) AS kept FROM {judged}")

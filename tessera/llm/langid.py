@@ -13,6 +13,7 @@ met) are set so that they reject a stated share of the sample's texts at most.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -133,20 +134,27 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     found = (chosen.mapInArrow(features, f"_id {kind}, _label string, _k int, _keys binary, _weights binary")
              .dropDuplicates(["_id", "_label", "_k"]).collect())
     found.sort(key=lambda r: (r["_label"], r["_id"], r["_k"]))
+    # Every fifth document, by a hash of its id, is held out whole; the first example is its whole text.
+    held = [zlib.crc32(f"held out {r['_id']}".encode()) % 5 == 0 for r in found]
     return fit([(r["_label"], np.frombuffer(r["_keys"], np.int32), np.frombuffer(r["_weights"], np.float32)) for r in found],
-               dim, epochs, reject_share, seed)
+               dim, epochs, reject_share, seed, held=held, whole=[r["_k"] == 0 for r in found])
 
 
 def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 4, reject_share: float = 0.001,
-        seed: int = 7, rate: float = 1.0) -> Model | None:
-    """Train on (label, hashes, weights) by SGD; every fifth example is kept for calibration."""
+        seed: int = 7, rate: float = 1.0, held: list[bool] | None = None, whole: list[bool] | None = None) -> Model | None:
+    """Train on (label, hashes, weights) by SGD.
+
+    ``held`` examples are kept from training, and those of them that are ``whole`` texts calibrate the model;
+    without any, or with fewer than 50 examples, all are trained on and calibrate.
+    """
     if not examples:
         return None
     languages = sorted({e[0] for e in examples})
     index = {name: i for i, name in enumerate(languages)}
     rng = np.random.default_rng(seed)
-    held = np.zeros(len(examples), bool)
-    held[::5] = len(examples) >= 50
+    held = np.array(held if held is not None and len(examples) >= 50 else [False] * len(examples), bool)
+    if held.all():
+        held[:] = False
     fitted = np.flatnonzero(~held)
     size = 1 << BITS
     embedding = rng.normal(0, 0.3, (size, dim)).astype(np.float32)
@@ -172,7 +180,8 @@ def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epoch
     # An n-gram that training has not met says nothing.
     table = (embedding @ head) * seen[:, None]
     model = Model(languages, np.concatenate((table, seen[:, None]), axis=1).astype(np.float32), bias, 1.0, 0.0, 0.0)
-    checked = np.flatnonzero(held) if held.any() else fitted
+    checked = np.flatnonzero(held & np.array(whole, bool)) if whole is not None else np.flatnonzero(held)
+    checked = checked if len(checked) else fitted
     truth = np.array([index[examples[k][0]] for k in checked])
     sums = np.stack([examples[k][2] @ model.table[examples[k][1]] for k in checked]).astype(np.float64)
     scale = np.geomspace(0.05, 20, 60)

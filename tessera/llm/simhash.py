@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, text_slices, word_spans, written
+from tessera.llm.common import LOWER, split_by_keys, text_slices, word_spans, written
 from tessera.llm.components import connected_components
 
 PIVOTS = 16
@@ -81,8 +81,9 @@ def fingerprint_table(docs: DataFrame, text: str = "text", shingle: int = 4, car
     Writing fixes the row numbers and spares a second reading of the texts.
     """
     kept = [c for c in (docs.columns if carry is None else carry) if c not in ("_fp", "_row")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_whole_text"))
-    schema = rows.drop("_whole_text").withColumn("_fp", F.lit(0).cast("long")).schema
+    places = [f"c{i}" for i in range(len(kept))]  # inside, columns go by their place
+    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
+    schema = rows.drop("text").withColumn("_fp", F.lit(0).cast("long")).schema
 
     def run(batches):
         for batch in batches:
@@ -90,9 +91,9 @@ def fingerprint_table(docs: DataFrame, text: str = "text", shingle: int = 4, car
             for first, end, data, offsets in text_slices(batch.column(len(kept))):
                 found[first:end] = fingerprints(data, offsets, shingle)
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + [pa.array(found.view(np.int64))],
-                                             names=kept + ["_fp"])
+                                             names=places + ["_fp"])
 
-    return written(rows.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
+    return written(rows.mapInArrow(run, schema).toDF(*kept, "_fp").withColumn("_row", F.monotonically_increasing_id()), "fingerprints", "zstd")
 
 
 def _near(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, max_bits: int) -> np.ndarray:
@@ -192,18 +193,18 @@ def link(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def components(table: DataFrame, doc_id: str = "doc_id", max_bits: int = 4) -> DataFrame:
-    """(_fp, component_id, _winner) of each distinct fingerprint of a ``fingerprint_table``.
+    """(_fp, component_id, _winner, _rows) of each distinct fingerprint of a ``fingerprint_table``.
 
-    ``component_id`` is the smallest id of the component (null if all are null) and
-    ``_winner`` the number of a row with that id.
+    ``component_id`` is the smallest id of the component (null if all are null),
+    ``_winner`` the number of a row with that id and ``_rows`` the component's number of rows.
     """
     best = F.min(F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("id"), F.col("_row").alias("row")))
-    distinct = written(table.groupBy("_fp").agg(best.alias("best")), "classes")
+    distinct = written(table.groupBy("_fp").agg(best.alias("best"), F.count(F.lit(1)).alias("n")), "classes")
     roots = connected_components(link(distinct.select("_fp"), max_bits))
     classes = (distinct.join(roots, distinct["_fp"] == roots["node"], "left")
-               .select("_fp", "best", F.coalesce("root", "_fp").alias("root")))
-    least = classes.groupBy("root").agg(F.min("best").alias("least"))
-    return classes.join(least, "root").select("_fp", F.col("least.id").alias("component_id"), F.col("least.row").alias("_winner"))
+               .select("_fp", "best", "n", F.coalesce("root", "_fp").alias("root")))
+    least = classes.groupBy("root").agg(F.min("best").alias("least"), F.sum("n").alias("_rows"))
+    return classes.join(least, "root").select("_fp", F.col("least.id").alias("component_id"), F.col("least.row").alias("_winner"), "_rows")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
@@ -230,5 +231,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     own = places[docs.columns.index(doc_id)]
     table = fingerprint_table(docs.toDF(*places), places[docs.columns.index(text)], shingle)
     found = components(table, own, max_bits)
-    kept = table.join(found.select("_fp", "_winner"), "_fp").where(F.col("_row") == F.col("_winner"))
-    return kept.select(*places).toDF(*docs.columns)
+    # Rows that are alone in their component pass by without a shuffle.
+    several = written(found.where(F.col("_rows") > 1).select("_fp", "_winner"), "groups")
+    near, far = split_by_keys(table, F.xxhash64("_fp"), several.select(F.xxhash64("_fp").alias("key")))
+    met = near.join(several, "_fp", "left").where(F.coalesce(F.col("_row") == F.col("_winner"), F.lit(True)))
+    return met.select(*places).unionByName(far.select(*places)).toDF(*docs.columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import _powers, mix, span_hashes, text_slices, word_spans
+from tessera.llm.common import _powers, mix, span_hashes, split_by_keys, text_slices, word_spans, written
 
 #: Sentences in a run, words it has at least (shorter repeats, such as common lines, are left alone),
 #: words of the longest sentence, and the share of words (one in CUT) that end one.
@@ -39,6 +39,8 @@ SPACING = 10
 LONG = 51 + 1 - 2 * SPACING
 LEAST = LONG + 1 - SPACING
 EDGE = MAX_WORDS + 1 - SPACING
+#: Slices of text (1 MB or so) whose runs are held at a time.
+SLICES = 8
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -123,8 +125,9 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     return rows[a], a - np.searchsorted(rows, rows[a], "left"), b - a, only, *found
 
 
-#: A shuffled row: hash; 32 more bits of hash over 32 bits of the text's hash; id; place, negative if
-#: the stretch is marked already.  A place is the first word, a bit for runs of pieces, and the words: at
+#: A shuffled row: hash; 32 bits of the text's hash over 32 more bits of hash; id; place, negative if
+#: the stretch is marked already.  A document's rows follow each other, so what they share, which
+#: lies side by side, is compressed in the shuffle.  A place is the first word, a bit for runs of pieces, and the words: at
 #: most ``RUN * MAX_WORDS``, so 7 bits hold them.
 _FIELDS = ["h", "q", "id", "place"]
 _PIECES, _LENGTH_BITS = 1 << 7, 8
@@ -139,34 +142,43 @@ def _beyond(place: np.ndarray, own: np.ndarray, first: np.ndarray) -> np.ndarray
 
 
 def _runs_of(batches):
-    """Rows to shuffle: runs, and stretches already known to be no first ones."""
+    """Rows to shuffle: runs, and stretches already known to be no first ones; ``SLICES`` slices of text at a time."""
     for batch in batches:
         ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(0xFFFFFFFF)
         parts = []
         for low, _, data, offsets in text_slices(batch.column(2)):
             row, a, size, only, h, g = runs(data, offsets)
             parts.append((row + low, a, a << _LENGTH_BITS | only * _PIECES | size, h, g))
-        row, a, place, h, g = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([],) * 5
-        if not len(row):
-            continue
-        null = ~ids.is_valid().to_numpy(zero_copy_only=False)
-        value = np.where(null, 0, ids.fill_null(0).to_numpy(zero_copy_only=False))
-        q = (g >> np.uint64(32) << np.uint64(32)) | marks[row]
-        g = q >> np.uint64(32)
-        own = np.stack([null[row].astype(np.int64), value[row].astype(np.int64), marks[row].astype(np.int64), a])
-        order = np.lexsort((*own[::-1], g, h))
-        own, head = own[:, order], np.ones(len(order), bool)
-        head[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
-        # The same place of an equal row is not a later one: it is neither sent nor marked.
-        lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-        later = (own != own[:, lead]).any(axis=0)
-        place = _beyond(place[order], own, own[:, lead])[head | later]
-        order = order[head | later]
-        row, a, h, q, sent = row[order], a[order], h[order], q[order], head[head | later]
-        # A marked stretch needs no partner: it is dealt out by its document.
-        key = np.where(sent, h, mix(value[row].astype(np.uint64) + a.astype(np.uint64)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(q.view(np.int64)), ids.take(pa.array(row)),
-                                          pa.array(np.where(sent, place, ~place))], names=_FIELDS)
+            if len(parts) == SLICES:
+                yield _sent(ids, marks, parts)
+                parts = []
+        if parts:
+            yield _sent(ids, marks, parts)
+
+
+def _sent(ids, marks: np.ndarray, parts: list[tuple]):
+    """The rows for the runs of some slices, in the order of documents and places."""
+    row, a, place, h, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+    null = ~ids.is_valid().to_numpy(zero_copy_only=False)
+    value = np.where(null, 0, ids.fill_null(0).to_numpy(zero_copy_only=False))
+    g >>= np.uint64(32)
+    q = marks[row] << np.uint64(32) | g
+    own = np.stack([null[row].astype(np.int64), value[row].astype(np.int64), marks[row].astype(np.int64), a])
+    order = np.lexsort((*own[::-1], g, h))
+    own, head = own[:, order], np.ones(len(order), bool)
+    head[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    # The same place of an equal row is not a later one: it is neither sent nor marked.
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+    later = (own != own[:, lead]).any(axis=0)
+    place = _beyond(place[order], own, own[:, lead])[head | later]
+    order = order[head | later]
+    again = np.argsort(order, kind="stable")
+    place, sent, order = place[again], head[head | later][again], order[again]
+    row, a, h, q = row[order], a[order], h[order], q[order]
+    # A marked stretch needs no partner: it is dealt out by its document.
+    key = np.where(sent, h, mix(value[row].astype(np.uint64) + a.astype(np.uint64)))
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(q.view(np.int64)), ids.take(pa.array(row)),
+                                       pa.array(np.where(sent, place, ~place))], names=_FIELDS)
 
 
 def _later_runs(batches):
@@ -180,7 +192,7 @@ def _later_runs(batches):
         if not batch.num_rows:
             continue
         h, q, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-        g, t, sent, ids = q.view(np.uint64) >> np.uint64(32), (q & 0xFFFFFFFF), place >= 0, batch.column(2)
+        g, t, sent, ids = q & 0xFFFFFFFF, (q.view(np.uint64) >> np.uint64(32)).astype(np.int64), place >= 0, batch.column(2)
         own = np.stack([(~ids.is_valid().to_numpy(zero_copy_only=False)).astype(np.int64), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
                         t, place >> _LENGTH_BITS])
         head = np.ones(len(h), bool)
@@ -214,7 +226,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = docs.select(F.col(doc_id).alias("id"), _mark(text).alias("t"), F.col(text).cast("string"))
     found = rows.mapInArrow(_runs_of, f"h long, q long, id {kind}, place long")
     # Within a hash: the rest of the hash, then the order of documents and places; marked rows come first.
-    order = ["h", F.expr("place >= 0"), F.shiftrightunsigned("q", 32), F.col("id").asc_nulls_last(), "q", "place"]
+    order = ["h", F.expr("place >= 0"), F.col("q").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("id").asc_nulls_last(), F.shiftrightunsigned("q", 32), "place"]
     later = found.repartition("h").sortWithinPartitions(*order).mapInArrow(_later_runs, f"id {kind}, t long, place long")
     return later.groupBy("id", "t").agg(F.collect_set("place").alias("places"))
 
@@ -262,9 +274,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     place = names.index(text)
     own, whole = kept[names.index(doc_id)], kept[place]
     found = repeated(rows.select(own, whole), own, whole)
+    found = written(found.select(F.col("id").alias("_id"), F.col("t").alias("_t2"), F.col("places").alias("_places")), "repeats")
     rows = rows.withColumn("_t", _mark(whole))
-    joined = rows.join(found.select(F.col("id").alias("_id"), F.col("t").alias("_t2"), F.col("places").alias("_places")),
-                       rows[own].eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_t2")), "left").drop("_id", "_t", "_t2")
+    # Only texts that may have a repeat are shuffled to meet it.
+    near, far = split_by_keys(rows, F.xxhash64(own, "_t"), found.select(F.xxhash64("_id", "_t2").alias("key")))
+    joined = (near.join(found, near[own].eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_t2")), "left").drop("_id", "_t", "_t2")
+              .unionByName(far.drop("_t").withColumn("_places", F.lit(None).cast("array<long>"))))
     schema = joined.drop("_places").withColumn(whole, F.col(whole).cast("string")).withColumn("n", F.lit(0).cast("long")).schema
 
     def cut(batches):

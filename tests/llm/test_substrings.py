@@ -8,58 +8,97 @@ from tessera.llm.common import span_hashes
 from tests.llm.conftest import ODD_TEXTS, docs_frame, prose
 
 
-def brute_sentences(text):
-    """(first byte, words) of each sentence."""
-    out, new, line, count = [], True, None, 0
-    raw = text.encode()
+def brute_words(raw):
+    """(word, its first byte, whether it is the first of its line, whether a cut by content or a stop comes before it)."""
+    out, stopped = [], True
     for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw):
-        row = raw[: m.start()].count(b"\n")
-        if new or row != line or count == substrings.MAX_WORDS:
-            out.append((m.start(), []))
-            count = 0
-        out[-1][1].append(m[0])
-        count, line = count + 1, row
         w = m[0]
+        line = not out or b"\n" in raw[out[-1][1]: m.start()]
+        out.append((w, m.start(), line, line or stopped))
         cut = int(span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) % substrings.CUT == 0
-        new = cut or w[-1:] in (b".", b"!", b"?") or (w[-1:] in (b'"', b"'", b")", b"]") and w[-2:-1] in (b".", b"!", b"?"))
-    return raw, out
+        stopped = cut or w[-1:] in (b".", b"!", b"?") or (w[-1:] in (b'"', b"'", b")", b"]") and w[-2:-1] in (b".", b"!", b"?"))
+    return out
+
+
+def brute_pieces(words, codes):
+    """First words of the pieces: after the least hash (of equal ones the last) of each window without another cut."""
+    n, size = len(words), substrings.SPACING
+    heads = {i for i, w in enumerate(words) if w[3]}
+    runs, start = [], 0
+    for i in range(1, n + 1):
+        if i == n or words[i][3] or codes[i] != codes[i - 1]:
+            runs.append((start, i))
+            start = i
+    long = {i for a, b in runs if b - a >= size for i in range(a, b)}
+    for i in range(n - size + 1):
+        if not any(words[k][3] for k in range(i + 1, i + size)):
+            k = min(range(i, i + size), key=lambda k: (codes[k], -k))
+            if k not in long:
+                heads.add(k + 1)
+    for a, b in runs:
+        if b - a >= size:
+            heads |= {i + 1 for i in range(a, b) if (i - a) % size == 0 or (b - 1 - i) % size == 0}
+    return sorted(h for h in heads if h < n)
+
+
+def brute_stretches(heads, n, run, least):
+    """(first word, end word, last part if it goes back from there) of runs of ``run`` parts and ``least`` words or more."""
+    ends, out = heads + [n], []
+    for i in range(len(heads)):
+        to = next((j for j in range(i + run, len(ends)) if ends[j] - ends[i] >= least), None)
+        if to is not None:
+            out.append((ends[i], ends[to], None))
+        back = next((k for k in range(i + 1 - run, -1, -1) if ends[i + 1] - ends[k] >= least), None)
+        if back is not None:
+            out.append((ends[back], ends[i + 1], i))
+    return out
 
 
 def brute(rows):
-    """Texts after removal; rows of (doc_id, text) with distinct ids."""
-    seen, cuts, made = set(), {}, {}
+    """doc_id -> (text after removal, sentences cut) of rows of (doc_id, text) with distinct ids."""
+    first, made = {}, {}
     for d, text in sorted((r for r in rows if r[1]), key=lambda r: (r[0] is None, r[0])):
-        raw, sents = brute_sentences(text)
-        made[d] = raw, sents
-        spans = set()
-        n = len(sents)
-        for i in range(n):
-            j = i
-            while j < n and (j - i < substrings.RUN or sum(len(s[1]) for s in sents[i:j]) < substrings.MIN_WORDS):
-                j += 1
-            if j - i >= substrings.RUN and sum(len(s[1]) for s in sents[i:j]) >= substrings.MIN_WORDS:
-                spans.add((i, j))
-            k = i + 1
-            while k > 0 and (i + 1 - k < substrings.RUN or sum(len(s[1]) for s in sents[k:i + 1]) < substrings.MIN_WORDS):
-                k -= 1
-            ends_line = i + 1 == n or raw[: sents[i + 1][0]].count(b"\n") > raw[: sents[i][0]].count(b"\n")
-            if ends_line and i + 1 - k >= substrings.RUN and sum(len(s[1]) for s in sents[k:i + 1]) >= substrings.MIN_WORDS:
-                spans.add((k, i + 1))
-        gone = set()
-        for a, b in sorted(spans):
-            key = tuple(w for s in sents[a:b] for w in s[1])
-            if key in seen:
-                gone |= set(range(a, b))
-            seen.add(key)
-        cuts[d] = gone
+        raw = text.encode()
+        words = brute_words(raw)
+        codes = [int(span_hashes(np.frombuffer(w[0], np.uint8), np.array([0]), np.array([len(w[0])]))[0]) for w in words]
+        heads, since = [], 0
+        for i, w in enumerate(words):
+            since = 0 if w[3] else since + 1
+            if since % substrings.MAX_WORDS == 0:
+                heads.append(i)
+        ends = heads[1:] + [len(words)]
+        whole = {(a, b) for a, b, back in brute_stretches(heads, len(words), substrings.RUN, substrings.MIN_WORDS)
+                 if back is None or ends[back] == len(words) or words[ends[back]][2]}
+        only = {(a, b) for a, b, _ in brute_stretches(brute_pieces(words, codes), len(words), 1, substrings.LEAST)} - whole
+        cover, gone = {True: set(), False: set()}, set()
+        for a, b in sorted(whole | only):
+            key = tuple(w[0] for w in words[a:b])
+            owner, at = first.setdefault(key, (d, a))
+            if (owner, at) != (d, a):
+                # A run of pieces that overlaps the first one of its kind leaves that one as it is.
+                start = max(a, at + b - a) if owner == d and (a, b) in only else a
+                cover[(a, b) in whole] |= set(range(start, b))
+
+        def parts(marked, least):
+            out, run = set(), []
+            for i in range(len(words) + 1):
+                if i in marked:
+                    run.append(i)
+                else:
+                    out |= set(run) if len(run) >= least else set()
+                    run = []
+            return out
+        gone = cover[True] | parts(parts(cover[True] | cover[False], substrings.LONG) - cover[True], substrings.EDGE)
+        made[d] = raw, words, heads, ends, gone
     out = {}
     for d, text in rows:
         if not text or not made[d][1]:
             out[d] = text, 0
             continue
-        raw, sents = made[d]
-        begins = [s[0] for s in sents] + [len(raw)]
-        out[d] = (raw[: begins[0]] + b"".join(raw[begins[i]: begins[i + 1]] for i in range(len(sents)) if i not in cuts[d])).decode(), len(cuts[d])
+        raw, words, heads, ends, gone = made[d]
+        begins = [w[1] for w in words] + [len(raw)]
+        out[d] = ((raw[: begins[0]] + b"".join(raw[begins[i]: begins[i + 1]] for i in range(len(words)) if i not in gone)).decode(),
+                  sum(any(i in gone for i in range(a, b)) for a, b in zip(heads, ends, strict=True)))
     return out
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.dates import UNKNOWN_MEMBER_KEY
+from tessera.operators.windows import running_totals
+from tessera.session import materialise
 
 
 def coalesced_key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_key: str,
@@ -126,3 +128,47 @@ def as_of_lookup(fact: DataFrame, history: DataFrame, key: str, at: str,
                             *[F.col(f"_cur.{c}").alias(c) for c in carry])
     cond = (fact[key] == resolved["_k"]) & (fact[at] == resolved["_t"])
     return fact.join(resolved, cond, "left").drop("_k", "_t")
+
+
+def interval_join(a: DataFrame, b: DataFrame, key: str, a_from: str, a_to: str, b_from: str, b_to: str,
+                  cell: int = 10_000, num_ranges: int | None = None) -> DataFrame:
+    """All pairs of one ``key`` whose half-open intervals overlap (J03), for histories that may overlap themselves.
+
+    All starts of a key, of both sides, are numbered in order, and each interval gets two numbers: ``r``,
+    that of its own start, and ``e``, that of the last start before its end.  Two intervals overlap if and only if the
+    later start lies in the earlier interval: ``r < r' <= e``.  Numbers are cut into cells of ``cell`` starts.  An
+    interval stands in the cell of its start once, and as a possible earlier partner in all cells from ``r`` to ``e``,
+    so a pair meets in one cell only, that of the later start.  A key with few starts is one cell; a
+    key with most of the rows is many, and an interval is copied only to cells that it reaches.
+
+    Returns the columns of ``a``, those of ``b`` without the key, ``overlap_from`` and ``overlap_to``.  Other columns that
+    both sides have must be renamed before.  Empty intervals and NULL keys, starts or ends overlap nothing; repeated
+    rows are rows of their own.
+    """
+    def events(df, start, end, side):
+        rows = df.where(F.col(key).isNotNull() & (F.col(start) < F.col(end)))
+        rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.monotonically_increasing_id().alias("_id"))
+        both = F.array(F.struct(F.col(f"_row.{start}").alias("_t"), F.lit(1).alias("_kind")), F.struct(F.col(f"_row.{end}").alias("_t"), F.lit(0).alias("_kind")))
+        out = rows.select(F.col(f"_row.{key}").alias("_k"), "_id", F.explode(both).alias("_e"), "_row")
+        return out.select("_k", "_id", "_e._t", "_e._kind", F.lit(side).alias("_side"), F.when(F.col("_e._kind") == 1, F.col("_row")).alias(f"_{side}"))
+
+    # At one instant ends come before starts, so a start at an interval's end is none of its own.
+    order = [F.col(c).asc() for c in ("_t", "_kind", "_side", "_id")]
+    numbered = running_totals(events(a, a_from, a_to, "a").unionByName(events(b, b_from, b_to, "b"), allowMissingColumns=True),
+                              order, {"_n": F.col("_kind").cast("long")}, num_ranges, keys=["_k"])
+    spans = materialise(numbered.groupBy("_k", "_side", "_id").agg(
+        F.max(F.when(F.col("_kind") == 1, F.col("_n"))).alias("r"), F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("e"),
+        F.first("_a", ignorenulls=True).alias("_a"), F.first("_b", ignorenulls=True).alias("_b")), "interval-spans")
+
+    def cell_of(name):
+        return F.floor((F.col(name) - 1) / cell)
+
+    def met(early, late):
+        reach = spans.where(F.col("_side") == early).select("_k", F.explode(F.sequence(cell_of("r"), cell_of("e"))).alias("_cell"),
+                                                            F.col("r").alias("_r"), F.col("e").alias("_e"), f"_{early}")
+        begin = spans.where(F.col("_side") == late).select("_k", cell_of("r").alias("_cell"), "r", f"_{late}")
+        return reach.join(begin, ["_k", "_cell"]).where((F.col("_r") < F.col("r")) & (F.col("r") <= F.col("_e"))).select("_a", "_b")
+
+    pairs = met("a", "b").unionByName(met("b", "a"))
+    return pairs.select(*[F.col(f"_a.`{c}`").alias(c) for c in a.columns], *[F.col(f"_b.`{c}`").alias(c) for c in b.columns if c != key],
+                        F.greatest(f"_a.{a_from}", f"_b.{b_from}").alias("overlap_from"), F.least(f"_a.{a_to}", f"_b.{b_to}").alias("overlap_to"))

@@ -10,11 +10,12 @@ from pyspark.sql.window import Window
 
 from tessera.functions.dates import OPEN_END, open_end
 from tessera.functions.hashing import change_hash, surrogate_key
+from tessera.operators.windows import carried
 
 
 def timeline_merge(a: DataFrame, b: DataFrame, key: str,
                    a_from: str, a_to: str, b_from: str, b_to: str,
-                   a_cols: Sequence[str], b_cols: Sequence[str]) -> DataFrame:
+                   a_cols: Sequence[str], b_cols: Sequence[str], num_ranges: int | None = None) -> DataFrame:
     """Merge two per-key histories into one timeline.
 
     Result rows are the non-empty intersections of an ``a`` version and a
@@ -23,7 +24,9 @@ def timeline_merge(a: DataFrame, b: DataFrame, key: str,
     join, but computed as a sweep over the union of boundaries: each boundary
     carries the active version of both histories forward, so the work is
     linear in the number of versions (no version pairs are formed even for a
-    key with many versions).  Each history must not overlap itself per key.
+    key with many versions), and a key is cut over ranges (:func:`windows.carried`).  Each
+    history must not overlap itself per key (:func:`self_overlaps` finds where one does;
+    :func:`joins.interval_join` joins such histories).  Rows of a NULL key have no match.
     """
     a_struct = F.struct(*[F.col(c) for c in [a_from, a_to, *a_cols]])
     b_struct = F.struct(*[F.col(c) for c in [b_from, b_to, *b_cols]])
@@ -38,20 +41,16 @@ def timeline_merge(a: DataFrame, b: DataFrame, key: str,
         return x.select("_k", "_e._t", "_e._kind", F.lit(side).alias("_side"),
                         F.struct(F.col("_e.on").alias("on"), F.col("_own").alias("v")).alias(f"_{side}"))
 
+    a, b = a.where(F.col(key).isNotNull()), b.where(F.col(key).isNotNull())
     ea = events(a, a_from, a_to, a_struct, "a")
     eb = events(b, b_from, b_to, b_struct, "b")
     ev = ea.unionByName(eb, allowMissingColumns=True)
 
-    order = Window.partitionBy("_k").orderBy("_t", "_kind", "_side")
-    w = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = ev.select(
-        "_k", "_t",
-        F.last("_a", ignorenulls=True).over(w).alias("_sa"),
-        F.last("_b", ignorenulls=True).over(w).alias("_sb"),
-        F.lead("_t").over(order).alias("_following"))
+    # The order is total: a tie is only between equal rows of one history, which must not overlap itself.
+    order = [F.col("_t").asc(), F.col("_kind").asc(), F.col("_side").asc()]
+    state = carried(ev, order, {"_sa": F.col("_a"), "_sb": F.col("_b")}, {"_next": F.col("_t")}, ["_k"], num_ranges)
     # The state after all events at one instant is on the last event row of it.
-    at_t = state.where(F.col("_following").isNull() | (F.col("_following") != F.col("_t")))
-    seg = at_t.withColumn("_next", F.lead("_t").over(Window.partitionBy("_k").orderBy("_t")))
+    seg = state.where(F.col("_next").isNull() | (F.col("_next") != F.col("_t")))
     live = seg.where(F.col("_sa.on") & F.col("_sb.on") & F.col("_next").isNotNull()
                      & (F.col("_t") < F.col("_next")))
     out = live.select(
@@ -63,6 +62,17 @@ def timeline_merge(a: DataFrame, b: DataFrame, key: str,
     return out.withColumn("is_current", F.col("valid_to") == open_end())
 
 
+def self_overlaps(history: DataFrame, key: str, start: str, end: str, num_ranges: int | None = None) -> DataFrame:
+    """Versions that go on after the next one of their key has begun, with ``next_start`` (half-open intervals).
+
+    A history overlaps itself if and only if two neighbours in the order of starts do, so the next
+    start is all that a row needs, also where a key is cut over ranges.  Empty versions are left out.
+    """
+    rows = history.where(F.col(start) < F.col(end))
+    order = [F.col(c).asc() for c in (start, end, *[c for c in history.columns if c not in (key, start, end)])]
+    return carried(rows, order, {}, {"next_start": F.col(start)}, [key], num_ranges).where(F.col("next_start") < F.col(end))
+
+
 # ------------------------------------------------------------------ SCD apply
 
 def scd2_init(snapshot: DataFrame, key: str, attrs: Sequence[str], as_of) -> DataFrame:
@@ -138,5 +148,5 @@ def current_row_violations(history: DataFrame, key: str) -> DataFrame:
             .where(F.col("current_rows") != 1))
 
 
-__all__ = ["OPEN_END", "timeline_merge", "scd2_init", "scd2_apply",
+__all__ = ["OPEN_END", "timeline_merge", "self_overlaps", "scd2_init", "scd2_apply",
            "scd1_apply", "overlap_violations", "current_row_violations"]

@@ -114,6 +114,40 @@ def running_total(df: DataFrame, order: Sequence[Column], value: Column | str,
     return running_totals(df, order, {name: value}, num_ranges, {name: total_name} if total_name else None, keys)
 
 
+def carried(df: DataFrame, order: Sequence[Column], last: dict[str, Column], following: dict[str, Column],
+            keys: Sequence[str] = (), num_ranges: int | None = None) -> DataFrame:
+    """The last known values up to each row, and values of the next row, in one ``order`` (per ``keys`` if given).
+
+    ``last`` maps a name to an expression whose latest non-NULL value (this row's included) is
+    carried forward; ``following`` maps a name to an expression of the next row (NULL at a key's last
+    row).  As in :func:`running_totals` the rows are cut into ranges of ``keys + order``, written with their
+    range number; each range carries its own values, and what a key brings from earlier ranges, or
+    finds first in the next one, comes from a table with one row per (range, key).  So a key with most of
+    the rows is swept by many tasks.  ``order`` must be total within a key; NULL keys form a group.
+    """
+    keys = list(keys)
+    given = {f"_c_{n}": c for n, c in last.items()} | {f"_f_{n}": c for n, c in following.items()}
+    ranged = materialise(df.withColumns(given).repartitionByRange(_num_ranges(df, num_ranges), *[F.col(k) for k in keys], *order)
+                         .withColumn(_PID, F.spark_partition_id()), "ranges")
+    w = Window.partitionBy(_PID, *keys).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({f"_l_{n}": F.last(f"_c_{n}", ignorenulls=True).over(upto) for n in last}
+                               | {f"_n_{n}": F.lead(f"_f_{n}").over(w) for n in following}
+                               | {"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull()})
+    edges = local.where("_first or _last").groupBy(_PID, *keys).agg(
+        F.lit(True).alias("_any"),
+        *[F.first(F.when(F.col("_last"), F.col(f"_l_{n}")), ignorenulls=True).alias(f"_e_{n}") for n in last],
+        *[F.first(F.when(F.col("_first"), F.struct(F.col(f"_f_{n}").alias("v"))), ignorenulls=True).alias(f"_b_{n}") for n in following])
+    per_key = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = edges.select(_PID, *keys, *[F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_o_{n}") for n in last],
+                           *[F.lead(f"_b_{n}").over(per_key).alias(f"_a_{n}") for n in following])
+    out = join_null_safe(local, offsets, [_PID, *keys])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      *[F.coalesce(f"_l_{n}", f"_o_{n}").alias(n) for n in last],
+                      *[F.when(F.col("_last"), F.col(f"_a_{n}.v")).otherwise(F.col(f"_n_{n}")).alias(n) for n in following])
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_id",
                       num_ranges: int | None = None, total_name: str | None = None,
                       keys: Sequence[str] = ()) -> DataFrame:

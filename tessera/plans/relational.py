@@ -16,7 +16,7 @@ from tessera.functions.cleaning import blank_to_null, clean_text, money_sum, rou
 from tessera.functions.dates import date_key, fiscal_parts, open_end
 from tessera.functions.hashing import change_hash
 from tessera.functions.xml import xml_join, xml_value
-from tessera.operators import dims, scd
+from tessera.operators import dims, joins, scd
 from tessera.operators.joins import as_of_lookup, orphans, resolve_unknown, top1_lateral
 from tessera.operators.windows import (global_row_number, join_null_safe, latest_per_key, ntile_from_rank, pareto,
                                        period_change, validity_from_starts, group_size)
@@ -137,9 +137,7 @@ def q_timeline_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = scd.timeline_merge(status_history(t), shipment_history(t), "o_custkey",
                            "status_from", "status_to", "ship_from", "ship_to",
                            ["status"], ["ship_lines"])
-    # The sweep has dealt rows out by customer already: count there.
-    m = (m.withColumn("n_segments", F.count(F.lit(1)).over(Window.partitionBy("o_custkey")))
-         .where(F.col("n_segments") > 1))
+    m = group_size(m, ["o_custkey"], "n_segments").where(F.col("n_segments") > 1)
     return m.select("o_custkey", "status", _d("status_from").alias("status_from"),
                     _d("status_to").alias("status_to"), "ship_lines",
                     _d("ship_from").alias("ship_from"), _d("ship_to").alias("ship_to"),
@@ -147,6 +145,47 @@ def q_timeline_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "is_current", "n_segments")
 
 
+_WAITS_SQL = """
+WITH lines AS (
+  SELECT o_custkey, l_orderkey, l_linenumber, o_orderdate::DATE AS wait_from, l_shipdate::DATE AS wait_to
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+open_orders AS (SELECT o_custkey, l_orderkey AS open_order, min(wait_from) AS open_from, max(wait_to) AS open_to FROM lines GROUP BY 1, 2)
+"""
+
+
+def open_orders_and_waits(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Two histories per customer that overlap themselves: orders until their last shipment, and lines that wait for theirs."""
+    lines = (t.lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("wait_to"))
+             .join(t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("wait_from")), F.col("l_orderkey") == F.col("o_orderkey")))
+    orders = (lines.groupBy("o_custkey", F.col("l_orderkey").alias("open_order"))
+              .agg(F.min("wait_from").alias("open_from"), F.max("wait_to").alias("open_to")))
+    return orders, lines.select("o_custkey", "l_orderkey", "l_linenumber", "wait_from", "wait_to")
+
+
+@register("waiting_overlaps", "J03", _WAITS_SQL + """
+SELECT a.o_custkey, open_order, l_orderkey, l_linenumber, strftime(greatest(open_from, wait_from), '%Y-%m-%d') AS overlap_from,
+       strftime(least(open_to, wait_to), '%Y-%m-%d') AS overlap_to
+FROM open_orders a JOIN lines b ON a.o_custkey = b.o_custkey AND open_from < wait_to AND wait_from < open_to AND open_order <> l_orderkey""")
+def q_waiting_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that waited for shipment while another order of the customer was open."""
+    orders, waits = open_orders_and_waits(Tables(spark, sf_dir))
+    pairs = joins.interval_join(orders, waits, "o_custkey", "open_from", "open_to", "wait_from", "wait_to")
+    return (pairs.where(F.col("open_order") != F.col("l_orderkey"))
+            .select("o_custkey", "open_order", "l_orderkey", "l_linenumber", _d("overlap_from").alias("overlap_from"), _d("overlap_to").alias("overlap_to")))
+
+
+@register("open_order_clashes", "J03 W12", _WAITS_SQL + """
+SELECT o_custkey, open_order, strftime(open_from, '%Y-%m-%d') AS open_from, strftime(open_to, '%Y-%m-%d') AS open_to,
+       strftime(next_start, '%Y-%m-%d') AS next_start
+FROM (SELECT *, lead(open_from) OVER (PARTITION BY o_custkey ORDER BY open_from, open_to, open_order) AS next_start FROM open_orders WHERE open_from < open_to)
+WHERE next_start < open_to""")
+def q_open_order_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders still open when the customer's next one begins: why no timeline can be merged from them."""
+    orders, _ = open_orders_and_waits(Tables(spark, sf_dir))
+    found = scd.self_overlaps(orders, "o_custkey", "open_from", "open_to")
+    return found.select("o_custkey", "open_order", *[_d(c).alias(c) for c in ("open_from", "open_to", "next_start")])
+
+
 # ---------------------------------------------------------------- D03 / D04
 
 def customer_dimension(t: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators import aggregates as A
 from tessera.operators import evaluate as E
 from tessera.operators import scd
-from tessera.operators.joins import as_of_lookup, orphans, point_in_time_join, top1_lateral
+from tessera.operators.joins import as_of_lookup, interval_join, orphans, point_in_time_join, top1_lateral
 from tessera.operators.windows import (exact_quantiles, global_row_number, group_size, latest_per_key,
                                        ntile_from_rank, running_total, running_totals, share_of_group)
 
@@ -94,6 +94,65 @@ def test_timeline_merge_equals_overlap_join(spark):
     assert len(s) == 6
 
 
+def _spans(rng, n, hot, length):
+    """Rows (key, from, to, value) with a share of ``hot`` in key 0, overlapping each other."""
+    rows = []
+    for i in range(n):
+        k = 0 if rng.random() < hot else int(rng.integers(1, 6))
+        start = int(rng.integers(0, 300))
+        rows.append((k, start, start + int(rng.integers(0, length)), f"v{i}"))
+    return rows
+
+
+@pytest.mark.parametrize("cell, length", [(7, 20), (50, 400), (10_000, 20)])
+def test_interval_join_equals_range_join(spark, cell, length):
+    """Histories that overlap themselves; most rows in one key, which is cut into cells and ranges; open ends; odd rows."""
+    rng = np.random.default_rng(cell)
+    a, b = _spans(rng, 300, 0.8, length), _spans(rng, 200, 0.8, length)
+    a += [(0, 5, 10 ** 6, "open"), (0, 5, 10 ** 6, "open"), (1, 9, 9, "empty"), (1, 9, 3, "back"), (None, 1, 5, "x"), (1, None, 5, "y"), (2, 4, None, "z")]
+    b += [(0, 0, 10 ** 6, "open"), (0, 10 ** 6, 10 ** 7, "touches"), (7, 1, 2, "alone"), (None, 1, 5, "x")]
+    random.Random(1).shuffle(a)
+    fa = spark.createDataFrame(a, "k int, a_from int, a_to int, a string").repartition(3)
+    fb = spark.createDataFrame(b, "k int, b_from int, b_to int, b string")
+    got = interval_join(fa, fb, "k", "a_from", "a_to", "b_from", "b_to", cell=cell, num_ranges=6)
+    want = [(*x, *y[1:], max(x[1], y[1]), min(x[2], y[2])) for x in a for y in b
+            if None not in x[:3] + y[:3] and x[0] == y[0] and x[1] < x[2] and y[1] < y[2] and x[1] < y[2] and y[1] < x[2]]
+    assert got.columns == ["k", "a_from", "a_to", "a", "b_from", "b_to", "b", "overlap_from", "overlap_to"]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 500
+    none = interval_join(fa.limit(0), fb, "k", "a_from", "a_to", "b_from", "b_to")
+    assert none.count() == 0
+
+
+def test_timeline_of_a_hot_key_is_cut_over_ranges(spark):
+    """One key with nearly all versions, swept in six ranges; gaps, touching versions and a key without partner."""
+    rng = np.random.default_rng(3)
+
+    def history(n, name):
+        rows, t = [], 0
+        for i in range(n):
+            t += int(rng.integers(0, 3))
+            end = t + int(rng.integers(1, 6))
+            rows.append((1, t, end, f"{name}{i}"))
+            t = end
+        return [*rows, (2, 0, 10, f"{name}x"), (None, 0, 10, f"{name}n"), (3 if name == "a" else 4, 0, 10, f"{name}y")]
+    a, b = history(200, "a"), history(150, "b")
+    fa = spark.createDataFrame(a, "k int, a_from int, a_to int, a string").repartition(3)
+    fb = spark.createDataFrame(b, "k int, b_from int, b_to int, b string")
+    merged = scd.timeline_merge(fa.withColumns({c: F.date_add(F.lit("2020-01-01").cast("date"), F.col(c)) for c in ("a_from", "a_to")}),
+                                fb.withColumns({c: F.date_add(F.lit("2020-01-01").cast("date"), F.col(c)) for c in ("b_from", "b_to")}),
+                                "k", "a_from", "a_to", "b_from", "b_to", ["a"], ["b"], num_ranges=6)
+    day = dt.date(2020, 1, 1)
+    got = sorted((r.k, r.a, r.b, (r.valid_from - day).days, (r.valid_to - day).days) for r in merged.collect())
+    want = sorted((x[0], x[3], y[3], max(x[1], y[1]), min(x[2], y[2])) for x in a for y in b
+                  if x[0] is not None and x[0] == y[0] and x[1] < y[2] and y[1] < x[2])
+    assert got == want and len(want) > 150
+    assert scd.self_overlaps(fa, "k", "a_from", "a_to", num_ranges=6).count() == 0
+    late = fa.unionByName(spark.createDataFrame([(1, 100, 200, "over")], fa.schema))
+    found = scd.self_overlaps(late, "k", "a_from", "a_to", num_ranges=6).collect()
+    order = sorted([x for x in a if x[0] == 1] + [(1, 100, 200, "over")], key=lambda x: x[1:])
+    assert sorted(r.a for r in found) == sorted(x[3] for x, y in zip(order, order[1:]) if y[1] < x[2]) and found
+
+
 def test_as_of_lookup_equals_range_join(spark):
     hist = spark.createDataFrame(
         [(1, _d("2020-01-01"), _d("2020-02-01"), "x"), (1, _d("2020-02-05"), _d("9999-12-31"), "y"),

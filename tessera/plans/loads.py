@@ -17,6 +17,7 @@ from tessera.operators import quality as Q
 from tessera.operators import scd
 from tessera.operators.joins import coalesced_key_join
 from tessera.plans.governed import _SQL_RULES, flagged_lines, line_rules
+from tessera.functions.text import strip_html
 from tessera.plans.registry import register
 from tessera.plans.relational import SNAPSHOT_1, SNAPSHOT_2, _SCD_ATTRS, _snapshot_sql, customer_snapshot
 from tessera.session import materialise, scratch_path
@@ -166,12 +167,11 @@ SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace
          '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text
 FROM pages""")
 def q_corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page as an HTML file of its own, read as a corpus."""
+    """Pages as records of a bounded number of corpus files, the id inside the record."""
     folder = _new(spark, "corpus")
-    p = Tables(spark, sf_dir).pages.select("page_id", "html")
-    p.repartition("page_id").write.partitionBy("page_id").text(folder)
-    corpus = sources.read_corpus(spark, folder, "html", carry=["page_id"])
-    return corpus.select(F.col("page_id").cast("long").alias("page_id"), "text")
+    Tables(spark, sf_dir).pages.select("page_id", "html").write.json(folder)
+    corpus = sources.read_corpus(spark, folder, "jsonl", schema="page_id long, html string")
+    return corpus.select("page_id", strip_html("html").alias("text"))
 
 
 # ------------------------------------------------------- K02 K03 K05 K08 K10

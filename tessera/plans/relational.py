@@ -165,7 +165,8 @@ def open_orders_and_waits(t: Tables) -> tuple[DataFrame, DataFrame]:
 @register("waiting_overlaps", "J03", _WAITS_SQL + """
 SELECT a.o_custkey, open_order, l_orderkey, l_linenumber, strftime(greatest(open_from, wait_from), '%Y-%m-%d') AS overlap_from,
        strftime(least(open_to, wait_to), '%Y-%m-%d') AS overlap_to
-FROM open_orders a JOIN lines b ON a.o_custkey = b.o_custkey AND open_from < wait_to AND wait_from < open_to AND open_order <> l_orderkey""")
+FROM open_orders a JOIN lines b ON a.o_custkey = b.o_custkey AND open_from < wait_to AND wait_from < open_to AND open_order <> l_orderkey
+  AND open_from < open_to AND wait_from < wait_to""")
 def q_waiting_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that waited for shipment while another order of the customer was open."""
     orders, waits = open_orders_and_waits(Tables(spark, sf_dir))

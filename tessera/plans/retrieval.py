@@ -3,15 +3,19 @@ top-k cosine retrieval, HTML text extraction, ordered context, keyed lookups."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tessera import sources
 from tessera.functions.cleaning import round_to
 from tessera.functions.text import html_title, strip_html, tokens
 from tessera.operators import text as T
 from tessera.operators.windows import latest_per_key
 from tessera.plans.registry import register
-from tessera.session import materialise
+from tessera.session import materialise, scratch_path
 from tessera.tables import Tables
 
 # Chunk size in characters, sequence length, retrieval depth.
@@ -204,6 +208,27 @@ def q_story_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("statements", F.col("statements").cast("long"))
 
 
+@register("numbered_stories", "X20", """
+WITH lines AS (
+  SELECT conv_id, role, row_number() OVER w AS line_no, trim(regexp_replace(text, '[\t\r\n]+', ' ', 'g')) AS said,
+         COALESCE(lead(trim(regexp_replace(text, '[\t\r\n]+', ' ', 'g'))) OVER w, '') AS answer
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+told AS (SELECT *, COALESCE(string_agg(CASE WHEN role <> 'user' THEN said END, ' ') OVER (PARTITION BY conv_id ORDER BY line_no), '') AS story FROM lines)
+SELECT CAST(line_no AS INTEGER) AS line_no, story, said AS question, answer, CAST(line_no - 1 AS VARCHAR) AS supporting FROM told WHERE role = 'user'""")
+def q_numbered_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as numbered lines, several stories to a file, read back: user turns are the questions."""
+    path = scratch_path(spark, f"stories-{uuid.uuid4().hex[:12]}")
+    c = Tables(spark, sf_dir).conversations
+    said = F.trim(F.regexp_replace("text", r"[\t\r\n]+", " "))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    rows = (c.select("conv_id", "turn", "role", said.alias("said"))
+            .select("conv_id", "turn", "role", "said", F.row_number().over(w).alias("n"), F.coalesce(F.lead("said").over(w), F.lit("")).alias("answer")))
+    line = F.concat(F.col("n").cast("string"), F.lit(" "), F.col("said"),
+                    F.when(F.col("role") == "user", F.concat(F.lit("\t"), "answer", F.lit("\t"), (F.col("n") - 1).cast("string"))).otherwise(""))
+    rows.repartition("conv_id").sortWithinPartitions("conv_id", "n").select(line.alias("value")).write.text(path)
+    return sources.read_numbered_stories(spark, path).select("line_no", "story", "question", "answer", "supporting")
+
+
 @register("turn_role_classifier", "X25 M22")
 def q_turn_role_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array

@@ -122,3 +122,50 @@ def test_submission_checks(spark):
     assert not any(sinks.check_submission(good, tmpl, "id", ["y"]).first().asDict().values())
     c = sinks.check_submission(bad, tmpl, "id", ["y"]).first()
     assert (c.missing_ids, c.extra_ids, c.bad_values) == (1, 1, 2)
+
+
+def _in_small_splits(spark, read):
+    """Run ``read`` with splits of a few hundred bytes, so that one file goes to many tasks."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "300")
+        return read()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_counted_records_cross_the_splits_of_a_file(spark, tmp):
+    """Records with line breaks in a field, blank lines between, one record longer than several splits."""
+    rows = [(str(i), f"note {i}\n" + "\n".join(["more text"] * (i % 5)) + ("\nlong line " * 120 if i == 40 else "") + "end", str(i * 7)) for i in range(120)]
+    one = _write(tmp, "a.txt", "\n".join("\t".join(r) for r in rows).encode())
+    _write(tmp, "b.txt", "\n\n".join("\t".join(r) for r in rows[:50]).encode())
+
+    def read():
+        lines = sources.ordered_lines(spark, one, {"_n": F.lit(1)})
+        splits = lines.select("_block").distinct().count()
+        return splits, [sorted(map(tuple, sources.read_by_field_count(spark, p, ["id", "note", "n"]).collect())) for p in (one, tmp)]
+    splits, (alone, both) = _in_small_splits(spark, read)
+    clean = [(a, "\n".join(x for x in b.split("\n") if x.strip()), c) for a, b, c in rows]
+    assert splits > 10 and alone == sorted(clean) and both == sorted(clean + clean[:50])
+
+
+def test_numbered_stories(spark, tmp):
+    text, want, said, n, number = [], [], [], 0, 0
+    for i in range(300):
+        n += 1
+        if i % 23 == 0:
+            n, said, number = 1, [], number + 1
+        if i % 3 == 2:
+            text.append(f"{n} Where is {i}?\troom {i}\t{n - 1} {n - 2}")
+            want.append((number, n, " ".join(said), f"Where is {i}?", f"room {i}", f"{n - 1} {n - 2}"))
+        else:
+            text.append(f"{n} Person {i} went to room {i}.")
+            said.append(f"Person {i} went to room {i}.")
+    _write(tmp, "one.txt", "\n".join(text).encode())
+    _write(tmp, "two.txt", b"\r\n1 Only this.\r\n2 Was it?\tyes\r\n3 A word\r\n1 Anything?\t\t\r\n")
+    got = _in_small_splits(spark, lambda: sources.read_numbered_stories(spark, tmp).collect())
+    assert sorted(tuple(r)[1:] for r in got if r.file.endswith("one.txt")) == sorted(want)
+    assert sorted(tuple(r)[1:] for r in got if r.file.endswith("two.txt")) == [(1, 2, "Only this.", "Was it?", "yes", None), (2, 1, "", "Anything?", "", "")]

@@ -19,12 +19,12 @@ from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationE
 from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VarianceThresholdSelector, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import distributions as D
+from tessera.operators.cluster import silhouette_widths
+from tessera.operators.profile import profile_odds
 from tessera.session import materialise
 
 
@@ -68,22 +68,10 @@ def _exp(x: float) -> float:
 
 
 def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int = 15) -> list[dict]:
-    """Binomial GLM coefficients as odds ratios with Wald 95% CIs, largest |log OR| first."""
+    """Logistic coefficients as odds ratios with profile-likelihood 95% limits, largest |log OR| first."""
     # Written once: each of the fit's passes would compute the features anew.
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label,
-                                      featuresCol="features").fit(assembled(train, label, features))
-    s = glm.summary
-    names = ["(Intercept)", *features] if glm.getFitIntercept() else list(features)
-    coefs = [glm.intercept, *glm.coefficients] if glm.getFitIntercept() else list(glm.coefficients)
-    se = list(s.coefficientStandardErrors)
-    se = [se[-1], *se[:-1]] if glm.getFitIntercept() else se  # intercept SE comes last
-    z = D.norm_ppf(0.975)
-    rows = [{"term": n, "log_odds": float(b), "odds_ratio": _exp(b), "std_error": float(e),
-             "conf_low": _exp(b - z * e), "conf_high": _exp(b + z * e),
-             "p_value": 2 * (1 - D.norm_cdf(abs(b / e))) if e > 0 else float("nan")}
-            for n, b, e in zip(names, coefs, se)]
-    terms = [r for r in rows if r["term"] != "(Intercept)"]
-    return sorted(terms, key=lambda r: -abs(r["log_odds"]))[:top]
+    rows = materialise(train.select(label, *features).dropna(), "features")
+    return sorted(profile_odds(rows, label, features), key=lambda r: -abs(r["log_odds"]))[:top]
 
 
 def tuned_tree(train: DataFrame, label: str, features: Sequence[str], folds: int = 10,
@@ -157,15 +145,23 @@ def kmeans_best_of(df: DataFrame, k: int, seeds: Sequence[int], features: str =
 
 def silhouette_search(df: DataFrame, array_col: str, subsets: dict[str, Sequence[int]], ks: Sequence[int],
                       starts: int = 5, seed: int = 123) -> list[tuple[str, int, float, float]]:
-    """(subset, k, silhouette, cost) for every feature subset and number of clusters (M19), best first."""
+    """(subset, k, silhouette, cost) for every feature subset and number of clusters (M19), best first.
+
+    ``silhouette`` is the mean silhouette width over pairwise distances; all ``ks`` of a subset share one
+    pass over the distances.
+    """
     out = []
     for name, places in subsets.items():
         part = F.array(*[F.get(F.col(array_col), F.lit(i)).cast("double") for i in places])
-        ready = materialise(df.select(array_to_vector(part).alias("features")), "subset")
-        for k in ks:
-            m = kmeans_best_of(ready, k, range(seed, seed + starts))
-            out.append((name, k, silhouette(m.transform(ready)), float(m.summary.trainingCost)))
-    return sorted(out, key=lambda r: (-r[2], r[0], r[1]))
+        ready = materialise(df.select(part.alias("v"), array_to_vector(part).alias("features")), "subset")
+        found = {k: kmeans_best_of(ready, k, range(seed, seed + starts)) for k in ks}
+        scored = ready
+        for k, m in found.items():
+            scored = m.setPredictionCol(f"k{k}").transform(scored)
+        widths = {r["labelling"]: r["silhouette"] for r in
+                  silhouette_widths(scored, "v", [f"k{k}" for k in ks], {name: range(len(places))}).collect()}
+        out += [(name, k, widths.get(f"k{k}"), float(m.summary.trainingCost)) for k, m in found.items()]
+    return sorted(out, key=lambda r: (-r[2] if r[2] is not None else 2.0, r[0], r[1]))
 
 
 def silhouette(scored: DataFrame, features: str = "features", prediction: str = "cluster") -> float:

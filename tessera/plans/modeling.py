@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from tessera.functions.cleaning import round_to
 from tessera.operators import evaluate as E
 from tessera.operators import model as M
+from tessera.operators.cluster import silhouette_widths
 from tessera.plans.registry import register
 from tessera.session import materialise
 from tessera.tables import Tables
@@ -111,6 +112,30 @@ def q_cluster_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "subset string, k int, silhouette double, cost double")
 
 
+#: Every non-empty set of the first four dimensions, and numbers of clusters.
+SUBSETS = {"+".join(f"x{d}" for d in range(4) if m >> d & 1): [d for d in range(4) if m >> d & 1] for m in range(1, 16)}
+CLUSTERS = range(2, 7)
+
+
+@register("silhouette_widths", "M19", """
+WITH points AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, embedding[3]::DOUBLE AS x2, embedding[4]::DOUBLE AS x3
+  FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+pairs AS (SELECT a.vec_id, a.label AS own, b.label AS other, (a.x0 - b.x0) ^ 2 AS s0, (a.x1 - b.x1) ^ 2 AS s1, (a.x2 - b.x2) ^ 2 AS s2, (a.x3 - b.x3) ^ 2 AS s3
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id),
+subsets(subset, m0, m1, m2, m3) AS (VALUES """ + ", ".join(f"('{n}', {', '.join(str(int(d in p)) for d in range(4))})" for n, p in SUBSETS.items()) + """),
+distances AS (SELECT subset, vec_id, own, other, sum(sqrt(m0 * s0 + m1 * s1 + m2 * s2 + m3 * s3)) AS d, COUNT(*) AS n FROM pairs, subsets GROUP BY 1, 2, 3, 4),
+means AS (SELECT subset, k, vec_id, own % k AS mine, other % k AS cluster, sum(d) / sum(n) AS d
+  FROM distances, (SELECT unnest(range(2, 7)) AS k) GROUP BY 1, 2, 3, 4, 5),
+widths AS (SELECT subset, k, vec_id, min(CASE WHEN mine = cluster THEN d END) AS a, min(CASE WHEN mine <> cluster THEN d END) AS b FROM means GROUP BY 1, 2, 3)
+SELECT subset, CAST(k AS INTEGER) AS k, ROUND(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM widths GROUP BY 1, 2""")
+def q_silhouette_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean silhouette width of groupings of the labels, on every set of four dimensions."""
+    e = Tables(spark, sf_dir).embeddings.where(F.col("label").isNotNull())
+    e = e.select("embedding", *[(F.col("label") % k).alias(f"k{k}") for k in CLUSTERS])
+    found = silhouette_widths(e, "embedding", [f"k{k}" for k in CLUSTERS], SUBSETS)
+    return found.select("subset", F.expr("cast(substring(labelling, 2) as int)").alias("k"), round_to("silhouette", 6).alias("silhouette"))
+
+
 def _pca(spark: SparkSession, sf_dir: str):
     train, test = embedding_split(Tables(spark, sf_dir))
     train, test = M.standardize(train, test)

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from tessera import sources
 from tessera.functions.cleaning import round_to
 from tessera.functions.text import html_title, strip_html, tokens
+from tessera.operators import retrieve
 from tessera.operators import text as T
 from tessera.operators.windows import latest_per_key
 from tessera.plans.registry import register
@@ -130,6 +131,53 @@ def q_topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("vec_id", "query_id", round_to("score", 6).alias("score"), "rank")
 
 
+@register("question_vectors", "X29", f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS question, x.vec_id, ROUND(list_cosine_similarity(q.e, x.e), 9) AS score FROM v q JOIN v x ON q.vec_id % 20 = 0 AND x.vec_id % 20 <> 0)
+SELECT question, vec_id, ROUND(score, 6) AS score, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s QUALIFY rank <= {TOP_K}""")
+def q_question_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of question vectors (every twentieth) against all other vectors."""
+    e = Tables(spark, sf_dir).embeddings.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"))
+    top = retrieve.top_k(e.where("key % 20 = 0"), e.where("key % 20 <> 0"), TOP_K)
+    return top.select("question", F.col("key").alias("vec_id"), round_to("score", 6).alias("score"), "rank")
+
+
+def chunk_counts(t: Tables) -> tuple[DataFrame, int]:
+    """Written term counts of all chunks of the documents, keyed by (doc_id, chunk_id), and the number of chunks."""
+    chunks = T.char_chunks(t.documents, "text", CHUNK_CHARS, ["doc_id"])
+    key = F.struct("doc_id", F.col("chunk_id").cast("long").alias("chunk_id"))
+    return materialise(retrieve.term_counts(chunks, key, "chunk_text"), "chunk-terms"), chunks.count()
+
+
+@register("chunk_retrieval", "X28 X29 X30", f"""
+WITH d AS (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / {CHUNK_CHARS}) AS BIGINT))) AS i FROM documents),
+c AS (SELECT doc_id, i + 1 AS chunk_id, substring(text, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS}) AS text FROM d),
+tf AS (SELECT doc_id, chunk_id, term, COUNT(*) AS tf FROM (SELECT doc_id, chunk_id, unnest({_TOK}) AS term FROM c) GROUP BY 1, 2, 3),
+df AS (SELECT term, ln((1 + (SELECT COUNT(*) FROM c)) / (1.0 + COUNT(*))) + 1 AS idf FROM tf GROUP BY 1),
+w AS (SELECT doc_id, chunk_id, term, tf * idf AS w FROM tf JOIN df USING (term)),
+cn AS (SELECT doc_id, chunk_id, sqrt(sum(w * w)) AS size FROM w GROUP BY 1, 2),
+qt AS (SELECT item_id, term, COUNT(*) * any_value(idf) AS w FROM (SELECT item_id, unnest({_TOK}) AS term FROM benchmark) JOIN df USING (term) GROUP BY 1, 2),
+qn AS (SELECT item_id, sqrt(sum(w * w)) AS size FROM qt GROUP BY 1),
+s AS (SELECT item_id, doc_id, chunk_id, ROUND(sum(qt.w / qn.size * w.w / cn.size), 9) AS score
+  FROM qt JOIN qn USING (item_id) JOIN w USING (term) JOIN cn USING (doc_id, chunk_id) GROUP BY 1, 2, 3),
+best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_id) AS rank FROM s QUALIFY rank <= {TOP_K})
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_id, ROUND(score, 6) AS score, c.text AS chunk_text
+FROM best JOIN c USING (doc_id, chunk_id)""")
+def q_chunk_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best chunks of the documents for each benchmark text, by TF-IDF cosine."""
+    t = Tables(spark, sf_dir)
+    counts, n = chunk_counts(t)
+    frequencies = retrieve.document_frequencies(counts)
+    vectors = retrieve.tfidf(counts, frequencies, n)
+    asked = retrieve.tfidf(retrieve.term_counts(t.benchmark, F.col("item_id"), "text"), frequencies, n)
+    top = retrieve.top_k(asked, vectors, TOP_K).select("question", "rank", "score", "key.doc_id", "key.chunk_id")
+    # Only the retrieved chunks are cut out of their texts again.
+    found = top.join(t.documents.select("doc_id", "text"), "doc_id")
+    piece = F.substring(F.col("text"), ((F.col("chunk_id") - 1) * CHUNK_CHARS + 1).cast("int"), F.lit(CHUNK_CHARS))
+    return found.select(F.col("question").alias("item_id"), "rank", "doc_id", "chunk_id", round_to("score", 6).alias("score"), piece.alias("chunk_text"))
+
+
 @register("page_text", "P11", """
 SELECT page_id, url, NULLIF(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title,
        trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,

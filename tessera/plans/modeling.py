@@ -16,6 +16,7 @@ from tessera.functions.cleaning import round_to
 from tessera.operators import evaluate as E
 from tessera.operators import model as M
 from tessera.operators.cluster import silhouette_widths
+from tessera.operators.pruning import importance_table, pruned_tree
 from tessera.plans.registry import register
 from tessera.session import materialise
 from tessera.tables import Tables
@@ -72,9 +73,18 @@ def q_odds_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("tree_importance", "M08 M09")
 def q_tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cv = M.tuned_tree(document_features(Tables(spark, sf_dir)), "quality", PREDICTORS)
-    return spark.createDataFrame(M.normalized_importance(cv.bestModel.featureImportances, PREDICTORS),
-                                 "feature string, importance double")
+    """Importances of the entropy tree with the penalty of least cross-validated error."""
+    rows = M.assembled(document_features(Tables(spark, sf_dir)), "quality", PREDICTORS)
+    found = pruned_tree(rows, "quality", seed=SEED)
+    return spark.createDataFrame(importance_table(found, PREDICTORS), "feature string, importance double")
+
+
+@register("tree_pruning", "M08")
+def q_tree_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence of pruned trees: penalty, leaves, training and cross-validated error, and the one chosen."""
+    found = pruned_tree(M.assembled(document_features(Tables(spark, sf_dir)), "quality", PREDICTORS), "quality", seed=SEED)
+    rows = [(k, s["penalty"], s["leaves"], s["errors"], s["cv_error"], k == found.chosen) for k, s in enumerate(found.steps)]
+    return spark.createDataFrame(rows, "step int, penalty double, leaves int, train_error double, cv_error double, chosen boolean")
 
 
 @register("boosted_importance", "M30 M09")

@@ -23,7 +23,7 @@ def rows(spark):
 def test_every_query_without_oracle_is_checked_here():
     checked = {"portfolio_exact", "approach_comparison", "logistic_quality", "odds_ratios", "tree_importance", "boosted_importance",
                "random_forest_quality", "kmeans", "cluster_search", "pca", "pca_loadings", "pca_scores", "mlp_embeddings",
-               "model_comparison", "turn_role_classifier", "tukey_tests"}
+               "model_comparison", "turn_role_classifier", "tukey_tests", "tree_pruning"}
     assert {n for n in all_queries() if n not in entry.oracle_sql()} == checked
 
 
@@ -34,6 +34,12 @@ def test_importances_are_shares(rows, name):
     assert d.importance.is_monotonic_decreasing
 
 
+def test_pruned_trees_are_nested_and_the_least_error_is_chosen(rows):
+    d = rows("tree_pruning")
+    assert d.penalty.is_monotonic_increasing and d.leaves.is_monotonic_decreasing and d.train_error.is_monotonic_increasing
+    assert d.chosen.sum() == 1 and d.cv_error[d.chosen].iloc[0] == d.cv_error.min() and d.leaves.iloc[-1] == 1
+
+
 def test_logistic_counts_and_rates(rows):
     r = rows("logistic_quality").iloc[0]
     assert r.tp + r.fp + r.fn + r.tn == r.n > 0

@@ -7,7 +7,6 @@ training split only and applied to both splits.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -15,11 +14,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, PCA, StandardScaler, StringIndexer,
                                 VarianceThresholdSelector, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,11 +60,6 @@ def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
-def _exp(x: float) -> float:
-    """exp, infinite where a double cannot hold it (separable predictors)."""
-    return math.exp(x) if x < 709 else math.inf
-
-
 def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int = 15) -> list[dict]:
     """Logistic coefficients as odds ratios with profile-likelihood 95% limits, largest |log OR| first."""
     # Written once: each of the fit's passes would compute the features anew.
@@ -74,23 +67,6 @@ def odds_ratios(train: DataFrame, label: str, features: Sequence[str], top: int
     return sorted(profile_odds(rows, label, features), key=lambda r: -abs(r["log_odds"]))[:top]
 
 
-def tuned_tree(train: DataFrame, label: str, features: Sequence[str], folds: int = 10,
-               depths: Sequence[int] = (2, 3, 4, 5, 6), seed: int = 123):
-    """Entropy decision tree, depth chosen by k-fold CV error.
-
-    Spark has no cost-complexity pruning; depth / minimum gain are the
-    pruning parameters searched instead.
-    """
-    # Features are assembled and written once, not in each of the folds x depths fits.
-    ready = assembled(train, label, features)
-    dt = DecisionTreeClassifier(featuresCol="features", labelCol=label, impurity="entropy", seed=seed)
-    grid = ParamGridBuilder().addGrid(dt.maxDepth, list(depths)).build()
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=folds, seed=seed, parallelism=8)
-    return cv.fit(ready)
-
-
 def assembled(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """Label and one feature vector per row, written once for the passes of an iterative fit."""
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")

@@ -19,7 +19,7 @@ from tessera.functions.text import tokens
 from tessera.session import materialise
 
 #: Questions of a block, corpus rows of a part, corpus rows scored in one step; decimals by which scores are ranked.
-BLOCK, PART, STEP, DIGITS = 512, 65536, 256, 9
+BLOCK, PART, STEP, DIGITS = 512, 8192, 256, 9
 
 
 def term_counts(df: DataFrame, key: Column, text: str) -> DataFrame:

@@ -140,9 +140,12 @@ def carried(df: DataFrame, order: Sequence[Column], last: dict[str, Column], fol
         *[F.first(F.when(F.col("_first"), F.struct(F.col(f"_f_{n}").alias("v"))), ignorenulls=True).alias(f"_b_{n}") for n in following])
     per_key = Window.partitionBy(*keys).orderBy(_PID) if keys else Window.orderBy(_PID)
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = edges.select(_PID, *keys, *[F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_o_{n}") for n in last],
-                           *[F.lead(f"_b_{n}").over(per_key).alias(f"_a_{n}") for n in following])
-    out = join_null_safe(local, offsets, [_PID, *keys])
+    whole = per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = edges.select(_PID, *keys, F.count(F.lit(1)).over(whole).alias("_ranges"),
+                           *[F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_o_{n}") for n in last],
+                           *[F.lead(f"_b_{n}").over(per_key).alias(f"_a_{n}") for n in following]).where("_ranges > 1").drop("_ranges")
+    # Only the first and the last key of a range can reach into another one: two rows per range at most.
+    out = join_null_safe(local, F.broadcast(offsets), [_PID, *keys], "left")
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
                       *[F.coalesce(f"_l_{n}", f"_o_{n}").alias(n) for n in last],
                       *[F.when(F.col("_last"), F.col(f"_a_{n}.v")).otherwise(F.col(f"_n_{n}")).alias(n) for n in following])

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.functions.cleaning import blank_to_null, clean_text, money_sum, round_to, safe_cast
 from tessera.functions.dates import date_key, fiscal_parts, open_end

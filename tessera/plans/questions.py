@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.functions import geo
 from tessera.functions.cleaning import round_to
 from tessera.functions.dates import fiscal_parts
+from tessera.functions.geo import EARTH_KM
 from tessera.operators import text as X
 from tessera.operators.windows import exact_quantiles, global_row_number, ntile_from_rank
 from tessera.plans.registry import register
@@ -313,3 +315,35 @@ def q_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.join(context, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", F.when(F.col("context").isNull(), "not available").otherwise(
             F.concat(F.lit("Context:\n"), "context", F.lit("\nQuestion: "), "question")).alias("prompt"))
+
+
+#: Scenario assumption: the given nations are invented, so their places are too, by a rule on the nation's number.
+_PLACE = "CAST(n_nationkey * 29 % 121 - 60 AS DOUBLE)", "CAST(n_nationkey * 67 % 360 - 180 AS DOUBLE)"
+
+
+@register("trade_distances", "G12 S11", f"""
+WITH place AS (SELECT n_nationkey, {_PLACE[0]} AS lat, {_PLACE[1]} AS lon FROM nation),
+flows AS (SELECT s_nationkey, c_nationkey, COUNT(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
+x AS (SELECT f.*, a.lat AS lat1, a.lon AS lon1, b.lat AS lat2, b.lon AS lon2
+  FROM flows f JOIN place a ON s_nationkey = a.n_nationkey JOIN place b ON c_nationkey = b.n_nationkey)
+SELECT s_nationkey, c_nationkey, lines,
+  ROUND(2 * {EARTH_KM} * asin(least(1.0, sqrt(sin(radians(lat2 - lat1) / 2) ^ 2 + cos(radians(lat1)) * cos(radians(lat2)) * sin(radians(lon2 - lon1) / 2) ^ 2))), 3) AS distance_km,
+  ROUND(2 * {EARTH_KM} * asin(abs(sin(radians(lat2 - lat1) / 2))) + 2 * {EARTH_KM} * asin(least(1.0, cos(radians(lat2)) * abs(sin(radians(lon2 - lon1) / 2)))), 3) AS manhattan_km,
+  lat2 - lat1 AS lat_delta, lon2 - lon1 AS lon_delta, lat2 BETWEEN -23 AND 23 AS to_tropics
+FROM x""")
+def q_trade_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far lines travel from the supplier's to the customer's nation, by pair of nations."""
+    t = Tables(spark, sf_dir)
+    place = t.nation.select("n_nationkey", F.expr(_PLACE[0]).alias("lat"), F.expr(_PLACE[1]).alias("lon"))
+    flows = (t.lineitem.select("l_orderkey", "l_suppkey").join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+             .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+             .groupBy("s_nationkey", "c_nationkey").agg(F.count(F.lit(1)).alias("lines")))
+    for side, n in (("s", 1), ("c", 2)):  # a row per nation
+        flows = flows.join(F.broadcast(place.select(F.col("n_nationkey").alias(f"n{n}"), F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}"))),
+                           F.col(f"{side}_nationkey") == F.col(f"n{n}"))
+    way = ("lat1", "lon1", "lat2", "lon2")
+    return flows.select("s_nationkey", "c_nationkey", "lines", round_to(geo.haversine_km(*way), 3).alias("distance_km"),
+                        round_to(geo.manhattan_km(*way), 3).alias("manhattan_km"), (F.col("lat2") - F.col("lat1")).alias("lat_delta"),
+                        (F.col("lon2") - F.col("lon1")).alias("lon_delta"), geo.in_box("lat2", "lon2", -23, -180, 23, 180).alias("to_tropics"))

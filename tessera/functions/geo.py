@@ -17,7 +17,8 @@ def haversine_km(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon
     half = (b - a) / 2
     across = F.radians(_col(lon2) - _col(lon1)) / 2
     chord = F.sin(half) * F.sin(half) + F.cos(a) * F.cos(b) * F.sin(across) * F.sin(across)
-    return 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(chord)))
+    # Rounding may go beyond 1; least() would turn NULL into 1.
+    return 2 * EARTH_KM * F.asin(F.when(chord > 1, 1.0).otherwise(F.sqrt(chord)))
 
 
 def manhattan_km(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon2: ColumnOrName) -> Column:

@@ -16,6 +16,7 @@ from tessera.functions.cleaning import round_to
 from tessera.operators import evaluate as E
 from tessera.operators import model as M
 from tessera.operators.cluster import silhouette_widths
+from tessera.operators.network import dense_network
 from tessera.operators.pruning import importance_table, pruned_tree
 from tessera.plans.registry import register
 from tessera.session import materialise
@@ -206,6 +207,15 @@ def q_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.macro_metrics(pred, "truth", "pred")
 
 
+@register("relu_network", "M31 M32 M22")
+def q_relu_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out metrics of a network with 128 ReLU units and a softmax output on scaled vectors."""
+    train, test = (d.select("vec_id", "label", vector_to_array("scaled").alias("v"))
+                   for d in M.minmax(*embedding_split(Tables(spark, sf_dir))))
+    net = dense_network(train, "label", "v", "vec_id", epochs=5, batches=4, rate=0.01, seed=SEED)
+    return E.macro_metrics(net.predict(test, "v", "pred").select(F.col("label").alias("truth"), "pred"), "truth", "pred")
+
+
 @register("model_comparison", "M24 M22 M30")
 def q_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four classifiers on the same scaled split, macro metrics of each."""

@@ -23,7 +23,7 @@ def rows(spark):
 def test_every_query_without_oracle_is_checked_here():
     checked = {"portfolio_exact", "approach_comparison", "logistic_quality", "odds_ratios", "tree_importance", "boosted_importance",
                "random_forest_quality", "kmeans", "cluster_search", "pca", "pca_loadings", "pca_scores", "mlp_embeddings",
-               "model_comparison", "turn_role_classifier", "tukey_tests", "tree_pruning"}
+               "model_comparison", "turn_role_classifier", "tukey_tests", "tree_pruning", "relu_network"}
     assert {n for n in all_queries() if n not in entry.oracle_sql()} == checked
 
 
@@ -72,7 +72,7 @@ def test_pca_components_are_orthonormal(rows):
     assert s.groupby("vec_id").size().eq(20).all() and (s.vec_id % 5 == 0).all()
 
 
-@pytest.mark.parametrize("name", ["mlp_embeddings", "turn_role_classifier", "model_comparison"])
+@pytest.mark.parametrize("name", ["mlp_embeddings", "relu_network", "turn_role_classifier", "model_comparison"])
 def test_metrics_are_rates(rows, name):
     d = rows(name)
     for c in ("accuracy", "macro_precision", "macro_recall", "macro_f1"):

@@ -5,6 +5,8 @@ Money is summed as decimals on both sides, so sums do not depend on their order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,9 +15,13 @@ from tessera.functions import geo
 from tessera.functions.cleaning import round_to
 from tessera.functions.dates import fiscal_parts
 from tessera.functions.geo import EARTH_KM
+from tessera.operators import sketches as K
 from tessera.operators import text as X
+from tessera.operators.aggregates import table_profile
+from tessera.operators.quality import Rule
 from tessera.operators.windows import exact_quantiles, global_row_number, ntile_from_rank
 from tessera.plans.registry import register
+from tessera.session import scratch_path
 from tessera.tables import Tables
 
 _NET_SQL = "(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
@@ -263,6 +269,38 @@ def q_profile_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         row("lineitem", t.lineitem, ["l_orderkey", "l_linenumber"], t.orders, "l_orderkey", "o_orderkey", "l_shipdate"))
 
 
+_SKETCHED = {"l_partkey": True, "l_quantity": True, "l_extendedprice": True, "l_returnflag": False, "l_shipdate": False}
+
+
+@register("merged_profile", "Q12", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, "
+    + (f"ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS low, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS high, CAST(NULL AS VARCHAR) AS first_text, CAST(NULL AS VARCHAR) AS last_text, "
+       if number else f"CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(MIN({c}) AS VARCHAR), CAST(MAX({c}) AS VARCHAR), ")
+    + f"TRUE AS distinct_within_error, {'TRUE' if number else 'CAST(NULL AS BOOLEAN)'} AS median_within_error FROM lineitem"
+    for c, number in _SKETCHED.items()))
+def q_merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of all lines from sketches stored by year of shipping, the last years as a second load,
+    and whether its estimates are within their stated errors of exact counts."""
+    li, path = Tables(spark, sf_dir).lineitem, scratch_path(spark, f"profile-{uuid.uuid4().hex[:12]}")
+    year = F.year("l_shipdate")
+    for late in (False, True):  # a later load reads its own rows only
+        K.store_loads(K.sketch_loads(li.where((year >= 1996) == late), list(_SKETCHED), year), path)
+    numbers = [c for c, number in _SKETCHED.items() if number]
+    found = K.united_profile(spark.read.parquet(path), {"median": 0.5})
+    medians = found.groupBy().pivot("column_name", numbers).agg(F.first("median"))  # one row
+    exact = li.join(F.broadcast(medians.select(*[F.col(c).alias(f"m_{c}") for c in numbers]))).agg(
+        *[F.count_if(f(F.col(c), F.col(f"m_{c}"))).alias(f"{name}_{c}") for c in numbers
+          for name, f in (("below", lambda a, b: a < b), ("upto", lambda a, b: a <= b))])
+    ranks = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"below_{c}").alias("below"), F.col(f"upto_{c}").alias("upto"))
+                                            for c in numbers])))
+    distinct = table_profile(li, list(_SKETCHED)).select("column_name", F.col("distinct_values").alias("exact_values"))
+    n = F.col("rows") - F.col("nulls")
+    return found.join(distinct, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "rows", "nulls", round_to("low", 6).alias("low"), round_to("high", 6).alias("high"), "first_text", "last_text",
+        (F.abs(F.col("distinct_values") - F.col("exact_values")) <= F.ceil(K.DISTINCT_ERROR * F.col("exact_values"))).alias("distinct_within_error"),
+        ((F.col("below") <= (0.5 + K.RANK_ERROR) * n) & (F.col("upto") >= (0.5 - K.RANK_ERROR) * n)).alias("median_within_error"))
+
+
 # --------------------------------------------------------------- X24 X27 X30
 
 CHUNK_WORDS, FLOOR = 50, 0.2
@@ -347,3 +385,39 @@ def q_trade_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.select("s_nationkey", "c_nationkey", "lines", round_to(geo.haversine_km(*way), 3).alias("distance_km"),
                         round_to(geo.manhattan_km(*way), 3).alias("manhattan_km"), (F.col("lat2") - F.col("lat1")).alias("lat_delta"),
                         (F.col("lon2") - F.col("lon1")).alias("lon_delta"), geo.in_box("lat2", "lon2", -23, -180, 23, 180).alias("to_tropics"))
+
+
+#: Scenario assumptions for movements: days from order to shipping stand for the duration.
+_LONGEST_DAYS, _FASTEST_KM = 120, 1000
+
+#: rule id, what it looks at, and when a movement passes, in terms of ``days`` and ``distance_km``.
+_MOVEMENT_RULES = (("M01", "positive duration", "days > 0"), ("M02", "duration not extreme", f"days <= {_LONGEST_DAYS}"),
+                   ("M03", "places differ", "distance_km > 0"), ("M04", "places on the globe", "lat1 BETWEEN -90 AND 90 AND lat2 BETWEEN -90 AND 90"),
+                   ("M05", "implied speed", f"days > 0 AND distance_km / days <= {_FASTEST_KM}"))
+
+
+@register("movement_checks", "G13 Q01 Q10", f"""
+WITH place AS (SELECT n_nationkey, {_PLACE[0]} AS lat, {_PLACE[1]} AS lon FROM nation),
+x AS (SELECT date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS days, a.lat AS lat1, b.lat AS lat2,
+    2 * {EARTH_KM} * asin(least(1.0, sqrt(sin(radians(b.lat - a.lat) / 2) ^ 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians(b.lon - a.lon) / 2) ^ 2))) AS distance_km
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+  JOIN place a ON s_nationkey = a.n_nationkey JOIN place b ON c_nationkey = b.n_nationkey)
+""" + "\nUNION ALL\n".join(f"SELECT '{i}' AS rule_id, '{name}' AS rule_name, COUNT(*) AS evaluated, COUNT(*) FILTER (WHERE ({c}) IS NOT TRUE) AS failed FROM x"
+                          for i, name, c in _MOVEMENT_RULES))
+def q_movement_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose duration, places or implied speed cannot be true; speed serves these checks only."""
+    t = Tables(spark, sf_dir)
+    a = t.nation.select(F.col("n_nationkey").alias("n1"), F.expr(_PLACE[0]).alias("lat1"), F.expr(_PLACE[1]).alias("lon1"))
+    b = t.nation.select(F.col("n_nationkey").alias("n2"), F.expr(_PLACE[0]).alias("lat2"), F.expr(_PLACE[1]).alias("lon2"))
+    # The distance of each pair of the 25 nations once, not of each line.
+    pairs = a.join(b).withColumn("distance_km", geo.haversine_km("lat1", "lon1", "lat2", "lon2")).drop("lon1", "lon2")
+    lines = (t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate")
+             .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+             .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
+    moved = lines.join(F.broadcast(pairs), (F.col("s_nationkey") == F.col("n1")) & (F.col("c_nationkey") == F.col("n2"))).withColumn(
+        "days", F.date_diff("l_shipdate", "o_orderdate"))
+    rules = [Rule(i, name, F.expr(c), "reasonability") for i, name, c in _MOVEMENT_RULES]
+    failed = moved.agg(F.count(F.lit(1)).alias("evaluated"), *[F.count_if(~F.coalesce(r.condition, F.lit(False))).alias(r.rule_id) for r in rules])
+    return failed.select("evaluated", F.inline(F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.name).alias("rule_name"),
+                                                                  F.col(r.rule_id).alias("failed")) for r in rules])))

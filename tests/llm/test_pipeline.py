@@ -1,12 +1,14 @@
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from tessera.llm.common import written
 from tessera.llm.queries import QUERIES, SQL
 from tessera.tables import TABLES, load, table_path
-from tests.llm.conftest import SMALL
+from tests.llm.conftest import DOC_SCHEMA, ODD_TEXTS, SMALL, prose
 from tests.llm.test_simhash import brute_components
 from tests.llm.test_substrings import brute
 from tests.oracle_check import frame_hash, to_records
@@ -49,3 +51,51 @@ def test_stages_against_brute_force(spark):
         if name == "packing":
             assert {r.doc_id for r in after} == {d for d, t in before.items() if t}
     assert kept[0] > 0.97 and kept[1] > 0.8
+
+
+#: Columns that documents may have beside their own, with names that operators use.
+EXTRA = ["rejected", "score", "predicted", "lang_pred", "n_removed", "_whole_text", "_fp", "c0", "id"]
+
+
+@pytest.fixture(scope="module")
+def odd_dir(spark, tmp_path_factory):
+    """Documents with odd texts, null columns, null ids, repeated rows, copies and clashing names."""
+    rng, root = np.random.default_rng(5), tmp_path_factory.mktemp("odd")
+    letters = {"aa": "abcdef", "bb": "uvwxyz"}
+    rows = [(i, prose(rng, 60, letters[lang]), lang, "s") for i, lang in enumerate(["aa", "bb"] * 40)]
+    rows += [(None, prose(rng, 60, "abcdef"), None, None), (200, rows[0][1], None, None), rows[4], (300, rows[8][1] + " Fedcba abc.", "aa", "s")]
+    rows += [(400 + k, t, None, "odd") for k, t in enumerate(ODD_TEXTS)]
+    frame = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], DOC_SCHEMA)
+    frame = frame.select("*", *[F.concat(F.lit("kept "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in EXTRA])
+    frame.write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(i, 1, None if i == 3 else int(i % 8 == 1)) for i in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    return str(root)
+
+
+def test_stages_on_odd_rows(spark, odd_dir):
+    docs = load(spark, odd_dir, "documents")
+    columns, types, counts = docs.columns, docs.dtypes, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {(r.doc_id, r.text): r for r in docs.collect()}
+        docs = written(stage(spark, docs, odd_dir), f"odd-{name}")
+        after = docs.collect()
+        assert docs.columns == columns and docs.dtypes == types
+        assert all(r[c] == f"kept {'-' if r.doc_id is None else r.doc_id}" for r in after for c in EXTRA)
+        if name == "language_id":
+            assert after and all(r.text and any(ch.isalpha() for ch in r.text) for r in after)
+        if name == "simhash_dedup":
+            ids = [r.doc_id for r in after]
+            assert len(ids) == len(set(ids)) and not {200, 300} & set(ids)
+        if name != "substring_dedup":
+            assert all(tuple(r) == tuple(before[r.doc_id, r.text]) for r in after)
+        assert len(after) <= counts[-1]
+        counts.append(len(after))
+    assert counts[-1] > 40
+    plan = corpus_pipeline.pack(spark, docs, odd_dir).collect()
+    assert {r.doc_id for r in plan} == {r.doc_id for r in docs.collect() if r.text}
+
+
+def test_pipeline_on_empty_tables(spark, odd_dir, tmp_path):
+    for t in ("documents", "labels"):
+        load(spark, odd_dir, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -181,15 +181,19 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> dict:
             "sigma": float(np.sqrt(sigma2)), "n": n, "df": dfr, "xtx_inv": inv, "beta": beta}
 
 
-def linear_model(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict:
+def linear_model(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (), max_levels: int = 500) -> dict:
     """Linear model with categorical terms (T06): treatment contrasts against the first level.
 
     The levels of a category are listed once (a category's domain, not rows of
-    data) and become 0/1 regressors called ``column=level``.
+    data) and become 0/1 regressors called ``column=level``.  A column with more than ``max_levels``
+    levels, such as a key, is an error: each level is a row and column of X'X on the driver.
     """
     xs = list(numeric)
     for c in categorical:
-        levels = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
+        levels = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().limit(max_levels + 1).collect()]
+        if len(levels) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
+        levels = sorted(levels)
         for level in levels[1:]:
             df = df.withColumn(f"{c}={level}", F.when(F.col(c).isNotNull(), (F.col(c) == level).cast("double")))
             xs.append(f"{c}={level}")

@@ -167,11 +167,14 @@ def stories(df: DataFrame, story_key: str, order: str, text: str, is_question: C
                         F.array_join(before, " ").alias("story"), F.col("_i").alias("statements"))
 
 
-def vocabulary_text_classifier(train: DataFrame, text: str, label: str, vocabulary_size: int = 2**31 - 1):
+def vocabulary_text_classifier(train: DataFrame, text: str, label: str, vocabulary_size: int = 2**18):
     """Fixed-vocabulary answer classifier (X25): token counts over the training
-    split's vocabulary (every token has a place of its own) and multinomial
-    logistic regression, the simpler alternative the brief offers to a
-    recurrent network."""
+    split's vocabulary and multinomial logistic regression, the simpler
+    alternative the brief offers to a recurrent network.
+
+    The vocabulary and its weights (one per word and class) are held on the driver, so ``vocabulary_size``
+    bounds them: the most frequent words have a place of their own; rarer ones, like words that only occur
+    after training, count for no class."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizer, StringIndexer

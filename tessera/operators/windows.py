@@ -19,6 +19,8 @@ from tessera.functions.dates import open_end
 from tessera.session import materialise
 
 _PID = "_range_id"
+#: Distinct values (of all groups together) whose running totals one window may hold.
+_WINDOW_ROWS = 1_000_000
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
@@ -164,13 +166,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
     """Exact interpolated quantiles (``percentile`` semantics) per ``by`` (or of all rows).
 
     Rows are first counted per distinct value (a partial aggregation), the
-    counts get running totals over ranges, and each quantile is the value at
-    its rank.  No state grows with a group, as that of an exact percentile does.
+    counts get running totals, and each quantile is the value at its rank.  The counts are
+    written once, so ``df`` is computed once; up to ``_WINDOW_ROWS`` of them (read from the files' footers) are
+    totalled by a window, more over ranges.  No state grows with a group, as that of an exact percentile does.
     NULL values are ignored; a group without any has NULL quantiles.
     """
     by = list(by)
-    counts = df.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.col(value)).alias("_c"))
-    r = running_totals(counts, [F.col("_value")], {"_cum": "_c"}, num_ranges, {"_cum": "_n"}, by)
+    counts = materialise(df.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.col(value)).alias("_c")), "value-counts")
+    if counts.count() <= _WINDOW_ROWS:
+        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+        upto = w.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        r = counts.withColumns({"_cum": F.sum("_c").over(upto), "_n": F.sum("_c").over(w)})
+    else:
+        r = running_totals(counts, [F.col("_value")], {"_cum": "_c"}, num_ranges, {"_cum": "_n"}, by)
     aggs = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("_n") - 1)

@@ -214,7 +214,10 @@ def test_null_groups_are_kept(spark):
     assert split.count() == 4 and split.where("split = 'train'").count() == 2
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, limit):
+    """Totals of the counts by a window, and over ranges."""
+    monkeypatch.setattr("tessera.operators.windows._WINDOW_ROWS", limit)
     rows = [(int(x), float(x % 17)) for x in range(1000)]
     df = spark.createDataFrame([(i % 3, v) for i, v in rows] + [(5, None), (None, 4.0)], "g int, v double")
     got = {r.g: (r.a, r.b) for r in exact_quantiles(df, "v", {"a": 0.25, "b": 0.9}, ["g"], num_ranges=5).collect()}

@@ -36,6 +36,12 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`shared_path` whose readers have all been written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Bits of a key filter: 64 in each of its words, whose number is fixed (4 MB), whatever the keys.
 FILTER_WORDS = 1 << 18
 

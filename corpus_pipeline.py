@@ -2,7 +2,7 @@
 
 Each stage takes all rows that its predecessor kept and returns the columns of documents; the
 last returns the packing plan.  ``run`` writes each stage's rows as Parquet into the
-shared folder and reads them again for the next one.
+shared folder and reads them again for the next one; once that one is written, they are removed.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, packing, simhash, substrings, toxicity
-from tessera.llm.common import written
+from tessera.llm.common import remove_written, shared_path
 from tessera.llm.queries import tokenizer_path
 from tessera.tables import load
 
@@ -90,7 +90,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = load(spark, sf_dir, "documents")
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path, kept = shared_path(spark, f"pipeline-{name}"), stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove_written(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

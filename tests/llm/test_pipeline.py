@@ -1,3 +1,5 @@
+import os
+
 import duckdb
 import numpy as np
 import pytest
@@ -7,6 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tessera.llm.common import written
 from tessera.llm.queries import QUERIES, SQL
+from tessera.session import checkpoint_dir
 from tessera.tables import TABLES, load, table_path
 from tests.llm.conftest import DOC_SCHEMA, ODD_TEXTS, SMALL, prose
 from tests.llm.test_simhash import brute_components
@@ -99,3 +102,12 @@ def test_pipeline_on_empty_tables(spark, odd_dir, tmp_path):
     for t in ("documents", "labels"):
         load(spark, odd_dir, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_pipeline_keeps_only_the_last_stage(spark, odd_dir):
+    def folders():
+        return {f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("pipeline-")}
+    before = folders()
+    plan = corpus_pipeline.run(spark, odd_dir)
+    assert [f.split("-")[1] for f in folders() - before] == ["substring_dedup"]
+    assert plan.count() > 40

@@ -11,55 +11,147 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialise
 
-#: Points of a block and of the part it is compared with; points that are compared in one step.
-BLOCK, PART, STEP = 1024, 8192, 256
+#: Points of a block and of the part it is compared with; sides of the tile that is
+#: compared in one step (it stays in a core's cache), with several subsets and with one.
+BLOCK, PART, TILE, TILE_OF_ONE = 4096, 1 << 16, (16, 256), (64, 512)
+#: Cells wanted at least, so that all cores have some; fewest points of a block for that.
+CELLS, SMALLEST = 48, 256
+#: Dimensions from which distances come from products; squares below this share of the lengths are taken from differences instead.
+LONG, NEAR = 8, 1e-3
+#: Partitions of cells or points at most.
+MOST = 4096
+
+
+def _matrix(column, kind=np.float64):
+    return column.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(len(column), -1)
+
+
+def _distances(left, right, subsets: list[list[int]]):
+    """Distances of all pairs, by subset of dimensions, point of ``left`` and point of ``right``."""
+    out = np.empty((len(subsets), len(left), len(right)))
+    short = {tuple(dims): s for s, dims in enumerate(subsets) if len(dims) < LONG}
+    single = {d: (left[:, d, None] - right[None, :, d]) ** 2 for d in {d for dims in short for d in dims}}
+    for dims, s in sorted(short.items(), key=lambda x: len(x[0])):
+        # A subset's squares are those of the subset without its last dimension, if that was asked for, and one more.
+        known = short.get(dims[:-1])
+        square = out[known] if known is not None else sum((single[d] for d in dims[:-1]), start=np.zeros(()))
+        np.add(square, single[dims[-1]], out=out[s])
+    for s, dims in enumerate(subsets):
+        if len(dims) < LONG:
+            if tuple(dims) in short and short[tuple(dims)] != s:
+                out[s] = out[short[tuple(dims)]]
+            continue
+        a, b = left[:, dims], right[:, dims]
+        size = (a ** 2).sum(axis=1)[:, None] + (b ** 2).sum(axis=1)[None, :]
+        square = size - 2 * (a @ b.T)
+        # Products lose the digits of small distances: those are taken from differences, so equal points have distance zero exactly.
+        i, j = np.nonzero(~(square > NEAR * size))
+        for at in range(0, len(i), 4096):
+            some = slice(at, at + 4096)
+            square[i[some], j[some]] = ((a[i[some]] - b[j[some]]) ** 2).sum(axis=1)
+        out[s] = square
+    return np.sqrt(out, out=out)
 
 
 def _sums(batches, subsets: list[list[int]], sizes: list[int]):
-    """Per point of a cell's block and subset: summed distances to the part's points, by labelling and cluster."""
+    """Per point of a cell's block: its clusters and summed distances to the part's points, by subset, labelling and cluster."""
     at, left, sums = None, [], None
     edges = np.concatenate(([0], np.cumsum(sizes)))
 
-    def result():
-        rows, count = left[0], len(subsets)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(rows, count)), pa.array(np.tile(np.arange(count, dtype=np.int32), len(rows))),
-             pa.array(list(sums.transpose(1, 0, 2).reshape(len(rows) * count, -1)), pa.list_(pa.float64()))], names=["row", "subset", "sums"])
+    def lists(values):
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.reshape(-1)))
 
-    def matrix(column):
-        return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
+    def result():
+        for lo in range(0, len(left[0]), 512):
+            some = slice(lo, lo + 512)
+            yield pa.RecordBatch.from_arrays([pa.array(left[0][some]), lists(left[2][some]), lists(sums[some].reshape(len(sums[some]), -1))], names=["row", "c", "sums"])
     for batch in batches:
-        key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+        key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2)], axis=1)
         change = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
         for lo, hi in zip(np.concatenate(([0], change)), np.append(change, len(key)), strict=True):
             if lo == hi:
                 continue
-            part = batch.slice(lo, hi - lo)
-            if tuple(key[lo, :2]) != at:
+            some = batch.slice(lo, hi - lo)
+            if key[lo, 0] != at:
                 if left and sums is not None:
-                    yield result()
-                at, left, sums = tuple(key[lo, :2]), [], None
-            rows, points = part.column(3).to_numpy(), matrix(part.column(4))
-            if key[lo, 2] == 0:
-                left = [np.concatenate((left[0], rows)), np.concatenate((left[1], points))] if left else [rows, points]
+                    yield from result()
+                at, left, sums = key[lo, 0], [], None
+            rows, points, own = some.column(2).to_numpy(), _matrix(some.column(3)), _matrix(some.column(4), np.int32)
+            if key[lo, 1] == 0:
+                left = [np.concatenate(x) for x in zip(left, (rows, points, own), strict=True)] if left else [rows, points, own]
                 continue
             if not left:
                 continue
             if sums is None:
-                sums = np.zeros((len(subsets), len(left[0]), edges[-1]))
-            member = np.zeros((len(rows), edges[-1]))
-            for k, own in enumerate(np.array(part.column(5).to_pylist(), float).T):
-                known = ~np.isnan(own)
-                member[np.flatnonzero(known), edges[k] + own[known].astype(int)] = 1
-            for s, dims in enumerate(subsets):
-                for a in range(0, len(left[0]), STEP):
-                    # Differences, not products: equal points have distance zero exactly.
-                    square = np.zeros((len(left[0][a: a + STEP]), len(rows)))
-                    for d in dims:
-                        square += (left[1][a: a + STEP, d, None] - points[None, :, d]) ** 2
-                    sums[s, a: a + STEP] += np.sqrt(square) @ member
+                # Far points, too, keep their digits if distances are taken around a point amid them.
+                centre = left[1].mean(axis=0) if np.isfinite(left[1]).all() else np.zeros(left[1].shape[1])
+                sums = np.zeros((len(left[0]), len(subsets), edges[-1]))
+            # Points with the same clusters in all labellings are summed together.
+            combos, group = np.unique(own, axis=0, return_inverse=True)
+            to_cluster = np.zeros((len(combos), edges[-1]))
+            for k in range(len(sizes)):
+                known = np.flatnonzero(combos[:, k] >= 0)
+                to_cluster[known, edges[k] + combos[known, k]] = 1
+            joint = len(combos) < edges[-1]
+            member = np.eye(len(combos))[group.reshape(-1)] if joint else to_cluster[group.reshape(-1)]
+            high, wide = TILE if len(subsets) > 1 else TILE_OF_ONE
+            # Column by column in memory, as differences read them.
+            points = np.asfortranarray(points - centre)
+            for a in range(0, len(left[0]), high):
+                block = left[1][a: a + high] - centre
+                found = np.zeros((len(subsets) * len(block), member.shape[1]))
+                for b in range(0, len(rows), wide):
+                    found += _distances(block, points[b: b + wide], subsets).reshape(len(found), -1) @ member[b: b + wide]
+                found = (found @ to_cluster if joint else found).reshape(len(subsets), len(block), -1)
+                sums[a: a + high] += found.transpose(1, 0, 2)
     if left and sums is not None:
-        yield result()
+        yield from result()
+
+
+def _widths(batches, subsets: int, sizes: list[int], counts: np.ndarray):
+    """Sums and numbers of the widths of whole points, by subset and labelling; a point's rows follow each other, one of each part."""
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    total, number, members = np.zeros((subsets, len(sizes))), np.zeros((subsets, len(sizes)), np.int64), np.zeros(len(sizes), np.int64)
+
+    def add(own, sums):
+        for k, size in enumerate(sizes):
+            mine, d = own[:, k], sums[:, :, edges[k]: edges[k + 1]]
+            d, mine = d[mine >= 0], mine[mine >= 0]
+            n, places = counts[edges[k]: edges[k + 1]], np.arange(len(mine))
+            members[k] += len(mine)
+            if len(mine) == 0 or (n > 0).sum() < 2:
+                continue
+            mean = d / np.where(n > 0, n, 1)
+            mean[:, :, n == 0] = np.inf
+            mean[places, :, mine] = np.inf
+            b = mean.min(axis=2)
+            alone = n[mine] == 1
+            a = d[places, :, mine] / np.maximum(n[mine] - 1, 1)[:, None]
+            top = np.maximum(a, b)
+            flat = alone[:, None] | (top == 0)
+            total[:, k] += np.where(flat, 0.0, (b - a) / np.where(flat, 1.0, top)).sum(axis=0)
+            number[:, k] += len(mine)
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        rows, own = batch.column(0).to_numpy(), _matrix(batch.column(1), np.int32)
+        sums = _matrix(batch.column(2)).reshape(len(rows), subsets, -1)
+        first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+        rows, own, sums = rows[first], own[first], np.add.reduceat(sums, first, axis=0)
+        if last is not None:
+            if last[0] == rows[0]:
+                sums[0] += last[2][0]
+            else:
+                add(last[1], last[2])
+        add(own[:-1], sums[:-1])
+        last = rows[-1], own[-1:], sums[-1:]
+    if last is not None:
+        add(last[1], last[2])
+    met = [(s, k) for s in range(subsets) for k in range(len(sizes)) if members[k]]
+    yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in met], pa.int32()), pa.array([k for _, k in met], pa.int32()),
+                                      pa.array([total[x] for x in met], pa.float64()), pa.array([number[x] for x in met], pa.int64())],
+                                     names=["subset", "labelling", "total", "n"])
 
 
 def silhouette_widths(points: DataFrame, vector: str, labels: Sequence[str], subsets: dict[str, Sequence[int]],
@@ -73,7 +165,9 @@ def silhouette_widths(points: DataFrame, vector: str, labels: Sequence[str], sub
 
     The distances are those of all pairs, as the statistic asks for, but no pair is a row: a task holds a
     block of points, streams a part of the others, and keeps one sum per point and cluster (matrix product of
-    distances and memberships).  Points with a NULL vector or component take no part.
+    distances and memberships).  A point's sums over the parts and its width are formed in tasks, too, and one
+    row of each task, subset and labelling goes on.  Work stays quadratic in the points, memory does not grow.
+    Points with a NULL vector or component take no part.
     """
     names = list(subsets)
     width = max(max(p) for p in subsets.values()) + 1
@@ -82,28 +176,31 @@ def silhouette_widths(points: DataFrame, vector: str, labels: Sequence[str], sub
                                      F.array(*[F.col(c).cast("int") for c in labels]).alias("c")), "points")
     found = rows.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.col("c")[k]).alias(f"m{k}") for k in range(len(labels))]).first()
     sizes = [(found[f"m{k}"] if found[f"m{k}"] is not None else 0) + 1 for k in range(len(labels))]
-    blocks, parts = max(1, -(-found["n"] // block)), max(1, -(-found["n"] // part))
+    n = found["n"]
+    per_cluster = rows.select(F.posexplode("c").alias("k", "cluster")).where("cluster is not null").groupBy("k", "cluster").agg(F.count(F.lit(1)).alias("n")).collect()
+    edges, counts = np.concatenate(([0], np.cumsum(sizes))), np.zeros(sum(sizes), np.int64)
+    for r in per_cluster:
+        counts[edges[r["k"]] + r["cluster"]] = r["n"]
+    block = min(block, max(SMALLEST, -(-n // CELLS)))
+    blocks, parts = max(1, -(-n // block)), max(1, -(-n // part))
+    cells = blocks * parts
 
     def spread(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    own = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), spread(parts).alias("part"), F.lit(0).alias("kind"), "row", "v", "c")
-    other = rows.select(spread(blocks).alias("block"), F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("kind"), "row", "v", "c")
-    cells = own.unionByName(other).repartition("block", "part").sortWithinPartitions("block", "part", "kind")
-    dims = [list(subsets[n]) for n in names]
-    sums = cells.mapInArrow(lambda b: _sums(b, dims, sizes), "row long, subset int, sums array<double>")
-    # One row per point, subset, labelling and cluster, summed over the parts.
-    place = F.array(*[F.struct(F.lit(k).alias("labelling"), F.lit(c).alias("cluster")) for k, n in enumerate(sizes) for c in range(n)])
-    total = (sums.select("row", "subset", F.posexplode("sums").alias("at", "d")).groupBy("row", "subset", "at").agg(F.sum("d").alias("d"))
-             .select("row", "subset", "d", place[F.col("at")].alias("p")).select("row", "subset", "d", "p.*"))
-    member = rows.select("row", F.posexplode("c").alias("labelling", "mine")).where("mine is not null")
-    counts = member.groupBy("labelling", F.col("mine").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
-    both = total.join(member, ["row", "labelling"]).join(F.broadcast(counts), ["labelling", "cluster"])  # one row per cluster of a labelling
-    same = F.col("cluster") == F.col("mine")
-    per = both.groupBy("row", "subset", "labelling").agg(
-        F.max(F.when(same & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~same, F.col("d") / F.col("n"))).alias("b"))
-    top = F.greatest("a", "b")
-    value = F.when(F.col("b").isNull(), F.lit(None)).when(F.col("a").isNull() | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
-    return (per.groupBy("subset", "labelling").agg(F.avg(value).alias("silhouette"))
-            .select(F.array(*[F.lit(n) for n in names])[F.col("subset")].alias("subset"), F.array(*[F.lit(c) for c in labels])[F.col("labelling")].alias("labelling"),
+
+    def dealt(n):
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
+    own = rows.select(dealt(blocks).alias("block"), spread(parts).alias("part"), F.lit(0).alias("kind"), "row", "v", "c")
+    other = rows.select(spread(blocks).alias("block"), dealt(parts).alias("part"), F.lit(1).alias("kind"), "row", "v", "c")
+    both = own.unionByName(other).select((F.col("block") * parts + F.col("part")).alias("cell"), "kind", "row", "v", "c")
+    both = both.repartitionById(min(cells, MOST), "cell").sortWithinPartitions("cell", "kind")
+    dims = [list(subsets[x]) for x in names]
+    sums = both.mapInArrow(lambda b: _sums(b, dims, sizes), "row long, c array<int>, sums array<double>")
+    # Each part gave a row per point; with one part the points are whole.
+    if parts > 1:
+        sums = sums.repartition(min(blocks, MOST), "row").sortWithinPartitions("row")
+    per = sums.mapInArrow(lambda b: _widths(b, len(dims), sizes, counts), "subset int, labelling int, total double, n long")
+    value = F.when(F.sum("n") > 0, F.sum("total") / F.sum("n"))
+    return (per.groupBy("subset", "labelling").agg(value.alias("silhouette"))
+            .select(F.array(*[F.lit(x) for x in names])[F.col("subset")].alias("subset"), F.array(*[F.lit(c) for c in labels])[F.col("labelling")].alias("labelling"),
                     "silhouette"))

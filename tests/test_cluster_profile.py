@@ -38,6 +38,23 @@ def test_silhouette_widths_equal_all_pairs(spark):
         assert math.isclose(value, direct_width(x[:, subsets[s]], labels[c]), abs_tol=1e-12), (s, c)
 
 
+def test_silhouette_widths_of_long_vectors(spark):
+    """Repeated points and points much nearer to each other than to the origin; rows of several parts meet again."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (150, 20)) + 1e3
+    x[40:80], x[100:110] = x[7], x[90] + 1e-7
+    labels = {"two": [i % 2 for i in range(150)], "five": [i // 30 for i in range(150)]}
+    frame = spark.createDataFrame([(x[i].tolist(), labels["two"][i], labels["five"][i]) for i in range(150)], "v array<double>, two int, five int").repartition(3)
+    subsets = {"all": list(range(20)), "eight": list(range(3, 11)), "two": [4, 9]}
+    found = cluster.silhouette_widths(frame, "v", list(labels), subsets, block=40, part=70)
+    got = {(r.subset, r.labelling): r.silhouette for r in found.collect()}
+    assert got.keys() == {(s, c) for s in subsets for c in labels}
+    for (s, c), value in got.items():
+        assert math.isclose(value, direct_width(x[:, subsets[s]], labels[c]), abs_tol=1e-9), (s, c)
+    # Points' sums are added up and turned into widths as arrays: no row per point, subset and cluster is shuffled.
+    assert "posexplode(sums" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_silhouette_of_one_cluster_and_of_no_points(spark):
     frame = spark.createDataFrame([([0.0, 1.0], 0), ([2.0, 1.0], 0), ([2.0, 1.0], 0)], "v array<double>, c int")
     assert [r.silhouette for r in cluster.silhouette_widths(frame, "v", ["c"], {"x": [0]}).collect()] == [None]

@@ -39,10 +39,43 @@ def tfidf(counts: DataFrame, frequencies: DataFrame, n: int) -> DataFrame:
     questions are weighted as the corpus is.  A vector is as long as its text has different terms.
     """
     weight = F.col("tf") * (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0)
-    rows = counts.join(frequencies, "term").select("key", F.struct("term", weight.alias("w")).alias("t"))
-    rows = rows.groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    size = F.sqrt(F.aggregate("t", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    return rows.select("key", F.transform("t", lambda x: x["term"]).alias("terms"), F.transform("t", lambda x: x["w"] / size).alias("weights"))
+    rows = counts.join(frequencies, "term").select("key", "term", weight.alias("w"))
+    kind = dict(rows.dtypes)["key"]
+    # A text's terms are sorted once and become a vector in one pass; its length is taken once, not for each term.
+    return rows.repartition("key").sortWithinPartitions("key", "term").mapInArrow(_unit_vectors, f"key {kind}, terms array<string>, weights array<double>")
+
+
+def _differs(column) -> np.ndarray:
+    """For each value but the first, whether it differs from the one before; NULLs are equal to each other."""
+    if isinstance(column.type, pa.StructType):
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        return np.logical_or.reduce([valid[1:] != valid[:-1], *[_differs(field) for field in column.flatten()]])
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    return pc.not_equal(column[1:], column[:-1]).fill_null(False).to_numpy(zero_copy_only=False) | (valid[1:] != valid[:-1])
+
+
+def _unit_vectors(batches):
+    """Rows of a key follow each other; those of the last key of a batch wait for the next one."""
+    held = None
+
+    def vectors(rows, edges):
+        weight = rows.column(2).to_numpy(zero_copy_only=False)
+        size = np.sqrt(np.add.reduceat(weight ** 2, edges[:-1]))
+        edge = pa.array(edges, pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(pa.array(edges[:-1])), pa.ListArray.from_arrays(edge, rows.column(1)),
+             pa.ListArray.from_arrays(edge, pa.array(weight / np.repeat(size, np.diff(edges))))], names=["key", "terms", "weights"])
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        first = np.concatenate(([0], np.flatnonzero(_differs(batch.column(0))) + 1))
+        held = batch.slice(int(first[-1]))
+        if len(first) > 1:
+            yield vectors(batch.slice(0, int(first[-1])), first)
+    if held is not None:
+        yield vectors(held, np.array([0, held.num_rows]))
 
 
 class _Dense:

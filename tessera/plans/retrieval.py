@@ -168,7 +168,7 @@ def q_chunk_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best chunks of the documents for each benchmark text, by TF-IDF cosine."""
     t = Tables(spark, sf_dir)
     counts, n = chunk_counts(t)
-    frequencies = retrieve.document_frequencies(counts)
+    frequencies = materialise(retrieve.document_frequencies(counts), "frequencies")  # for the chunks and for the questions
     vectors = retrieve.tfidf(counts, frequencies, n)
     asked = retrieve.tfidf(retrieve.term_counts(t.benchmark, F.col("item_id"), "text"), frequencies, n)
     top = retrieve.top_k(asked, vectors, TOP_K).select("question", "rank", "score", "key.doc_id", "key.chunk_id")

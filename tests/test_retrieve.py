@@ -73,3 +73,20 @@ def test_sparse_vectors_equal_a_direct_tfidf(spark):
     want = best(scored, 5)
     assert {q: [k.d for k, _ in a] for q, a in got.items()} == {q: [k for k, _ in a] for q, a in want.items()} and set(want) == {0, 1, 5}
     assert all(math.isclose(a[1], b[1], abs_tol=2e-9) for q in want for a, b in zip(got[q], want[q], strict=True))
+
+
+def test_vector_length_is_taken_once_per_text(spark):
+    """Texts over several Arrow batches, null keys and null parts of keys; no aggregate over a text's terms inside a transform of them."""
+    rows = [((d, c), f"t{i:05d}", 1 + i % 3) for d, c, n in [(1, 1, 25_000), (1, None, 3), (None, 1, 2), (None, None, 1), (2, 1, 1)] for i in range(n)] + [(None, "t00000", 2)]
+    counts = spark.createDataFrame(rows, "key struct<d:long,c:long>, term string, tf long").repartition(3)
+    df = retrieve.document_frequencies(counts)
+    found = retrieve.tfidf(counts, df, 6)
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    frequency, want = Counter(t for _, t, _ in rows), {}
+    for key, term, tf in rows:
+        want.setdefault(key, {})[term] = tf * (math.log(7 / (1 + frequency[term])) + 1)
+    got = {tuple(r.key) if r.key else None: dict(zip(r.terms, r.weights, strict=True)) for r in found.collect()}
+    assert got.keys() == want.keys()
+    for key, vector in want.items():
+        size = math.sqrt(sum(w * w for w in vector.values()))
+        assert got[key].keys() == vector.keys() and all(math.isclose(got[key][t], w / size, rel_tol=1e-12) for t, w in vector.items())

@@ -15,8 +15,8 @@ from pyspark.sql.window import Window
 from tessera.session import checkpoint_dir
 from tessera.tables import load
 
-#: Bytes of text that a task turns into numpy arrays at a time (one longer text goes alone).
-SLICE_BYTES = 1 << 20
+#: Bytes of text that a task turns into numpy arrays at a time (one longer text goes alone); the arrays of n-grams take some hundred times that.
+SLICE_BYTES = 1 << 18
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -240,5 +240,7 @@ def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compu
             found = compute(batch.column(len(kept)))
             found = [pa.array(x, kinds[kind]) for x, (_, kind) in zip(found, fields, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + found, names=places + made)
+        # The worker goes on to other stages: what this one held goes back.
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema).toDF(*kept, *new)

@@ -1,6 +1,9 @@
+import tracemalloc
+
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tessera.llm import langid, quality_gam, toxicity
@@ -114,3 +117,15 @@ def test_tree_steps_are_the_best_cuts(rng):
     assert np.allclose(step, np.where(np.arange(12) < k, -g[:k].sum() / (k + 1), -g[k:].sum() / (12 - k + 1)))
     gain, cells = quality_gam._quadrants(np.array([[-5.0, 5], [5, -5]]), np.ones((2, 2)))
     assert np.allclose(cells, [[2.5, -2.5], [-2.5, 2.5]]) and gain > 0
+
+
+def test_language_scores_hold_little_beside_the_texts():
+    """Arrays of n-grams are made for some texts at a time, so a worker of many texts stays small."""
+    model = langid.fit([(label, keys, w) for label in ("en", "de") for keys, w in langid._examples(f"{label} some words of this language".encode())])
+    column = pa.array(["some words of a language, again and again. " * 200] * 500)
+    tracemalloc.start()
+    try:
+        names, _, _ = langid.score_column(model, column)
+        assert len(names) == 500 and tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()

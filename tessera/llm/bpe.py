@@ -112,6 +112,48 @@ class Part:
     heads: np.ndarray
 
 
+class _Pile:
+    """Values that are only added at the end; what is there is copied when room runs out, not with each addition."""
+
+    def __init__(self, kind):
+        self._room, self._n = np.zeros(64, kind), 0
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._room[: self._n]
+
+    def windows(self) -> np.ndarray:
+        """As ``byte_windows``, without a copy; bytes beyond the end may have any value."""
+        return np.ndarray((self._n + 1,), "<u8", self._room, strides=(1,))
+
+    def add(self, values: np.ndarray) -> None:
+        end = self._n + len(values)
+        if end + 8 > len(self._room):
+            room = np.zeros(max(end + 8, len(self._room) * 5 // 4), self._room.dtype)
+            room[: self._n] = self.values
+            self._room = room
+        self._room[self._n: end] = values
+        self._n = end
+
+    def cut(self, n: int) -> None:
+        """Only the first ``n`` values stay."""
+        self._n = n
+
+
+_NO_LEVEL = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+
+
+def _merged(keys: np.ndarray, rows: np.ndarray, more: np.ndarray, more_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted rows of hashes without a common one as one, with what belongs to each."""
+    where = np.searchsorted(keys, more)
+    return np.insert(keys, where, more), np.insert(rows, where, more_rows)
+
+
+def _places(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the spans, one span after the other."""
+    return np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class TextEncoder:
     """Encodes and decodes with one tokeniser file; keeps the ids of ``store`` pre-tokens or so."""
 
@@ -127,7 +169,7 @@ class TextEncoder:
         #: Cutting holds for a plain byte-level pre-tokeniser and short added tokens.
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                      and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                     and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in added)
+                     and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(" \n") & set(t["content"]) for t in added)
                      and all(2 <= len(t["content"].encode()) < MARGIN // 2 for t in added))
         chars = _byte_of_char()
         vocab = self.tok.get_vocab(with_added_tokens=True)
@@ -200,54 +242,100 @@ class TextEncoder:
         short = size[first] <= LONG_SPAN
         keys, place, first = keys[short], np.cumsum(short) - 1, first[short]
         a, n = starts[first], size[first]
-        if len(self._keys) > self.store:
+        if sum(len(level) for level, _ in self._levels) > self.store:
             self._forget()
-        at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
-        known = np.zeros(len(keys), bool)
-        if len(self._keys):
-            met = np.flatnonzero((self._keys[at] == keys) & (self._size[at] == n))
-            known[met] = equal_spans(windows, a[met], byte_windows(self._bytes), self._from[at[met]], n[met])
         begin, count = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        begin[known], count[known] = self._begin[at[known]], self._count[at[known]]
+        known, taken = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        for level, rows in self._levels:
+            if not len(level):
+                continue
+            at = np.minimum(np.searchsorted(level, keys), len(level) - 1)
+            met = np.flatnonzero(level[at] == keys)
+            taken[met] = True
+            row = rows[at[met]]
+            fits = self._size.values[row] == n[met]
+            met, row = met[fits], row[fits]
+            equal = equal_spans(windows, a[met], self._bytes.windows(), self._from.values[row], n[met])
+            met, row = met[equal], row[equal]
+            known[met], begin[met], count[met] = True, self._begin.values[row], self._count.values[row]
         new = np.flatnonzero(~known)
         if len(new):
-            fresh = self._encoded([data[x: x + m].tobytes() for x, m in zip(a[new], n[new], strict=True)])
-            count[new] = [len(f) for f in fresh]
-            begin[new] = len(self._ids) + np.concatenate(([0], np.cumsum(count[new])))[:-1]
-            self._ids = np.concatenate((self._ids, np.fromiter(chain.from_iterable(fresh), np.uint32)))
+            fresh, begins, count[new] = self._encoded(data, a[new], n[new])
+            begin[new] = len(self._ids.values) + begins
+            self._ids.add(fresh)
             # A hash met before with other bytes keeps its first owner in the store.
-            insert = new[self._keys[at[new]] != keys[new]] if len(self._keys) else new
-            where = np.searchsorted(self._keys, keys[insert])
-            take = np.repeat(a[insert] - (np.cumsum(n[insert]) - n[insert]), n[insert]) + np.arange(int(n[insert].sum()))
-            origin = len(self._bytes) + np.cumsum(n[insert]) - n[insert]
-            self._bytes = np.concatenate((self._bytes, data[take]))
-            for name, values in (("_keys", keys[insert]), ("_from", origin), ("_size", n[insert]), ("_begin", begin[insert]), ("_count", count[insert])):
-                kept = getattr(self, name)
-                setattr(self, name, np.insert(kept, where, values.astype(kept.dtype)))
-        pool, counts, begins = self._ids, np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+            self._keep(keys, a, n, begin, count, np.flatnonzero(~known & ~taken), data)
+        counts, begins = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
         counts[proven], begins[proven] = count[place[inverse[proven]]], begin[place[inverse[proven]]]
-        apart = np.flatnonzero(~proven)
+        apart, kept = np.flatnonzero(~proven), len(self._ids.values)
         if len(apart):
-            texts = [data[starts[k]: ends[k]].tobytes() for k in apart]
-            once = dict.fromkeys(texts)
-            held = dict(zip(once, self._encoded(list(once)), strict=True))
-            counts[apart] = [len(held[t]) for t in texts]
-            begins[apart] = len(pool) + np.cumsum(counts[apart]) - counts[apart]
-            pool = np.concatenate((pool, np.fromiter(chain.from_iterable(held[t] for t in texts), np.uint32)))
-        index = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
-        return pool[index], counts
-
-    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of single pre-tokens, by the library."""
-        out = []
-        for k in range(0, len(pieces), 4096):
-            out += [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in pieces[k: k + 4096]], add_special_tokens=False)]
-        return out
+            once: dict[bytes, int] = {}
+            which = [once.setdefault(data[starts[k]: ends[k]].tobytes(), k) for k in apart]
+            where, which = np.unique(which, return_inverse=True)
+            fresh, begin, count = self._encoded(data, starts[where], size[where])
+            counts[apart], begins[apart] = count[which], kept + begin[which]
+            self._ids.add(fresh)
+        out = self._ids.values[_places(begins, counts)]
+        self._ids.cut(kept)
+        return out, counts
+
+    def _keep(self, keys, a, n, begin, count, insert, data) -> None:
+        """Take pre-tokens into the store: new hashes join a short level, which joins the long one now and then."""
+        a, n = a[insert], n[insert]
+        row = len(self._from.values) + np.arange(len(insert), dtype=np.int32)
+        self._from.add(len(self._bytes.values) + np.cumsum(n) - n)
+        self._bytes.add(data[_places(a, n)])
+        self._size.add(n)
+        self._begin.add(begin[insert])
+        self._count.add(count[insert])
+        (old, old_rows), late = self._levels
+        keys, rows = _merged(*late, keys[insert], row)
+        self._levels = [(old, old_rows), (keys, rows)]
+        if len(keys) > max(1 << 14, len(old) // 4):
+            self._levels = [_merged(old, old_rows, keys, rows), _NO_LEVEL]
+
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of single pre-tokens by the library; where those of each begin, and how many it has.
+
+        Pre-tokens go to the library many at a time, as one text in which each is a pre-token again: one
+        that begins with a space and goes on with a word just follows, others stand behind a line end (white
+        space goes alone).  The lengths of the ids tell which are whose; where they do not fit, each goes alone.
+        """
+        pieces, begins, counts, have = [np.zeros(0, np.uint32)], np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), 0
+        follows = (data[starts] == 0x20) & (size > 1)
+        at = starts + follows
+        second = data[np.minimum(at + 1, len(data) - 1)]
+        space = (_ASCII_CLASS[data[at]] == _SPACE) | ((data[at] == 0xC2) & ((second == 0x85) | (second == 0xA0)))
+        alone, rest = [np.flatnonzero(space)], np.flatnonzero(~space)
+        for k in range(0, len(rest), 4096):
+            own = rest[k: k + 4096]
+            end = np.cumsum(size[own] + ~follows[own])
+            text = np.full(end[-1], 0x0A, np.uint8)
+            text[_places(end - size[own], size[own])] = data[_places(starts[own], size[own])]
+            ids = np.array(self.tok.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+            edges = np.concatenate(([0], np.cumsum(self.lengths[ids])))
+            lo, hi = (np.minimum(np.searchsorted(edges, x), len(ids)) for x in (end - size[own], end))
+            if edges[-1] != end[-1] or (edges[lo] != end - size[own]).any() or (edges[hi] != end).any():
+                alone.append(own)
+                continue
+            begins[own], counts[own] = have + lo, hi - lo
+            pieces.append(ids)
+            have += len(ids)
+        for own in alone:
+            for k in range(0, len(own), 4096):
+                texts = [data[x: x + m].tobytes().decode() for x, m in zip(starts[own[k: k + 4096]], size[own[k: k + 4096]], strict=True)]
+                found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+                n = np.array([len(f) for f in found])
+                begins[own[k: k + 4096]], counts[own[k: k + 4096]] = have + np.cumsum(n) - n, n
+                pieces.append(np.fromiter(chain.from_iterable(found), np.uint32))
+                have += int(n.sum())
+        return np.concatenate(pieces), begins, counts
 
     def _forget(self) -> None:
-        self._keys, self._bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-        self._from, self._size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._begin, self._count, self._ids = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self._bytes, self._ids = _Pile(np.uint8), _Pile(np.uint32)
+        self._from, self._size, self._begin, self._count = _Pile(np.int64), _Pile(np.int32), _Pile(np.int64), _Pile(np.int32)
+        #: Sorted hashes and their places in the piles: most of them, and those that came last.
+        self._levels = [_NO_LEVEL, _NO_LEVEL]
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library's ``decode(ids, skip_special_tokens=False)``."""

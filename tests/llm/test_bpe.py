@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -108,3 +109,45 @@ def test_ids_do_not_rest_on_hashes(monkeypatch, rng):
     for _ in range(3):
         texts = [prose(rng, 200, "abcde") for _ in range(5)] + ["x" * 100, "y" * 100, ""]
         assert [x.tobytes() for x in e.encode_many(texts)] == e.direct(texts)
+
+
+def test_a_slice_does_not_copy_the_store(rng):
+    """The work of a small slice does not grow with what the store holds."""
+    e = bpe.TextEncoder(PATH)
+    for _ in range(4):
+        e.encode_many([prose(rng, 15_000)])
+    peaks = []
+    for k in range(20):
+        tracemalloc.start()
+        e.encode_many([f"some new{k} words"])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert np.median(peaks) < 100_000
+
+
+def test_new_words_go_to_the_library_together(rng):
+    e = bpe.TextEncoder(PATH)
+    texts = [prose(rng, 3_000), "don't 'tis, 'x 12é½ \xa0a \n b\tc  d ''"]
+    want, given = e.direct(texts), []
+
+    class Counting:
+        def encode_batch_fast(self, batch, add_special_tokens):
+            given.extend(batch)
+            return tok.encode_batch_fast(batch, add_special_tokens=add_special_tokens)
+
+    tok, e.tok = e.tok, Counting()
+    assert [x.tobytes() for x in e.encode_many(texts)] == want
+    assert len(given) < 20
+    # Ids whose lengths do not fit the words are not trusted: the words go alone.
+    other = bpe.TextEncoder(PATH)
+    other.lengths = other.lengths + 1
+    assert [x.tobytes() for x in other.encode_many(texts)] == want
+
+
+def test_words_of_many_slices(rng):
+    """So many words that the store's short level joins the long one more than once."""
+    e = bpe.TextEncoder(PATH)
+    texts = ["".join(rng.choice(PIECES, 300)) + " " + prose(rng, 9_000) for _ in range(6)]
+    want = e.direct(texts)
+    for _ in range(2):
+        assert [e.encode_many([t])[0].tobytes() for t in texts] == want

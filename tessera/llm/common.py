@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from tessera.session import checkpoint_dir
@@ -17,6 +18,9 @@ from tessera.tables import load
 
 #: Bytes of text that a task turns into numpy arrays at a time (one longer text goes alone); the arrays of n-grams take some hundred times that.
 SLICE_BYTES = 1 << 18
+#: Bytes of rows that Spark sends to a Python worker at a time (one longer row goes alone).
+BATCH_BYTES = 1 << 22
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -221,6 +225,36 @@ def equal_spans(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray
     return same
 
 
+def map_texts(rows: DataFrame, run, schema) -> DataFrame:
+    """``rows.mapInArrow``, for rows that hold whole texts: a worker gets ``BATCH_BYTES`` of them at a time.
+
+    By itself Spark counts rows (10,000), whatever their texts take, and holds such a batch several times.  The
+    session's setting is lowered, never raised, and stays, as the frame is computed later.
+    """
+    spark = rows.sparkSession
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+    def freed(batches):
+        yield from run(batches)
+        # The worker goes on to other stages: what this one held goes back.
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(freed, schema)
+
+
+def carried(docs: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, list[str], int]:
+    """The ``kept`` columns of ``docs`` with the whole text as a string, their names inside, and the text's place.
+
+    Inside, columns go by their place, so no name can clash.  A text that is kept is there once.
+    """
+    places = [f"c{i}" for i in range(len(kept))]
+    rows = [F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)]
+    if text in kept and docs.select(F.col(f"`{text}`")).schema[0].dataType == StringType():
+        return docs.select(*rows), places, kept.index(text)
+    return docs.select(*rows, F.col(f"`{text}`").cast("string").alias("text")), places, len(kept)
+
+
 def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compute, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (only the columns ``carry``, if given) with columns computed from whole texts.
 
@@ -229,18 +263,15 @@ def add_columns(docs: DataFrame, text: str, fields: list[tuple[str, str]], compu
     """
     new = [name for name, _ in fields]
     kept = [c for c in (docs.columns if carry is None else carry) if c not in new]
-    # Inside, columns go by their place, so no name can clash.
-    places, made = [f"c{i}" for i in range(len(kept))], [f"n{i}" for i in range(len(new))]
-    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
+    rows, places, whole = carried(docs, kept, text)
+    made = [f"n{i}" for i in range(len(new))]
     schema = rows.select(*places, *[F.lit(None).cast(kind).alias(p) for p, (_, kind) in zip(made, fields, strict=True)]).schema
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
 
     def run(batches):
         for batch in batches:
-            found = compute(batch.column(len(kept)))
+            found = compute(batch.column(whole))
             found = [pa.array(x, kinds[kind]) for x, (_, kind) in zip(found, fields, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + found, names=places + made)
-        # The worker goes on to other stages: what this one held goes back.
-        pa.default_memory_pool().release_unused()
 
-    return rows.mapInArrow(run, schema).toDF(*kept, *new)
+    return map_texts(rows, run, schema).toDF(*kept, *new)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.bpe import encoded_rows, encoder
-from tessera.llm.common import written
+from tessera.llm.common import map_texts, written
 
 #: Sequences that one numbering task sorts, about.
 RUN_ROWS = 100_000
@@ -65,7 +65,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
             n = [len(x) for x in encoded_rows(e, batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=[doc_id, "n_tokens"])
 
-    return docs.select(doc_id, F.col(text).cast("string").alias("_t")).mapInArrow(count, f"{doc_id} {kind}, n_tokens long")
+    return map_texts(docs.select(doc_id, F.col(text).cast("string").alias("_t")), count, f"{doc_id} {kind}, n_tokens long")
 
 
 def length_buckets(lengths: DataFrame, doc_id: str = "doc_id", length: str = "n_tokens", max_len: int = 2048,

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, split_by_keys, text_slices, word_spans, written
+from tessera.llm.common import LOWER, carried, map_texts, split_by_keys, text_slices, word_spans, written
 from tessera.llm.components import connected_components
 
 PIVOTS = 16
@@ -81,19 +81,18 @@ def fingerprint_table(docs: DataFrame, text: str = "text", shingle: int = 4, car
     Writing fixes the row numbers and spares a second reading of the texts.
     """
     kept = [c for c in (docs.columns if carry is None else carry) if c not in ("_fp", "_row")]
-    places = [f"c{i}" for i in range(len(kept))]  # inside, columns go by their place
-    rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(kept, places, strict=True)], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = rows.drop("text").withColumn("_fp", F.lit(0).cast("long")).schema
+    rows, places, whole = carried(docs, kept, text)
+    schema = rows.select(*places).withColumn("_fp", F.lit(0).cast("long")).schema
 
     def run(batches):
         for batch in batches:
             found = np.zeros(batch.num_rows, np.uint64)
-            for first, end, data, offsets in text_slices(batch.column(len(kept))):
+            for first, end, data, offsets in text_slices(batch.column(whole)):
                 found[first:end] = fingerprints(data, offsets, shingle)
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + [pa.array(found.view(np.int64))],
                                              names=places + ["_fp"])
 
-    return written(rows.mapInArrow(run, schema).toDF(*kept, "_fp").withColumn("_row", F.monotonically_increasing_id()), "fingerprints", "zstd")
+    return written(map_texts(rows, run, schema).toDF(*kept, "_fp").withColumn("_row", F.monotonically_increasing_id()), "fingerprints", "zstd")
 
 
 def _near(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, max_bits: int) -> np.ndarray:

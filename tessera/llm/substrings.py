@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import _powers, mix, span_hashes, split_by_keys, text_slices, word_spans, written
+from tessera.llm.common import _powers, map_texts, mix, span_hashes, split_by_keys, text_slices, word_spans, written
 
 #: Sentences in a run, words it has at least (shorter repeats, such as common lines, are left alone),
 #: words of the longest sentence, and the share of words (one in CUT) that end one.
@@ -224,7 +224,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("id"), _mark(text).alias("t"), F.col(text).cast("string"))
-    found = rows.mapInArrow(_runs_of, f"h long, q long, id {kind}, place long")
+    found = map_texts(rows, _runs_of, f"h long, q long, id {kind}, place long")
     # Within a hash: the rest of the hash, then the order of documents and places; marked rows come first.
     order = ["h", F.expr("place >= 0"), F.col("q").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("id").asc_nulls_last(), F.shiftrightunsigned("q", 32), "place"]
     later = found.repartition("h").sortWithinPartitions(*order).mapInArrow(_later_runs, f"id {kind}, t long, place long")
@@ -298,4 +298,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             cols = [texts if i == place else batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(counts)], names=[*kept, "n"])
 
-    return joined.mapInArrow(cut, schema).toDF(*names, removed)
+    return map_texts(joined, cut, schema).toDF(*names, removed)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tessera.llm.common import written
+from tessera.llm.common import BATCH_BYTES, add_columns, carried, map_texts, written
 from tessera.llm.queries import QUERIES, SQL
 from tessera.session import checkpoint_dir
 from tessera.tables import TABLES, load, table_path
@@ -111,3 +111,29 @@ def test_pipeline_keeps_only_the_last_stage(spark, odd_dir):
     plan = corpus_pipeline.run(spark, odd_dir)
     assert [f.split("-")[1] for f in folders() - before] == ["substring_dedup"]
     assert plan.count() > 40
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_workers_get_texts_by_bytes(spark):
+    """3,000 texts of 8 KB come in batches of bounded bytes, not all at once, and all of them come."""
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("eight k "), 1000).alias("text"))
+    spark.conf.unset(BATCH)
+    held = add_columns(docs, "text", [("held", "long")], lambda column: [np.full(len(column), column.nbytes)]).agg(F.count("text"), F.max("held")).first()
+    assert held[0] == 3000 and held[1] <= BATCH_BYTES + 16_000
+    one = docs.limit(1).select(F.repeat("text", 1000).alias("text"))  # a longer row goes alone, whole
+    assert add_columns(one, "text", [("held", "long")], lambda column: [np.full(len(column), column.nbytes)]).first().held > 8_000_000
+    spark.conf.set(BATCH, "1m")  # a smaller setting stays
+    map_texts(docs, lambda batches: batches, docs.schema)
+    assert spark.conf.get(BATCH) == "1m"
+    spark.conf.unset(BATCH)
+
+
+def test_carried_text_is_sent_once(spark):
+    docs = spark.createDataFrame([(1, "a b", b"a b")], "doc_id long, text string, raw binary")
+    rows, places, whole = carried(docs, docs.columns, "text")
+    assert rows.columns == places == ["c0", "c1", "c2"] and whole == 1
+    for kept, text in ((["doc_id"], "text"), (docs.columns, "raw")):
+        rows, places, whole = carried(docs, kept, text)
+        assert rows.columns == [*places, "text"] and rows.first()[whole] == "a b"

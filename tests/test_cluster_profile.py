@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,58 @@ def test_silhouette_of_one_cluster_and_of_no_points(spark):
     assert cluster.silhouette_widths(frame.limit(0), "v", ["c"], {"x": [0]}).collect() == []
 
 
+def test_silhouette_takes_each_distance_once(spark, monkeypatch):
+    """A pair's distance counts for both of its points; it is not taken a second time for the other."""
+    n, taken = 1500, [0]
+    rng = np.random.default_rng(9)
+    x, label = rng.normal(0, 1, (n, 3)), rng.integers(0, 3, n)
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def sqrt(self, values, *args, **kwargs):
+            taken[0] += values.size
+            return np.sqrt(values, *args, **kwargs)
+
+    def here(frame, function, schema):
+        """What the tasks do, in this process."""
+        return frame.sparkSession.createDataFrame(pa.Table.from_batches([*function(iter(frame.toArrow().to_batches()))]), schema)
+    frame = spark.createDataFrame([(x[i].tolist(), int(label[i])) for i in range(n)], "v array<double>, c int").repartition(3)
+    monkeypatch.setattr(cluster, "np", Counted())
+    monkeypatch.setattr(type(frame), "mapInArrow", here)
+    subsets = {"one": [1], "two": [0, 2], "all": [0, 1, 2]}
+    got = {r.subset: r.silhouette for r in cluster.silhouette_widths(frame, "v", ["c"], subsets).collect()}
+    for s, places in subsets.items():
+        assert math.isclose(got[s], direct_width(x[:, places], label.tolist()), abs_tol=1e-12), s
+    # Within a strip of up to 512 points each is compared with each; of one dimension, a distance needs no root.
+    assert taken[0] < 2 * n * n * 0.75
+
+
+def test_points_of_a_cell_keep_their_sums_apart():
+    """Sums of a cell's two groups, and of one with itself, with kinds that share a strip and with more kinds than columns."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (1300, 10))
+    own = np.stack([rng.integers(0, 2, 1300), rng.integers(-1, 3, 1300)], axis=1).astype(np.int32)
+    subsets = [[0, 1, 2], [2, 0, 1], [0, 1], list(range(10)), [3], [3]]
+
+    def columns(c):
+        return [at + k for at, k in zip((0, 2), c, strict=True) if k >= 0]
+
+    def group(some):
+        return cluster._Group(np.arange(1300)[some], x[some], own[some], len(subsets), columns, 5)
+
+    def expected(some, others):
+        member = np.array([[float(k in columns(c)) for k in range(5)] for c in own[others]])
+        return np.array([np.sqrt(((x[some][:, None, dims] - x[others][None, :, dims]) ** 2).sum(axis=2)) @ member for dims in subsets])
+    for some, others in ((slice(0, 700), slice(700, 1300)), (slice(0, 700), None)):
+        left = group(some)
+        right = group(others) if others else left
+        cluster._compare(left, right, subsets)
+        for g, mine, theirs in ((left, some, others or some), (right, others or some, some)):
+            assert np.allclose(g.sums.transpose(1, 2, 0), expected(mine, theirs)[:, g.rows - mine.start], rtol=1e-12, atol=1e-9)
+
+
 def constrained(x, y, j, value):
     """Maximal log-likelihood with coefficient ``j`` held at ``value``."""
     rest = [k for k in range(x.shape[1]) if k != j]

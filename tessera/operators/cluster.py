@@ -63,7 +63,13 @@ class _Distances:
         centre = left.mean(axis=0) if len(left) and np.isfinite(left).all() else np.zeros(left.shape[1])
         for s, dims in enumerate(subsets):
             if len(dims) >= LONG:
-                self.products.append((s, left[:, dims] - centre[dims], right[:, dims] - centre[dims]))
+                # One product of these gives x.x + y.y - 2 x.y.
+                x, y = (np.ones((len(points), len(dims) + 2)) for points in (left, right))
+                np.subtract(left[:, dims], centre[dims], out=x[:, :-2])
+                np.subtract(right[:, dims], centre[dims], out=y[:, :-2])
+                x[:, -2], y[:, -1] = (np.einsum("ij,ij->i", z[:, :-2], z[:, :-2]) for z in (x, y))
+                x[:, :-2] *= -2
+                self.products.append((s, x, y))
 
     def tile(self, rows: slice, others: slice):
         """Distances of these points to those, by subset; the next tile overwrites them."""
@@ -79,13 +85,15 @@ class _Distances:
             np.add(squares[dims[0]] if len(dims) == 2 else found[before], squares[dims[-1]], out=found[s])
         for s, x, y in self.products:
             x, y = x[rows], y[others]
-            size = (x ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :]
-            square = np.subtract(size, 2 * (x @ y.T), out=found[s])
+            square, xx, yy = np.matmul(x, y.T, out=found[s]), x[:, -2], y[:, -1]
             # Products lose the digits of small distances: those are taken from differences, so equal points have distance zero exactly.
-            i, j = np.nonzero(~(square > NEAR * size))
-            for at in range(0, len(i), 4096):
-                some = slice(at, at + 4096)
-                square[i[some], j[some]] = ((x[i[some]] - y[j[some]]) ** 2).sum(axis=1)
+            if not square.min() > NEAR * (xx.max() + yy.max()):
+                near = np.flatnonzero(~(square.min(axis=1) > NEAR * (xx + yy.max())))
+                i, j = np.nonzero(~(square[near] > NEAR * (xx[near, None] + yy)))
+                i = near[i]
+                for at in range(0, len(i), 4096):
+                    some = slice(at, at + 4096)
+                    square[i[some], j[some]] = ((x[i[some], :-2] / -2 - y[j[some], :-2]) ** 2).sum(axis=1)
         for s, other in self.copies:
             found[s] = found[other]
         np.sqrt(found[: self.roots], out=found[: self.roots])
@@ -164,7 +172,9 @@ def _sums(batches, subsets: list[list[int]], columns, width: int):
             if side:
                 read = [np.concatenate(x) for x in zip(*side, strict=True)]
                 side.clear()
-                yield _Group(*read, len(subsets), columns, width)
+                group = _Group(*read, len(subsets), columns, width)
+                del read
+                yield group
 
     def result(cell):
         both = [*groups()]
@@ -279,7 +289,8 @@ def silhouette_widths(points: DataFrame, vector: str, labels: Sequence[str], sub
         kept, columns = len(joint), lambda own: [place[tuple(own.tolist())]]
     else:
         kept, columns, to_cluster = sum(sizes), clusters, None
-    most = max(1, min(part, HELD // (8 * (width + len(dims) * kept))))
+    # Vectors are held as read, in order and as factors of the products.
+    most = max(1, min(part, HELD // (8 * (3 * width + len(dims) * kept))))
     groups = max(1, -(-n // most), min(GROUPS, n // block))
     cells = groups * (groups + 1) // 2
     # Pairs of groups first, then the groups by themselves, which take half as long.
